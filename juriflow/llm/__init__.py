@@ -1,0 +1,10 @@
+"""Operators of a training-data pipeline over documents and conversations.
+
+Functions that run in Python workers are sent by value, so executors need not have this package installed.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

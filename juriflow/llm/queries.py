@@ -5,21 +5,73 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import quality
+from . import decontam, linededup, mixing, nearsets, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
+#: Words, as DuckDB's RE2 takes them.
+_WORD = r"[^\x20\x09-\x0D]+"
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line dedup of all documents: lines, removed lines, and the left text's SHA-256."""
+    left = linededup.dedup(_table(spark, sf_dir, "documents"))
+    return left.select("doc_id", *linededup.RESULT, F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix of all documents: words taken of each."""
+    return mixing.take(_table(spark, sf_dir, "documents")).select("doc_id", *mixing.RESULT)
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents against all benchmark items."""
+    found = decontam.hits(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "start_word", F.round("similarity", 9).alias("similarity"), "distance")
+
+
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all documents."""
+    return nearsets.classes(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "n_links", "kept")
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality rules over all documents."""
     judged = quality.annotate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     return judged.select("doc_id", *quality.RESULT)
 
 
-QUERIES["op10_quality"] = op10_quality
+for _query in (op1_line_dedup, op4_mixing, op6_decontamination, op8_near_dedup, op10_quality):
+    QUERIES[_query.__name__] = _query
+
+ORACLE["op4_mixing"] = rf"""
+WITH sized AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) AS BIGINT) AS size,
+         CAST(('0x' || substr(md5('{mixing.SEED}/' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 15)) AS BIGINT) AS k
+  FROM documents),
+sources AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
+weighed AS (
+  SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS w,
+         source_size * 2.0::DOUBLE AS full_size FROM sources),
+levels AS (
+  SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE
+             - coalesce(sum(full_size) OVER (ORDER BY full_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0::DOUBLE))
+            / sum(w) OVER (ORDER BY full_size / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM weighed),
+free AS (SELECT arg_min(level, full_size / w) AS free_level FROM levels WHERE level * w < full_size),
+goals AS (SELECT source, source_size, least(full_size, coalesce(free_level * w, full_size)) AS target FROM levels, free),
+placed AS (
+  SELECT s.doc_id, s.size, g.source_size, g.target,
+         coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.k, s.doc_id, s.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS front,
+         CAST(round(g.target) AS BIGINT) AS goal
+  FROM sized s JOIN goals g ON s.source IS NOT DISTINCT FROM g.source)
+SELECT doc_id, size, source_size, target,
+       CAST((goal // greatest(source_size, 1)) * size + greatest(0, least(size, goal % greatest(source_size, 1) - front)) AS BIGINT) AS taken
+FROM placed
+"""
