@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, linededup, mixing, nearsets, quality
+from . import decontam, linededup, mixing, nearsets, quality, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -31,6 +31,11 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.take(_table(spark, sf_dir, "documents")).select("doc_id", *mixing.RESULT)
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents in windows that occur elsewhere."""
+    return substrings.dedup(_table(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents against all benchmark items."""
     found = decontam.hits(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -48,7 +53,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality.RESULT)
 
 
-for _query in (op1_line_dedup, op4_mixing, op6_decontamination, op8_near_dedup, op10_quality):
+for _query in (op1_line_dedup, op4_mixing, op5_substring_dedup, op6_decontamination, op8_near_dedup, op10_quality):
     QUERIES[_query.__name__] = _query
 
 ORACLE["op4_mixing"] = rf"""
