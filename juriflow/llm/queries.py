@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, linededup, mixing, nearsets, quality, substrings
+from . import decontam, linededup, mixing, nearsets, pitmanyor, quality, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -42,6 +42,11 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "start_word", F.round("similarity", 9).alias("similarity"), "distance")
 
 
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by the model of those not held out."""
+    return pitmanyor.score(_table(spark, sf_dir, "documents"))
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents."""
     return nearsets.classes(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "n_links", "kept")
@@ -53,7 +58,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality.RESULT)
 
 
-for _query in (op1_line_dedup, op4_mixing, op5_substring_dedup, op6_decontamination, op8_near_dedup, op10_quality):
+for _query in (op1_line_dedup, op4_mixing, op5_substring_dedup, op6_decontamination, op7_lm_score, op8_near_dedup, op10_quality):
     QUERIES[_query.__name__] = _query
 
 ORACLE["op4_mixing"] = rf"""
