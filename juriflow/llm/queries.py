@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, linededup, mixing, nearsets, pitmanyor, quality, substrings
+from . import decontam, linededup, mixing, nearsets, perspectives, pitmanyor, quality, rollups, secrets, substrings
+from .common import checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
+#: Documents whose findings train the forest of op3, at most; with 8 bytes each their ids are broadcast.
+TRAIN_DOCUMENTS = 20_000
 #: Words, as DuckDB's RE2 takes them.
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -26,6 +30,26 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", *linededup.RESULT, F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op2_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations from every participant's side, piece by piece."""
+    pieces = perspectives.rotate(_table(spark, sf_dir, "conversations"))
+    return pieces.withColumn("piece_md5", F.md5("piece")).drop("piece")
+
+
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates of all documents, judged by a forest trained on findings in the documents that labels covers.
+
+    No table tells true findings from false ones, so labels come from a rule (weak_labels) on those documents.
+    """
+    docs = _table(spark, sf_dir, "documents")
+    known = secrets.dictionary(_table(spark, sf_dir, "benchmark"))
+    labelled = _table(spark, sf_dir, "labels").select("doc_id").where("doc_id IS NOT NULL").distinct()
+    sample = labelled.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCUMENTS)
+    findings = secrets.weak_labels(secrets.candidates(docs.join(F.broadcast(sample), "doc_id"), known))
+    forest = secrets.train(findings)
+    return secrets.scan(docs, forest, known).select("doc_id", "word_index", "candidate", "score", "is_secret")
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix of all documents: words taken of each."""
     return mixing.take(_table(spark, sf_dir, "documents")).select("doc_id", *mixing.RESULT)
@@ -52,13 +76,26 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearsets.classes(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "n_links", "kept")
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rollup of all documents after inserts, deletes, revised counts and a repeated batch."""
+    checkpoint_dir(spark)
+    docs = _table(spark, sf_dir, "documents")
+    part = F.coalesce(F.pmod("doc_id", F.lit(10)), F.lit(0))
+    rollup = rollups.Rollup(spark, f"{spark.sparkContext.getCheckpointDir()}/rollup-{uuid.uuid4().hex}")
+    rollup.commit("1", rollups.changes(docs, "words-v1", 1))
+    rollup.commit("2", rollups.changes(docs.where(part == 0), "words-v1", -1))
+    rollup.commit("3", rollups.revisions(docs.where(part == 1), "words-v1", "pieces-v2"))
+    rollup.commit("2", rollups.changes(docs.where(part == 0), "words-v1", -1))
+    return rollup.totals()
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality rules over all documents."""
     judged = quality.annotate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     return judged.select("doc_id", *quality.RESULT)
 
 
-for _query in (op1_line_dedup, op4_mixing, op5_substring_dedup, op6_decontamination, op7_lm_score, op8_near_dedup, op10_quality):
+for _query in (op1_line_dedup, op2_perspectives, op3_secrets, op4_mixing, op5_substring_dedup, op6_decontamination, op7_lm_score, op8_near_dedup, op9_token_counts, op10_quality):
     QUERIES[_query.__name__] = _query
 
 ORACLE["op4_mixing"] = rf"""
@@ -85,3 +122,32 @@ SELECT doc_id, size, source_size, target,
        CAST((goal // greatest(source_size, 1)) * size + greatest(0, least(size, goal % greatest(source_size, 1) - front)) AS BIGINT) AS taken
 FROM placed
 """
+
+ORACLE["op2_perspectives"] = """
+WITH r AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS text FROM conversations),
+people AS (SELECT DISTINCT conv_id, speaker AS perspective FROM r WHERE speaker <> 'system'),
+each AS (
+  SELECT r.*, p.perspective,
+         CASE WHEN r.speaker = 'system' THEN 'system' WHEN r.speaker = p.perspective THEN 'assistant' ELSE 'user' END AS out_role
+  FROM r JOIN people p ON r.conv_id IS NOT DISTINCT FROM p.conv_id),
+headed AS (
+  SELECT *, '<|im_start|>' || out_role || CASE WHEN out_role = 'user' THEN ' name=' || replace(speaker, '<|', '< |') ELSE '' END || chr(10) AS head FROM each),
+pieces AS (SELECT *, head || replace(text, '<|', '< |') || '<|im_end|>' || chr(10) AS piece FROM headed),
+placed AS (
+  SELECT *, coalesce(sum(length(piece)) OVER (PARTITION BY conv_id, perspective ORDER BY turn NULLS LAST, speaker, text
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS front FROM pieces)
+SELECT conv_id, perspective, turn, speaker, out_role AS role, out_role = 'assistant' AS loss, CAST(front AS BIGINT) AS start,
+       CASE WHEN out_role = 'assistant' THEN CAST(front + length(head) AS BIGINT) END AS loss_start, CAST(front + length(piece) AS BIGINT) AS "end", md5(piece) AS piece_md5
+FROM placed
+"""
+
+ORACLE["op9_token_counts"] = rf"""
+WITH w AS (
+  SELECT source, lang, coalesce(((doc_id % 10) + 10) % 10, 0) AS part,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) AS BIGINT) AS words,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '{rollups.PIECES}')) AS BIGINT) AS pieces
+  FROM documents)
+SELECT source, lang, CASE WHEN part = 1 THEN 'pieces-v2' ELSE 'words-v1' END AS tokenizer, count(*) AS n_docs,
+       CAST(sum(CASE WHEN part = 1 THEN pieces ELSE words END) AS BIGINT) AS n_tokens
+FROM w WHERE part <> 0 GROUP BY ALL
+"""

@@ -1,0 +1,105 @@
+"""Secret scans: candidate strings, features of them and their surroundings, and a random forest that removes false positives.
+
+A candidate is a run of at least `min_length` characters of [A-Za-z0-9+/_=-] within a word. Its features: length, shares of digits,
+capitals and hexadecimal digits, changes of character class and different characters per character, vowels among letters,
+the share of it that dictionary words cover, whether the document's path speaks of tests or examples, its depth, and
+whether the two words before or the one behind speak of credentials, assign, or speak of digests and the like.
+
+The forest is trained by Spark ML (JVM) on labelled findings, at most `max_train` of them, those with the least hash,
+and is then written out as one SQL expression: scoring is a column, without any Python. Only DataFrame functions run here.
+
+Defined results: null and empty texts have no candidate; every occurrence of a candidate is a row, repeated rows too; null
+paths have no such features; trained on findings of one label every score is that label, on none 0.5; an empty table gives an empty
+table; columns of the input other than those named by key are left out.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from .common import words
+
+MIN_LENGTH = 16
+MAX_TRAIN = 20_000
+MAX_DICTIONARY = 2_000
+TREES, DEPTH, SEED = 12, 5, 11
+CREDENTIAL = r"(?i)token|secret|passw|api.?key|access.?key|credential|auth|bearer"
+DIGEST = r"(?i)sha\d*|md5|digest|checksum|commit|uuid|doi|isbn|license|https?:"
+FEATURES = (
+    "length", "digit_share", "upper_share", "hex_share", "class_changes", "distinct_share", "vowel_share",
+    "dictionary_share", "path_test", "path_depth", "near_credential", "near_assign", "near_digest",
+)
+
+
+def dictionary(texts: DataFrame, most: int = MAX_DICTIONARY) -> list[str]:
+    """The most frequent words of 3 to 12 letters a-z, at most `most`, longest first."""
+    every = texts.select(F.explode(words(F.lower("text"))).alias("w")).where(F.rlike("w", F.lit("^[a-z]{3,12}$")))
+    top = every.groupBy("w").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "w").limit(most).collect()
+    return sorted((r.w for r in top), key=lambda w: (-len(w), w))
+
+
+def candidates(docs: DataFrame, known: list[str], key: tuple[str, ...] = ("doc_id",), path: str = "source", min_length: int = MIN_LENGTH) -> DataFrame:
+    """key, word_index, candidate and FEATURES: a row for each candidate."""
+    run = f"[A-Za-z0-9+/_=\\-]{{{min_length},}}"
+    spots = F.expr(
+        f"filter(transform(_w, (x, i) -> CASE WHEN length(x) >= {min_length} AND x rlike '{run}' THEN struct(i AS word_index, x AS word, "
+        "concat_ws(' ', get(_w, i - 2), get(_w, i - 1)) AS before, coalesce(get(_w, i + 1), '') AS behind) END), x -> x IS NOT NULL)"
+    )
+    listed = docs.select(*key, F.coalesce(path, F.lit("")).alias("_path"), words(F.col("text")).alias("_w"))
+    found = listed.select(*key, "_path", F.explode(spots).alias("_s"))
+    found = found.select(*key, "_path", "_s.*", F.explode(F.regexp_extract_all("_s.word", F.lit(f"({run})"), F.lit(1))).alias("candidate"))
+    c, n = F.col("candidate"), F.length("candidate").cast("double")
+
+    def share(pattern: str) -> Column:
+        return F.regexp_count(c, F.lit(pattern)) / n
+
+    bare = F.regexp_replace(F.lower(c), "|".join(known), "") if known else c
+    near = F.concat_ws(" ", "before", "word", "behind")
+    lead = F.concat("before", F.lit(" "), F.expr("substring_index(word, candidate, 1)"))
+    values = {
+        "length": n, "digit_share": share("[0-9]"), "upper_share": share("[A-Z]"), "hex_share": share("[0-9a-fA-F]"),
+        "class_changes": share("[a-z](?=[^a-z])|[A-Z](?=[^A-Z])|[0-9](?=[^0-9])|[^A-Za-z0-9](?=[A-Za-z0-9])"),
+        "distinct_share": F.size(F.array_distinct(F.split(c, ""))) / n, "vowel_share": share("[aeiouAEIOU]"),
+        "dictionary_share": 1 - F.length(bare) / n,
+        "path_test": F.rlike("_path", F.lit("(?i)test|example|sample|fixture|doc")).cast("double"), "path_depth": F.regexp_count("_path", F.lit("[/\\\\]")).cast("double"),
+        "near_credential": F.rlike(lead, F.lit(CREDENTIAL)).cast("double"), "near_assign": F.rlike(lead, F.lit("[=:]\\s*[\"']?$")).cast("double"),
+        "near_digest": F.rlike(near, F.lit(DIGEST)).cast("double"),
+    }
+    return found.select(*key, F.col("word_index").cast("long").alias("word_index"), "candidate", *[F.coalesce(v.cast("double"), F.lit(0.0)).alias(k) for k, v in values.items()])
+
+
+def train(findings: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = SEED, max_train: int = MAX_TRAIN) -> str:
+    """findings: FEATURES, candidate and label (0 or 1) -> the forest's probability of a secret, as SQL over FEATURES."""
+    sample = findings.select(*FEATURES, F.col("label").cast("double").alias("label"), F.xxhash64("candidate", *FEATURES).alias("_h"))
+    sample = sample.where("label IS NOT NULL").orderBy("_h").limit(max_train).drop("_h").coalesce(1)  # bounded; one order, one forest
+    kinds = [r.label for r in sample.select("label").distinct().collect()]
+    if len(kinds) < 2:
+        return f"{kinds[0] if kinds else 0.5!r}D"
+    data = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(sample)
+    forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="sqrt").fit(data)
+
+    def rule(node) -> str:
+        if node.numDescendants() == 0:
+            stats = list(node.impurityStats().stats())
+            return repr(stats[1] / sum(stats))
+        split = node.split()
+        return f"CASE WHEN {FEATURES[split.featureIndex()]} <= {split.threshold()!r}D THEN {rule(node.leftChild())} ELSE {rule(node.rightChild())} END"
+
+    parts = [f"double({rule(tree._call_java('rootNode'))})" for tree in forest.trees]
+    return f"({' + '.join(parts)}) / {len(parts)}D"
+
+
+def weak_labels(found: DataFrame) -> DataFrame:
+    """Labels for findings that nobody has looked at: 1 for hexadecimal strings assigned to a credential, 0 for others
+    that are mostly dictionary or letters; null, that is, unused, for the rest."""
+    secret = (F.col("near_assign") > 0) & (F.col("near_credential") > 0) & (F.col("digit_share") > 0.15)
+    word = (F.col("digit_share") == 0) & (F.col("near_assign") == 0)
+    return found.withColumn("label", F.when(secret, 1.0).when(word, 0.0))
+
+
+def scan(docs: DataFrame, forest: str, known: list[str], threshold: float = 0.5, **options) -> DataFrame:
+    """candidates() with score and is_secret."""
+    return candidates(docs, known, **options).withColumn("score", F.round(F.expr(forest), 9)).withColumn("is_secret", F.expr(f"score >= {threshold!r}D"))
