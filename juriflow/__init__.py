@@ -1,0 +1,10 @@
+"""An engine that extracts, reviews and curates actionable passages of long documents.
+
+Functions that run in Python workers are sent by value, so executors need not have this package installed.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

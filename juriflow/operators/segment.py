@@ -39,7 +39,7 @@ def units(df: DataFrame, key: list[str], text: str = "decisao", long: int = LONG
     so_far = by.rowsBetween(Window.unboundedPreceding, -1)
     blocks = df.select(*key, F.coalesce(text, F.lit("")).alias("_t")).select(*key, F.posexplode(_pieces("_t", BLOCK_GAP)).alias("_b", "_p"))
     blocks = blocks.withColumn("_at", F.coalesce(F.sum("_p.size").over(so_far), F.lit(0)))
-    heading = F.trim(F.lit(" :-"), F.upper(strip(F.col("_p.piece"))))
+    heading = F.trim(F.upper(strip(F.col("_p.piece"))), F.lit(" :-"))
     names = F.create_map(*[F.lit(x) for pair in SECTIONS.items() for x in pair])
     blocks = blocks.withColumn("_head", F.element_at(names, heading))
     section = F.coalesce(F.last("_head", ignorenulls=True).over(by.rowsBetween(Window.unboundedPreceding, 0)), F.lit(FIRST_SECTION))
