@@ -91,8 +91,8 @@ def annotate(
     known = log_ratios(counts, buckets, smooth).head()[0]  # `buckets` doubles, whatever the input
     ratios = F.split(F.lit(",".join(map(repr, known))), ",").cast("array<double>")  # folded to a constant
     base = docs.drop(*[c for c in docs.columns if c.lower() in RESULT])
-    names = ("_w", "_two", "_three", "_lines", "_bits", "_mask")
-    w, two, three, lines, bits, mask = (fresh(base.columns, x) for x in names)
+    names = ("_w", "_two", "_three", "_lines", "_bits", "_mask", "_row")
+    w, two, three, lines, bits, mask, row = (fresh(base.columns, x) for x in names)
     found = (
         base.withColumn(w, words(F.col("text")))
         .withColumn(two, F.expr(_neighbours(w)))
@@ -105,6 +105,8 @@ def annotate(
         .withColumn(bits, F.expr(f"int(length(bin(size({w}))))"))
         .withColumn(mask, F.expr(f"shiftleft(1L, int(length(bin(size({w}))))) - 1"))
         .withColumn(lines, F.expr("filter(split(coalesce(text, ''), '\n'), x -> x rlike '[^\\x20\\x09-\\x0D]')"))
+        # a filter on the verdict stops at this column; below it, lists would be built anew for each of their elements
+        .withColumn(row, F.monotonically_increasing_id())
     )
 
     # Only texts with some hash twice are sorted: hash above, place in the low bits; neighbours are then compared by word.
@@ -131,10 +133,11 @@ def annotate(
         F.expr(f"bigint(size({lines}) - size(array_distinct({lines})))").alias("n_dup_lines"),
         F.expr(f"bigint({repeats})").alias("n_repeat_words"),
         F.coalesce(total / F.nullif(F.size(w) + F.size(two), F.lit(0)), F.lit(0.0)).alias("score"),
+        row,
     )
-    return judged.withColumn(
-        "base_failed", F.expr(f"n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words")
-    ).withColumn("kept", F.expr(f"NOT base_failed AND score >= {threshold!r}D"))
+    failed = F.expr(f"n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words")
+    kept = F.expr(f"NOT base_failed AND score >= {threshold!r}D AND {row} >= 0")
+    return judged.withColumn("base_failed", failed).withColumn("kept", kept).drop(row)
 
 
 def keep(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
