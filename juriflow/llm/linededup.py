@@ -8,9 +8,9 @@ Chunks of at least `min_lines` lines are counted by hash and length (partial sum
 gathered by hash and grouped by hash and by the bytes themselves: a hash that two texts share removes nothing. The
 first occurrence, by doc_id (null last), then the row's place, then the place in the document, stays.
 
-What is shuffled: hashes of all chunks, text of multi-line chunks once, to meet the repeated hashes (a plain join, so a
-hash in a third of all rows is split), and the documents once to meet their own removed chunks. No group is gathered:
-the first occurrence is a minimum.
+What is shuffled: hashes of all chunks (a plain join, so a hash in a third of all rows is split), the documents to meet
+their own repeated chunks and again their removed ones (the same exchange where both need the same columns), and the
+text of repeated chunks. No group is gathered: the first occurrence is a minimum.
 
 Defined results: null text has no lines and stays null; an empty text is one empty line; repeated rows are repeats of
 all their chunks; texts without a multi-line chunk stay as they are; a document all of whose lines go gets an empty text
@@ -34,8 +34,6 @@ DIVISOR = 3
 MIN_LINES = 2
 RESULT = ("n_lines", "removed_lines")
 
-_CHUNKS = "rid long, doc_id long, k int, from_line int, to_line int, n_bytes long, hash long"
-
 
 def line_chunks(batch: pa.RecordBatch, window: int, divisor: int) -> dict[str, np.ndarray]:
     """All chunks of a batch: the row's index, the chunk's number, first and last+1 line, first and last+1 byte, hash."""
@@ -77,34 +75,55 @@ def line_chunks(batch: pa.RecordBatch, window: int, divisor: int) -> dict[str, n
     }
 
 
-def chunks(docs: DataFrame, rid: str, window: int, divisor: int, min_lines: int, text: bool) -> DataFrame:
-    """(rid, doc_id, k, from_line, to_line, n_bytes, hash[, chunk]) of the chunks of min_lines lines or more."""
+def _wanted(x: dict[str, np.ndarray], ks: pa.Array) -> np.ndarray:
+    """Which chunks of a batch are in their row's list of numbers."""
+    row = np.repeat(np.arange(len(ks)), np.asarray(pa.compute.list_value_length(ks)))
+    return np.isin(x["row"] << 32 | x["k"], row << 32 | np.asarray(ks.flatten()).astype(np.int64))
+
+
+def chunks(docs: DataFrame, window: int, divisor: int, min_lines: int) -> DataFrame:
+    """docs: (rid, text) -> (rid, k, n_bytes, hash) of the chunks of min_lines lines or more."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole):
                 x = line_chunks(batch, window, divisor)
                 many = x["to_line"] - x["from_line"] >= min_lines
-                take = pa.array(x["row"][many])
-                out = [batch.column(0).take(take), batch.column(1).take(take)]
-                out += [pa.array(x[c][many].astype(np.int32)) for c in ("k", "from_line", "to_line")]
-                out += [pa.array(x["to_byte"][many] - x["from_byte"][many]), pa.array(x["hash"][many])]
-                names = ["rid", "doc_id", "k", "from_line", "to_line", "n_bytes", "hash"]
-                if text:
-                    raw = x["data"].tobytes()
-                    out.append(pa.array([raw[a:b] for a, b in zip(x["from_byte"][many], x["to_byte"][many])], pa.binary()))
-                    names.append("chunk")
-                yield pa.RecordBatch.from_arrays(out, names)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(x["row"][many])), pa.array(x["k"][many].astype(np.int32)),
+                     pa.array(x["to_byte"][many] - x["from_byte"][many]), pa.array(x["hash"][many])], ["rid", "k", "n_bytes", "hash"],
+                )
+
+    return docs.mapInArrow(found, "rid long, k int, n_bytes long, hash long")
+
+
+def chunk_texts(docs: DataFrame, window: int, divisor: int) -> DataFrame:
+    """docs: (rid, doc_id, text, ks) -> (rid, doc_id, k, from_line, to_line, hash, chunk) of the chunks that ks numbers."""
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole):
+                x = line_chunks(batch, window, divisor)
+                mine = _wanted(x, batch.column(3))
+                take, raw = pa.array(x["row"][mine]), x["data"].tobytes()
+                bytes_ = [raw[a:b] for a, b in zip(x["from_byte"][mine], x["to_byte"][mine])]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(take), batch.column(1).take(take), *(pa.array(x[c][mine].astype(np.int32)) for c in ("k", "from_line", "to_line")),
+                     pa.array(x["hash"][mine]), pa.array(bytes_, pa.binary())],
+                    ["rid", "doc_id", "k", "from_line", "to_line", "hash", "chunk"],
+                )
 
-    lean = docs.select(F.col(rid).alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return lean.mapInArrow(found, _CHUNKS + (", chunk binary" if text else ""))
+    return docs.mapInArrow(found, "rid long, doc_id long, k int, from_line int, to_line int, hash long, chunk binary")
 
 
 def removals(docs: DataFrame, rid: str, window: int = WINDOW, divisor: int = DIVISOR, min_lines: int = MIN_LINES) -> DataFrame:
     """(rid, spans): the line ranges of each row to remove."""
-    options = (docs, rid, window, divisor, min_lines)
-    again = chunks(*options, text=False).groupBy("hash", "n_bytes").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    met = chunks(*options, text=True).join(again, ["hash", "n_bytes"])
+    own = docs.select(rid, "doc_id", "text")
+    every = chunks(docs.select(F.col(rid).alias("rid"), "text"), window, divisor, min_lines)
+    again = every.groupBy("hash", "n_bytes").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    lists = every.join(again, ["hash", "n_bytes"]).groupBy(F.col("rid").alias(rid)).agg(F.collect_list("k").alias("ks"))
+    listed = own.join(lists, rid).select(F.col(rid).alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), "text", "ks")
+    met = chunk_texts(listed, window, divisor)
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid", "k").alias("place")
     placed = met.select("hash", "chunk", "from_line", "to_line", order)
     firsts = placed.groupBy("hash", "chunk").agg(F.min("place").alias("first"))
