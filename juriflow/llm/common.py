@@ -37,6 +37,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows of at most 40 bytes that are broadcast to spare the shuffle of texts; beyond it both sides are shuffled.
+BROADCAST_ROWS = 1_000_000
+
+
+def counted(ids: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """ids, a small column or two, written to the checkpoint folder; marked for broadcast if they are counted to be at most `most` rows."""
+    ids = cut(ids)
+    return F.broadcast(ids) if ids.count() <= most else ids
+
+
 def fresh(taken: list[str], name: str) -> str:
     """A column name that no input column has."""
     low = {c.lower() for c in taken}

@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fresh, keyed, words
+from .common import counted, cut, fresh, keyed, words
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -127,5 +127,5 @@ def drop(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The documents without any item's window, with the columns of docs."""
     rid = fresh(docs.columns, "_rid")
     own = keyed(docs, rid)
-    bad = hits(own, items, rid=rid, **options).select(F.col("rid").alias(rid)).distinct()
+    bad = counted(hits(own, items, rid=rid, **options).select(F.col("rid").alias(rid)).distinct())
     return own.join(bad, rid, "left_anti").select(*docs.columns)
