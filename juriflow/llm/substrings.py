@@ -8,8 +8,9 @@ Suffixes are split by prefix. In each window the least hash of its `prefix`-word
 equal windows have equal anchors, so windows are grouped by their anchor's run, one row for all windows in a row of one
 anchor (about 7 in 100 words begin one). A prefix met once holds leaves only and is passed over. A prefix met up to `group`
 times makes a group that a task holds in memory: its leaves, sorted by path at depth `window`, show the nodes with two
-leaves. A prefix met more often is lengthened to the whole window: these paths are counted with partial sums and joined
-back by a plain join, which a very frequent path cannot overload.
+leaves. A prefix met more often is lengthened by half of what a window adds to it, to the left or to the right of
+the anchor, and splits into groups anew. One that is still met more often is lengthened to the whole window: these paths
+are counted with partial sums and joined back by a plain join, which a very frequent path cannot overload.
 
 Paths are compared by 64-bit hashes of their words. What is shuffled: anchors twice, the texts once (both joins read the
 same exchange) and the paths of repeated prefixes. Repeats are judged on the input, whatever else is removed.
@@ -33,12 +34,16 @@ from .common import Words, as_long, keyed, lists, slices
 
 WINDOW = 35
 PREFIX = 8
-GROUP = 50_000
+GROUP = 200_000
 RESULT = ("n_words", "n_removed", "kept_sha256")
 
 
-def anchored(w: Words, window: int, prefix: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of neighbouring windows with one anchor: (anchor's hash, first window's word, number of windows), and all windows' hashes."""
+def anchored(w: Words, window: int, prefix: int, lengthened: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of neighbouring windows with one anchor: (prefix' hash, first window's word, number of windows), and all windows' hashes.
+
+    lengthened: runs are cut in two, and the prefix has half of what a window adds to it: windows that begin well before
+    the anchor have it lengthened to the left, the others to the right.
+    """
     path, whole = w.runs(window)
     runs, _ = w.runs(prefix)
     n = len(runs)
@@ -56,8 +61,16 @@ def anchored(w: Words, window: int, prefix: int) -> tuple[np.ndarray, np.ndarray
     anchor = at[start]
     new = np.ones(len(start), bool)
     new[1:] = (anchor[1:] != anchor[:-1]) | (start[1:] != start[:-1] + 1)
+    if not lengthened:
+        head = np.flatnonzero(new)
+        return runs[anchor[head]], start[head], np.diff(np.append(head, len(start))), path
+    more = (window - prefix + 1) // 2
+    left = anchor - start >= more
+    new[1:] |= left[1:] != left[:-1]
     head = np.flatnonzero(new)
-    return runs[anchor[head]], start[head], np.diff(np.append(head, len(start))), path
+    long_, _ = w.runs(prefix + more)
+    key = long_[np.where(left[head], anchor[head] - more, anchor[head])] ^ left[head].astype(np.uint64)
+    return key, start[head], np.diff(np.append(head, len(start))), path
 
 
 def _anchors(docs: DataFrame, window: int, prefix: int) -> DataFrame:
@@ -77,8 +90,8 @@ def _anchors(docs: DataFrame, window: int, prefix: int) -> DataFrame:
     return docs.select("rid", "text").mapInArrow(found, "anchor long, rid long, at int")
 
 
-def _paths(docs: DataFrame, window: int, prefix: int) -> DataFrame:
-    """docs: (rid, doc_id, text, ats) -> (anchor, rid, at, paths): the windows of the runs that ats lists."""
+def _paths(docs: DataFrame, window: int, prefix: int, lengthened: bool) -> DataFrame:
+    """docs: (rid, doc_id, text, ats) -> (anchor, rid, at, paths): the windows of the runs that ats lists, by prefix."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -89,6 +102,10 @@ def _paths(docs: DataFrame, window: int, prefix: int) -> DataFrame:
                 doc = np.repeat(np.arange(batch.num_rows), np.asarray(pa.compute.list_value_length(ats)))
                 wanted = np.asarray(ats.flatten()).astype(np.int64) + w.first[doc]
                 mine = np.isin(start, wanted)
+                if lengthened:  # windows of the wanted runs, each run in one piece or two
+                    piece, first, n, _ = anchored(w, window, prefix, True)
+                    mine = mine[np.searchsorted(start, first, "right") - 1]
+                    anchor, start, size = piece, first, n
                 anchor, start, size = anchor[mine], start[mine], size[mine]
                 doc = np.searchsorted(w.first, start, "right") - 1
                 ends = np.cumsum(size)
@@ -140,12 +157,12 @@ def _subtrees(paths: DataFrame, window: int) -> DataFrame:
             if held and held[-1].column(0)[-1].as_py() == keys[-1] and keys[0] == keys[-1]:
                 held.append(batch)
                 continue
-            cut = int(np.flatnonzero(keys != keys[-1])[-1]) + 1 if keys[0] != keys[-1] else 0
-            ready = [*held, batch.slice(0, cut)]
+            stop = int(np.flatnonzero(keys != keys[-1])[-1]) + 1 if keys[0] != keys[-1] else 0
+            ready = [*held, batch.slice(0, stop)]
             table = pa.Table.from_batches(ready).combine_chunks()
             for piece in table.to_batches():
                 yield nodes(piece)
-            held = [batch.slice(cut)]
+            held = [batch.slice(stop)]
         if held:
             for piece in pa.Table.from_batches(held).combine_chunks().to_batches():
                 yield nodes(piece)
@@ -182,17 +199,23 @@ def dedup(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX, group: in
     again = anchors.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
     met = anchors.join(again, "anchor")
 
-    def listed(runs: DataFrame) -> DataFrame:
+    def listed(runs: DataFrame, lengthened: bool = False) -> DataFrame:
         ats = runs.groupBy("rid").agg(F.collect_list("at").alias("ats"))
-        return _paths(own.join(ats, "rid").select("rid", "doc_id", "text", "ats"), window, prefix)
+        return _paths(own.join(ats, "rid").select("rid", "doc_id", "text", "ats"), window, prefix, lengthened)
+
+    def subtrees(paths: DataFrame) -> DataFrame:
+        return _subtrees(paths.repartition("anchor").sortWithinPartitions("anchor"), window)
 
-    fits = listed(met.where(F.col("n") <= group))
-    spans = _subtrees(fits.repartition("anchor").sortWithinPartitions("anchor"), window)
+    spans = subtrees(listed(met.where(F.col("n") <= group)))
     if again.where(F.col("n") > group).limit(1).count():
-        leaves = listed(met.where(F.col("n") > group)).select(
-            "rid", F.posexplode("paths").alias("_i", "path"), "at"
-        ).select("rid", "path", (F.col("at") + F.col("_i")).alias("lo"))
-        deep = leaves.groupBy("path").agg(F.count("*").alias("n")).where("n > 1")
+        # one plan with the rest, so that its join reads the same exchange of the texts
+        often = listed(met.where(F.col("n") > group), lengthened=True)
+        longer = often.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
+        spans = spans.union(subtrees(often.join(longer.where(F.col("n") <= group).drop("n"), "anchor")))
+        leaves = often.join(longer.where(F.col("n") > group).drop("n"), "anchor")
+        leaves = leaves.select("rid", "at", F.posexplode("paths").alias("_i", "path"))
+        leaves = leaves.select("rid", "path", (F.col("at") + F.col("_i")).alias("lo"))
+        deep = leaves.groupBy("path").agg(F.count("*").alias("n")).where("n > 1").drop("n")
         spans = spans.union(leaves.join(deep, "path").select("rid", "lo", (F.col("lo") + window).alias("hi")))
     gone = spans.groupBy("rid").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
     return _left(own.join(gone, "rid", "left").select("rid", "doc_id", "text", "spans"))
