@@ -37,6 +37,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def anew(df: DataFrame) -> DataFrame:
+    """cut(df) without the plan's estimates and constraints, which a checkpoint keeps and which multiply from round to round of a loop."""
+    jdf = cut(df)._jdf
+    return DataFrame(jdf.sparkSession().internalCreateDataFrame(jdf.queryExecution().toRdd(), jdf.schema(), False), df.sparkSession)
+
+
 #: Rows of at most 40 bytes that are broadcast to spare the shuffle of texts; beyond it both sides are shuffled.
 BROADCAST_ROWS = 1_000_000
 

@@ -15,7 +15,9 @@ Steps:
    large group of near copies without all pairs.
 3. Texts of large buckets that then still hold different components (say, of texts that share one long passage) are
    bucketed anew, by their rarest shingles: two similar texts are sure to share such a bucket, dissimilar ones
-   hardly are. These buckets are compared in the same way, leaving out pairs that are already in one component.
+   hardly are. These buckets are compared in rounds of ever more heads, leaving out pairs that are already in one
+   component, until any two members are in one component or were compared: no pair as similar is left out for a
+   bucket's size.
 4. Candidates are verified: multiset overlap / union of the shingles >= `similarity`; links make components.
 
 Two documents of similarity 0.8 share one of 25 bands of 5 registers with probability 0.99995.
@@ -36,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import _SEQ, Words, as_long, components, counted, cut, fresh, keyed, lists, mix, powers, slices
+from .common import _SEQ, Words, anew, as_long, components, counted, cut, fresh, keyed, lists, mix, powers, slices
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -44,6 +46,8 @@ BANDS = 25
 ROWS = 5
 #: Buckets of so many texts at most are compared pair by pair at once.
 ALL_PAIRS = 16
+#: How many times as many heads a round has as the one before it.
+GROWTH = 4
 #: Any fixed values: they tell the random streams apart.
 _INTERVAL, _STEP, _REGISTER, _HEIGHT, _COPY = 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3, 0x1D8E4E27C47D124F
 
@@ -170,18 +174,57 @@ def links(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
 
 
 def rare_buckets(texts: DataFrame, similarity: float) -> DataFrame:
-    """(band, rid, n): buckets by shingle such that any two texts as similar as that share one.
+    """(band, rid, size, place, common, n): buckets by shingle such that any two texts as similar as that share one.
 
     Two sets of that similarity share one of the first floor((1 - similarity) * size) + 1 shingles of each, in any one
     order of all shingles; in the order of frequency these are the rarest, so a passage that many texts share makes no bucket.
+    place: the shingle's, in that order; common: how many texts have a shingle of the text, on average.
     """
     rows = texts.select("rid", F.size("items").alias("size"), F.explode("items").alias("band"))
     often = rows.groupBy("band").agg(F.count("*").alias("often"))
     place = F.row_number().over(Window.partitionBy("rid").orderBy("often", "band"))
-    first = rows.join(often, "band").withColumn("place", place)
+    common = F.avg("often").over(Window.partitionBy("rid"))
+    first = rows.join(often, "band").withColumn("place", place).withColumn("common", common)
     first = first.where(F.col("place") <= F.floor(F.col("size") * (1 - similarity) + 1e-9) + 1).where("often > 1")
     shared = first.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
-    return first.select("band", "rid").join(shared, "band")
+    return first.select("band", "rid", "size", "place", "common").join(shared, "band")
+
+
+def by_heads(finer: DataFrame, again: DataFrame, items: DataFrame, edges: DataFrame, similarity: float) -> DataFrame:
+    """edges and further links, so that all pairs of rare_buckets() as similar as that are in one component.
+
+    Each round compares heads with the members of their bucket that are in other components. A small bucket's members are all
+    heads in the first round; of a larger one the member whose shingles most texts have is (the original of edited
+    copies), then those of a growing range of a hash. A bucket is done when its members that were no heads are in one
+    component: of any two members, then, they are in one component or were compared.
+    """
+    draw = (F.xxhash64("rid").bitwiseAND((1 << 52) - 1) / float(1 << 52)).alias("draw")
+    most = finer.where(F.col("n") > ALL_PAIRS).groupBy("band").agg(F.max_by("rid", F.struct("common", "rid")).alias("top"))
+    left = cut(finer.join(most, "band", "left").select("band", "rid", "size", "place", "n", draw, F.coalesce(F.col("rid") == F.col("top"), F.lit(False)).alias("top")))
+    number = 0
+    while True:
+        roots = components(edges).withColumnRenamed("v", "rid")
+        own = again.select("rid").join(roots, "rid", "left").select("rid", F.coalesce("root", "rid").alias("root"))
+        placed = left.join(own, "rid")
+        # share of a bucket's members that were heads before this round, and with it
+        was, now = (F.lit(float(ALL_PAIRS * GROWTH**k)) / F.col("n") if k >= 0 else F.lit(0.0) for k in (number - 2, number - 1))
+        small = F.col("n") <= ALL_PAIRS
+        before = F.lit(False) if number == 0 else small | F.col("top") | (F.col("draw") < was)
+        heads = small | F.col("top") if number == 0 else ~before & (F.col("draw") < now)
+        rest = placed.where(~before).groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("band")
+        placed = anew(placed.join(rest, "band"))
+        if not placed.limit(1).count():
+            return edges
+        one = placed.where(heads).select("band", *[F.col(c).alias(f"{c}_h") for c in ("rid", "size", "place", "root")])
+        least, other = F.lit(similarity), placed.select("band", "rid", "size", "place", "root")
+        # the first shingle that two similar texts share leaves enough of both behind it
+        behind = F.least(F.col("size") - F.col("place"), F.col("size_h") - F.col("place_h")) + 1
+        near = (F.col("size") >= least * F.col("size_h")) & (F.col("size_h") >= least * F.col("size")) & (behind >= least / (1 + least) * (F.col("size") + F.col("size_h")) - 1e-6)
+        met = one.join(other, "band").where((F.col("root") != F.col("root_h")) & near)
+        pairs = met.select(F.least("rid", "rid_h").alias("u"), F.greatest("rid", "rid_h").alias("v")).distinct()
+        edges = anew(edges.union(links(pairs, items, similarity)))
+        left = placed.drop("root")
+        number += 1
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, rid: str | None = None) -> DataFrame:
@@ -211,12 +254,10 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
     large = member.where(F.col("n") > ALL_PAIRS).join(roots.withColumnRenamed("v", "rid"), "rid", "left")
     rooted = large.select("band", "rid", F.coalesce("root", "rid").alias("root"))
     mixed = rooted.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("band")
-    again = cut(rooted.join(mixed, "band").select("rid", "root").distinct())
+    again = cut(rooted.join(mixed, "band").select("rid").distinct())
     if again.limit(1).count():
-        finer = cut(rare_buckets(items.join(again.select("rid"), "rid"), similarity))
-        ends = [again.select(F.col("rid").alias(x), F.col("root").alias(f"root_{x}")) for x in "uv"]
-        apart = compared(finer).join(ends[0], "u").join(ends[1], "v").where("root_u <> root_v").select("u", "v")
-        edges = cut(edges.union(links(apart, items, similarity)))
+        finer = cut(rare_buckets(items.join(again, "rid"), similarity))
+        edges = by_heads(finer, again, items, edges, similarity)
         roots = components(edges)
     degree = edges.select(F.explode(F.array("u", "v")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))
     named = (

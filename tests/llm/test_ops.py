@@ -157,6 +157,28 @@ def test_near_dedup(spark, docs, none):
     assert nearsets.keep(docs).columns == docs.columns and nearsets.classes(none).count() == 0
 
 
+@pytest.mark.parametrize("original", [True, False])
+def test_near_dedup_of_copies_near_the_original_only(spark, original):
+    r = random.Random(17)
+    texts = []
+    for i in range(120):  # similar to the original, the last row, and hardly to each other
+        w = prose(12, 200).split()
+        for k in range(4):
+            w[r.randrange(10 + 48 * k, 40 + 48 * k) if i % 3 else 20 + 48 * k + i % 2] = f"edit{i}x{k}"
+        texts.append(" ".join(w))
+    texts += [prose(12, 200)] * original
+    sets = [shingles(t) for t in texts]
+    root = list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if root[i] != root[j] and jaccard(a, b) >= 0.8:
+                root = [min(root[i], root[j]) if x in (root[i], root[j]) else x for x in root]
+    assert len(set(root)) == 1 if original else len(set(root)) > 20
+    rows = [(i, t, "en", "s", 1, "", 0) for i, t in enumerate(texts)]
+    got = nearsets.classes(spark.createDataFrame(rows, SCHEMA).repartition(2))
+    same(got.select("doc_id", "class_id", "class_size").collect(), [(i, root[i], root.count(root[i])) for i in range(len(rows))])
+
+
 def test_bagminhash_is_unbiased():
     a, b = prose(21, 400) + " x y z q r" * 30, prose(21, 360) + " x y z q r" * 20
     w = Words(pa.array([a, b]))
