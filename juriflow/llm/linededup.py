@@ -1,8 +1,9 @@
 """Line dedup: content-defined chunks of lines; repeated chunks of several lines go, but for their first occurrence.
 
 A document's lines (split at \\n) are hashed, and a rolling hash over `window` neighbouring line hashes ends a chunk
-after a line where it is 0 modulo `divisor`. Boundaries depend on the lines around them alone, so an inserted or deleted
-line shifts no other boundary, and a passage of lines gives the same chunks in whatever document it stands.
+after a line where it is 0 modulo `divisor`, unless the chunk then has less than `min_lines` lines. So none is shorter but
+a document's last, which is told by the chunk before it and itself. Where boundaries may be depends on the lines around
+them alone; behind the first gap between them a passage gives the same chunks in whatever document it stands.
 
 Chunks of at least `min_lines` lines are counted by hash and length (partial sums). Of those met again, the text is
 gathered by hash and grouped by hash and by the bytes themselves: a hash that two texts share removes nothing. The
@@ -35,8 +36,23 @@ MIN_LINES = 2
 RESULT = ("n_lines", "removed_lines")
 
 
-def line_chunks(batch: pa.RecordBatch, window: int, divisor: int) -> dict[str, np.ndarray]:
-    """All chunks of a batch: the row's index, the chunk's number, first and last+1 line, first and last+1 byte, hash."""
+def _spaced(may: np.ndarray, doc: np.ndarray, place: np.ndarray, min_lines: int) -> np.ndarray:
+    """Of the lines that may end a chunk, those that do: one that would leave the chunk less than min_lines lines is passed over."""
+    at = np.flatnonzero(may)
+    out, now, least = [], -1, 0
+    for i, d, k in zip(at.tolist(), doc[at].tolist(), place[at].tolist()):
+        if d != now:
+            now, least = d, min_lines - 1
+        if k >= least:
+            out.append(i)
+            least = k + min_lines
+    ends = np.zeros(len(may), bool)
+    ends[np.array(out, np.int64)] = True
+    return ends
+
+
+def line_chunks(batch: pa.RecordBatch, window: int, divisor: int, min_lines: int) -> dict[str, np.ndarray]:
+    """All chunks of a batch: the row's index, the chunk's number, first and last+1 line, first and last+1 byte told by, hash, lines told by."""
     column = batch.column(batch.schema.get_field_index("text")).cast(pa.binary()).fill_null(b"")
     column = pa.concat_arrays([column])
     offsets = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1).astype(np.int64)
@@ -59,19 +75,22 @@ def line_chunks(batch: pa.RecordBatch, window: int, divisor: int) -> dict[str, n
         shifted[place < j] = 0
         roll += shifted * np.uint64(pow(_SEQ, j, 1 << 64))
     last = np.concatenate([first[1:], [True]])
-    cut = last | (mix(roll) % np.uint64(divisor) == 0)
+    cut = last | _spaced(mix(roll) % np.uint64(divisor) == 0, doc, place, min_lines)
     tail = np.flatnonzero(cut)
     head = np.concatenate([[0], tail[:-1] + 1])
+    # a document's short last chunk is told by the one before it and itself
+    short = (tail + 1 - head < min_lines) & (place[head] > 0)
+    since = np.where(short, np.concatenate([[0], head[:-1]]), head)
     summed = np.zeros(len(line) + 1, np.uint64)
     np.cumsum(line * powers(_SEQ, len(line)), out=summed[1:])
     back = powers(pow(_SEQ, -1, 1 << 64), len(line) + 1)
-    hashes = mix((summed[tail + 1] - summed[head]) * back[head] + (tail + 1 - head).astype(np.uint64))
+    hashes = mix((summed[tail + 1] - summed[since]) * back[since] + (tail + 1 - since).astype(np.uint64))
     owner = doc[head]
     opens = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
     number = np.arange(len(head)) - np.repeat(opens, np.diff(np.append(opens, len(head))))
     return {
         "row": owner, "k": number, "from_line": place[head], "to_line": place[tail] + 1,
-        "from_byte": start[head], "to_byte": stop[tail], "hash": hashes.view(np.int64), "data": data,
+        "from_byte": start[since], "to_byte": stop[tail], "hash": hashes.view(np.int64), "lines": tail + 1 - since, "data": data,
     }
 
 
@@ -87,8 +106,8 @@ def chunks(docs: DataFrame, window: int, divisor: int, min_lines: int) -> DataFr
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole):
-                x = line_chunks(batch, window, divisor)
-                many = x["to_line"] - x["from_line"] >= min_lines
+                x = line_chunks(batch, window, divisor, min_lines)
+                many = x["lines"] >= min_lines
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(x["row"][many])), pa.array(x["k"][many].astype(np.int32)),
                      pa.array(x["to_byte"][many] - x["from_byte"][many]), pa.array(x["hash"][many])], ["rid", "k", "n_bytes", "hash"],
@@ -97,13 +116,13 @@ def chunks(docs: DataFrame, window: int, divisor: int, min_lines: int) -> DataFr
     return docs.mapInArrow(found, "rid long, k int, n_bytes long, hash long")
 
 
-def chunk_texts(docs: DataFrame, window: int, divisor: int) -> DataFrame:
+def chunk_texts(docs: DataFrame, window: int, divisor: int, min_lines: int) -> DataFrame:
     """docs: (rid, doc_id, text, ks) -> (rid, doc_id, k, from_line, to_line, hash, chunk) of the chunks that ks numbers."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole):
-                x = line_chunks(batch, window, divisor)
+                x = line_chunks(batch, window, divisor, min_lines)
                 mine = _wanted(x, batch.column(3))
                 take, raw = pa.array(x["row"][mine]), x["data"].tobytes()
                 bytes_ = [raw[a:b] for a, b in zip(x["from_byte"][mine], x["to_byte"][mine])]
@@ -123,7 +142,7 @@ def removals(docs: DataFrame, rid: str, window: int = WINDOW, divisor: int = DIV
     again = every.groupBy("hash", "n_bytes").agg(F.count("*").alias("n")).where("n > 1").drop("n")
     lists = every.join(again, ["hash", "n_bytes"]).groupBy(F.col("rid").alias(rid)).agg(F.collect_list("k").alias("ks"))
     listed = own.join(lists, rid).select(F.col(rid).alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), "text", "ks")
-    met = chunk_texts(listed, window, divisor)
+    met = chunk_texts(listed, window, divisor, min_lines)
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid", "k").alias("place")
     placed = met.select("hash", "chunk", "from_line", "to_line", order)
     firsts = placed.groupBy("hash", "chunk").agg(F.min("place").alias("first"))

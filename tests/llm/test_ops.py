@@ -98,6 +98,50 @@ def test_line_dedup(docs, none):
     assert rows.count() == len(ROWS) and rows.where("text IS NULL").count() == 2 and linededup.dedup(none).count() == 0
 
 
+def brute_chunks(text):
+    """(lines of the chunk, what tells it) by the chunking's own definition, in plain integers."""
+    m = (1 << 64) - 1
+
+    def mix(x):
+        x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & m
+        x = (x ^ x >> 27) * 0x94D049BB133111EB & m
+        return x ^ x >> 31
+
+    lines = text.split("\n")
+    h = [mix(sum((b + 1) * pow(0x9E3779B97F4A7C15, i, 1 << 64) for i, b in enumerate(x.encode())) + len(x.encode()) & m) for x in lines]
+    out, at = [], 0
+    for i in range(len(lines)):
+        roll = h[i] + (h[i - 1] * 0xD1342543DE82EF95 if i else 0) & m
+        if i + 1 == len(lines) or (mix(roll) % 3 == 0 and i + 1 - at >= 2):
+            short = i + 1 - at < 2 and out
+            out.append((lines[at : i + 1], "\n".join((out[-1][0] if short else []) + lines[at : i + 1])))
+            at = i + 1
+    return out
+
+
+def test_line_dedup_against_brute_force(spark):
+    line = lambda k: prose(1000 + k, 6)
+    passage = [line(k) for k in range(40)]
+    texts = ["\n".join(line(100 * d + k) for k in range(1, 2 + d)) for d in range(1, 9)]
+    texts += [f"{line(5000 + d)}\n" + "\n".join(passage) + f"\n{line(6000 + d)}\n{line(7000 + d)}" for d in range(4)]
+    n = len(texts)
+    texts += texts[:n] + ["\n".join([*passage, line(8000)]), "one line", "one line", "", "a\n", "a\n"]
+    seen, want = set(), []
+    for i, t in enumerate(texts):
+        left = []
+        for lines, told in brute_chunks(t):
+            many = told.count("\n") > 0
+            if not (many and told in seen):
+                left += lines
+            if many:
+                seen.add(told)
+        want.append((i, t.count("\n") + 1, t.count("\n") + 1 - len(left), "\n".join(left)))
+    assert all(w[1] == w[2] for w in want[n : 2 * n])  # exact copies of several lines go wholly
+    docs = spark.createDataFrame([(i, t, "en", "s", 1, "", 0) for i, t in enumerate(texts)], SCHEMA).repartition(3)
+    got = linededup.dedup(docs).select("doc_id", "n_lines", "removed_lines", "text").collect()
+    same(got, want)
+
+
 def brute_windows(texts, window=35):
     ws = [split(t) for t in texts]
     seen = Counter(tuple(w[i : i + window]) for w in ws for i in range(len(w) - window + 1))
