@@ -128,7 +128,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def powers(base: int, n: int) -> np.ndarray:
     """base ** 0..n-1 modulo 2 ** 64."""
     key = str(base)
-    if len(_powers.get(key, ())) < n:
+    if key not in _powers or len(_powers[key]) < n:
         out = np.full(max(n, SLICE_BYTES + 1), base, np.uint64)
         out[0] = 1
         _powers[key] = np.multiply.accumulate(out)

@@ -1,27 +1,35 @@
 """LM scoring by a hierarchical Pitman-Yor model whose seating is sampled by Gibbs.
 
-Tokens are words (A-Z lower-cased) and one end per text. Every token is a customer of the restaurant of its context, the token
-before it; context restaurants share one parent, the root, whose own parent is uniform over the V known tokens and one
-for all unknown ones. A dish's first customer opens a table, and each table is a customer of the parent.
-
-Contexts that begin at least 1 / `contexts` of all training tokens have a restaurant of their own (so there are at most
-`contexts`); the other contexts share `pools` restaurants by hash, the start of a text has one. So what restaurants
-share, their customers and tables, is a vector of bounded length, while dishes, whose number grows with the corpus, are
-split by hash into buckets: a bucket holds all restaurants' counts of its words, and with them the root's.
-
-Gibbs: in each sweep all customers of a dish in a restaurant leave and are seated again one by one, a new table with
-probability a / (a + n - d t), a = (theta + d T) P_root(dish), for n customers and t tables of the dish so far and T
-tables in the restaurant; beyond 64 customers they are seated in blocks of a 16th of those seated, new tables of a block being
-binomial. Buckets go on at once with the restaurants' totals of the sweep before, which are then summed anew. The first
-`burn` sweeps are passed over, and the predictive probabilities of the others are averaged. Discounts are estimated from the
-numbers of dishes with one and two customers.
-
-What moves: for each chunk of about 2 million tokens and each bucket one block of sorted hashes, counts and places, a
-few bytes a token, and back sums for each document of the chunk. Every word of every text counts.
+Tokens are words (A-Z lower-cased) and one end per text. A token is a customer of the restaurant of its context, the two
+tokens before it; the parent of that restaurant is the one of the last token alone, whose parent is the root, whose own
+parent is uniform over the V known tokens and one for all unknown ones. Every context of the training texts, of one token or
+of two, has its own restaurant, so the model grows with the corpus. A dish's first customer opens a table, and each table is
+a customer of the parent.
+
+Gibbs: a sweep lets all customers of a dish in a restaurant leave and seats them again one after the other, a new table with
+probability a / (a + n - d t), a = (theta + d T) P_parent(dish), for n customers and t tables of the dish so far and T
+tables in the restaurant. The number of the customer who opens the next table is drawn by inverting the chance that none
+has opened one so far, a quotient of gamma functions: the same rule for two customers or a billion, and its cost is
+the tables, not the customers. All restaurants of a level go on at once, under the totals of the sweep before. The first
+`burn` sweeps are passed over, and the predictive probabilities of the others are averaged. Every draw is a hash of dish,
+restaurant and sweep, and all counts are whole numbers, so scores don't depend on how the input is dealt (but for the last bits of sums).
+Discounts are estimated from the numbers of dishes with one and two customers, level by level.
+
+How it is spread: a bucket holds the restaurants of its last tokens and those below them, so that two of three levels are
+local. The dishes of a last token with more than a quarter of a bucket's share of all tokens are dealt over all
+buckets by hash (`frequent` finds them; this changes where things are, not what they are). What buckets share is summed by key in
+parts: the root's customers of each word, and the totals of restaurants whose dishes are spread. Buckets send keys
+once and then what has changed; parts seat the root and send sums back. The blocks of tokens are shuffled once: all passes
+read the same exchange within one plan, so that a lost executor's share is made again from it or from the input.
+
+What moves: for each chunk of about `chunk_tokens` tokens and each bucket one block of hashes, different triples and the
+documents of their occurrences, a few bytes a token, and back sums for each document of the chunk. A frequent triple is one entry
+a chunk and a few bytes for each of its places. Every word of every text counts.
 
 Defined results: null, empty and blank texts are one end; held out is crc32 of the id's decimal text modulo 10 = 0 (a
-null id's text is empty, so it is held out); repeated rows count each time; without training documents base_score is
-that of N = V = 0; an empty table gives an empty table; the result has the columns of RESULT only.
+null id's text is empty, so it is held out); repeated rows count each time; a context that was never met passes its parent's probabilities on;
+without training documents base_score is that of N = V = 0 and score that of the uniform base; a very long text is one chunk's
+(it is cut nowhere); an empty table gives an empty table; the result has the columns of RESULT only, whatever others docs has.
 """
 
 from __future__ import annotations
@@ -33,25 +41,38 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, cut, keyed, mix, slices
+from .common import Words, keyed, mix, slices
 
-CONTEXTS = 1024
-POOLS = 64
 SWEEPS = 3
 BURN = 1
 THETA = 1.0
 CHUNK_TOKENS = 2_000_000
-BUCKET_TOKENS = 8_000_000
+BUCKET_TOKENS = 3_000_000
 SEED = 7
 RESULT = ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
-#: The end's hash; any fixed value does.
-_END = 0x2545F4914F6CDD1D
+#: Any fixed values: the hashes of the end and of the two places before a text, and what tells kinds of keys and draws apart.
+_END, _START, _BEFORE = (np.uint64(x) for x in (0x2545F4914F6CDD1D, 0x9FB21C651E98DF25, 0xC2B2AE3D27D4EB4F))
+_ONE, _TWO, _THREE, _STEP = (np.uint64(x) for x in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3))
+_STATS = ("ones3", "twos3", "ones2", "twos2", "customers", "tables", "V", "N", "ones1", "twos1")
 _BLOCK = "bucket int, chunk long, n_docs int, block binary"
+_NUMBERS = ", ".join(f"{s} double" for s in _STATS)
+
+
+def pair_key(v: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return mix(v * _ONE ^ mix(w + _TWO))
+
+
+def context_key(x: np.ndarray, v: np.ndarray) -> np.ndarray:
+    return mix(x * _TWO ^ mix(v + _THREE))
+
+
+def triple_key(x: np.ndarray, pair: np.ndarray) -> np.ndarray:
+    return mix(pair ^ mix(x + _ONE))
 
 
-def _tokens(batch: pa.RecordBatch, text: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, hash of the token before, text's index) of all tokens; 0 before the first."""
+def _tokens(batch: pa.RecordBatch, text: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, hash of the token before, of the one before that, text's index) of all tokens."""
     w = Words(batch.column(text), lower=True)
     n = w.counts + 1
     first = np.cumsum(n) - n
@@ -60,45 +81,51 @@ def _tokens(batch: pa.RecordBatch, text: int) -> tuple[np.ndarray, np.ndarray, n
     inside = np.ones(len(hashes), bool)
     inside[first + w.counts] = False
     hashes[inside] = w.hashes
-    before = np.zeros(len(hashes), np.uint64)
-    before[1:] = hashes[:-1]
-    before[first] = 0
-    return hashes, before, doc
+    one, two = np.empty_like(hashes), np.empty_like(hashes)
+    one[1:], two[2:] = hashes[:-1], hashes[:-2]
+    two[first] = _BEFORE
+    two[(first + 1)[w.counts > 0]] = _START
+    one[first] = _START
+    return hashes, one, two, doc
 
 
-def frequent(docs: DataFrame, contexts: int) -> list[int]:
-    """Hashes of the tokens that are at least 1 / contexts of all training tokens, sorted; at most `contexts` of them.
+def frequent(docs: DataFrame, share: float) -> list[int]:
+    """Hashes of the tokens that are about `share` or more of the tokens before others; it only decides how work is spread.
 
-    Each task sends its tokens of at least half that share, so their counts are exact but for tasks where they are rarer.
+    A task sends its tokens of half that share or more, so the list is of 2 / share tokens a task at most.
     """
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts, total = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
         for whole in batches:
             for batch in slices(whole):
-                hashes, _, _ = _tokens(batch, 0)
-                total += len(hashes)
-                new, n = np.unique(hashes, return_counts=True)
-                floor = max(1, len(hashes) // (4 * contexts))
-                new, n = new[n >= floor], n[n >= floor]
-                keys, at = np.unique(np.concatenate([keys, new]), return_inverse=True)
-                counts = np.bincount(at, np.concatenate([counts, n])).astype(np.int64)
-        often = counts * 2 * contexts >= total
+                _, one, _, _ = _tokens(batch, 0)
+                total += len(one)
+                new, n = np.unique(one, return_counts=True)
+                often = n >= max(2, len(one) * share / 4)
+                keys, at = np.unique(np.concatenate([keys, new[often]]), return_inverse=True)
+                counts = np.bincount(at, np.concatenate([counts, n[often]])).astype(np.int64)
+        often = counts >= total * share / 2
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(keys[often], np.uint64(0)).view(np.int64)), pa.array(np.append(counts[often], total))], ["token", "n"]
         )
 
-    counts = docs.where("NOT held_out").select("text").mapInArrow(found, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    total = counts.where("token = 0").head()
-    if total is None:
-        return []
-    often = counts.where((F.col("token") != 0) & (F.col("n") * contexts >= total.n)).select("token").collect()
-    return sorted(row.token & (1 << 64) - 1 for row in often)
+    counts = docs.select("text").mapInArrow(found, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    rows = {r.token: r.n for r in counts.collect()}
+    total = rows.pop(0, 0)
+    return sorted(t & (1 << 64) - 1 for t, n in rows.items() if n >= total * share)
+
+
+def _small(x: np.ndarray) -> np.ndarray:
+    """Whole numbers from 0 in the narrowest type that holds them."""
+    most = int(x.max()) if len(x) else 0
+    return x.astype(np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32 if most < 1 << 32 else np.uint64)
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
     head = np.array([x for a in arrays for x in (a.dtype.itemsize, len(a))], np.int64).tobytes()
-    raw = head + b"".join(a.tobytes() for a in arrays)
+    # bytes of one rank stand together, so that the equal high bytes of sorted hashes' steps pack well
+    raw = head + b"".join(np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.dtype.itemsize).T).tobytes() for a in arrays)
     return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
@@ -106,40 +133,48 @@ def _unpack(block: bytes, n: int) -> list[np.ndarray]:
     raw = pa.decompress(block[8:], decompressed_size=int.from_bytes(block[:8], "little"), codec="zstd", asbytes=True)
     head = np.frombuffer(raw, np.int64, 2 * n)
     at, out = 16 * n, []
-    for size, length in zip(head[::2], head[1::2]):
-        kind = {1: np.uint8, 2: np.uint16, 4: np.uint32, 8: np.uint64}[int(size)]
-        out.append(np.frombuffer(raw, kind, int(length), at))
-        at += int(size * length)
+    for size, length in zip(head[::2].tolist(), head[1::2].tolist()):
+        kind = {1: np.uint8, 2: np.uint16, 4: np.uint32, 8: np.uint64}[size]
+        flat = np.frombuffer(raw, np.uint8, size * length, at).reshape(size, length)
+        out.append(np.ascontiguousarray(flat.T).reshape(-1).view(kind))
+        at += size * length
     return out
 
 
-def _blocks(docs: DataFrame, often: list[int], pools: int, buckets: int, chunk_tokens: int) -> DataFrame:
-    """(bucket, chunk: its first rid, n_docs, block): tokens by word, context and document."""
+def _steps(x: np.ndarray) -> np.ndarray:
+    """Differences of sorted hashes; np.cumsum gives them back."""
+    return np.diff(x, prepend=np.uint64(0))
+
+
+def _place(key: np.ndarray, n: int) -> np.ndarray:
+    return ((key >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
+
+
+def _blocks(docs: DataFrame, spread: list[int], buckets: int, chunk_tokens: int) -> DataFrame:
+    """(bucket, chunk: its first rid, n_docs, block): different triples and the documents of their occurrences."""
+    hot = np.array(spread, np.uint64)
+    bits = np.uint64(max(1, (buckets - 1).bit_length()))
 
     def flush(parts: list[tuple], first: int, n_docs: int) -> pa.RecordBatch:
-        known = np.array(often, np.uint64)
-        hashes, before, doc = (np.concatenate([p[k] for p in parts]) for k in range(3))
-        train = np.packbits(np.concatenate([p[3] for p in parts]))
-        at = np.minimum(np.searchsorted(known, before), max(0, len(known) - 1))
-        own = known[at] == before if len(known) else np.zeros(len(before), bool)
-        context = np.where(own, 1 + pools + at, 1 + mix(before) % np.uint64(pools))
-        context[before == 0] = 0
-        context = context.astype(np.uint16)
-        order = np.lexsort((context, hashes))
-        hashes, context, doc = hashes[order], context[order], doc[order].astype(np.uint16 if n_docs < 1 << 16 else np.uint32)
-        word = np.append(True, hashes[1:] != hashes[:-1])
-        pair = word | np.append(True, context[1:] != context[:-1])
-        bucket = ((hashes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-        edges = np.searchsorted(bucket, np.arange(buckets + 1))
+        w, v, x, doc = (np.concatenate([p[k] for p in parts]) for k in range(4))
+        train = np.packbits(np.concatenate([p[4] for p in parts]))
+        pair = pair_key(v, w)
+        tri = triple_key(x, pair)
+        bucket = _place(np.where(np.isin(v, hot), pair, mix(v)), buckets)
+        half = (np.uint64(64) - bits) >> np.uint64(1)
+        # equal triples get neighbours, but for chance; those of one last token, too
+        order = np.argsort(bucket << np.uint64(64) - bits | (v >> np.uint64(64) - half) << half | tri >> np.uint64(64) - half, kind="stable")
+        w, v, x, doc, tri, bucket = (a[order] for a in (w, v, x, doc, tri, bucket))
+        opens = np.append(True, (tri[1:] != tri[:-1]) | (bucket[1:] != bucket[:-1]))
+        edges = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
         rows = []
         for b in np.flatnonzero(np.diff(edges)):
             lo, hi = edges[b], edges[b + 1]
-            pairs, words = np.flatnonzero(pair[lo:hi]), np.flatnonzero(word[lo:hi])
-            of = np.searchsorted(pairs, words)
-            rows.append(
-                (int(b), _pack(hashes[lo:hi][words], np.diff(np.append(of, len(pairs))).astype(np.uint32), context[lo:hi][pairs],
-                               np.diff(np.append(pairs, hi - lo)).astype(np.uint32), doc[lo:hi], train))
-            )
+            heads = np.flatnonzero(opens[lo:hi]) + lo
+            known, at = np.unique(np.concatenate([x[heads], v[heads], w[heads]]), return_inverse=True)
+            at = _small(at)
+            n = len(heads)
+            rows.append((int(b), _pack(_steps(known), at[:n], at[n : 2 * n], at[2 * n :], _small(np.diff(np.append(heads, hi))), _small(doc[lo:hi]), train)))
         n = len(rows)
         return pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in rows], pa.int32()), pa.array([first] * n, pa.int64()), pa.array([n_docs] * n, pa.int32()),
@@ -156,124 +191,239 @@ def _blocks(docs: DataFrame, often: list[int], pools: int, buckets: int, chunk_t
                     parts, n_docs, n = [], 0, 0
                 if not parts:
                     first = rid
-                hashes, before, doc = _tokens(batch, 2)
-                parts.append((hashes, before, doc + n_docs, ~np.asarray(batch.column(1).cast(pa.uint8())).astype(bool)))
-                n_docs, n = n_docs + batch.num_rows, n + len(hashes)
+                w, v, x, doc = _tokens(batch, 2)
+                parts.append((w, v, x, doc + n_docs, ~np.asarray(batch.column(1).cast(pa.uint8())).astype(bool)))
+                n_docs, n = n_docs + batch.num_rows, n + len(w)
         if parts:
             yield flush(parts, first, n_docs)
 
     return docs.select("rid", "held_out", "text").mapInArrow(found, _BLOCK)
 
 
-def _seat(c: np.ndarray, a: np.ndarray, d: float, rng: np.random.Generator) -> np.ndarray:
-    """Tables of dishes with c customers, seated one by one: a new table with probability a / (a + n - d t)."""
-    t = (c > 0).astype(np.int64)
-    live = np.flatnonzero(c > 1)
-    n = 1
-    while len(live):
-        m = 1 if n < 64 else n // 16
-        m = np.minimum(m, c[live] - n)
-        p = a[live] / (a[live] + n - d * t[live])
-        t[live] += rng.binomial(m, np.clip(p, 0.0, 1.0)) if n >= 64 else rng.random(len(live)) < p
-        n += 1 if n < 64 else n // 16
-        live = live[c[live] > n]
-    return t
+# ---- seating -------------------------------------------------------------------------------------------------
 
 
-class _Bucket:
-    """One bucket's counts: pairs of word and context, with their training customers."""
-
-    def __init__(self, rows: list[tuple[int, int, bytes]]):
-        self.rows = [(chunk, n_docs, *_unpack(block, 6)) for chunk, n_docs, block in rows]
-        self.words = np.unique(np.concatenate([r[2] for r in self.rows]))
-        keys, counts = [], []
-        self.at = []
-        for _, n_docs, words, of, context, size, doc, train in self.rows:
-            word = np.repeat(np.searchsorted(self.words, words), of)
-            keys.append(word.astype(np.int64) << 16 | context)
-            trained = np.unpackbits(train)[:n_docs][doc]
-            ends = np.cumsum(size.astype(np.int64))
-            run = np.append(0, np.cumsum(trained, dtype=np.int64))
-            counts.append(run[ends] - run[ends - size])
-        self.keys, at = np.unique(np.concatenate(keys), return_inverse=True)
-        self.at = np.split(at, np.cumsum([len(k) for k in keys])[:-1])
-        self.c = np.bincount(at, np.concatenate(counts), len(self.keys)).astype(np.int64)
-        self.word, self.context = self.keys >> 16, (self.keys & 0xFFFF).astype(np.int64)
-        self.customers = np.bincount(self.word, self.c, len(self.words)).astype(np.int64)
-
-    def root(self, m: np.ndarray, model: dict, t0: np.ndarray, sums: dict) -> np.ndarray:
-        """The root's predictive probability of each word, from its customers m and tables t0."""
-        theta, d = model["theta"], model["d0"]
-        new = (theta + d * sums["tables0"]) / (model["V"] + 1)
-        return (m - d * t0 + new) / (theta + sums["tables"].sum())
-
-    def sweep(self, model: dict, number: int, bucket: int, state: tuple) -> tuple:
-        """Tables of pairs and of words after one more sweep, under the totals of the one before."""
-        t, t0 = state
-        sums = model["sums"][number]
-        rng = np.random.default_rng([model["seed"], bucket, number])
-        m = np.bincount(self.word, t, len(self.words))
-        p0 = self.root(m, model, t0, sums)
-        a = (model["theta"] + model["d"] * sums["tables"][self.context]) * p0[self.word]
-        t = _seat(self.c, a, model["d"], rng)
-        m = np.bincount(self.word, t, len(self.words)).astype(np.int64)
-        new = (model["theta"] + model["d0"] * sums["tables0"]) / (model["V"] + 1)
-        return t, _seat(m, np.full(len(m), new), model["d0"], rng)
-
-    def start(self) -> tuple:
-        return (self.c > 0).astype(np.int64), (self.customers > 0).astype(np.int64)
-
-    def predict(self, model: dict, sums: dict, state: tuple) -> np.ndarray:
-        t, t0 = state
-        m = np.bincount(self.word, t, len(self.words))
-        p0 = self.root(m, model, t0, sums)[self.word]
-        customers, tables = model["customers"][self.context], sums["tables"][self.context]
-        theta, d = model["theta"], model["d"]
-        return (self.c - d * t + (theta + d * tables) * p0) / (theta + customers)
-
-
-def _per_bucket(blocks: DataFrame, use, schema: str) -> DataFrame:
-    """use(bucket's number, _Bucket) -> record batches, for each bucket; blocks: each bucket's rows stand together."""
+def _lgamma(x: np.ndarray) -> np.ndarray:
+    """Logarithm of the gamma function for x > 0 (Stirling's series beyond 8, where shifted)."""
+    shift = np.zeros_like(x)
+    y = x.copy()
+    while (low := y < 8).any():
+        shift[low] += np.log(y[low])
+        y[low] += 1
+    r = 1 / (y * y)
+    return (y - 0.5) * np.log(y) - y + 0.9189385332046727 + (1 / 12 - r * (1 / 360 - r * (1 / 1260 - r * (1 / 1680 - r / 1188)))) / y - shift
 
-    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, rows = None, []
-        for batch in batches:
-            for bucket, chunk, n_docs, block in zip(*(c.to_pylist() for c in batch.columns)):
-                if rows and bucket != now:
-                    yield from use(now, _Bucket(rows))
-                    rows = []
-                now = bucket
-                rows.append((chunk, n_docs, block))
-        if rows:
-            yield from use(now, _Bucket(rows))
 
-    return blocks.mapInArrow(found, schema)
+def seat(c: np.ndarray, a: np.ndarray, d: float, key: np.ndarray, salt: int) -> np.ndarray:
+    """Tables of dishes whose c customers sit down one after the other: a new table with probability a / (a + n - d t).
 
-
-def _summed(totals: DataFrame) -> dict[tuple[str, int], int]:
-    """Totals by name and index; their number is bounded by the number of restaurants."""
-    return {(r.name, r.at): r.n for r in totals.groupBy("name", "at").agg(F.sum("n").alias("n")).collect()}
+    The chance that the customers after the n-th up to the m-th open none is a product, G(m) / G(n) with G(m) = gamma(m - d t) /
+    gamma(a + m - d t); the first m at which it falls below a uniform number opens the next table.
+    """
+    t = (c > 0).astype(np.int64)
+    live = np.flatnonzero(c > 1)
+    n, stream = np.ones(len(live)), mix(key[live] ^ mix(np.full(len(live), salt, np.uint64)))
+    number = 0
+    while len(live):
+        number += 1
+        u = np.log(((mix(stream + np.uint64(number * int(_STEP) & (1 << 64) - 1)) >> np.uint64(11)).astype(np.float64) + 1.0) * 2.0**-53)
+        most, extra, sat = c[live].astype(np.float64), a[live], d * t[live]
+        base = _lgamma(n - sat) - _lgamma(extra + n - sat) + u
+        again = _lgamma(most - sat) - _lgamma(extra + most - sat) < base
+        live, n, stream, most, extra, sat, base = (z[again] for z in (live, n, stream, most, extra, sat, base))
+        lo, hi = n, most  # the next table's customer is after lo, hi at the latest
+        while (wide := np.flatnonzero(hi - lo > 1)).size:
+            mid = np.floor((lo[wide] + hi[wide]) / 2)
+            below = _lgamma(mid - sat[wide]) - _lgamma(extra[wide] + mid - sat[wide]) < base[wide]
+            lo, hi = lo.copy(), hi.copy()
+            hi[wide[below]], lo[wide[~below]] = mid[below], mid[~below]
+        t[live] += 1
+        more = hi < most
+        live, n, stream = live[more], hi[more], stream[more]
+    return t
 
 
-def _totals(named: dict[str, np.ndarray]) -> pa.RecordBatch:
-    some = {k: np.flatnonzero(v) for k, v in named.items()}
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([k for k, v in some.items() for _ in v], pa.string()),
-            pa.array(np.concatenate([*some.values()]).astype(np.int32)),
-            pa.array(np.concatenate([named[k][v] for k, v in some.items()]).astype(np.int64)),
-        ],
-        ["name", "at", "n"],
-    )
+def discount(ones: float, twos: float) -> float:
+    return min(0.95, max(0.05, (ones + 0.5) / (ones + 2 * twos + 1.0)))
 
 
-_TOTALS = "name string, at int, n long"
+class _Bucket:
+    """One bucket: triples (x, v, w) and their customers, pairs (v, w), contexts (x, v), last tokens v and words w."""
+
+    def __init__(self, blocks: pa.Table, spread: np.ndarray, parts: int, seed: int):
+        self.seed, self.parts = seed, parts
+        blocks = blocks.sort_by("chunk")
+        self.rows = []
+        xs, vs, ws, c = [], [], [], []
+        for chunk, n_docs, block in zip(*(blocks.column(k).to_pylist() for k in ("chunk", "n_docs", "block"))):
+            steps, x, v, w, size, doc, train = _unpack(block, 7)
+            known = np.cumsum(steps, dtype=np.uint64)
+            ends = np.cumsum(size, dtype=np.int64)
+            run = np.append(0, np.cumsum(np.unpackbits(train)[doc], dtype=np.int64))
+            xs.append(known[x]), vs.append(known[v]), ws.append(known[w]), c.append(run[ends] - run[ends - size])
+            self.rows.append((chunk, n_docs, size, doc))
+        x, v, w = map(np.concatenate, (xs, vs, ws))
+        pair = pair_key(v, w)
+        self.tri, first, at = np.unique(triple_key(x, pair), return_index=True, return_inverse=True)
+        self.c = np.bincount(at, np.concatenate(c), len(self.tri)).astype(np.int64)
+        self.at = np.split(at.astype(np.int32), np.cumsum([len(k) for k in xs])[:-1])
+        x, v, w, pair = x[first], v[first], w[first], pair[first]
+        self.pair, first, self.pair_of = np.unique(pair, return_index=True, return_inverse=True)
+        self.context, head, self.context_of = np.unique(context_key(x, v), return_index=True, return_inverse=True)
+        self.word, self.word_of = np.unique(w[first], return_inverse=True)  # of a pair
+        self.last, self.last_of = np.unique(v[first], return_inverse=True)
+        # what is shared: the words, and of spread last tokens their contexts and their own customers and tables
+        self.far = np.flatnonzero(np.isin(v[head], spread))
+        self.far_last = np.flatnonzero(np.isin(self.last, spread))
+        far = self.last[self.far_last]
+        key = np.concatenate([self.word, mix(self.context[self.far] ^ _ONE), mix(far ^ _TWO), mix(far ^ _THREE)])
+        rank = np.concatenate([np.zeros(len(self.word), np.int8), np.ones(len(key) - len(self.word), np.int8)])
+        part = _place(key, parts)
+        self.order = np.lexsort((key, rank, part))  # of the message: by part, words first
+        self.keys, self.rank, self.edges = key[self.order], rank[self.order], np.searchsorted(part[self.order], np.arange(parts + 1, dtype=np.uint64))
+        self.customers = self._sum(self.context_of, self.c, len(self.context))
+
+    @staticmethod
+    def _sum(of: np.ndarray, x: np.ndarray, n: int) -> np.ndarray:
+        return np.bincount(of, x, n).astype(np.int64)
+
+    def start(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Tables of triples, customers of pairs, tables of pairs: one table for each dish."""
+        t3 = (self.c > 0).astype(np.int64)
+        c2 = self._sum(self.pair_of, t3, len(self.pair))
+        return t3, c2, (c2 > 0).astype(np.int64)
+
+    def shared(self, state: tuple) -> np.ndarray:
+        """What a state adds to the shared sums, in the order of keys."""
+        t3, c2, t2 = state
+        last = (self._sum(self.last_of, z, len(self.last))[self.far_last] for z in (c2, t2))
+        contexts = self._sum(self.context_of, t3, len(self.context))[self.far]
+        return np.concatenate([self._sum(self.word_of, t2, len(self.word)), contexts, *last])[self.order]
+
+    def fixed(self) -> np.ndarray:
+        """Training tokens of words and contexts, in the order of keys."""
+        words = self._sum(self.word_of, self._sum(self.pair_of, self.c, len(self.pair)), len(self.word))
+        return np.concatenate([words, self.customers[self.far], np.zeros(2 * len(self.far_last), np.int64)])[self.order]
+
+    def message(self, state: tuple, number: int, bucket: int, before: tuple = (0.0, 0.0, 0.0)) -> Iterator[tuple]:
+        """(part, bucket, round, block, counts of counts, V, root tables and discount): keys and sums at first, in later rounds what has been added."""
+        now, counts = self.shared(state), [0.0] * 4
+        if number == 0:
+            fixed = self.fixed()
+            counts = [float((z == k).sum()) for z in (self.c, state[1]) for k in (1, 2)]
+        else:
+            now = now - self.shared(self.start())
+        for p in np.flatnonzero(np.diff(self.edges)).tolist():
+            own = slice(self.edges[p], self.edges[p + 1])
+            cut = int((self.rank[own] == 0).sum())
+            if number == 0:
+                key = self.keys[own]
+                block = _pack(_steps(key[:cut]), _steps(key[cut:]), _small(now[own]), _small(fixed[own]))
+            else:
+                block = _pack(_small(now[own]))
+            yield p, bucket, number, block, *counts, *before
+            counts = [0.0] * 4
+
+    def replies(self, back: pa.Table) -> list[dict]:
+        """By round: sums and root tables in the order of keys, and the numbers of the whole model."""
+        rounds: dict[int, dict] = {}
+        for r in back.sort_by([("round", "ascending"), ("part", "ascending")]).to_pylist():
+            x = rounds.setdefault(r["round"], {"sum": [], "tables1": [], "fixed": [], **{s: r[s] for s in _STATS}})
+            for name, z in zip(("sum", "tables1", "fixed"), _unpack(r["block"], 3)):
+                x[name].append(z)
+        out = [rounds[k] for k in sorted(rounds)]
+        for x in out:
+            inside = np.empty(len(self.order), np.int64)
+            inside[self.order] = np.concatenate(x["sum"])
+            n, f, g = len(self.word), len(self.far), len(self.far_last)
+            x["c1"], x["far"], x["far_c"], x["far_t"] = np.split(inside, [n, n + f, n + f + g])
+            x["t1"] = np.empty(n, np.int64)
+            x["t1"][self.order[self.rank == 0]] = np.concatenate(x["tables1"])
+        fixed = np.empty(len(self.order), np.int64)
+        fixed[self.order] = np.concatenate(out[0]["fixed"])
+        self.seen, self.customers = fixed[: len(self.word)], self.customers.copy()
+        self.customers[self.far] = fixed[len(self.word) : len(self.word) + len(self.far)]
+        first = out[0]
+        self.d = [discount(first[f"ones{k}"], first[f"twos{k}"]) for k in (1, 2, 3)]
+        self.V, self.N = first["V"], first["N"]
+        return out
+
+    def parents(self, state: tuple, x: dict, theta: float) -> tuple[np.ndarray, ...]:
+        """Root's probabilities of words, last tokens' of pairs, and tables of last tokens and contexts, under a state and the reply to it."""
+        t3, c2, t2 = state
+        d1, d2, _ = self.d
+        p0 = (x["c1"] - d1 * x["t1"] + (theta + d1 * x["tables"]) / (self.V + 1)) / (theta + x["customers"])
+        customers, tables = (self._sum(self.last_of, z, len(self.last)) for z in (c2, t2))
+        customers[self.far_last], tables[self.far_last] = x["far_c"], x["far_t"]
+        p1 = (c2 - d2 * t2 + (theta + d2 * tables[self.last_of]) * p0[self.word_of]) / (theta + customers[self.last_of])
+        below = self._sum(self.context_of, t3, len(self.context))
+        below[self.far] = x["far"]
+        return p0, p1, tables, below
+
+    def sweep(self, state: tuple, x: dict, theta: float, number: int) -> tuple:
+        """The state after one more sweep."""
+        _, d2, d3 = self.d
+        p0, p1, tables, below = self.parents(state, x, theta)
+        t3 = seat(self.c, (theta + d3 * below[self.context_of]) * p1[self.pair_of], d3, self.tri, self.seed + 3 * number)
+        c2 = self._sum(self.pair_of, t3, len(self.pair))
+        return t3, c2, seat(c2, (theta + d2 * tables[self.last_of]) * p0[self.word_of], d2, self.pair, self.seed + 3 * number + 1)
+
+    def predict(self, state: tuple, x: dict, theta: float) -> np.ndarray:
+        """Probability of each triple's word after its context."""
+        _, p1, _, below = self.parents(state, x, theta)
+        d3, of = self.d[2], self.context_of
+        return (self.c - d3 * state[0] + (theta + d3 * below[of]) * p1[self.pair_of]) / (theta + self.customers[of])
+
+
+_COUNTS = _STATS[:4]
+_MESSAGE = "part int, bucket int, round int, block binary, " + ", ".join(f"{c} double" for c in (*_COUNTS, "V", "T", "d"))
+_REPLY = f"bucket int, part int, round int, block binary, {_NUMBERS}"
+
+
+def _batches(rows: Iterator[tuple], schema: str) -> pa.Table:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "binary": pa.binary()}
+    fields = [pa.field(n, kinds[t]) for n, t in (x.strip().split(" ") for x in schema.split(","))]
+    columns = list(zip(*rows)) or [()] * len(fields)
+    return pa.table([pa.array(c, f.type) for c, f in zip(columns, fields)], schema=pa.schema(fields))
+
+
+def _answers(messages: pa.Table, number: int, theta: float, seed: int) -> Iterator[tuple]:
+    """The replies of one part in a round, a row of _REPLY for each bucket; the numbers are in the first."""
+    first, later, stats = {}, {}, dict.fromkeys(_STATS, 0.0)
+    for r in messages.to_pylist():
+        (first if r["round"] == 0 else later)[r["bucket"]] = r
+        for s in _COUNTS:
+            stats[s] += r[s]
+    part, buckets = messages.column("part")[0].as_py(), sorted(first)
+    sent = []
+    for b in buckets:
+        x, y, a, f = _unpack(first[b]["block"], 4)
+        a = a.astype(np.int64)
+        if number:
+            a += _unpack(later[b]["block"], 1)[0].astype(np.int64)
+        sent.append((np.cumsum(x, dtype=np.uint64), np.cumsum(y, dtype=np.uint64), a, f.astype(np.int64)))
+    kinds = []
+    for k in (0, 1):  # words, then the others
+        sizes = [len(q[k]) for q in sent]
+        key, at = np.unique(np.concatenate([q[k] for q in sent]), return_inverse=True)
+        sums = [np.bincount(at, np.concatenate([q[j][len(q[0]) :] if k else q[j][: len(q[0])] for q in sent]), len(key)).astype(np.int64) for j in (2, 3)]
+        kinds.append((key, np.split(at, np.cumsum(sizes)[:-1]), *sums))
+    (key, words, c1, seen), (_, others, far, far_fixed) = kinds
+    if number:
+        new = next(iter(later.values()))
+        t1 = seat(c1, np.full(len(c1), (theta + new["d"] * new["T"]) / (new["V"] + 1)), new["d"], key, seed + 3 * number + 2)
+    else:
+        t1 = (c1 > 0).astype(np.int64)
+        stats |= {"V": float((seen > 0).sum()), "N": float(seen.sum()), "ones1": float((c1 == 1).sum()), "twos1": float((c1 == 2).sum())}
+    stats |= {"customers": float(c1.sum()), "tables": float(t1.sum())}
+    for b, i, j in zip(buckets, words, others):
+        fixed = np.concatenate([seen[i], far_fixed[j]]) if number == 0 else np.zeros(0, np.int64)
+        yield b, part, number, _pack(_small(np.concatenate([c1[i], far[j]])), _small(t1[i]), _small(fixed)), *stats.values()
+        stats = dict.fromkeys(_STATS, 0.0)
 
 
 def score(
     docs: DataFrame,
-    contexts: int = CONTEXTS,
-    pools: int = POOLS,
     sweeps: int = SWEEPS,
     burn: int = BURN,
     theta: float = THETA,
@@ -281,93 +431,91 @@ def score(
     chunk_tokens: int = CHUNK_TOKENS,
     bucket_tokens: int = BUCKET_TOKENS,
 ) -> DataFrame:
-    """The columns of RESULT for each of docs."""
+    """The columns of RESULT for each of docs; the states after sweeps burn + 1 .. sweeps are averaged."""
     own = keyed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "rid")
     out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 10 == 0
     own = own.select("rid", "doc_id", out.alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
-    often = frequent(own, contexts)
-    restaurants = 1 + pools + len(often)
     bytes_ = own.agg(F.sum(F.octet_length("text"))).head()[0] or 0
-    buckets = int(max(32, bytes_ // (6 * bucket_tokens)))
-    blocks = _blocks(own, often, pools, buckets, chunk_tokens)
-    blocks = cut(blocks.repartition(buckets, "bucket").sortWithinPartitions("bucket", "chunk"))
-
-    def first(bucket: int, b: _Bucket) -> Iterator[pa.RecordBatch]:
-        t, t0 = b.start()
-        m = np.bincount(b.word, t, len(b.words))
-        yield _totals(
-            {
-                "customers": np.bincount(b.context, b.c, restaurants), "tables": np.bincount(b.context, t, restaurants),
-                "N": np.array([b.c.sum()]), "V": np.array([t0.sum()]), "tables0": np.array([t0.sum()]),
-                "ones": np.array([(b.c == 1).sum(), (m == 1).sum()]), "twos": np.array([(b.c == 2).sum(), (m == 2).sum()]),
-            }
-        )
-
-    got = _summed(_per_bucket(blocks, first, _TOTALS))
-
-    def vector(got: dict, name: str, n: int = restaurants) -> np.ndarray:
-        return np.array([got.get((name, k), 0) for k in range(n)], np.float64)
-
-    ones, twos = vector(got, "ones", 2), vector(got, "twos", 2)
-    d, d0 = np.clip((ones + 0.5) / (ones + 2 * twos + 1.0), 0.05, 0.95)
-    model = {"theta": theta, "d": float(d), "d0": float(d0), "V": got.get(("V", 0), 0), "N": got.get(("N", 0), 0), "seed": seed}
-    model |= {"customers": vector(got, "customers"), "sums": [{"tables": vector(got, "tables"), "tables0": got.get(("tables0", 0), 0)}]}
-    for number in range(sweeps):
-
-        def swept(bucket: int, b: _Bucket, model: dict = dict(model), number: int = number) -> Iterator[pa.RecordBatch]:
-            state = b.start()
-            for k in range(number + 1):
-                state = b.sweep(model, k, bucket, state)
-            yield _totals({"tables": np.bincount(b.context, state[0], restaurants), "tables0": np.array([state[1].sum()])})
-
-        got = _summed(_per_bucket(blocks, swept, _TOTALS))
-        model["sums"] = [*model["sums"], {"tables": vector(got, "tables"), "tables0": got.get(("tables0", 0), 0)}]
-
-    def scored(bucket: int, b: _Bucket) -> Iterator[pa.RecordBatch]:
-        state, mean = b.start(), np.zeros(len(b.c))
-        for k in range(sweeps):
-            state = b.sweep(model, k, bucket, state)
-            if k >= burn:
-                mean += b.predict(model, model["sums"][k + 1], state) / (sweeps - burn)
+    buckets = int(max(16, bytes_ // (6 * bucket_tokens)))
+    spread = np.array(frequent(own, 1 / (4 * buckets)), np.uint64)
+    raw = _blocks(own, spread.tolist(), buckets, chunk_tokens).repartition(buckets, "bucket")
+
+    def bucket_of(table: pa.Table) -> int:
+        return table.column("bucket")[0].as_py()
+
+    def begin(blocks: pa.Table) -> pa.Table:
+        b = _Bucket(blocks, spread, buckets, seed)
+        return _batches(b.message(b.start(), 0, bucket_of(blocks)), _MESSAGE)
+
+    def states(b: _Bucket, rounds: list[dict]) -> Iterator[tuple]:
+        """The states that rounds are the replies to, and the one after them."""
+        state = b.start()
+        for number, x in enumerate(rounds, 1):
+            yield state
+            state = b.sweep(state, x, theta, number)
+        yield state
+
+    def again(number: int):
+        def swept(blocks: pa.Table, back: pa.Table) -> pa.Table:
+            b = _Bucket(blocks, spread, buckets, seed)
+            rounds = b.replies(back)
+            *_, state = states(b, rounds)
+            return _batches(b.message(state, number, bucket_of(blocks), (b.V, rounds[-1]["tables"], b.d[0])), _MESSAGE)
+
+        return swept
+
+    def answers(number: int):
+        def answered(messages: pa.Table) -> pa.Table:
+            return _batches(_answers(messages, number, theta, seed), _REPLY)
+
+        return answered
+
+    first = raw.groupBy("bucket").applyInArrow(begin, _MESSAGE).repartition(buckets, "part")
+    back = None
+    for number in range(sweeps + 1):
+        sent = first
+        if number:
+            later = raw.groupBy("bucket").cogroup(back.groupBy("bucket")).applyInArrow(again(number), _MESSAGE)
+            sent = first.union(later.repartition(buckets, "part"))
+        replies = sent.groupBy("part").applyInArrow(answers(number), _REPLY)
+        numbers = replies.agg(*[F.sum(s).alias(s) for s in _STATS])
+        replies = replies.drop(*_STATS).crossJoin(F.broadcast(numbers)).repartition(buckets, "bucket")  # one row of sums
+        back = replies if back is None else back.union(replies)
+
+    def scored(blocks: pa.Table, back: pa.Table) -> pa.Table:
+        b = _Bucket(blocks, spread, buckets, seed)
+        rounds = b.replies(back)
+        mean = np.zeros(len(b.c))
+        for number, state in enumerate(states(b, rounds[:-1])):
+            if number > burn:
+                mean += b.predict(state, rounds[number], theta) / (sweeps - burn)
         p = np.log10(mean)
-        base = np.log10((b.customers + 0.1) / (model["N"] + 0.1 * (model["V"] + 1)))
-        for (chunk, n_docs, _, _, _, size, doc, _), at in zip(b.rows, b.at):
-            each = np.repeat(at, size)
-            word = b.word[each]
-            known = b.customers[word] > 0
-            sums = [np.bincount(doc, x, n_docs) for x in (p[each], base[word])] + [np.bincount(doc, known, n_docs).astype(np.uint32)]
-            tokens = np.bincount(doc, minlength=n_docs).astype(np.uint32)
-            some = np.flatnonzero(tokens)
-            at_ = some.astype(np.uint32)
-            block = _pack(at_, sums[0][some].view(np.uint64), sums[1][some].view(np.uint64), sums[2][some], tokens[some])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([bucket], pa.int32()), pa.array([chunk], pa.int64()), pa.array([n_docs], pa.int32()), pa.array([block], pa.binary())],
-                ["bucket", "chunk", "n_docs", "block"],
-            )
-
-    def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, sums = None, None
-
-        def done() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(now + np.arange(len(sums[0]))), *(pa.array(x) for x in sums[:2]), *(pa.array(x.astype(np.int64)) for x in sums[2:])],
-                ["rid", "score", "base_score", "n_known", "n_tokens"],
-            )
-
-        for batch in batches:
-            for _, chunk, n_docs, block in zip(*(c.to_pylist() for c in batch.columns)):
-                if chunk != now:
-                    if now is not None:
-                        yield done()
-                    now, sums = chunk, [np.zeros(n_docs) for _ in range(4)]
-                at, p, base, known, tokens = _unpack(block, 5)
-                for to, x in zip(sums, (p.view(np.float64), base.view(np.float64), known, tokens)):
-                    to[at] += x
-        if now is not None:
-            yield done()
-
-    parts = _per_bucket(blocks, scored, _BLOCK)
-    chunked = parts.repartition("chunk").sortWithinPartitions("chunk", "bucket")
-    sums = chunked.mapInArrow(together, "rid long, score double, base_score double, n_known long, n_tokens long")
-    named = own.select("rid", "doc_id", "held_out").join(sums, "rid")
-    return named.withColumn("train_tokens", F.lit(int(model["N"])).cast("long")).select(*RESULT)
+        word = b.word_of[b.pair_of]
+        base, known = np.log10((b.seen + 0.1) / (b.N + 0.1 * (b.V + 1)))[word], (b.seen > 0)[word]
+
+        def sums() -> Iterator[tuple]:
+            for (chunk, n_docs, size, doc), at in zip(b.rows, b.at):
+                each = np.repeat(at, size)
+                some = np.flatnonzero(tokens := np.bincount(doc, minlength=n_docs))
+                floats = (np.bincount(doc, z[each], n_docs)[some].view(np.uint64) for z in (p, base))
+                yield bucket_of(blocks), chunk, n_docs, _pack(_small(_steps(some.astype(np.uint64))), *floats, _small(np.bincount(doc, known[each], n_docs)[some].astype(np.int64)), _small(tokens[some]))
+
+        return _batches(sums(), _BLOCK).append_column("train", pa.array([int(b.N)] * len(b.rows), pa.int64()))
+
+    result = "rid long, score double, base_score double, n_known long, n_tokens long, train_tokens long"
+
+    def together(blocks: pa.Table) -> pa.Table:
+        blocks = blocks.sort_by("bucket")
+        rid, n_docs, train = (blocks.column(k)[0].as_py() for k in ("chunk", "n_docs", "train"))
+        sums = [np.zeros(n_docs) for _ in range(4)]
+        for block in blocks.column("block").to_pylist():
+            steps, p, base, known, tokens = _unpack(block, 5)
+            at = np.cumsum(steps, dtype=np.int64)
+            for to, x in zip(sums, (p.view(np.float64), base.view(np.float64), known, tokens)):
+                to[at] += x
+        columns = [rid + np.arange(n_docs), *sums[:2], *(x.astype(np.int64) for x in sums[2:]), np.full(n_docs, train)]
+        return pa.table([pa.array(c) for c in columns], names=[f.split()[0] for f in result.split(", ")])
+
+    parts = raw.groupBy("bucket").cogroup(back.groupBy("bucket")).applyInArrow(scored, _BLOCK + ", train long")
+    sums = parts.groupBy("chunk").applyInArrow(together, result)
+    return own.select("rid", "doc_id", "held_out").join(sums, "rid").select(*RESULT)

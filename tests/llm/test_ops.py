@@ -249,33 +249,134 @@ def test_decontamination(spark, docs, none):
     assert decontam.hits(none, bench).count() == 0 and decontam.drop(docs, bench).count() == len(ROWS) - len({i for i, r in enumerate(ROWS) if r[0] in {x[0] for x in want}})
 
 
-def test_language_model(docs, none):
-    low = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
-    tokens = [[x.translate(low) for x in split(r[1])] + ["\n"] for r in ROWS]
+LOW = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+
+
+def brute_model(rows, sweeps=3, burn=1, theta=1.0, seed=7):
+    """predict(x, v, w) -> averaged probability, by dictionaries and customers that sit down one by one; hashes as the model's."""
+    u = np.uint64
+    texts = [[t.translate(LOW) for t in split(r[1])] for r in rows]
+    known = {}
+    for w in texts:
+        for t, h in zip(w, Words(pa.array([" ".join(w)])).hashes):
+            known[t] = h
+    h = lambda t: {"<end>": pitmanyor._END, "<start>": pitmanyor._START, "<before>": pitmanyor._BEFORE}.get(t) or known.get(t, u(12345))
+    one = lambda x: np.array([x], u)
+    pair = lambda v, w: pitmanyor.pair_key(one(h(v)), one(h(w)))[0]
+    triple = lambda x, v, w: pitmanyor.triple_key(one(h(x)), one(pair(v, w)))[0]
+    c = Counter()
+    for r, w in zip(rows, texts):
+        if zlib.crc32(("" if r[0] is None else str(r[0])).encode()) % 10:
+            seq = ["<before>", "<start>", *w, "<end>"]
+            c.update(zip(seq, seq[1:], seq[2:]))
+    vocabulary = {k[2] for k in c}
+
+    def seat(n, a, d, key, salt):
+        t, sat, number = min(n, 1), 1, 0
+        stream = pitmanyor.mix(one(key) ^ pitmanyor.mix(one(u(salt))))
+        while sat < n:
+            number += 1
+            x = (float(pitmanyor.mix(stream + u(number * int(pitmanyor._STEP) & (1 << 64) - 1))[0] >> u(11)) + 1) * 2.0**-53
+            none = 1.0
+            while sat < n:  # the next customer
+                none *= (sat - d * t) / (a + sat - d * t)
+                sat += 1
+                if none < x:
+                    t += 1
+                    break
+        return t
+
+    def up(tables, drop):
+        out = Counter()
+        for k, t in tables.items():
+            out[k[drop:]] += t
+        return out
+
+    def discount(c):
+        ones, twos = (sum(x == k for x in c.values()) for k in (1, 2))
+        return min(0.95, max(0.05, (ones + 0.5) / (ones + 2 * twos + 1)))
+
+    t3 = dict.fromkeys(c, 1)
+    c2 = up(t3, 1)
+    t2 = dict.fromkeys(c2, 1)
+    c1 = up(t2, 1)
+    t1 = dict.fromkeys(c1, 1)
+    d1, d2, d3 = discount(c1), discount(c2), discount(c)
+    held = Counter()
+    for k, n in c.items():
+        held[k[:2]] += n
+    kept = []
+    for number in range(1, sweeps + 2):
+        n2, s2, s3 = Counter(), Counter(), Counter()
+        for k, n in c2.items():
+            n2[k[0]] += n
+            s2[k[0]] += t2[k]
+        for k, t in t3.items():
+            s3[k[:2]] += t
+        T, N = sum(t1.values()), sum(c1.values())
+        state = (dict(c1), dict(t1), dict(c2), dict(t2), dict(t3), n2, s2, s3, T, N)
+
+        def p0(w, s=state):
+            return (s[0].get((w,), 0) - d1 * s[1].get((w,), 0) + (theta + d1 * s[8]) / (len(vocabulary) + 1)) / (theta + s[9])
+
+        def p1(v, w, s=state, p0=p0):
+            return (s[2].get((v, w), 0) - d2 * s[3].get((v, w), 0) + (theta + d2 * s[6][v]) * p0(w)) / (theta + s[5][v])
+
+        def p2(x, v, w, s=state, p1=p1):
+            return (c.get((x, v, w), 0) - d3 * s[4].get((x, v, w), 0) + (theta + d3 * s[7][x, v]) * p1(v, w)) / (theta + held[x, v])
+
+        if number - 1 > burn:
+            kept.append(p2)
+        t3 = {k: seat(n, (theta + d3 * s3[k[:2]]) * p1(*k[1:]), d3, triple(*k), seed + 3 * number) for k, n in c.items()}
+        c2 = up(t3, 1)
+        t2 = {k: seat(n, (theta + d2 * s2[k[0]]) * p0(k[1]), d2, pair(*k), seed + 3 * number + 1) for k, n in c2.items()}
+        c1 = up(t2, 1)
+        t1 = {k: seat(n, (theta + d1 * T) / (len(vocabulary) + 1), d1, h(k[0]), seed + 3 * number + 2) for k, n in c1.items()}
+    return (lambda x, v, w: sum(p(x, v, w) for p in kept) / len(kept)), c, vocabulary, texts
+
+
+@pytest.mark.parametrize("deal", [(1, 2_000_000, 3_000_000), (5, 300, 200)])
+def test_language_model_against_brute_force(spark, docs, none, deal):
+    """Scores of a model that seats customer by customer, whichever way rows, chunks and hot contexts are dealt."""
+    parts, chunk, bucket = deal
+    predict, c, vocabulary, texts = brute_model(ROWS)
     held = [zlib.crc32(("" if r[0] is None else str(r[0])).encode()) % 10 == 0 for r in ROWS]
-    c = Counter(t for w, h in zip(tokens, held) if not h for t in w)
-    n = sum(c.values())
-    z = n + 0.1 * (len(c) + 1)
-    want = [(r[0], h, len(w), sum(c[t] > 0 for t in w), n, round(sum(math.log10((c[t] + 0.1) / z) for t in w), 6)) for r, w, h in zip(ROWS, tokens, held)]
-    got = pitmanyor.score(docs, chunk_tokens=500)
-    same(got.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 6)).collect(), want)
-    again = [r.score for r in got.collect()]
-    assert all(s < 0 for s in again) and pitmanyor.score(none).count() == 0
-
-
-def test_predictions_sum_to_one():
-    """One context restaurant: over all known words and the unknown one, probabilities sum to 1."""
-    rng = np.random.default_rng(0)
-    c = np.array([5, 1, 90, 300, 2])
-    d, theta, v = 0.6, 1.0, 5
-    t = pitmanyor._seat(c, np.full(5, 0.4), d, rng)
-    t0 = pitmanyor._seat(t, np.full(5, 0.3), d, rng)
-    assert ((1 <= t) & (t <= c)).all()
-    root = (t - d * t0 + (theta + d * t0.sum()) / (v + 1)) / (theta + t.sum())
-    unknown = (theta + d * t0.sum()) / (v + 1) / (theta + t.sum())
-    p = (c - d * t + (theta + d * t.sum()) * root) / (theta + c.sum())
-    q = (theta + d * t.sum()) * unknown / (theta + c.sum())
-    assert abs(p.sum() + q - 1) < 1e-9
+    n = Counter()
+    for k, x in c.items():
+        n[k[2]] += x
+    total = sum(n.values())
+    z = total + 0.1 * (len(n) + 1)
+    want = {}
+    for r, w, out in zip(ROWS, texts, held):
+        seq = ["<before>", "<start>", *w, "<end>"]
+        base = sum(math.log10((n[t] + 0.1) / z) for t in seq[2:])
+        score = sum(math.log10(predict(*k)) for k in zip(seq, seq[1:], seq[2:]))
+        want.setdefault((r[0], len(w)), (out, len(w) + 1, sum(n[t] > 0 for t in seq[2:]), total, base, score))
+    for r in pitmanyor.score(docs.repartition(parts), chunk_tokens=chunk, bucket_tokens=bucket).collect():
+        x = want[r.doc_id, r.n_tokens - 1]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == x[:4]
+        assert abs(r.base_score - x[4]) < 1e-6 and abs(r.score - x[5]) < 1e-6
+    assert pitmanyor.score(none).count() == 0
+    # over all known words and one unknown, probabilities sum to 1, after contexts that were met and others
+    for x, v in [("<before>", "<start>"), ("<start>", "one"), *[k[:2] for k in list(c)[:3]], ("never", "met"), ("never", "w1")]:
+        assert abs(sum(predict(x, v, w) for w in [*vocabulary, "no such word"]) - 1) < 1e-9
+
+
+def test_language_model_without_training(spark):
+    rows = [(i, t, "en", "s", 1, "", 0) for i, t in ((10, "a b"), (None, None)) if zlib.crc32(str(i or "").encode()) % 10 == 0]
+    got = pitmanyor.score(spark.createDataFrame(rows or [(None, "a b", "en", "s", 1, "", 0)], SCHEMA)).collect()
+    assert all(r.train_tokens == 0 and r.n_known == 0 and r.base_score == 0 and abs(r.score) < 1e-9 for r in got)
+
+
+def test_seating():
+    """Tables by inversion have the mean of customers that toss a coin one by one."""
+    n, c, a, d = 4000, 60, 0.8, 0.6
+    t = pitmanyor.seat(np.full(n, c), np.full(n, a), d, pitmanyor.mix(np.arange(n).astype(np.uint64)), 1)
+    rng, slow = np.random.default_rng(0), np.ones(n)
+    for k in range(1, c):
+        slow += rng.random(n) < a / (a + k - d * slow)
+    assert abs(t.mean() - slow.mean()) < 0.15 and ((1 <= t) & (t <= c)).all()
+    assert abs(pitmanyor._lgamma(np.array([0.1, 1.0, 7.9, 50.5])) - [math.lgamma(x) for x in (0.1, 1.0, 7.9, 50.5)]).max() < 1e-9
 
 
 def test_mixing(docs, none):
