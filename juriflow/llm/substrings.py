@@ -1,23 +1,25 @@
-"""Substring dedup: word windows that occur elsewhere, by prefix-partitioned suffix trees cut at the window's depth.
+"""Substring dedup: prefix-partitioned suffix trees over words, whose internal nodes of `window` words or more are repeats.
 
-A suffix begins at each word of each text. A window of `window` words is repeated if its suffix' path meets another
-suffix at depth `window` or more, that is, if the tree's node at that depth has two leaves; neighbouring repeated windows
-make a maximal repeat, and its words are removed.
+A suffix begins at each word of each text. A window of `window` words is repeated if its suffix shares a path of that depth
+with another suffix, that is, if it hangs below an internal node of depth `window` or more. Such nodes are the maximal
+repeats, and the words on their paths are removed.
 
-Suffixes are split by prefix. In each window the least hash of its `prefix`-word runs, leftmost if equal, is its anchor;
-equal windows have equal anchors, so windows are grouped by their anchor's run, one row for all windows in a row of one
-anchor (about 7 in 100 words begin one). A prefix met once holds leaves only and is passed over. A prefix met up to `group`
-times makes a group that a task holds in memory: its leaves, sorted by path at depth `window`, show the nodes with two
-leaves. A prefix met more often is lengthened by half of what a window adds to it, to the left or to the right of
-the anchor, and splits into groups anew. One that is still met more often is lengthened to the whole window: these paths
-are counted with partial sums and joined back by a plain join, which a very frequent path cannot overload.
+Suffixes are split by what they begin with. In a suffix' first `window` words the run of `prefix` words with the least hash,
+leftmost if equal, is its anchor; suffixes that share `window` words share their anchor, so a group of one anchor holds all
+suffixes that can meet below a deep node. Neighbouring suffixes of one anchor are one row (about 7 in 100 words begin one). A
+group of one row holds no repeat and is passed over. A group of up to `group` rows is a subtree that a task holds in memory: the
+rows' words, which are sent along and compared themselves, become a sorted suffix array by doubling, neighbours' common
+lengths (LCP) are the depths of the tree's internal nodes, and a suffix' deepest node gives the repeat that begins there. A
+group of more rows is split by a longer prefix, half of what a window adds to the anchor, to its left or to its right. One
+that is still too large is split by the whole window: then the group itself is the node, and its leaves are only counted.
 
-Paths are compared by 64-bit hashes of their words. What is shuffled: anchors twice, the texts once (both joins read the
-same exchange) and the paths of repeated prefixes. Repeats are judged on the input, whatever else is removed.
+Rows of frequent anchors don't meet in one task: frequent ones, few as they are, are told apart by a counted broadcast
+(a shuffle beyond `common.BROADCAST_ROWS`) before anything is joined. What is shuffled: anchors twice, the texts once (both
+joins read the same exchange) and the words of repeated rows. Repeats are judged on the input, whatever else is removed.
 
 Defined results: null, empty and blank texts have no words; texts of fewer words than a window lose none; repeated rows
 and equal texts lose all words if they are as long as a window; a window that overlaps its own other occurrence counts;
-an empty table gives an empty table; the result has doc_id and the columns of RESULT only.
+very long texts are cut nowhere; an empty table gives an empty table; the result has doc_id and the columns of RESULT only, spans() rid, lo and hi.
 """
 
 from __future__ import annotations
@@ -27,14 +29,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, as_long, keyed, lists, slices
+from .common import Words, as_long, counted, cut, keyed, slices
 
 WINDOW = 35
 PREFIX = 8
-GROUP = 200_000
+GROUP = 20_000
 RESULT = ("n_words", "n_removed", "kept_sha256")
 
 
@@ -90,51 +93,107 @@ def _anchors(docs: DataFrame, window: int, prefix: int) -> DataFrame:
     return docs.select("rid", "text").mapInArrow(found, "anchor long, rid long, at int")
 
 
-def _paths(docs: DataFrame, window: int, prefix: int, lengthened: bool) -> DataFrame:
-    """docs: (rid, doc_id, text, ats) -> (anchor, rid, at, paths): the windows of the runs that ats lists, by prefix."""
+def _rows(docs: DataFrame, window: int, prefix: int, lengthened: bool) -> DataFrame:
+    """docs: (rid, doc_id, text, ats) -> (anchor, rid, at, n, words): the suffixes of the rows that ats lists; words: the text they run over."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole):
                 w = Words(batch.column(2))
-                anchor, start, size, path = anchored(w, window, prefix)
+                anchor, start, size, _ = anchored(w, window, prefix)
                 ats = batch.column(3)
                 doc = np.repeat(np.arange(batch.num_rows), np.asarray(pa.compute.list_value_length(ats)))
                 wanted = np.asarray(ats.flatten()).astype(np.int64) + w.first[doc]
                 mine = np.isin(start, wanted)
-                if lengthened:  # windows of the wanted runs, each run in one piece or two
+                if lengthened:  # suffixes of the wanted rows, each row in one piece or two
                     piece, first, n, _ = anchored(w, window, prefix, True)
                     mine = mine[np.searchsorted(start, first, "right") - 1]
                     anchor, start, size = piece, first, n
                 anchor, start, size = anchor[mine], start[mine], size[mine]
                 doc = np.searchsorted(w.first, start, "right") - 1
-                ends = np.cumsum(size)
-                index = np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - (ends - size), size)
+                raw = w.data.tobytes()
+                words = [raw[a:b] for a, b in zip(w.starts[start].tolist(), w.ends[start + size + window - 2].tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [
                         as_long(anchor),
                         batch.column(0).take(pa.array(doc)),
                         pa.array((start - w.first[doc]).astype(np.int32)),
-                        lists(as_long(path[index]), size),
+                        pa.array(size.astype(np.int32)),
+                        pa.array(words, pa.binary()),
                     ],
-                    ["anchor", "rid", "at", "paths"],
+                    ["anchor", "rid", "at", "n", "words"],
                 )
 
-    return docs.mapInArrow(found, "anchor long, rid long, at int, paths array<long>")
+    return docs.mapInArrow(found, "anchor long, rid long, at int, n int, words binary")
 
 
-def _subtrees(paths: DataFrame, window: int) -> DataFrame:
-    """(rid, lo, hi): words covered by nodes with two leaves; paths: sorted by anchor, each anchor in one partition."""
+class SuffixTree:
+    """The suffixes of some word sequences as a sorted array with common lengths, that is, a suffix tree's leaves and inner depths.
+
+    ids: words as whole numbers, equal for equal words only; stop: for each place, the end of its sequence; places: where suffixes begin.
+    """
+
+    def __init__(self, ids: np.ndarray, stop: np.ndarray, places: np.ndarray):
+        n = len(ids)
+        left = stop - np.arange(n)
+        self.ranks = [ids.astype(np.int64) + 1]  # of 1, 2, 4 .. words; a sequence's end is less than any word
+        most = int(left.max()) if n else 0
+        width = 1
+        while width < most:
+            rank = self.ranks[-1]
+            then = np.zeros(n, np.int64)
+            then[:-width] = np.where(left[:-width] > width, rank[width:], 0)
+            _, name = np.unique(rank.astype(np.uint64) << np.uint64(32) | then.astype(np.uint64), return_inverse=True)
+            self.ranks.append(name.astype(np.int64) + 1)
+            width *= 2
+        self.leaves = places[np.argsort(self.ranks[-1][places], kind="stable")]
+        self.common = self._common(self.leaves[:-1], self.leaves[1:], left)  # of each leaf and the next
+
+    def _common(self, a: np.ndarray, b: np.ndarray, left: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(a), np.int64)
+        room = np.minimum(left[a], left[b])
+        for k in range(len(self.ranks) - 1, -1, -1):
+            width, rank = 1 << k, self.ranks[k]
+            for _ in range(2 if k == len(self.ranks) - 1 else 1):
+                fits = np.flatnonzero(out + width <= room)
+                fits = fits[rank[a[fits] + out[fits]] == rank[b[fits] + out[fits]]]
+                out[fits] += width
+        return out
+
+    def deepest(self) -> tuple[np.ndarray, np.ndarray]:
+        """(place, depth of the deepest internal node above it) of all leaves."""
+        edge = np.zeros(1, np.int64)
+        return self.leaves, np.maximum(np.concatenate([edge, self.common]), np.concatenate([self.common, edge]))[: len(self.leaves)]
+
+
+def word_ids(w: Words) -> np.ndarray:
+    """A number for each word, the same for the same bytes only."""
+    inside = np.ones(len(w.data), bool)
+    size = w.ends - w.starts
+    bounds = np.zeros(len(w.data) + 1, np.int8)
+    bounds[w.starts] += 1
+    np.subtract.at(bounds, w.ends, 1)
+    inside = np.cumsum(bounds[:-1], dtype=np.int8).astype(bool)
+    offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+    column = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(w.data[inside])])
+    return np.asarray(column.dictionary_encode().indices)
+
+
+def _subtrees(rows: DataFrame, window: int) -> DataFrame:
+    """(rid, lo, hi): words on the paths of nodes of depth `window` or more; rows: sorted by anchor, each anchor in one partition."""
 
     def nodes(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sizes = np.asarray(pa.compute.list_value_length(batch.column(3)))
-        leaf = np.asarray(batch.column(3).flatten())
-        row = np.repeat(np.arange(batch.num_rows), sizes)
-        first = np.cumsum(sizes) - sizes
-        word = np.asarray(batch.column(2)).astype(np.int64)[row] + np.arange(len(leaf)) - first[row]
-        _, node, leaves = np.unique(leaf, return_inverse=True, return_counts=True)
-        again = leaves[node] > 1 if len(leaf) else np.zeros(0, bool)
-        row, word = row[again], word[again]
+        w = Words(batch.column(4))
+        size = np.asarray(batch.column(3)).astype(np.int64)
+        row = np.repeat(np.arange(batch.num_rows), size)
+        inside = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+        place, depth = SuffixTree(word_ids(w), w.first[1:].repeat(w.counts), w.first[row] + inside).deepest()
+        deep = np.zeros(len(w.hashes), np.int64)
+        deep[place] = depth
+        depth = deep[w.first[row] + inside]
+        word = np.asarray(batch.column(2)).astype(np.int64)[row] + inside
+        again = depth >= window
+        row, word, depth = row[again], word[again], depth[again]
         opens = np.ones(len(row), bool)
         opens[1:] = (row[1:] != row[:-1]) | (word[1:] != word[:-1] + 1)
         head = np.flatnonzero(opens)
@@ -143,13 +202,13 @@ def _subtrees(paths: DataFrame, window: int) -> DataFrame:
             [
                 batch.column(1).take(pa.array(row[head])),
                 pa.array(word[head].astype(np.int32)),
-                pa.array((word[last] + window).astype(np.int32)),
+                pa.array((word[last] + depth[last]).astype(np.int32)),
             ],
             ["rid", "lo", "hi"],
         )
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []  # rows of the last prefix so far, `group` at most
+        held: list[pa.RecordBatch] = []  # rows of the last anchor so far, `group` at most
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -167,7 +226,23 @@ def _subtrees(paths: DataFrame, window: int) -> DataFrame:
             for piece in pa.Table.from_batches(held).combine_chunks().to_batches():
                 yield nodes(piece)
 
-    return paths.mapInArrow(found, "rid long, lo int, hi int")
+    return rows.mapInArrow(found, "rid long, lo int, hi int")
+
+
+def _windows(rows: DataFrame, window: int) -> DataFrame:
+    """(path, rid, lo): each suffix of rows by its first `window` words, as 128 bits of them."""
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            path, rid, lo = [], [], []
+            for r, at, n, text in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3, 4))):
+                words = text.split()
+                path += [xxhash.xxh3_128_digest(b" ".join(words[i : i + window])) for i in range(n)]
+                rid += [r] * n
+                lo += range(at, at + n)
+            yield pa.RecordBatch.from_arrays([pa.array(path, pa.binary()), pa.array(rid, pa.int64()), pa.array(lo, pa.int32())], ["path", "rid", "lo"])
+
+    return rows.mapInArrow(found, "path binary, rid long, lo int")
 
 
 def _left(docs: DataFrame) -> DataFrame:
@@ -192,30 +267,38 @@ def _left(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(found, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
-def dedup(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX, group: int = GROUP) -> DataFrame:
-    """doc_id, n_words, n_removed and kept_sha256 (of the kept words, joined by a space) of each of docs."""
-    own = keyed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "rid").select("rid", "doc_id", "text")
-    anchors = _anchors(own, window, prefix)
-    again = anchors.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
-    met = anchors.join(again, "anchor")
+def _met(rows: DataFrame, key: str, most: int) -> tuple[DataFrame, DataFrame]:
+    """rows whose key others have too: those of keys met up to `most` times, and those of the frequent ones, which no join gathers."""
+    again = rows.groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1")
+    hot = counted(again.where(F.col("_n") > most).select(key))
+    return rows.join(hot, key, "left_anti").join(again.where(F.col("_n") <= most).select(key), key), rows.join(hot, key)
+
+
+def spans(own: DataFrame, window: int = WINDOW, prefix: int = PREFIX, group: int = GROUP) -> DataFrame:
+    """(rid, lo, hi): runs of repeated words of own: (rid, doc_id, text); runs may overlap."""
 
     def listed(runs: DataFrame, lengthened: bool = False) -> DataFrame:
         ats = runs.groupBy("rid").agg(F.collect_list("at").alias("ats"))
-        return _paths(own.join(ats, "rid").select("rid", "doc_id", "text", "ats"), window, prefix, lengthened)
-
-    def subtrees(paths: DataFrame) -> DataFrame:
-        return _subtrees(paths.repartition("anchor").sortWithinPartitions("anchor"), window)
-
-    spans = subtrees(listed(met.where(F.col("n") <= group)))
-    if again.where(F.col("n") > group).limit(1).count():
-        # one plan with the rest, so that its join reads the same exchange of the texts
-        often = listed(met.where(F.col("n") > group), lengthened=True)
-        longer = often.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
-        spans = spans.union(subtrees(often.join(longer.where(F.col("n") <= group).drop("n"), "anchor")))
-        leaves = often.join(longer.where(F.col("n") > group).drop("n"), "anchor")
-        leaves = leaves.select("rid", "at", F.posexplode("paths").alias("_i", "path"))
-        leaves = leaves.select("rid", "path", (F.col("at") + F.col("_i")).alias("lo"))
-        deep = leaves.groupBy("path").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-        spans = spans.union(leaves.join(deep, "path").select("rid", "lo", (F.col("lo") + window).alias("hi")))
-    gone = spans.groupBy("rid").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+        return _rows(own.join(ats, "rid").select("rid", "doc_id", "text", "ats"), window, prefix, lengthened)
+
+    def subtrees(rows: DataFrame) -> DataFrame:
+        return _subtrees(rows.select("anchor", "rid", "at", "n", "words").repartition("anchor").sortWithinPartitions("anchor"), window)
+
+    few, many = _met(_anchors(own, window, prefix), "anchor", group)
+    out = subtrees(listed(few))
+    if not many.limit(1).count():
+        return out
+    few, many = _met(cut(listed(many, lengthened=True)), "anchor", group)
+    out = out.union(subtrees(few))
+    if not many.limit(1).count():
+        return out
+    leaves = cut(_windows(many, window))
+    few, many = _met(leaves, "path", group)
+    return out.union(few.union(many).select("rid", "lo", (F.col("lo") + window).alias("hi")))
+
+
+def dedup(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX, group: int = GROUP) -> DataFrame:
+    """doc_id, n_words, n_removed and kept_sha256 (of the kept words, joined by a space) of each of docs."""
+    own = keyed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "rid").select("rid", "doc_id", "text")
+    gone = spans(own, window, prefix, group).groupBy("rid").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
     return _left(own.join(gone, "rid", "left").select("rid", "doc_id", "text", "spans"))
