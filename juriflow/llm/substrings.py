@@ -33,11 +33,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, as_long, counted, cut, keyed, slices
+from .common import BROADCAST_ROWS, Words, as_long, cut, keyed, slices
 
 WINDOW = 35
 PREFIX = 8
-GROUP = 20_000
+GROUP = 2_000
 RESULT = ("n_words", "n_removed", "kept_sha256")
 
 
@@ -267,10 +267,13 @@ def _left(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(found, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
-def _met(rows: DataFrame, key: str, most: int) -> tuple[DataFrame, DataFrame]:
-    """rows whose key others have too: those of keys met up to `most` times, and those of the frequent ones, which no join gathers."""
-    again = rows.groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1")
-    hot = counted(again.where(F.col("_n") > most).select(key))
+def _met(rows: DataFrame, key: str, most: int) -> tuple[DataFrame, DataFrame | None]:
+    """rows whose key others have too: those of keys met up to `most` times, and those of frequent ones (None without any), which no join gathers."""
+    again = cut(rows.groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1"))
+    hot = again.where(F.col("_n") > most).select(key)
+    if not (n := hot.count()):
+        return rows.join(again.select(key), key), None
+    hot = F.broadcast(hot) if n <= BROADCAST_ROWS else hot
     return rows.join(hot, key, "left_anti").join(again.where(F.col("_n") <= most).select(key), key), rows.join(hot, key)
 
 
@@ -286,15 +289,15 @@ def spans(own: DataFrame, window: int = WINDOW, prefix: int = PREFIX, group: int
 
     few, many = _met(_anchors(own, window, prefix), "anchor", group)
     out = subtrees(listed(few))
-    if not many.limit(1).count():
+    if many is None:
         return out
     few, many = _met(cut(listed(many, lengthened=True)), "anchor", group)
     out = out.union(subtrees(few))
-    if not many.limit(1).count():
+    if many is None:
         return out
     leaves = cut(_windows(many, window))
     few, many = _met(leaves, "path", group)
-    return out.union(few.union(many).select("rid", "lo", (F.col("lo") + window).alias("hi")))
+    return out.union((few if many is None else few.union(many)).select("rid", "lo", (F.col("lo") + window).alias("hi")))
 
 
 def dedup(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX, group: int = GROUP) -> DataFrame:
