@@ -8,9 +8,8 @@ a customer of the parent.
 
 Gibbs: a sweep lets all customers of a dish in a restaurant leave and seats them again one after the other, a new table with
 probability a / (a + n - d t), a = (theta + d T) P_parent(dish), for n customers and t tables of the dish so far and T
-tables in the restaurant. The number of the customer who opens the next table is drawn by inverting the chance that none
-has opened one so far, a quotient of gamma functions: the same rule for two customers or a billion, and its cost is
-the tables, not the customers. All restaurants of a level go on at once, under the totals of the sweep before. The first
+tables in the restaurant. Each customer has a random number of its own, so that the decisions of all dishes' customers can be followed
+at once: the same rule for two customers or a billion (see seat). All restaurants of a level go on at once, under the totals of the sweep before. The first
 `burn` sweeps are passed over, and the predictive probabilities of the others are averaged. Every draw is a hash of dish,
 restaurant and sweep, and all counts are whole numbers, so scores don't depend on how the input is dealt (but for the last bits of sums).
 Discounts are estimated from the numbers of dishes with one and two customers, level by level.
@@ -19,7 +18,7 @@ How it is spread: a bucket holds the restaurants of its last tokens and those be
 local. The dishes of a last token with more than a quarter of a bucket's share of all tokens are dealt over all
 buckets by hash (`frequent` finds them; this changes where things are, not what they are). What buckets share is summed by key in
 parts: the root's customers of each word, and the totals of restaurants whose dishes are spread. Buckets send keys
-once and then what has changed; parts seat the root and send sums back. The blocks of tokens are shuffled once: all passes
+once and then what has changed; parts seat the root and send sums back, and with them the bucket's own seating. The blocks of tokens are shuffled once: all passes
 read the same exchange within one plan, so that a lost executor's share is made again from it or from the input.
 
 What moves: for each chunk of about `chunk_tokens` tokens and each bucket one block of hashes, different triples and the
@@ -35,6 +34,7 @@ without training documents base_score is that of N = V = 0 and score that of the
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -46,14 +46,16 @@ from .common import Words, keyed, mix, slices
 SWEEPS = 3
 BURN = 1
 THETA = 1.0
-CHUNK_TOKENS = 2_000_000
-BUCKET_TOKENS = 2_000_000
+CHUNK_TOKENS = 4_000_000
+BUCKET_TOKENS = 3_000_000
 SEED = 7
 RESULT = ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 #: Any fixed values: the hashes of the end and of the two places before a text, and what tells kinds of keys and draws apart.
-_END, _START, _BEFORE = (np.uint64(x) for x in (0x2545F4914F6CDD1D, 0x9FB21C651E98DF25, 0xC2B2AE3D27D4EB4F))
+_END, _START, _BEFORE = (np.uint64(x) for x in (0x2545F4914F6CDD00, 0x9FB21C651E98DF00, 0xC2B2AE3D27D4EB00))
 _ONE, _TWO, _THREE, _STEP = (np.uint64(x) for x in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3))
+#: Words are told apart by 56 bits of their hash, which spares an eighth of what is shuffled.
+_MASK = np.uint64((1 << 64) - 256)
 _STATS = ("ones3", "twos3", "ones2", "twos2", "customers", "tables", "V", "N", "ones1", "twos1")
 _BLOCK = "bucket int, chunk long, n_docs int, block binary"
 _NUMBERS = ", ".join(f"{s} double" for s in _STATS)
@@ -80,7 +82,7 @@ def _tokens(batch: pa.RecordBatch, text: int) -> tuple[np.ndarray, np.ndarray, n
     doc = np.repeat(np.arange(len(n)), n)
     inside = np.ones(len(hashes), bool)
     inside[first + w.counts] = False
-    hashes[inside] = w.hashes
+    hashes[inside] = w.hashes & _MASK
     one, two = np.empty_like(hashes), np.empty_like(hashes)
     one[1:], two[2:] = hashes[:-1], hashes[:-2]
     two[first] = _BEFORE
@@ -169,26 +171,30 @@ def _blocks(docs: DataFrame, spread: list[int], buckets: int, chunk_tokens: int)
     def flush(parts: list[tuple], first: int, n_docs: int) -> pa.RecordBatch:
         w, v, x, doc = (np.concatenate([p[k] for p in parts]) for k in range(4))
         train = np.packbits(np.concatenate([p[4] for p in parts]))
-        pair = pair_key(v, w)
-        tri = triple_key(x, pair)
-        bucket = _place(np.where(np.isin(v, hot), pair, mix(v)), buckets)
+        parts.clear()
+        key = pair_key(v, w)
+        bucket = _place(np.where(np.isin(v, hot), key, mix(v)), buckets)
         half = (np.uint64(64) - bits) >> np.uint64(1)
         # equal triples get neighbours, but for chance; those of one last token, too
-        order = np.argsort(bucket << np.uint64(64) - bits | (v >> np.uint64(64) - half) << half | tri >> np.uint64(64) - half)
-        w, v, x, doc, tri, bucket = (a[order] for a in (w, v, x, doc, tri, bucket))
-        opens = np.append(True, (tri[1:] != tri[:-1]) | (bucket[1:] != bucket[:-1]))
-        edges = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
+        key = triple_key(x, key) >> np.uint64(64) - half
+        key |= bucket << np.uint64(64) - bits | (v >> np.uint64(64) - half) << half
+        edges = np.append(0, np.cumsum(np.bincount(bucket.astype(np.int64), minlength=buckets)))
+        bucket = None
+        order = np.argsort(key)
+        key = None
         rows = []
-        for b in np.flatnonzero(np.diff(edges)):
-            lo, hi = edges[b], edges[b + 1]
-            heads = np.flatnonzero(opens[lo:hi]) + lo
+        for b in np.flatnonzero(np.diff(edges)).tolist():
+            own = order[edges[b] : edges[b + 1]]
+            tri = triple_key(x[own], pair_key(v[own], w[own]))
+            opens = np.flatnonzero(np.append(True, tri[1:] != tri[:-1]))
+            heads, n = own[opens], len(opens)
             known, at, often = np.unique(np.concatenate([x[heads], v[heads], w[heads]]), return_inverse=True, return_counts=True)
             by = np.argsort(np.uint16(65535) - np.minimum(often, 65535).astype(np.uint16), kind="stable")  # frequent words get low numbers
             rank = np.empty(len(by), np.int64)
             rank[by] = np.arange(len(by))
             known, at = known[by], _small(rank[at])
-            n = len(heads)
-            rows.append((int(b), _pack(_steps(known), at[:n], at[n : 2 * n], at[2 * n :], _small(np.diff(np.append(heads, hi))), _small(doc[lo:hi]), train)))
+            size = _small(np.diff(np.append(opens, len(own))))
+            rows.append((b, _pack(_steps(known), at[:n], at[n : 2 * n], at[2 * n :], size, _small(doc[own]), train)))
         n = len(rows)
         return pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in rows], pa.int32()), pa.array([first] * n, pa.int64()), pa.array([n_docs] * n, pa.int32()),
@@ -206,7 +212,7 @@ def _blocks(docs: DataFrame, spread: list[int], buckets: int, chunk_tokens: int)
                 if not parts:
                     first = rid
                 w, v, x, doc = _tokens(batch, 2)
-                parts.append((w, v, x, doc + n_docs, ~np.asarray(batch.column(1).cast(pa.uint8())).astype(bool)))
+                parts.append((w, v, x, (doc + n_docs).astype(np.int32), ~np.asarray(batch.column(1).cast(pa.uint8())).astype(bool)))
                 n_docs, n = n_docs + batch.num_rows, n + len(w)
         if parts:
             yield flush(parts, first, n_docs)
@@ -216,44 +222,48 @@ def _blocks(docs: DataFrame, spread: list[int], buckets: int, chunk_tokens: int)
 
 # ---- seating -------------------------------------------------------------------------------------------------
 
-
-def _lgamma(x: np.ndarray) -> np.ndarray:
-    """Logarithm of the gamma function for x > 0 (Stirling's series beyond 8, where shifted)."""
-    shift = np.zeros_like(x)
-    y = x.copy()
-    while (low := y < 8).any():
-        shift[low] += np.log(y[low])
-        y[low] += 1
-    r = 1 / (y * y)
-    return (y - 0.5) * np.log(y) - y + 0.9189385332046727 + (1 / 12 - r * (1 / 360 - r * (1 / 1260 - r * (1 / 1680 - r / 1188)))) / y - shift
+#: Customers whose numbers are drawn at a time.
+DRAWS = 1 << 20
 
 
 def seat(c: np.ndarray, a: np.ndarray, d: float, key: np.ndarray, salt: int) -> np.ndarray:
     """Tables of dishes whose c customers sit down one after the other: a new table with probability a / (a + n - d t).
 
-    The chance that the customers after the n-th up to the m-th open none is a product, G(m) / G(n) with G(m) = gamma(m - d t) /
-    gamma(a + m - d t); the first m at which it falls below a uniform number opens the next table.
+    Customer n (from 0) has the uniform number u of dish, salt and n, and opens a table if u (a + n - d t) < a, that is, if there
+    are more than r = (u (a + n) - a) / (d u) tables. As t <= n, only customers with r < n can. They are few, are sifted out piece by piece,
+    and their chain of decisions is followed for all dishes at once: from no tables but the first, each round
+    counts who opens one given those so far, until nobody is added. This is what they would do one by one, whatever c is.
     """
     t = (c > 0).astype(np.int64)
-    live = np.flatnonzero(c > 1)
-    n, stream = np.ones(len(live)), mix(key[live] ^ mix(np.full(len(live), salt, np.uint64)))
-    number = 0
-    while len(live):
-        number += 1
-        u = np.log(((mix(stream + np.uint64(number * int(_STEP) & (1 << 64) - 1)) >> np.uint64(11)).astype(np.float64) + 1.0) * 2.0**-53)
-        most, extra, sat = c[live].astype(np.float64), a[live], d * t[live]
-        base = _lgamma(n - sat) - _lgamma(extra + n - sat) + u
-        again = _lgamma(most - sat) - _lgamma(extra + most - sat) < base
-        live, n, stream, most, extra, sat, base = (z[again] for z in (live, n, stream, most, extra, sat, base))
-        lo, hi = n, most  # the next table's customer is after lo, hi at the latest
-        while (wide := np.flatnonzero(hi - lo > 1)).size:
-            mid = np.floor((lo[wide] + hi[wide]) / 2)
-            below = _lgamma(mid - sat[wide]) - _lgamma(extra[wide] + mid - sat[wide]) < base[wide]
-            lo, hi = lo.copy(), hi.copy()
-            hi[wide[below]], lo[wide[~below]] = mid[below], mid[~below]
-        t[live] += 1
-        more = hi < most
-        live, n, stream = live[more], hi[more], stream[more]
+    many = np.flatnonzero(c > 1)
+    if not len(many):
+        return t
+    stream = mix(key[many] ^ mix(np.full(len(many), salt, np.uint64)))
+    ends = np.cumsum(c[many] - 1)
+    extra = a[many]
+    dishes, thresholds = [], []
+    for lo in range(0, int(ends[-1]), DRAWS):
+        hi = min(lo + DRAWS, int(ends[-1]))
+        i, j = np.searchsorted(ends, lo, "right"), np.searchsorted(ends, hi, "left")
+        size = np.minimum(ends[i : j + 1], hi) - np.maximum(ends[i : j + 1] - (c[many[i : j + 1]] - 1), lo)
+        dish = np.repeat(np.arange(i, j + 1), size)
+        n = np.arange(lo, hi) - (ends - (c[many] - 1))[dish] + 1
+        u = ((mix(stream[dish] + n.astype(np.uint64) * _STEP) >> np.uint64(11)).astype(np.float64) + 1.0) * 2.0**-53
+        r = (u * (extra[dish] + n) - extra[dish]) / (d * u)
+        can = np.flatnonzero(r < n)
+        dishes.append(dish[can])
+        thresholds.append(r[can])
+    dish, r = np.concatenate(dishes), np.concatenate(thresholds)
+    opens = np.append(True, dish[1:] != dish[:-1]) if len(dish) else np.zeros(0, bool)
+    first = np.repeat(np.flatnonzero(opens), np.diff(np.append(np.flatnonzero(opens), len(dish))))
+    new = r < 1
+    while len(new):
+        before = np.append(0, np.cumsum(new))
+        more = r < 1 + before[:-1] - before[first]
+        if (more == new).all():
+            break
+        new = more
+    t[many] += np.bincount(dish[new], minlength=len(many))
     return t
 
 
@@ -323,7 +333,7 @@ class _Bucket:
         return np.concatenate([words, self.customers[self.far], np.zeros(2 * len(self.far_last), np.int64)])[self.order]
 
     def message(self, state: tuple, number: int, bucket: int, before: tuple = (0.0, 0.0, 0.0)) -> Iterator[tuple]:
-        """(part, bucket, round, block, counts of counts, V, root tables and discount): keys and sums at first, in later rounds what has been added."""
+        """Rows of _MESSAGE: keys and sums at first, in later rounds what has been added, and the state itself, which comes back."""
         now, counts = self.shared(state), [0.0] * 4
         if number == 0:
             fixed = self.fixed()
@@ -338,36 +348,48 @@ class _Bucket:
                 block = _pack(_steps(key[:cut]), _steps(key[cut:]), _small(now[own]), _small(fixed[own]))
             else:
                 block = _pack(_small(now[own]))
-            yield p, bucket, number, block, *counts, *before
+            yield p, bucket, number, False, block, *counts, *before
             counts = [0.0] * 4
+        if number:
+            t3, c2, t2 = state
+            yield bucket % self.parts, bucket, number, True, _pack(_small(t3[self.c > 1]), _small(t2[c2 > 1])), *counts, *before
 
-    def replies(self, back: pa.Table) -> list[dict]:
-        """By round: sums and root tables in the order of keys, and the numbers of the whole model."""
+    def replies(self, back: pa.Table) -> dict[int, dict]:
+        """By round: its state, the sums and root tables in the order of keys, and the numbers of the whole model."""
         rounds: dict[int, dict] = {}
         for r in back.sort_by([("round", "ascending"), ("part", "ascending")]).to_pylist():
             x = rounds.setdefault(r["round"], {"sum": [], "tables1": [], "fixed": [], **{s: r[s] for s in _STATS}})
+            if r["state"]:
+                few, pairs = (z.astype(np.int64) for z in _unpack(r["block"], 2))
+                t3 = (self.c > 0).astype(np.int64)
+                t3[self.c > 1] = few
+                c2 = self._sum(self.pair_of, t3, len(self.pair))
+                t2 = (c2 > 0).astype(np.int64)
+                t2[c2 > 1] = pairs
+                x["state"] = t3, c2, t2
+                continue
             for name, z in zip(("sum", "tables1", "fixed"), _unpack(r["block"], 3)):
                 x[name].append(z)
-        out = [rounds[k] for k in sorted(rounds)]
-        for x in out:
+        rounds[0]["state"] = self.start()
+        n, f, g = len(self.word), len(self.far), len(self.far_last)
+        for x in rounds.values():
             inside = np.empty(len(self.order), np.int64)
             inside[self.order] = np.concatenate(x["sum"])
-            n, f, g = len(self.word), len(self.far), len(self.far_last)
             x["c1"], x["far"], x["far_c"], x["far_t"] = np.split(inside, [n, n + f, n + f + g])
             x["t1"] = np.empty(n, np.int64)
             x["t1"][self.order[self.rank == 0]] = np.concatenate(x["tables1"])
+        first = rounds[0]
         fixed = np.empty(len(self.order), np.int64)
-        fixed[self.order] = np.concatenate(out[0]["fixed"])
-        self.seen, self.customers = fixed[: len(self.word)], self.customers.copy()
-        self.customers[self.far] = fixed[len(self.word) : len(self.word) + len(self.far)]
-        first = out[0]
+        fixed[self.order] = np.concatenate(first["fixed"])
+        self.seen, self.customers = fixed[:n], self.customers.copy()
+        self.customers[self.far] = fixed[n : n + f]
         self.d = [discount(first[f"ones{k}"], first[f"twos{k}"]) for k in (1, 2, 3)]
         self.V, self.N = first["V"], first["N"]
-        return out
+        return rounds
 
-    def parents(self, state: tuple, x: dict, theta: float) -> tuple[np.ndarray, ...]:
-        """Root's probabilities of words, last tokens' of pairs, and tables of last tokens and contexts, under a state and the reply to it."""
-        t3, c2, t2 = state
+    def parents(self, x: dict, theta: float) -> tuple[np.ndarray, ...]:
+        """Root's probabilities of words, last tokens' of pairs, and tables of last tokens and contexts, under a round's state."""
+        t3, c2, t2 = x["state"]
         d1, d2, _ = self.d
         p0 = (x["c1"] - d1 * x["t1"] + (theta + d1 * x["tables"]) / (self.V + 1)) / (theta + x["customers"])
         customers, tables = (self._sum(self.last_of, z, len(self.last)) for z in (c2, t2))
@@ -377,28 +399,28 @@ class _Bucket:
         below[self.far] = x["far"]
         return p0, p1, tables, below
 
-    def sweep(self, state: tuple, x: dict, theta: float, number: int) -> tuple:
+    def sweep(self, x: dict, theta: float, number: int) -> tuple:
         """The state after one more sweep."""
         _, d2, d3 = self.d
-        p0, p1, tables, below = self.parents(state, x, theta)
+        p0, p1, tables, below = self.parents(x, theta)
         t3 = seat(self.c, (theta + d3 * below[self.context_of]) * p1[self.pair_of], d3, self.tri, self.seed + 3 * number)
         c2 = self._sum(self.pair_of, t3, len(self.pair))
         return t3, c2, seat(c2, (theta + d2 * tables[self.last_of]) * p0[self.word_of], d2, self.pair, self.seed + 3 * number + 1)
 
-    def predict(self, state: tuple, x: dict, theta: float) -> np.ndarray:
+    def predict(self, x: dict, theta: float) -> np.ndarray:
         """Probability of each triple's word after its context."""
-        _, p1, _, below = self.parents(state, x, theta)
+        _, p1, _, below = self.parents(x, theta)
         d3, of = self.d[2], self.context_of
-        return (self.c - d3 * state[0] + (theta + d3 * below[of]) * p1[self.pair_of]) / (theta + self.customers[of])
+        return (self.c - d3 * x["state"][0] + (theta + d3 * below[of]) * p1[self.pair_of]) / (theta + self.customers[of])
 
 
 _COUNTS = _STATS[:4]
-_MESSAGE = "part int, bucket int, round int, block binary, " + ", ".join(f"{c} double" for c in (*_COUNTS, "V", "T", "d"))
-_REPLY = f"bucket int, part int, round int, block binary, {_NUMBERS}"
+_MESSAGE = "part int, bucket int, round int, state boolean, block binary, " + ", ".join(f"{c} double" for c in (*_COUNTS, "V", "T", "d"))
+_REPLY = f"bucket int, part int, round int, state boolean, block binary, {_NUMBERS}"
 
 
 def _batches(rows: Iterator[tuple], schema: str) -> pa.Table:
-    kinds = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "binary": pa.binary()}
+    kinds = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "binary": pa.binary(), "boolean": pa.bool_()}
     fields = [pa.field(n, kinds[t]) for n, t in (x.strip().split(" ") for x in schema.split(","))]
     columns = list(zip(*rows)) or [()] * len(fields)
     return pa.table([pa.array(c, f.type) for c, f in zip(columns, fields)], schema=pa.schema(fields))
@@ -407,12 +429,17 @@ def _batches(rows: Iterator[tuple], schema: str) -> pa.Table:
 def _answers(messages: pa.Table, number: int, theta: float, seed: int) -> Iterator[tuple]:
     """The replies of one part in a round, a row of _REPLY for each bucket; the numbers are in the first."""
     first, later, stats = {}, {}, dict.fromkeys(_STATS, 0.0)
+    part = messages.column("part")[0].as_py()
     for r in messages.to_pylist():
+        if r["state"]:  # goes back as it is
+            yield r["bucket"], part, number, True, r["block"], *([0.0] * len(_STATS))
+            continue
         (first if r["round"] == 0 else later)[r["bucket"]] = r
         for s in _COUNTS:
             stats[s] += r[s]
-    part, buckets = messages.column("part")[0].as_py(), sorted(first)
-    sent = []
+    buckets, sent = sorted(first), []
+    if not buckets:
+        return
     for b in buckets:
         x, y, a, f = _unpack(first[b]["block"], 4)
         a = a.astype(np.int64)
@@ -435,7 +462,7 @@ def _answers(messages: pa.Table, number: int, theta: float, seed: int) -> Iterat
     stats |= {"customers": float(c1.sum()), "tables": float(t1.sum())}
     for b, i, j in zip(buckets, words, others):
         fixed = np.concatenate([seen[i], far_fixed[j]]) if number == 0 else np.zeros(0, np.int64)
-        yield b, part, number, _pack(_small(np.concatenate([c1[i], far[j]])), _small(t1[i]), _small(fixed)), *stats.values()
+        yield b, part, number, False, _pack(_small(np.concatenate([c1[i], far[j]])), _small(t1[i]), _small(fixed)), *stats.values()
         stats = dict.fromkeys(_STATS, 0.0)
 
 
@@ -464,20 +491,11 @@ def score(
         b = _Bucket(blocks, spread, buckets, seed)
         return _batches(b.message(b.start(), 0, bucket_of(blocks)), _MESSAGE)
 
-    def states(b: _Bucket, rounds: list[dict]) -> Iterator[tuple]:
-        """The states that rounds are the replies to, and the one after them."""
-        state = b.start()
-        for number, x in enumerate(rounds, 1):
-            yield state
-            state = b.sweep(state, x, theta, number)
-        yield state
-
     def again(number: int):
         def swept(blocks: pa.Table, back: pa.Table) -> pa.Table:
             b = _Bucket(blocks, spread, buckets, seed)
-            rounds = b.replies(back)
-            *_, state = states(b, rounds)
-            return _batches(b.message(state, number, bucket_of(blocks), (b.V, rounds[-1]["tables"], b.d[0])), _MESSAGE)
+            x = b.replies(back)[number - 1]
+            return _batches(b.message(b.sweep(x, theta, number), number, bucket_of(blocks), (b.V, x["tables"], b.d[0])), _MESSAGE)
 
         return swept
 
@@ -488,25 +506,21 @@ def score(
         return answered
 
     first = raw.groupBy("bucket").applyInArrow(begin, _MESSAGE).repartition(buckets, "part")
-    back = None
+    replies: list[DataFrame] = []
     for number in range(sweeps + 1):
         sent = first
         if number:
+            back = replies[0] if number == 1 else replies[0].union(replies[-1])
             later = raw.groupBy("bucket").cogroup(back.groupBy("bucket")).applyInArrow(again(number), _MESSAGE)
             sent = first.union(later.repartition(buckets, "part"))
-        replies = sent.groupBy("part").applyInArrow(answers(number), _REPLY).repartition(buckets, "bucket")
-        numbers = replies.agg(*[F.sum(s).alias(s) for s in _STATS])  # one row, from the exchange that the replies take, too
-        replies = replies.drop(*_STATS).crossJoin(F.broadcast(numbers))
-        back = replies if back is None else back.union(replies)
+        reply = sent.groupBy("part").applyInArrow(answers(number), _REPLY).repartition(buckets, "bucket")
+        numbers = reply.agg(*[F.sum(s).alias(s) for s in _STATS])  # one row, from the exchange that the replies take, too
+        replies.append(reply.drop(*_STATS).crossJoin(F.broadcast(numbers)))
 
     def scored(blocks: pa.Table, back: pa.Table) -> pa.Table:
         b = _Bucket(blocks, spread, buckets, seed)
         rounds = b.replies(back)
-        mean = np.zeros(len(b.c))
-        for number, state in enumerate(states(b, rounds[:-1])):
-            if number > burn:
-                mean += b.predict(state, rounds[number], theta) / (sweeps - burn)
-        p = np.log10(mean)
+        p = np.log10(sum(b.predict(rounds[k], theta) for k in range(burn + 1, sweeps + 1)) / (sweeps - burn))
         word = b.word_of[b.pair_of]
         base, known = np.log10((b.seen + 0.1) / (b.N + 0.1 * (b.V + 1)))[word], (b.seen > 0)[word]
 
@@ -533,6 +547,7 @@ def score(
         columns = [rid + np.arange(n_docs), *sums[:2], *(x.astype(np.int64) for x in sums[2:]), np.full(n_docs, train)]
         return pa.table([pa.array(c) for c in columns], names=[f.split()[0] for f in result.split(", ")])
 
+    back = reduce(DataFrame.union, [replies[0], *replies[max(1, burn + 1) :]])
     parts = raw.groupBy("bucket").cogroup(back.groupBy("bucket")).applyInArrow(scored, _BLOCK + ", train long")
     sums = parts.groupBy("chunk").applyInArrow(together, result)
     return own.select("rid", "doc_id", "held_out").join(sums, "rid").select(*RESULT)

@@ -249,6 +249,36 @@ def test_decontamination(spark, docs, none):
     assert decontam.hits(none, bench).count() == 0 and decontam.drop(docs, bench).count() == len(ROWS) - len({i for i, r in enumerate(ROWS) if r[0] in {x[0] for x in want}})
 
 
+def test_decontamination_goes_through_the_index(spark):
+    """Without a radius only equal fingerprints are met; with it none of the similar windows is lost; 70,000 shingles overflow nothing."""
+    item = prose(60, 59, 4000).split()
+    edited = [w if i != 30 else "edit" for i, w in enumerate(item)]
+    long_ = prose(61, 70_000, 50_000)
+    texts = [" ".join([*prose(62, 40).split(), *x, *prose(63, 40).split()]) for x in (item, edited)] + [f"{prose(64, 9)} {long_} tail"]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1, "", 0) for i, t in enumerate(texts)], SCHEMA)
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, long_)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.start_word, round(r.similarity, 6)) for r in decontam.hits(docs, bench).collect()}
+    assert got == {(0, 1): (40, 1.0), (1, 1): (40, round(50 / 60, 6)), (2, 2): (9, 1.0)}
+    assert {(r.doc_id, r.item_id) for r in decontam.hits(docs, bench, radius=0).collect()} == {(0, 1), (2, 2)}
+
+
+def test_decontamination_recall(spark):
+    """All of 120 windows at similarity 0.8 or just above are found, as by brute force."""
+    r = random.Random(3)
+    texts, items, want = [], [], set()
+    for i in range(120):
+        item = prose(500 + i, 50, 3000).split()
+        x = list(item)
+        for k in r.sample((0, 49, 24), 1):
+            x[k] = f"edit{i}"
+        items.append((i, " ".join(item)))
+        texts.append((i, " ".join([*prose(900 + i, 20).split(), *x]), "en", "s", 1, "", 0))
+        if max(jaccard(shingles(" ".join(item)), shingles(" ".join(texts[-1][1].split()[s : s + 50]))) for s in range(21)) >= 0.8:
+            want.add((i, i))
+    got = decontam.hits(spark.createDataFrame(texts, SCHEMA), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(x.doc_id, x.item_id) for x in got.collect()} == want and len(want) > 80
+
+
 LOW = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
 
@@ -259,7 +289,7 @@ def brute_model(rows, sweeps=3, burn=1, theta=1.0, seed=7):
     known = {}
     for w in texts:
         for t, h in zip(w, Words(pa.array([" ".join(w)])).hashes):
-            known[t] = h
+            known[t] = h & pitmanyor._MASK
     h = lambda t: {"<end>": pitmanyor._END, "<start>": pitmanyor._START, "<before>": pitmanyor._BEFORE}.get(t) or known.get(t, u(12345))
     one = lambda x: np.array([x], u)
     pair = lambda v, w: pitmanyor.pair_key(one(h(v)), one(h(w)))[0]
@@ -272,18 +302,11 @@ def brute_model(rows, sweeps=3, burn=1, theta=1.0, seed=7):
     vocabulary = {k[2] for k in c}
 
     def seat(n, a, d, key, salt):
-        t, sat, number = min(n, 1), 1, 0
+        t = min(n, 1)
         stream = pitmanyor.mix(one(key) ^ pitmanyor.mix(one(u(salt))))
-        while sat < n:
-            number += 1
-            x = (float(pitmanyor.mix(stream + u(number * int(pitmanyor._STEP) & (1 << 64) - 1))[0] >> u(11)) + 1) * 2.0**-53
-            none = 1.0
-            while sat < n:  # the next customer
-                none *= (sat - d * t) / (a + sat - d * t)
-                sat += 1
-                if none < x:
-                    t += 1
-                    break
+        for k in range(1, n):  # each customer after the first
+            x = (float(pitmanyor.mix(stream + u(k * int(pitmanyor._STEP) & (1 << 64) - 1))[0] >> u(11)) + 1) * 2.0**-53
+            t += x * (a + k - d * t) < a
         return t
 
     def up(tables, drop):
@@ -368,15 +391,20 @@ def test_language_model_without_training(spark):
     assert all(r.train_tokens == 0 and r.n_known == 0 and r.base_score == 0 and abs(r.score) < 1e-9 for r in got)
 
 
-def test_seating():
-    """Tables by inversion have the mean of customers that toss a coin one by one."""
+def test_seating(monkeypatch):
+    """Tables are those of customers that toss a coin one by one, in the mean, however draws are cut into pieces."""
     n, c, a, d = 4000, 60, 0.8, 0.6
+    monkeypatch.setattr(pitmanyor, "DRAWS", 1000)
     t = pitmanyor.seat(np.full(n, c), np.full(n, a), d, pitmanyor.mix(np.arange(n).astype(np.uint64)), 1)
     rng, slow = np.random.default_rng(0), np.ones(n)
     for k in range(1, c):
         slow += rng.random(n) < a / (a + k - d * slow)
     assert abs(t.mean() - slow.mean()) < 0.15 and ((1 <= t) & (t <= c)).all()
-    assert abs(pitmanyor._lgamma(np.array([0.1, 1.0, 7.9, 50.5])) - [math.lgamma(x) for x in (0.1, 1.0, 7.9, 50.5)]).max() < 1e-9
+    key = pitmanyor.mix(np.arange(5).astype(np.uint64))
+    c = np.array([0, 1, 2, 700, 90])
+    pieces = pitmanyor.seat(c, np.full(5, 40.0), 0.8, key, 2)
+    monkeypatch.setattr(pitmanyor, "DRAWS", 1 << 20)
+    assert (pieces == pitmanyor.seat(c, np.full(5, 40.0), 0.8, key, 2)).all()
 
 
 def test_mixing(docs, none):
@@ -428,18 +456,36 @@ def test_rollups(spark, docs, none, tmp_path):
 
 
 def test_secrets(spark, none):
-    r = random.Random(1)
-    rows = []
-    for i in range(60):
-        key = "".join(r.choice("0123456789abcdef") for _ in range(40))
-        rows.append((i, f'{prose(i, 10)} token = "{key}" {prose(i, 5)} averylongwordwithoutdigits{chr(97 + i % 26)} end', "en", "s", 1, "", 0))
-    docs = spark.createDataFrame([*rows, (None, None, None, None, None, None, None)], SCHEMA)
-    known = secrets.dictionary(docs)
-    found = secrets.candidates(docs.where("doc_id < 40"), known)
-    forest = secrets.train(secrets.weak_labels(found))
-    got = secrets.scan(docs.where("doc_id >= 40 OR doc_id IS NULL"), forest, known)
-    assert got.count() == 40 and got.where("is_secret AND near_assign = 0").count() == 0 and got.where("is_secret").count() == 20
-    assert secrets.train(secrets.weak_labels(found).limit(0)) == "0.5D" and secrets.scan(none, forest, known).count() == 0
+    """Against planted truth: the forest on held-out findings, and against a plain rule over the neighbourhood."""
+    docs = spark.createDataFrame([(i, prose(i, 200, 30).replace("w", "word"), "en", "s", 1, "", 0) for i in range(40)], SCHEMA)
+    letters = docs.withColumn("text", F.translate("text", "0123456789.", "abcdefghij "))
+    known = secrets.lexicon(letters)
+    assert known.words.count() > 10 and len(known.transitions) == 784
+    found = secrets.findings(secrets.planted(spark, known, n=4000), known).cache()
+    forest = secrets.train(found.where("NOT held_out"))
+    held = found.where("held_out")
+    got = secrets.evaluate(held, f"{forest} >= 0.5D")
+    rule = secrets.evaluate(held, "near_assign > 0 AND near_credential > 0 AND digit_share > 0.15")
+    assert got["n"] > 500 and got["precision"] > 0.85 and got["recall"] > 0.85
+    assert got["precision"] > rule["precision"] + 0.05 and got["recall"] > rule["recall"] + 0.3
+    assert secrets.train(found.limit(0)) == "0.5D" and secrets.scan(none, forest, known).count() == 0
+    assert secrets.train(found.where("label = 1")) == "1.0D" and secrets.lexicon(none).words.count() == 0
+    found.unpersist()
+
+
+def test_secret_candidates(spark):
+    known = secrets.Lexicon(spark.createDataFrame([("word", 9), ("deed", 9)], "word string, n long"), [-1.0] * 784)
+    key = "0123456789abcdef0123"
+    texts = [None, "", f"api_key={key} x", f'token = "{key}" and {key}', "wordwordwordword deeds", "short0123456789", f"({key}==)", "a" * 70_000, f"{key},{key}"]
+    rows = [(i, t, "en", "s", 1, "", 0) for i, t in enumerate([*texts, texts[2]])] + [(2, texts[2], "en", "s", 1, "", 0)]
+    got = {}
+    for r in secrets.candidates(spark.createDataFrame(rows, SCHEMA), known).collect():
+        got.setdefault(r.doc_id, []).append(r)
+    assert sorted(got) == [2, 3, 4, 6, 7, 8, 9]
+    assert [(r.candidate, r.word_index, r.near_credential, r.near_assign) for r in got[2]] == [(key, 0, 1.0, 1.0)] * 2  # repeated rows are rows
+    assert sorted((r.word_index, r.near_credential, r.near_assign) for r in got[3]) == [(2, 1.0, 1.0), (4, 0.0, 0.0)]
+    assert got[4][0].dictionary_share == 1.0 and got[6][0].candidate == f"{key}==" and got[7][0].length == 70_000 and len(got[8]) == 2
+    assert all(r.path_known == 0 and abs(r.transitions + (r.length - 1) / r.length) < 1e-9 for rs in got.values() for r in rs)
 
 
 def test_pipeline(spark, tmp_path):
