@@ -14,8 +14,6 @@ from .common import checkpoint_dir
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
-#: Documents whose findings train the forest of op3, at most; with 8 bytes each their ids are broadcast.
-TRAIN_DOCUMENTS = 20_000
 #: Words, as DuckDB's RE2 takes them.
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -37,16 +35,11 @@ def op2_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Candidates of all documents, judged by a forest trained on findings in the documents that labels covers.
-
-    No table tells true findings from false ones, so labels come from a rule (weak_labels) on those documents.
-    """
+    """Candidates of all documents, judged by a forest trained on planted findings; the lexicon is that of all documents."""
     docs = _table(spark, sf_dir, "documents")
-    known = secrets.dictionary(_table(spark, sf_dir, "benchmark"))
-    labelled = _table(spark, sf_dir, "labels").select("doc_id").where("doc_id IS NOT NULL").distinct()
-    sample = labelled.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCUMENTS)
-    findings = secrets.weak_labels(secrets.candidates(docs.join(F.broadcast(sample), "doc_id"), known))
-    forest = secrets.train(findings)
+    known = secrets.lexicon(docs)
+    found = secrets.findings(secrets.planted(spark, known), known)
+    forest = secrets.train(found.where("NOT held_out"))
     return secrets.scan(docs, forest, known).select("doc_id", "word_index", "candidate", "score", "is_secret")
 
 
