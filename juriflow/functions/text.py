@@ -13,6 +13,12 @@ WS = r"[\s\x1c-\x1f]"
 FLAGS = "(?isUd)"
 
 
+def java(pattern: str) -> str:
+    """A pattern with white space as WS has it."""
+    out = pattern.replace(r"\S", "\0").replace(r"\s", WS)
+    return out.replace("\0", r"[^\s\x1c-\x1f]")
+
+
 def _fold(ch: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c)).casefold()
 

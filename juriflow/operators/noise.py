@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from juriflow.functions.text import FLAGS, first_of, normalize, strip
+from juriflow.functions.text import FLAGS, first_of, java, normalize, strip
 
 # The patterns of each reason, in order of precedence. They hold for Java and RE2 alike; flags are added.
 PATTERNS = (
@@ -24,7 +24,6 @@ PATTERNS = (
 MAIN_ORDER = r"\b(?:determino|defiro|indefiro|condeno|fixo|homologo|intime-se|proceda|promova|adote|observe|considere)\b"
 #: A pattern can match only where this does; cheaper, and it spares long texts the scan from every start.
 GUARDS = {"historical_reference": r"(?:determinou|deferiu|concedeu|denegou|julgou)", "external_case_citation": "julgamento"}
-CASE_SENSITIVE = (0, 2)
 MIN_LENGTH = 12
 
 
@@ -34,9 +33,9 @@ def rejection(text: Column, normalized: Column | None = None) -> Column:
     n = normalize(text) if normalized is None else normalized
     cases = [(strip(text) == "", "empty")]
     for reason, pattern in PATTERNS:
-        match = F.rlike(text, F.lit(FLAGS + pattern))
+        match = F.rlike(text, F.lit(FLAGS + java(pattern)))
         if reason in GUARDS:
             match = F.rlike(text, F.lit(FLAGS + GUARDS[reason])) & match
         cases.append((match, reason))
-    fragment = F.endswith(strip(text), F.lit(":")) & ~F.rlike(text, F.lit(FLAGS + MAIN_ORDER))
+    fragment = F.endswith(strip(text), F.lit(":")) & ~F.rlike(text, F.lit(FLAGS + java(MAIN_ORDER)))
     return first_of([*cases, (fragment, "trailing_colon_fragment"), (F.length(n) < MIN_LENGTH, "too_short")])

@@ -12,6 +12,7 @@ import re
 import unicodedata
 import urllib.error
 import urllib.request
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
@@ -164,10 +165,10 @@ Post = Callable[[dict], tuple[int, str]]
 class Endpoint:
     """A chat endpoint; its settings are read from the environment where the run is planned."""
 
-    base: str = field(default_factory=lambda: os.getenv("DIDE1_LLM_BASE_URL", "http://127.0.0.1:8081").rstrip("/"))
-    model: str = field(default_factory=lambda: os.getenv("DIDE1_LLM_MODEL", "Qwen3.5-9B"))
-    timeout: int = field(default_factory=lambda: int(os.getenv("DIDE1_LLM_TIMEOUT", "180")))
-    retries: int = field(default_factory=lambda: max(0, int(os.getenv("DIDE1_LLM_RETRIES", "1"))))
+    base: str = field(default_factory=lambda: os.getenv("JURIFLOW_LLM_BASE_URL", "http://127.0.0.1:8081").rstrip("/"))
+    model: str = field(default_factory=lambda: os.getenv("JURIFLOW_LLM_MODEL", "Qwen3.5-9B"))
+    timeout: int = field(default_factory=lambda: int(os.getenv("JURIFLOW_LLM_TIMEOUT", "180")))
+    retries: int = field(default_factory=lambda: max(0, int(os.getenv("JURIFLOW_LLM_RETRIES", "1"))))
 
     def post(self, body: dict) -> tuple[int, str]:
         data = json.dumps(body).encode()
@@ -219,10 +220,21 @@ _ANSWER = (
 )
 
 
-def teacher(make_post: Callable[[], Post] | None = None, endpoint: Endpoint | None = None, parallel: int = 1):
+def _kept(answers: DataFrame, folder: str | None) -> DataFrame:
+    """answers, written out once: to folder, or to the session's checkpoint folder; persisted only where neither is given."""
+    spark = answers.sparkSession
+    if folder:
+        path = f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
+        answers.write.parquet(path)
+        return spark.read.schema(answers.schema).parquet(path)
+    return answers.checkpoint() if spark.sparkContext.getCheckpointDir() else answers.persist()
+
+
+def teacher(make_post: Callable[[], Post] | None = None, endpoint: Endpoint | None = None, parallel: int = 1, folder: str | None = None):
     """teacher(lists, most) for plans.extract.run: asks once for each row of lists, `parallel` requests at a time at most.
 
-    The answers are kept (persisted), so that no later use of them asks again.
+    The answers are written out (below folder, which all executors must share, or as a checkpoint), so that neither a later
+    use of them nor a lost executor asks again. A server that takes more requests at a time wants a larger `parallel`.
     """
     end = endpoint or Endpoint()
     make_post = make_post or (lambda: end.post)
@@ -240,6 +252,6 @@ def teacher(make_post: Callable[[], Post] | None = None, endpoint: Endpoint | No
                 yield pd.DataFrame(out)
 
         found = lists.repartition(parallel, "decision_sha256").mapInPandas(answers, _ANSWER)
-        return found.withColumn("error", F.col("error")).persist()
+        return _kept(found, folder)
 
     return asked

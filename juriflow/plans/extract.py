@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,12 +19,13 @@ EXCLUDED, EMPTY, PENDING = "EXCLUIDO_EXECUCAO_FISCAL", "SEM_DECISAO", "PENDENTE_
 
 @dataclass
 class Run:
-    """Tables of a run; manifest is one row."""
+    """Tables of a run; manifest is one row, selections has one for each text that this run selected from."""
 
     documents: DataFrame
     candidates: DataFrame
     errors: DataFrame
     manifest: DataFrame
+    selections: DataFrame
     kept: list[DataFrame] = field(default_factory=list)
 
     def unpersist(self) -> None:
@@ -54,8 +54,8 @@ def window_rows(df: DataFrame, start: int = 0, limit: int | None = None) -> Data
     return df if limit is None else df.where(F.col("source_row") < first + limit)
 
 
-def unique_cutoff(df: DataFrame, most: int | None) -> DataFrame:
-    """Rows up to the one with the most-th different text; df has state and decision_sha256.
+def unique_cutoff(df: DataFrame, most: int | None, known: DataFrame | None = None) -> DataFrame:
+    """Rows up to the one with the most-th different text that isn't known; df has state and decision_sha256.
 
     The cut lies at the N-th smallest first row of a text: a top-N over one row per text, no running count.
     """
@@ -63,7 +63,10 @@ def unique_cutoff(df: DataFrame, most: int | None) -> DataFrame:
         return df
     if most <= 0:
         return df.limit(0)
-    firsts = df.where(F.col("state") == PENDING).groupBy("decision_sha256").agg(F.min("source_row").alias("first"))
+    counted = df.where(F.col("state") == PENDING)
+    if known is not None:
+        counted = counted.join(known.select("decision_sha256"), "decision_sha256", "left_anti")
+    firsts = counted.groupBy("decision_sha256").agg(F.min("source_row").alias("first"))
     last = firsts.orderBy("first").limit(most).agg(F.when(F.count("*") >= most, F.max("first")).alias("last"))
     return df.crossJoin(F.broadcast(last)).where("last IS NULL OR source_row <= last").drop("last")  # one row
 
@@ -82,13 +85,17 @@ def run(
     unique_limit: int | None = None,
     profiles: tuple[dict, ...] = PROFILES,
     teacher=None,
+    known: DataFrame | None = None,
 ) -> Run:
-    """mode: rules; fallback (every model call fails); llama: teacher(first rows with units) -> selections by text."""
+    """mode: rules; fallback (every model call fails); llama: teacher(first rows with units) -> selections by text.
+
+    known: selections of earlier runs; their texts are not selected from again.
+    """
     if mode not in ("rules", "fallback", "llama"):
         raise ValueError("mode must be rules, fallback or llama")
     if mode == "llama" and teacher is None:
         raise ValueError("mode llama needs a teacher")
-    rows = unique_cutoff(_keyed(scope(window_rows(canonical(df), start, limit), include_tax)), unique_limit)
+    rows = unique_cutoff(_keyed(scope(window_rows(canonical(df), start, limit), include_tax)), unique_limit, known)
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     live = route(rows.where(F.col("state") == PENDING), profiles)
     live = live.withColumns({"_norm": normalize(F.col("decisao")), "_notice": normalize(F.col("expediente"))})
@@ -97,18 +104,23 @@ def run(
     first = F.row_number().over(Window.partitionBy("decision_sha256").orderBy("source_row"))
     live = live.withColumn("_nth", first)
     once = live.where("_nth = 1")
+    if known is not None:
+        once = once.join(known.select("decision_sha256"), "decision_sha256", "left_anti")
     texts = unit_lists(once, ["decision_sha256"])
     chosen = _choose(once, texts, mode, max_candidates, teacher).persist(StorageLevel.MEMORY_AND_DISK)
-    done = live.join(chosen, "decision_sha256")
-    cached = F.lit(False) if mode == "rules" else F.col("_nth") > 1
+    every = chosen.withColumn("_known", F.lit(False))
+    if known is not None:
+        every = every.unionByName(known.select(*chosen.columns).withColumn("_known", F.lit(True)))
+    done = live.join(every, "decision_sha256")
+    cached = F.lit(False) if mode == "rules" else F.col("_known") | (F.col("_nth") > 1)
     done = done.withColumn("cache_hit", cached)
     candidates = _candidates(done)
     documents = _documents(rows, done)
-    errors = done.where("_nth = 1 AND error IS NOT NULL").select(
+    errors = done.where("_nth = 1 AND NOT _known AND error IS NOT NULL").select(
         "source_row", "processo", F.lit("RECOVERED").alias("severity"), "teacher_status", "error"
     )
     manifest = _manifest(documents, done, mode)
-    return Run(documents, candidates, errors, manifest, [rows, chosen])
+    return Run(documents, candidates, errors, manifest, chosen, [rows, chosen])
 
 
 def _choose(once: DataFrame, texts: DataFrame, mode: str, most: int, teacher) -> DataFrame:
@@ -239,7 +251,3 @@ def inspect(df: DataFrame, limit: int | None = None) -> dict[str, DataFrame]:
         "top_organs": top(F.coalesce("orgao_julgador", F.lit("None")), "orgao_julgador", 10),
         "class_families": top(class_family(F.col("classe")), "class_family", 20),
     }
-
-
-def union_all(dfs: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)

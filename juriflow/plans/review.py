@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from juriflow.functions.constants import CATEGORIES, DOCUMENT_STATES, SLOT_STATES
 
 MISSING = 2
+#: Rows of the input whose decisions are numbered in one task.
+BLOCK = 100_000
 
 
 def _filled(c: str) -> Column:
@@ -37,9 +39,14 @@ def groups(documents: DataFrame) -> DataFrame:
         first, F.min("source_row").alias("first_row"), rows.alias("source_rows"), F.count("*").alias("occurrences"),
         *[_listed(c).alias(f"{c}s") for c in ("processo", "expediente", "prazo", "link")], F.bool_or("cache_hit").alias("_hit"),
     )
-    number = F.row_number().over(Window.orderBy("first_row"))
-    return grouped.select(
-        "key", F.format_string("D%04d", number).alias("id"), "first_row", "source_rows", "occurrences",
+    # numbered by rows that hold no text: places within blocks of first rows, and the blocks' sums, a row for BLOCK rows
+    slim = grouped.select("key", "first_row", F.floor(F.col("first_row") / BLOCK).alias("_block"))
+    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    sums = slim.groupBy("_block").agg(F.count("*").alias("_n")).select("_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_block").orderBy("first_row"))
+    numbers = slim.withColumn("_place", place).join(sums, "_block").select("key", (F.col("_before") + F.col("_place")).alias("_number"))
+    return grouped.join(numbers, "key").select(
+        "key", F.format_string("D%04d", "_number").alias("id"), "first_row", "source_rows", "occurrences",
         F.col("processos").alias("processo"), "expedientes", "prazos", "links", (F.col("_hit") | (F.col("occurrences") > 1)).alias("reused"), "f.*",
     )
 
@@ -161,7 +168,8 @@ def metrics(review: DataFrame) -> DataFrame:
             "complete_coverage": F.expr("try_divide(complete_without_additions, complete)"),
         }
     )
-    return ratios.withColumn("f1", F.expr("try_divide(2 * useful_rate * recall, useful_rate + recall)"))
+    # as in the sheet, the harmonic mean is of the strict precision and the recall
+    return ratios.withColumn("f1", F.expr("try_divide(2 * strict_precision * recall, strict_precision + recall)"))
 
 
 def lists(spark) -> DataFrame:

@@ -93,10 +93,11 @@ rows AS (
 live AS (
   SELECT *, sha256(decisao) AS sha, {sql_rule(0, 'decisao', 'nd', 'ne')} AS rule_id, {sql_rule(1, 'decisao', 'nd', 'ne')} AS rule_label,
          {sql_family('nc')} AS class_family, {sql_slug('ns', 60)} AS region_key, {sql_slug('no', 80)} AS orgao_key FROM rows WHERE state = '{extract.PENDING}')"""
-UNITS = f"""{ROWS},
-blocks AS (
+def sql_units(source: str) -> str:
+    """The tables that lead from the texts of source (source_row, decisao) to their units."""
+    return f"""blocks AS (
   SELECT source_row, unnest(string_split_regex(decisao, '\\n\\s*\\n+')) AS block, unnest(list_concat(regexp_extract_all(decisao, '\\n\\s*\\n+'), [''])) AS gap,
-         generate_subscripts(string_split_regex(decisao, '\\n\\s*\\n+'), 1) AS b FROM live),
+         generate_subscripts(string_split_regex(decisao, '\\n\\s*\\n+'), 1) AS b FROM {source}),
 placed AS (SELECT *, coalesce(sum(length(block) + length(gap)) OVER (PARTITION BY source_row ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos,
   CASE trim(upper(regexp_replace(block, '^\\s+|\\s+$', '', 'g')), ' :-') {_HEADS} END AS head FROM blocks),
 carried AS (SELECT *, coalesce(last_value(head IGNORE NULLS) OVER (PARTITION BY source_row ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), '{FIRST_SECTION}') AS section FROM placed),
@@ -110,6 +111,10 @@ named AS (SELECT *, {sql_norm('text')} AS nt FROM found WHERE text <> ''),
 units AS (
   SELECT source_row, printf('U%04d', row_number() OVER (PARTITION BY source_row ORDER BY start)) AS unit_id, CAST(start AS INT) AS start,
          CAST(start + length(text) AS INT) AS "end", text, section, {sql_rejection('text', 'nt')} AS rejected, nt FROM named)"""
+
+
+UNITS = f"""{ROWS},
+{sql_units('live')}"""
 CHOSEN = f"""{UNITS},
 chosen AS (
   SELECT *, {sql_category('nt')} AS category, row_number() OVER (PARTITION BY source_row ORDER BY start) AS rank
@@ -336,7 +341,7 @@ def _played(spark: SparkSession, sf_dir: str) -> DataFrame:
 s AS (SELECT count(*) AS proposed, count(*) FILTER (WHERE st = 'APROVADO') AS approved, count(*) FILTER (WHERE st = 'AJUSTADO') AS adjusted, count(*) FILTER (WHERE st = 'REJEITADO') AS rejected, count(*) FILTER (WHERE st = 'PENDENTE') AS pending FROM filled),
 k AS (SELECT *, approved / nullif(approved + adjusted + rejected, 0)::DOUBLE AS sp, (approved + adjusted) / nullif(approved + adjusted + rejected, 0)::DOUBLE AS ur, (approved + adjusted) / nullif(approved + adjusted + additions, 0)::DOUBLE AS re FROM c, s)
 SELECT unique_decisions, complete, proposed, approved, adjusted, rejected, pending, additions, round(sp, 9) AS strict_precision, round(ur, 9) AS useful_rate, round(re, 9) AS recall,
-round(2 * ur * re / nullif(ur + re, 0), 9) AS f1, round(clean / nullif(complete, 0)::DOUBLE, 9) AS complete_coverage FROM k""")
+round(2 * sp * re / nullif(sp + re, 0), 9) AS f1, round(clean / nullif(complete, 0)::DOUBLE, 9) AS complete_coverage FROM k""")
 def review_metrics(spark, sf_dir):
     """AGG7, §2.15"""
     m = review.metrics(_played(spark, sf_dir))
@@ -384,14 +389,38 @@ def _mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training.mapped(gold.records(gold.judge(_played(spark, sf_dir))))
 
 
-@query("")
+# Passages of GOLD documents, placed in their texts; 'gone' are the documents that an issue blocks.
+MAPPED = f"""{PLAYED},
+gone AS (SELECT key FROM done WHERE p = 53 UNION SELECT f.key FROM filled f JOIN done USING (key) WHERE f.st = 'PENDENTE'),
+docs2 AS (SELECT d.key, d.p, d.first_row AS source_row, d.processo, r.decisao FROM done d JOIN rows r ON d.first_row = r.source_row WHERE d.key NOT IN (SELECT key FROM gone)),
+items AS (
+  SELECT f.key, f.rank AS o, f.text, f.category FROM filled f JOIN docs2 USING (key) WHERE f.st IN ('APROVADO', 'AJUSTADO')
+  UNION ALL SELECT key, 100, 'Trecho ausente.', 'obrigacao' FROM docs2 WHERE p % 10 = 3),
+spots AS (
+  SELECT i.key, row_number() OVER (PARTITION BY i.key ORDER BY i.o) - 1 AS position, i.text, i.category, d.source_row, strpos(d.decisao, i.text) - 1 AS at
+  FROM items i JOIN docs2 d USING (key)),
+units2 AS (WITH {sql_units('docs2')} SELECT * FROM units),
+met AS (
+  SELECT s.key, s.position, string_agg(u.unit_id, ',' ORDER BY u.start) AS ids, bool_or(u.rejected IS NOT NULL) AS hidden
+  FROM spots s JOIN units2 u ON u.source_row = s.source_row AND u."end" > s.at AND u.start < s.at + length(s.text) GROUP BY ALL),
+mapped AS (
+  SELECT s.key, s.position, coalesce(m.ids, '') AS unit_ids, s.category, coalesce(m.hidden, false) AS hidden,
+         CASE WHEN s.at < 0 THEN 'gold_not_exact_source' WHEN m.ids IS NULL THEN 'no_units_for_gold' END AS reason
+  FROM spots s LEFT JOIN met m ON s.key = m.key AND s.position = m.position)"""
+
+
+@query(f"WITH {MAPPED} SELECT key AS decision_sha256, CAST(position AS INT) AS position, unit_ids, category, reason, hidden FROM mapped")
 def sft_map(spark, sf_dir):
     """SFT1, JON8"""
     spans = _mapped(spark, sf_dir).select("decision_sha256", F.posexplode("spans").alias("position", "s"))
     return spans.select("decision_sha256", "position", F.array_join("s.unit_ids", ",").alias("unit_ids"), "s.category", "s.reason", "s.hidden")
 
 
-@query("")
+@query(f"""WITH {MAPPED}, good AS (
+  SELECT ('0x' || substr(sha256(coalesce(nullif(processo, ''), CAST(source_row AS VARCHAR))), 1, 8))::BIGINT % 100 AS point
+  FROM docs2 WHERE key NOT IN (SELECT key FROM mapped WHERE reason IS NOT NULL))
+SELECT count(*) FILTER (WHERE point < 80) AS train, count(*) FILTER (WHERE point >= 80 AND point < 90) AS val, count(*) FILTER (WHERE point >= 90) AS test,
+       (SELECT count(*) FROM mapped WHERE reason IS NOT NULL) AS issues FROM good""")
 def sft_counts(spark, sf_dir):
     """SFT2, AGG9"""
     return training.counts(_mapped(spark, sf_dir))

@@ -10,6 +10,7 @@ import time
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from juriflow.functions.constants import CATEGORIES, DOCUMENT_STATES, SLOT_STATES
 from juriflow.plans import gold, review
 from juriflow.plans.extract import Run
 from juriflow.sources import xlsx
@@ -45,19 +46,77 @@ def _sheet(df: DataFrame):
     return df.columns, (tuple(r) for r in df.toLocalIterator())
 
 
+GREEN, ORANGE, RED, YELLOW = "C6E0B4", "F8CBAD", "FF9999", "FFF2CC"
+
+
+def _ranges(table: DataFrame, rows: int) -> dict[str, str]:
+    """Where each column's values stand, by header; one row at least."""
+    return {c: f"${x}$2:${x}${max(2, rows + 1)}" for c, x in ((c, xlsx.column_name(i)) for i, c in enumerate(table.columns))}
+
+
+def review_rules(table: DataFrame, n: int, rows: int) -> xlsx.Rules:
+    """Lists to choose from in the review sheet, and marks: by state, and whole rows that are complete while a passage is pending."""
+    at, rules = _ranges(table, rows), xlsx.Rules()
+    states, categories, documents = (f"listas!${c}$2:${c}${k + 1}" for c, k in zip("ABC", (len(SLOT_STATES), len(CATEGORIES), len(DOCUMENT_STATES))))
+    first = {c: r.split(":")[0].replace("$2", "2") for c, r in at.items()}
+    for i in range(1, n + 1):
+        rules.lists += [(at[f"Categoria {i}"].replace("$", ""), categories), (at[f"Validação {i}"].replace("$", ""), states)]
+        for state, colour in (("APROVADO", GREEN), ("AJUSTADO", ORANGE), ("REJEITADO", RED), ("PENDENTE", YELLOW)):
+            rules.marks.append((at[f"Validação {i}"].replace("$", ""), f'{first[f"Validação {i}"]}="{state}"', colour))
+    for i in range(1, review.MISSING + 1):
+        rules.lists.append((at[f"Categoria ausente {i}"].replace("$", ""), categories))
+    done = first["Status da decisão"]
+    rules.lists.append((at["Status da decisão"].replace("$", ""), documents))
+    rules.marks.append((at["Status da decisão"].replace("$", ""), f'{done}="VALIDADO_COMPLETO"', GREEN))
+    if n:
+        pending = ",".join(f'AND({first[f"Recorte {i}"]}<>"",{first[f"Validação {i}"]}="PENDENTE")' for i in range(1, n + 1))
+        rules.marks.append((f"A2:{xlsx.column_name(len(table.columns) - 1)}{max(2, rows + 1)}", f'AND({done}="VALIDADO_COMPLETO",OR({pending}))', RED))
+    return rules
+
+
+def live_metrics(table: DataFrame, n: int, rows: int, values: dict) -> list[tuple]:
+    """review.metrics as formulas over the review sheet, so that they follow the revision; values are shown until it is opened."""
+    at = {c: f"'revisao'!{r}" for c, r in _ranges(table, rows).items()}
+
+    def count(columns: list[str], what: str) -> str:
+        return "+".join(f'COUNTIF({at[c]},"{what}")' for c in columns) or "0"
+
+    def filled(columns: list[str]) -> str:  # an empty text counts as empty
+        return "+".join(f'SUMPRODUCT(--({at[c]}<>""))' for c in columns) or "0"
+
+    states, missing = [f"Validação {i}" for i in range(1, n + 1)], [f"Recorte ausente {i}" for i in range(1, review.MISSING + 1)]
+    clean = ",".join([f'--({at["Status da decisão"]}="VALIDADO_COMPLETO")', *[f'--({at[c]}="")' for c in missing]])
+    formulas = {
+        "unique_decisions": f"COUNTA({at['ID']})", "complete": count(["Status da decisão"], "VALIDADO_COMPLETO"),
+        "proposed": filled([f"Recorte {i}" for i in range(1, n + 1)]), "approved": count(states, "APROVADO"), "adjusted": count(states, "AJUSTADO"),
+        "rejected": count(states, "REJEITADO"), "pending": count(states, "PENDENTE"), "additions": filled(missing), "complete_without_additions": f"SUMPRODUCT({clean})",
+    }
+    ref = {c: f"B{i}" for i, c in enumerate([*formulas, "strict_precision", "useful_rate", "recall", "complete_coverage", "f1"], 2)}
+    ratios = {
+        "strict_precision": "{approved}/({approved}+{adjusted}+{rejected})", "useful_rate": "({approved}+{adjusted})/({approved}+{adjusted}+{rejected})",
+        "recall": "({approved}+{adjusted})/({approved}+{adjusted}+{additions})", "complete_coverage": "{complete_without_additions}/{complete}",
+        "f1": "2*{strict_precision}*{recall}/({strict_precision}+{recall})",
+    }
+    formulas |= {c: f'IFERROR({f.format(**ref)},"")' for c, f in ratios.items()}
+    return [(c, xlsx.Formula.of(f, values[c])) for c, f in formulas.items()]
+
+
 def review_workbook(path: str, spark: SparkSession, built: DataFrame, candidates: DataFrame, n: int, additions: list[tuple] = ()) -> None:
     """The eight sheets of a review. A workbook is for people: use it for what they can review, the tables for the rest."""
     by = built.orderBy("first_row")
     kpi = review.metrics(built).head().asDict()
+    table, rows = review.wide(by, n), kpi["unique_decisions"]
+    additions_rules = xlsx.Rules(lists=[(f"{xlsx.column_name(ADDITIONS.index('categoria_gold'))}2:{xlsx.column_name(ADDITIONS.index('categoria_gold'))}5000", f"listas!$B$2:$B${len(CATEGORIES) + 1}")])
     xlsx.write(
         path,
         {
-            "revisao": _sheet(review.wide(by, n)), "leitura_decisoes": _sheet(review.reading(by)),
-            "metricas": (["métrica", "valor"], iter(kpi.items())), "dados_tecnicos": _sheet(review.technical(by, n)),
+            "revisao": _sheet(table), "leitura_decisoes": _sheet(review.reading(by)),
+            "metricas": (["métrica", "valor"], iter(live_metrics(table, n, rows, kpi))), "dados_tecnicos": _sheet(review.technical(by, n)),
             "candidatos_tecnicos": _sheet(predictions(candidates).orderBy("source_row", "candidate_rank")),
             "instrucoes": (list(STEPS[0]), iter(STEPS[1:])), "adicoes_gold": (ADDITIONS, iter(additions)), "listas": _sheet(review.lists(spark)),
         },
         hidden=HIDDEN,
+        rules={"revisao": review_rules(table, n, rows), "adicoes_gold": additions_rules},
     )
 
 

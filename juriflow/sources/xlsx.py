@@ -8,9 +8,11 @@ import re
 import xml.etree.ElementTree as ET
 import zipfile
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 from xml.sax.saxutils import escape
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
@@ -205,15 +207,66 @@ def read_table(spark: SparkSession, path: str, sheet: str | None = None) -> Data
     found = resolve(df.columns)
     if "source_row" in df.columns:
         return df.select("source_row", *[df[df.columns[i]].alias(c) for c, i in found.items()])
-    numbered = df.rdd.zipWithIndex().map(lambda x: (x[1] + 2, *[_text(x[0][i]) for i in found.values()]))  # row order is meaning here
-    return spark.createDataFrame(numbered, StructType([StructField("source_row", IntegerType()), *[StructField(c, StringType()) for c in found]]))
+    # row order is meaning here: a scan's partitions are in order, and so are the rows within; their counts are a row for each partition
+    part, place = F.shiftright("_id", 33), F.col("_id").bitwiseAND((1 << 33) - 1)
+    named = df.select(F.monotonically_increasing_id().alias("_id"), *[df[df.columns[i]].cast("string").alias(c) for c, i in found.items()])
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = df.select(F.monotonically_increasing_id().alias("_id")).groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    sums = sums.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    numbered = named.withColumn("_part", part).join(F.broadcast(sums), "_part")
+    return numbered.select((F.col("_before") + place + 2).cast("int").alias("source_row"), *found)
 
 
 _BAD = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f\ufffe\uffff]")
 MAX_CELL = 32_767
 
 
-def _name(i: int) -> str:
+class Formula(str):
+    """A cell that a spreadsheet works out, with the value that is shown until then."""
+
+    value: object = None
+
+    @classmethod
+    def of(cls, formula: str, value) -> Formula:
+        out = cls(formula)
+        out.value = value
+        return out
+
+
+@dataclass
+class Rules:
+    """What a sheet asks of those who fill it in: drop-down lists (range, source) and coloured marks (range, formula, RRGGBB)."""
+
+    lists: list[tuple[str, str]] = field(default_factory=list)
+    marks: list[tuple[str, str, str]] = field(default_factory=list)
+
+    def xml(self, colours: list[str]) -> str:
+        out = ""
+        for priority, (where, formula, colour) in enumerate(self.marks, 1):
+            out += (
+                f'<conditionalFormatting sqref="{where}"><cfRule type="expression" dxfId="{colours.index(colour)}" priority="{priority}">'
+                f"<formula>{escape(formula)}</formula></cfRule></conditionalFormatting>"
+            )
+        if self.lists:
+            rules = "".join(
+                f'<dataValidation type="list" allowBlank="1" showInputMessage="1" showErrorMessage="1" sqref="{where}"><formula1>{escape(source)}</formula1></dataValidation>'
+                for where, source in self.lists
+            )
+            out += f'<dataValidations count="{len(self.lists)}">{rules}</dataValidations>'
+        return out
+
+
+def _styles(colours: list[str]) -> str:
+    """The one cell style there is, and a fill for each mark's colour."""
+    fills = "".join(f'<dxf><fill><patternFill patternType="solid"><bgColor rgb="FF{c}"/></patternFill></fill></dxf>' for c in colours)
+    return (
+        f'<styleSheet xmlns="{_M[1:-1]}"><fonts count="1"><font/></fonts><fills count="2"><fill><patternFill patternType="none"/></fill><fill><patternFill patternType="gray125"/></fill></fills>'
+        '<borders count="1"><border/></borders><cellStyleXfs count="1"><xf/></cellStyleXfs><cellXfs count="1"><xf/></cellXfs>'
+        f'<dxfs count="{len(colours)}">{fills}</dxfs></styleSheet>'
+    )
+
+
+def column_name(i: int) -> str:
     out = ""
     while i >= 0:
         out, i = chr(65 + i % 26) + out, i // 26 - 1
@@ -223,6 +276,10 @@ def _name(i: int) -> str:
 def _cell(ref: str, value) -> str:
     if value is None:
         return ""
+    if isinstance(value, Formula):
+        shown = value.value
+        kind = "" if isinstance(shown, (int, float)) else ' t="str"'
+        return f'<c r="{ref}"{kind}><f>{escape(str(value))}</f><v>{"" if shown is None else escape(str(shown))}</v></c>'
     if isinstance(value, bool):
         return f'<c r="{ref}" t="b"><v>{int(value)}</v></c>'
     if isinstance(value, (int, float)):
@@ -231,28 +288,32 @@ def _cell(ref: str, value) -> str:
     return f'<c r="{ref}" t="inlineStr"><is><t xml:space="preserve">{text}</t></is></c>'
 
 
-def write(path: str, sheets: dict[str, tuple[list[str], Iterator]], hidden: tuple[str, ...] = ()) -> None:
+def write(path: str, sheets: dict[str, tuple[list[str], Iterator]], hidden: tuple[str, ...] = (), rules: dict[str, Rules] | None = None) -> None:
     """A workbook of sheets: name -> (headers, rows). Rows are streamed; cells longer than a sheet allows are cut."""
     kinds = "http://schemas.openxmlformats.org/package/2006/content-types"
     office = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
     head = '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
+    rules = rules or {}
+    colours = sorted({m[2] for r in rules.values() for m in r.marks})
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
         main = "application/vnd.openxmlformats-officedocument.spreadsheetml"
         parts = "".join(f'<Override PartName="/xl/worksheets/sheet{i}.xml" ContentType="{main}.worksheet+xml"/>' for i in range(1, len(sheets) + 1))
-        z.writestr("[Content_Types].xml", f'{head}<Types xmlns="{kinds}"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="{main}.sheet.main+xml"/>{parts}</Types>')
+        z.writestr("[Content_Types].xml", f'{head}<Types xmlns="{kinds}"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="{main}.sheet.main+xml"/><Override PartName="/xl/styles.xml" ContentType="{main}.styles+xml"/>{parts}</Types>')
         rel = "http://schemas.openxmlformats.org/package/2006/relationships"
         z.writestr("_rels/.rels", f'{head}<Relationships xmlns="{rel}"><Relationship Id="rId1" Type="{office}/officeDocument" Target="xl/workbook.xml"/></Relationships>')
         names = "".join(f'<sheet name="{escape(n)}" sheetId="{i}"{" state=%shidden%s" % (chr(34), chr(34)) if n in hidden else ""} r:id="rId{i}"/>' for i, n in enumerate(sheets, 1))
         z.writestr("xl/workbook.xml", f'{head}<workbook xmlns="{_M[1:-1]}" xmlns:r="{office}"><sheets>{names}</sheets></workbook>')
         links = "".join(f'<Relationship Id="rId{i}" Type="{office}/worksheet" Target="worksheets/sheet{i}.xml"/>' for i in range(1, len(sheets) + 1))
+        links += f'<Relationship Id="rId{len(sheets) + 1}" Type="{office}/styles" Target="styles.xml"/>'
+        z.writestr("xl/styles.xml", f"{head}{_styles(colours)}")
         z.writestr("xl/_rels/workbook.xml.rels", f'{head}<Relationships xmlns="{rel}">{links}</Relationships>')
-        for i, (headers, rows) in enumerate(sheets.values(), 1):
+        for i, (name, (headers, rows)) in enumerate(sheets.items(), 1):
             with z.open(f"xl/worksheets/sheet{i}.xml", "w") as f:
                 f.write(f'{head}<worksheet xmlns="{_M[1:-1]}"><sheetData>'.encode())
                 for number, row in enumerate(_lead(headers, rows), 1):
-                    cells = "".join(_cell(f"{_name(k)}{number}", v) for k, v in enumerate(row))
+                    cells = "".join(_cell(f"{column_name(k)}{number}", v) for k, v in enumerate(row))
                     f.write(f'<row r="{number}">{cells}</row>'.encode())
-                f.write(b"</sheetData></worksheet>")
+                f.write(f"</sheetData>{rules[name].xml(colours) if name in rules else ''}</worksheet>".encode())
 
 
 def _lead(headers: list[str], rows: Iterator) -> Iterator:
