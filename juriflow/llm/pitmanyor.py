@@ -38,7 +38,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Words, keyed, mix, slices
@@ -47,7 +47,7 @@ SWEEPS = 3
 BURN = 1
 THETA = 1.0
 CHUNK_TOKENS = 4_000_000
-BUCKET_TOKENS = 3_000_000
+BUCKET_TOKENS = 2_500_000
 SEED = 7
 RESULT = ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
@@ -163,8 +163,16 @@ def _place(key: np.ndarray, n: int) -> np.ndarray:
     return ((key >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
 
 
-def _blocks(docs: DataFrame, spread: list[int], buckets: int, chunk_tokens: int) -> DataFrame:
-    """(bucket, chunk: its first rid, n_docs, block): different triples and the documents of their occurrences."""
+def _even(spark: SparkSession, n: int) -> list[int]:
+    """n numbers that repartition(n, number) deals one to each partition (0 .. n - 1 where too few were tried)."""
+    tried = spark.range(int(4 * n * (np.log(n) + 3))).select(F.col("id").cast("int").alias("id"))
+    rows = tried.groupBy(F.pmod(F.hash("id"), F.lit(n))).agg(F.min("id").alias("id")).select("id").collect()
+    return sorted(r.id for r in rows) if len(rows) == n else list(range(n))
+
+
+def _blocks(docs: DataFrame, spread: list[int], names: list[int], chunk_tokens: int) -> DataFrame:
+    """(bucket: one of names, chunk: its first rid, n_docs, block): different triples and the documents of their occurrences."""
+    buckets = len(names)
     hot = np.array(spread, np.uint64)
     bits = np.uint64(max(1, (buckets - 1).bit_length()))
 
@@ -194,7 +202,7 @@ def _blocks(docs: DataFrame, spread: list[int], buckets: int, chunk_tokens: int)
             rank[by] = np.arange(len(by))
             known, at = known[by], _small(rank[at])
             size = _small(np.diff(np.append(opens, len(own))))
-            rows.append((b, _pack(_steps(known), at[:n], at[n : 2 * n], at[2 * n :], size, _small(doc[own]), train)))
+            rows.append((names[b], _pack(_steps(known), at[:n], at[n : 2 * n], at[2 * n :], size, _small(doc[own]), train)))
         n = len(rows)
         return pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in rows], pa.int32()), pa.array([first] * n, pa.int64()), pa.array([n_docs] * n, pa.int32()),
@@ -274,8 +282,9 @@ def discount(ones: float, twos: float) -> float:
 class _Bucket:
     """One bucket: triples (x, v, w) and their customers, pairs (v, w), contexts (x, v), last tokens v and words w."""
 
-    def __init__(self, blocks: pa.Table, spread: np.ndarray, parts: int, seed: int):
-        self.seed, self.parts = seed, parts
+    def __init__(self, blocks: pa.Table, spread: np.ndarray, names: list[int], seed: int):
+        self.seed, self.names = seed, names
+        parts = len(names)
         blocks = blocks.sort_by("chunk")
         self.rows = []
         xs, vs, ws, c = [], [], [], []
@@ -348,16 +357,17 @@ class _Bucket:
                 block = _pack(_steps(key[:cut]), _steps(key[cut:]), _small(now[own]), _small(fixed[own]))
             else:
                 block = _pack(_small(now[own]))
-            yield p, bucket, number, False, block, *counts, *before
+            yield self.names[p], bucket, number, False, block, *counts, *before
             counts = [0.0] * 4
         if number:
             t3, c2, t2 = state
-            yield bucket % self.parts, bucket, number, True, _pack(_small(t3[self.c > 1]), _small(t2[c2 > 1])), *counts, *before
+            yield bucket, bucket, number, True, _pack(_small(t3[self.c > 1]), _small(t2[c2 > 1])), *counts, *before
 
     def replies(self, back: pa.Table) -> dict[int, dict]:
         """By round: its state, the sums and root tables in the order of keys, and the numbers of the whole model."""
         rounds: dict[int, dict] = {}
-        for r in back.sort_by([("round", "ascending"), ("part", "ascending")]).to_pylist():
+        place = {name: p for p, name in enumerate(self.names)}
+        for r in sorted(back.to_pylist(), key=lambda r: (r["round"], place[r["part"]])):
             x = rounds.setdefault(r["round"], {"sum": [], "tables1": [], "fixed": [], **{s: r[s] for s in _STATS}})
             if r["state"]:
                 few, pairs = (z.astype(np.int64) for z in _unpack(r["block"], 2))
@@ -482,18 +492,19 @@ def score(
     bytes_ = own.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     buckets = int(max(16, bytes_ // (6 * bucket_tokens)))
     spread = np.array(frequent(own, 1 / (4 * buckets)), np.uint64)
-    raw = _blocks(own, spread.tolist(), buckets, chunk_tokens).repartition(buckets, "bucket")
+    names = _even(docs.sparkSession, buckets)
+    raw = _blocks(own, spread.tolist(), names, chunk_tokens).repartition(buckets, "bucket")
 
     def bucket_of(table: pa.Table) -> int:
         return table.column("bucket")[0].as_py()
 
     def begin(blocks: pa.Table) -> pa.Table:
-        b = _Bucket(blocks, spread, buckets, seed)
+        b = _Bucket(blocks, spread, names, seed)
         return _batches(b.message(b.start(), 0, bucket_of(blocks)), _MESSAGE)
 
     def again(number: int):
         def swept(blocks: pa.Table, back: pa.Table) -> pa.Table:
-            b = _Bucket(blocks, spread, buckets, seed)
+            b = _Bucket(blocks, spread, names, seed)
             x = b.replies(back)[number - 1]
             return _batches(b.message(b.sweep(x, theta, number), number, bucket_of(blocks), (b.V, x["tables"], b.d[0])), _MESSAGE)
 
@@ -518,7 +529,7 @@ def score(
         replies.append(reply.drop(*_STATS).crossJoin(F.broadcast(numbers)))
 
     def scored(blocks: pa.Table, back: pa.Table) -> pa.Table:
-        b = _Bucket(blocks, spread, buckets, seed)
+        b = _Bucket(blocks, spread, names, seed)
         rounds = b.replies(back)
         p = np.log10(sum(b.predict(rounds[k], theta) for k in range(burn + 1, sweeps + 1)) / (sweeps - burn))
         word = b.word_of[b.pair_of]
