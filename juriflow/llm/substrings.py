@@ -272,9 +272,10 @@ def _met(rows: DataFrame, key: str, most: int) -> tuple[DataFrame, DataFrame | N
     again = cut(rows.groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1"))
     hot = again.where(F.col("_n") > most).select(key)
     if not (n := hot.count()):
-        return rows.join(again.select(key), key), None
+        return rows.join(again.select(key), key, "left_semi"), None
     hot = F.broadcast(hot) if n <= BROADCAST_ROWS else hot
-    return rows.join(hot, key, "left_anti").join(again.where(F.col("_n") <= most).select(key), key), rows.join(hot, key)
+    few = again.where(F.col("_n") <= most).select(key)
+    return rows.join(hot, key, "left_anti").join(few, key, "left_semi"), rows.join(hot, key, "left_semi")
 
 
 def spans(own: DataFrame, window: int = WINDOW, prefix: int = PREFIX, group: int = GROUP) -> DataFrame:
