@@ -7,7 +7,7 @@ Jaccard similarity of `similarity` or more with it.
 
 1. Windows: for each size that items have, the windows of a document that could be similar to any item of that size. One as
    similar as that shares o = ceil(similarity * (n + m) / (1 + similarity)) of its m shingles with the item's n, so
-   windows with fewer than o of the benchmark's shingles, whosever they are, get no fingerprint: no window that can
+   windows with fewer than o shingles of items of that size, whichever they are, get no fingerprint: no window that can
    qualify is passed over, and ordinary text has next to none.
 2. SimHash: 64 bits, each the majority of that bit over the window's shingles (counted in 32 longs of two 32-bit lanes).
 3. Multi-index Hamming: which items a window may hold is found by fingerprints alone. They are cut into `radius` + 1 blocks, one
@@ -17,8 +17,8 @@ Jaccard similarity of `similarity` or more with it.
    At similarity 0.8 the distance is 9.7 bits on average, with a standard deviation of 2.9; the radius is 4.6 of them above.
 4. Exact: the sum over shingles of the smaller weight, over the sum of the larger, of the pairs that the index gave.
 
-Only DataFrame and SQL functions run here. The benchmark's different shingles are broadcast if there are at most `broadcast_rows`
-of them (8 bytes each), else joined by a shuffle. Texts are shuffled only if windows lie in more documents than a broadcast holds.
+Only DataFrame and SQL functions run here. The benchmark's shingles are broadcast if there are at most `broadcast_rows`
+of them (16 bytes each), else joined by a shuffle. Texts are shuffled only if windows lie in more documents than a broadcast holds.
 
 Defined results: null and empty texts and items match nothing; repeated rows match alike, each row on its own; items of
 one text each match under their own id; rows of benchmark that agree in item_id count as different items of one id; very
@@ -106,12 +106,11 @@ def hits(
     known = cut(fingerprints(item_rows, ["item"]))
     # 1. windows that could be similar to some item of their size
     listed = own.select("rid", words(F.lower("text")).alias("_w"))
-    found = shingle_rows(listed.withColumn("_size", F.size("_w")), ["rid", "_size"]).join(light(weights.select("h").distinct()), "h")
-    of = found.groupBy("rid").agg(F.greatest(F.lit(1), F.first("_size") - (SHINGLE - 1)).alias("n_doc"), F.array_sort(F.collect_list("pos")).alias("at"))
-    sizes = known.agg(F.sort_array(F.collect_set("n")).alias("_sizes"))  # one row; no longer than the benchmark's longest item
-    need = f"int(ceil({similarity!r}D * (n_item + least(n_item, n_doc)) / {1 + similarity!r}D - 1e-9))"
-    sized = of.crossJoin(F.broadcast(sizes)).select("rid", "n_doc", "at", F.explode("_sizes").alias("n_item")).where(F.size("at") >= F.expr(need))
-    sized = sized.withColumn("m", F.least("n_item", "n_doc").cast("int")).withColumn("need", F.expr(need))
+    seeds = weights.join(light(known), "item").select("h", F.col("n").alias("n_item")).distinct()
+    found = shingle_rows(listed.withColumn("_size", F.size("_w")), ["rid", "_size"]).join(light(seeds), "h")
+    of = found.groupBy("rid", "n_item").agg(F.greatest(F.lit(1), F.first("_size") - (SHINGLE - 1)).alias("n_doc"), F.array_sort(F.collect_list("pos")).alias("at"))
+    sized = of.withColumn("m", F.least("n_item", "n_doc").cast("int"))
+    sized = sized.withColumn("need", F.expr(f"int(ceil({similarity!r}D * (n_item + m) / {1 + similarity!r}D - 1e-9))")).where("size(at) >= need")
     run = "element_at(at, k + need - 1)"
     ranges = (
         f"filter(transform(sequence(1, greatest(1, size(at) - need + 1)), k -> CASE WHEN size(at) >= need AND {run} - element_at(at, k) < m "
