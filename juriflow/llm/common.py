@@ -25,10 +25,13 @@ _STEADY = re.compile(r"^[\s:+\-|]*(Project|Filter|Relation|LogicalRDD|LocalRelat
 
 
 def checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared folder of spark.checkpoint.dir; only where it is unset (tests), one of our own."""
-    if spark.sparkContext.getCheckpointDir() is None:
+    """Use the cluster's shared folder of spark.checkpoint.dir; where it is unset, one of our own, but only on a single machine."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
         own = spark.conf.get("spark.checkpoint.dir", "")
-        spark.sparkContext.setCheckpointDir(own or tempfile.mkdtemp(prefix="juriflow-checkpoint-"))
+        if not own and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(own or tempfile.mkdtemp(prefix="juriflow-checkpoint-"))
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -61,15 +64,23 @@ def fresh(taken: list[str], name: str) -> str:
     return name
 
 
+def _steady_plan(df: DataFrame) -> bool:
+    """A scan of files or of what was checkpointed, with nothing that deals rows anew behind it."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    if not all(_STEADY.match(line) for line in plan.toString().splitlines() if line.strip()):
+        return False
+    leaves = plan.collectLeaves()
+    names = [leaves.apply(i) for i in range(leaves.size())]
+    return all(n.nodeName() != "LogicalRDD" or n.rdd().isCheckpointed() for n in names)
+
+
 def keyed(df: DataFrame, name: str) -> DataFrame:
     """df with a long that tells its rows apart and is the same each time a task is run again.
 
-    monotonically_increasing_id is steady over a scan, also after a task is repeated; behind a shuffle
+    monotonically_increasing_id is steady over a scan, also after a task is repeated; behind a shuffle, of rows or of an RDD,
     the order of rows isn't, so such inputs are written to the checkpoint folder first.
     """
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    steady = all(_STEADY.match(line) for line in plan.splitlines() if line.strip())
-    return (df if steady else cut(df)).withColumn(name, F.monotonically_increasing_id())
+    return (df if _steady_plan(df) else cut(df)).withColumn(name, F.monotonically_increasing_id())
 
 
 def words(text: Column) -> Column:
@@ -85,13 +96,40 @@ def n_words(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+#: Links that one task holds (16 bytes each, and as much for their ends) instead of rounds of joins.
+TASK_LINKS = 1_000_000
+
+
+def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Components of all links that a task has: ends take the least label of their neighbours, then their label's label, until nothing changes."""
+    read = list(batches)
+    u, v = (np.concatenate([np.asarray(b.column(k)) for b in read] or [np.zeros(0, np.int64)]) for k in (0, 1))
+    names, ends = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = ends[: len(u)], ends[len(u) :]
+    root = np.arange(len(names))
+    while True:
+        new = root.copy()
+        np.minimum.at(new, a, root[b])
+        np.minimum.at(new, b, root[a])
+        np.minimum.at(new, root, new.copy())
+        new = new[new]
+        if (new == root).all():
+            break
+        root = new
+    yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(names[root])], ["v", "root"])
+
+
+def components(edges: DataFrame, rounds: int = 60, task_links: int = TASK_LINKS) -> DataFrame:
     """(v, root): the smallest vertex of each vertex's connected component; edges: (u, v) longs.
 
-    Labels go to the neighbours' smallest and then jump to their label's label, so that long chains
-    halve; each round is one aggregation with map-side minima and two joins, and ends in the checkpoint folder.
+    Links counted to be at most task_links are united in one task. More of them go in rounds: labels go to the neighbours'
+    smallest and then jump to their label's label, so that long chains halve; each round is one aggregation with
+    map-side minima and two joins, and ends in the checkpoint folder. Both give the same.
     """
-    both = cut(edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).where("u <> v").distinct())
+    links = cut(edges.select("u", "v").where("u <> v"))
+    if links.count() <= task_links:
+        return cut(links.coalesce(1).mapInArrow(_united, "v long, root long"))
+    both = cut(links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
     labels = cut(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("root")))
     for _ in range(rounds):
         near = both.join(labels, "u").groupBy("v").agg(F.min("root").alias("near")).withColumnRenamed("v", "u")

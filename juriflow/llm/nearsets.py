@@ -47,7 +47,7 @@ ROWS = 5
 #: Buckets of so many texts at most are compared pair by pair at once.
 ALL_PAIRS = 16
 #: How many times as many heads a round has as the one before it.
-GROWTH = 4
+GROWTH = 64
 #: Any fixed values: they tell the random streams apart.
 _INTERVAL, _STEP, _REGISTER, _HEIGHT, _COPY = 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3, 0x1D8E4E27C47D124F
 
