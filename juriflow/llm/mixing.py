@@ -1,20 +1,22 @@
 """Mixing sources to target weights: hash-random keys, range blocks, distributed prefix sums and an exact cut.
 
-Every document gets a random key, the first 60 bits of md5(seed, doc_id). Keys are uniform, so equal ranges of them
-(`blocks` of each source) are the quantiles that a range sort would find, without sampling. Within a block documents
-are sorted by key and summed; block totals, a small table, are summed over the blocks before; the sum of both is the
-number of words in front of a document in its source's order. A source of target T and size S is repeated floor(T / S)
-times whole, and the next epoch is cut after exactly T mod S words: the document at the cut gives its first words only.
+Every document gets a random key, the first 60 bits of md5(seed, doc_id), or of its text where it has no id. Keys are uniform, so
+equal ranges of them (`blocks` of each source) are the quantiles that a range sort would find, without sampling. Block totals, a
+table without texts, are summed over the blocks before. A source of target T and size S is repeated floor(T / S)
+times whole, and the next epoch is cut after exactly T mod S words. Blocks that end before the cut are taken whole,
+those that begin behind it not at all; only in the one block of a source in which its budget ends documents are sorted and
+their words summed, and the document at the cut gives its first words only. So texts are not shuffled, but for those blocks.
 
 Targets are weights' shares of the wanted total. A source stops at `most` times its size; the excess goes to the
 others by weight until none is above (in closed form: sources in order of the level at which they fill up).
 
-The number of blocks follows the number of words, so that a block, the unit that one task sorts, stays bounded also for
-a source with a third of all rows. Sources themselves are a small table (its window runs in one task and can spill).
+The number of blocks follows the number of rows, so that a block, the unit that one task sorts, stays bounded also for
+a source with a third of all rows. Sources are a table of one row each, whose window runs in one task and can spill: millions of
+sources are fine, and there are no more blocks than rows.
 
 Defined results: null text is size 0; a null source is a source of its own, last in order; documents without words are
-taken 0 times; an empty table gives an empty table; rows that agree in doc_id and text are ordered among themselves in
-any way, which changes nothing; all-empty sources get target 0; extra columns are kept by mix(), except names of the
+taken 0 times; an empty table gives an empty table; rows of one doc_id are ordered by size, then by md5 of their text, and rows
+that agree in that, too, in any way, which changes nothing; all-empty sources get target 0; extra columns are kept by mix(), except names of the
 result's (size, source_size, target, taken, copy, take_words), which are replaced.
 """
 
@@ -23,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, n_words, words
+from .common import counted, cut, fresh, n_words, words
 
 #: Fixed values of the mix: weights of the sources by code point, repeating; wanted share of all words; most epochs.
 WEIGHTS = (5, 2, 1)
@@ -35,9 +37,9 @@ BLOCK_ROWS = 200_000
 RESULT = ("size", "source_size", "target", "taken")
 
 
-def hash_key(doc_id: Column, seed: str = SEED) -> Column:
-    """60 hash-random bits of a document's id."""
-    text = F.concat(F.lit(f"{seed}/"), F.coalesce(doc_id.cast("string"), F.lit("null")))
+def hash_key(doc_id: Column, text: Column, seed: str = SEED) -> Column:
+    """60 hash-random bits of a document's id; of its text where there is none, so that such documents don't share one key."""
+    text = F.concat(F.lit(f"{seed}/"), F.coalesce(doc_id.cast("string"), F.concat(F.lit("null/"), F.md5(F.coalesce(text, F.lit(""))))))
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
 
@@ -71,28 +73,32 @@ def take(
 ) -> DataFrame:
     """docs with the columns of RESULT: its words, its source's words and target, and how many words of it are taken."""
     base = docs.drop(*[c for c in docs.columns if c.lower() in RESULT])
-    key, block, before, ahead, own = (fresh(base.columns, x) for x in ("_key", "_block", "_before", "_ahead", "_own"))
+    key, block, before, ahead, own, tie, total, rest = (fresh(base.columns, x) for x in ("_key", "_block", "_before", "_ahead", "_own", "_tie", "_total", "_rest"))
     if blocks is None:
         blocks = max(16, docs.count() // BLOCK_ROWS)
     width = (1 << 60) // blocks + 1
 
     def placed_in(df: DataFrame) -> DataFrame:  # own: the source, with a value for null, so that joins and windows share one key
-        df = df.withColumn(key, hash_key(F.col("doc_id"), seed)).withColumn(block, F.expr(f"{key} div {width}L"))
+        df = df.withColumn(key, hash_key(F.col("doc_id"), F.col("text"), seed)).withColumn(block, F.expr(f"{key} div {width}L"))
         return df.withColumn(own, F.concat(F.when(F.col("source").isNull(), "0").otherwise("1"), F.coalesce("source", F.lit(""))))
 
-    lean = placed_in(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")))
-    totals = lean.groupBy(own, "source", block).agg(F.sum("size").alias("_sum"))
-    goals = targets(totals.groupBy(own, "source").agg(F.sum("_sum").alias("source_size")), weights, share, most)
+    lean = placed_in(docs.select("doc_id", "source", "text")).withColumn("size", n_words(F.col("text")))
+    totals = cut(lean.groupBy(own, "source", block).agg(F.sum("size").alias(total)))
+    goals = targets(totals.groupBy(own, "source").agg(F.sum(total).alias("source_size")), weights, share, most)
     earlier = Window.partitionBy(own).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
-    fronts = totals.select(own, block, F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias(ahead))
-    fronts = fronts.join(goals.drop("source"), own)
-    inside = Window.partitionBy(own, block).orderBy(key, "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    sized = placed_in(base.withColumn("size", n_words(F.col("text"))))
-    placed = sized.withColumn(before, F.coalesce(F.sum("size").over(inside), F.lit(0))).join(fronts, [own, block])
+    fronts = totals.select(own, block, total, F.coalesce(F.sum(total).over(earlier), F.lit(0)).alias(ahead)).join(goals.drop("source"), own)
+    fronts = counted(fronts.withColumn(rest, F.expr("cast(round(target) as bigint) % greatest(source_size, 1)")))
+    met = placed_in(base).join(fronts, [own, block])
+    split = (F.col(ahead) < F.col(rest)) & (F.col(ahead) + F.col(total) > F.col(rest))
+    size = n_words(F.col("text"))
+    plain = met.where(~split).withColumn("size", size).withColumn(before, F.when(F.col(ahead) < F.col(rest), F.col("size")).otherwise(0))
+    inside = Window.partitionBy(own, block).orderBy(key, "doc_id", "size", tie).rowsBetween(Window.unboundedPreceding, -1)
+    at_cut = met.where(split).withColumn("size", size).withColumn(tie, F.md5(F.coalesce("text", F.lit(""))))
+    front = F.coalesce(F.sum("size").over(inside), F.lit(0))
+    at_cut = at_cut.withColumn(before, F.greatest(F.lit(0), F.least(F.col("size"), F.col(rest) - F.col(ahead) - front))).drop(tie)
     whole = F.expr("cast(round(target) as bigint) div greatest(source_size, 1)")
-    rest = F.expr("cast(round(target) as bigint) % greatest(source_size, 1)")
-    more = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col(ahead) - F.col(before)))
-    return placed.select(*base.columns, "size", "source_size", "target", (whole * F.col("size") + more).cast("long").alias("taken"))
+    taken = (whole * F.col("size") + F.col(before)).cast("long").alias("taken")
+    return plain.select(*base.columns, "size", "source_size", "target", taken).union(at_cut.select(*base.columns, "size", "source_size", "target", taken))
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:

@@ -94,7 +94,7 @@ for _query in (op1_line_dedup, op2_perspectives, op3_secrets, op4_mixing, op5_su
 ORACLE["op4_mixing"] = rf"""
 WITH sized AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) AS BIGINT) AS size,
-         CAST(('0x' || substr(md5('{mixing.SEED}/' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 15)) AS BIGINT) AS k
+         CAST(('0x' || substr(md5('{mixing.SEED}/' || coalesce(CAST(doc_id AS VARCHAR), 'null/' || md5(coalesce(text, '')))), 1, 15)) AS BIGINT) AS k, md5(coalesce(text, '')) AS tie
   FROM documents),
 sources AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
 weighed AS (
@@ -108,7 +108,7 @@ free AS (SELECT arg_min(level, full_size / w) AS free_level FROM levels WHERE le
 goals AS (SELECT source, source_size, least(full_size, coalesce(free_level * w, full_size)) AS target FROM levels, free),
 placed AS (
   SELECT s.doc_id, s.size, g.source_size, g.target,
-         coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.k, s.doc_id, s.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS front,
+         coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.k, s.doc_id, s.size, s.tie ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS front,
          CAST(round(g.target) AS BIGINT) AS goal
   FROM sized s JOIN goals g ON s.source IS NOT DISTINCT FROM g.source)
 SELECT doc_id, size, source_size, target,
