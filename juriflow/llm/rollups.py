@@ -4,11 +4,13 @@ Every change is a row of signed numbers: an insert adds a document and its token
 count (another tokenizer, another text) is both. A batch is summed to one row per group and written to its own folder,
 `batches/<id>`; Spark's _SUCCESS file commits it. A batch that is committed is not taken again, so that a repeated batch
 changes nothing; one that was broken off has no such file, is not read, and is overwritten as a whole when it comes again.
-Totals are the sum over committed batches: additive, in any order. compact() folds them into one.
+Totals are the sum over committed batches: additive, in any order. compact() folds them into one and then removes their folders;
+the names of folded batches are a table that is only ever joined, so that a batch which comes again later isn't taken again.
+A batch keeps a digest of its sums: one whose name was committed with other sums is an error, not a repeat.
 
 Defined results: null source and language are groups of their own; a null or empty text has 0 tokens but is a document;
 repeated rows count each time; groups all of whose documents are gone have no row; an empty batch is committed and
-changes nothing; other columns of the input are left out.
+changes nothing; an empty rollup has no row; other columns of the input are left out.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from pyspark.sql import functions as F
 from .common import n_words
 
 GROUP = ("source", "lang", "tokenizer")
+FOLDED = "batch string, digest string, n long"
 SCHEMA = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
 #: Tokenizers by version: words, and words cut into runs of letters, digits and single other characters.
 PIECES = r"[A-Za-z\x{80}-\x{10FFFF}]+|[0-9]+|[^A-Za-z0-9\x09-\x0D\x20\x{80}-\x{10FFFF}]"
@@ -61,34 +64,62 @@ class Rollup:
         return sorted(n for n in names if self._exists(f"{self.path}/batches/{n}/_SUCCESS"))
 
     def commit(self, batch: str, delta: DataFrame) -> bool:
-        """Apply a batch once; False if it had been committed."""
+        """Apply a batch once; False if it had been committed, ValueError if that was with other sums."""
         folder = f"{self.path}/batches/{batch}"
-        if self._exists(f"{folder}/_SUCCESS") or batch in self._folded():
-            return False
         summed = delta.groupBy(*GROUP).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
+        row = F.xxhash64(*GROUP, *[F.col(c).isNull() for c in GROUP], "n_docs", "n_tokens").cast("decimal(38,0)")
+        digest = summed.agg(F.coalesce(F.sum(row), F.lit(0)).cast("string").alias("digest"), F.count("*").alias("n"))
+        if self._exists(f"{folder}/_SUCCESS"):
+            held = self.spark.read.schema(SCHEMA).parquet(folder).select(*GROUP, "n_docs", "n_tokens")
+            known = held.agg(F.coalesce(F.sum(row), F.lit(0)).cast("string").alias("digest"), F.count("*").alias("n")).head()
+        else:
+            known = self._folded().where(F.col("batch") == batch).select("digest", "n").head()
+        if known is not None:
+            if tuple(digest.head()) != tuple(known):
+                raise ValueError(f"batch {batch} was committed with other sums")
+            return False
         summed.coalesce(1).write.mode("overwrite").parquet(folder)
         return True
 
-    def _folded(self) -> set[str]:
-        """Batches that compact() has taken up, named in the newest snapshot."""
-        folds = [b for b in self._batches() if b.startswith("fold-")]
-        return {r[0] for r in self.spark.read.parquet(f"{self.path}/folded/{folds[-1]}").collect()} if folds else set()
+    def _folds(self) -> list[str]:
+        return [b for b in self._batches() if b.startswith("fold-")]
+
+    def _folded(self) -> DataFrame:
+        """(batch, digest, n) of the batches that compact() has taken up, of the newest fold."""
+        folds = self._folds()
+        return self.spark.read.schema(FOLDED).parquet(f"{self.path}/folded/{folds[-1]}") if folds else self.spark.createDataFrame([], FOLDED)
+
+    def _live(self) -> list[str]:
+        """Folders that count: the newest fold, and the batches that it hasn't taken up (a fold that broke off may have left some of those)."""
+        done, folds = self._batches(), self._folds()
+        single = [b for b in done if not b.startswith("fold-")]
+        if folds and single:
+            here = self.spark.createDataFrame([(b,) for b in single], "batch string")
+            single = [r.batch for r in here.join(self._folded(), "batch", "left_anti").collect()]
+        return sorted(single) + folds[-1:]
 
     def totals(self) -> DataFrame:
         """source, lang, tokenizer, n_docs, n_tokens of the groups that have documents."""
-        done = self._batches()
-        folds = [b for b in done if b.startswith("fold-")]
-        gone = self._folded()
-        live = [b for b in done if b not in gone and (not b.startswith("fold-") or b == folds[-1])]
+        live = self._live()
         if not live:
             return self.spark.createDataFrame([], SCHEMA)
         rows = self.spark.read.schema(SCHEMA).parquet(*[f"{self.path}/batches/{b}" for b in live])
         return rows.groupBy(*GROUP).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).where("n_docs <> 0 OR n_tokens <> 0")
 
     def compact(self) -> None:
-        """Fold the committed batches into a snapshot: their names first, then the sums, whose commit makes both count."""
-        done = [b for b in self._batches() if not b.startswith("fold-")]
-        number = sum(b.startswith("fold-") for b in self._batches()) + 1
-        name, names = f"fold-{number:09d}", sorted({*done, *self._folded()})
-        self.spark.createDataFrame([(n,) for n in names], "batch string").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/folded/{name}")
+        """Fold the committed batches into one: their names first, then the sums, whose commit makes both count, and then the old folders go."""
+        single, folds = [b for b in self._live() if not b.startswith("fold-")], self._folds()
+        name = f"fold-{int(folds[-1][5:]) + 1 if folds else 1:09d}"
+        row = F.xxhash64(*GROUP, *[F.col(c).isNull() for c in GROUP], "n_docs", "n_tokens").cast("decimal(38,0)")
+        names = self._folded()
+        if single:
+            rows = self.spark.read.schema(SCHEMA).parquet(*[f"{self.path}/batches/{b}" for b in single])
+            at = F.element_at(F.split(F.input_file_name(), "/"), -2)
+            sums = rows.withColumn("batch", at).groupBy("batch").agg(F.sum(row).cast("string").alias("digest"), F.count("*").alias("n"))
+            every = self.spark.createDataFrame([(b,) for b in single], "batch string").join(sums, "batch", "left")
+            names = names.unionByName(every.select("batch", F.coalesce("digest", F.lit("0")).alias("digest"), F.coalesce("n", F.lit(0)).cast("long").alias("n")))
+        names.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/folded/{name}")
         self.totals().coalesce(1).write.mode("overwrite").parquet(f"{self.path}/batches/{name}")
+        for gone in [*(f"batches/{b}" for b in [*single, *folds]), *(f"folded/{b}" for b in folds)]:
+            at = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{gone}")
+            at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)

@@ -455,6 +455,43 @@ def test_rollups(spark, docs, none, tmp_path):
     assert not rollup.commit("3", rollups.changes(half, "words-v1", -1))
 
 
+def test_rollup_batches_that_break_off_or_come_again(spark, docs, tmp_path):
+    path = tmp_path / "r"
+    rollup = rollups.Rollup(spark, str(path))
+    some = docs.where("doc_id < 5")
+    rollup.commit("a", rollups.changes(some, "words-v1", 1))
+    rollup.commit("b", rollups.changes(docs.where("doc_id >= 5"), "words-v1", 1))
+    want = rollup.totals().orderBy("source", "lang").collect()
+    # broken off: files but no _SUCCESS
+    rollup.commit("c", rollups.changes(some, "words-v1", 1))
+    (path / "batches" / "c" / "_SUCCESS").unlink()
+    assert rollup.totals().orderBy("source", "lang").collect() == want
+    with pytest.raises(ValueError):
+        rollup.commit("a", rollups.changes(docs, "words-v1", 1))
+    rollup.compact()
+    assert sorted(p.name for p in (path / "batches").iterdir()) == ["c", "fold-000000001"]
+    with pytest.raises(ValueError):
+        rollup.commit("b", rollups.changes(some, "words-v1", 1))
+    assert not rollup.commit("a", rollups.changes(some, "words-v1", 1)) and rollup.totals().orderBy("source", "lang").collect() == want
+    assert rollup.commit("c", rollups.changes(some, "words-v1", -1))
+    rollup.compact()
+    assert not rollup.commit("c", rollups.changes(some, "words-v1", -1)) and not rollup.commit("a", rollups.changes(some, "words-v1", 1))
+    left = docs.where("doc_id >= 5").groupBy("source", "lang").count().orderBy("source", "lang").collect()
+    assert [(r.source, r.lang, r.n_docs) for r in rollup.totals().orderBy("source", "lang").collect()] == [tuple(r) for r in left]
+
+
+def test_mixing_ties_and_missing_ids(spark):
+    """Rows of one id and size but different texts, and many without an id: reruns on other partitions take the same words."""
+    rows = [(7, f"w{i} x y z", "en", "s", 1, "", 0) for i in range(9)] + [(None, f"n{i} a b", "en", "s", 1, "", 0) for i in range(40)]
+    got = []
+    for parts in (1, 5):
+        df = spark.createDataFrame(rows, SCHEMA).repartition(parts)
+        got.append(sorted((r.text, r.take_words, r.copy) for r in mixing.mix(df, blocks=4, share=1.3).collect()))
+    assert got[0] == got[1] and sum(x[1] for x in got[0]) == round(1.3 * 156)
+    keys = spark.createDataFrame(rows, SCHEMA).select(mixing.hash_key(F.col("doc_id"), F.col("text")).alias("k")).distinct().count()
+    assert keys == 41
+
+
 def test_secrets(spark, none):
     """Against planted truth: the forest on held-out findings, and against a plain rule over the neighbourhood."""
     docs = spark.createDataFrame([(i, prose(i, 200, 30).replace("w", "word"), "en", "s", 1, "", 0) for i in range(40)], SCHEMA)
