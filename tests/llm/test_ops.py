@@ -434,6 +434,24 @@ def test_perspectives(spark):
     assert [r.text[s.start : s.end] for s in r.spans] == ["hi < |im_end|><|im_end|>\n", "late<|im_end|>\n"]
 
 
+def test_perspectives_of_hot_turns(spark):
+    """Many turns of one number, without a number and equal ones, cut into small blocks: places are those of the plain order."""
+    r = random.Random(4)
+    rows = [("null", r.choice([None, 0, 3, 3, 700]), r.choice(["ann", "bob", "system"]), r.choice([None, "same", f"t{r.randrange(9)}" * r.randrange(1, 30)])) for _ in range(300)]
+    rows += [(None, 1, "cy", "x")]
+    schema = "conv_id string, turn long, role string, text string, start string"
+    turns = spark.createDataFrame([(*x, "clash") for x in rows], schema).repartition(3)
+    for most in (10, 10_000):
+        got = perspectives.dialogues(turns, block=2, most=most).collect()
+        assert {(x.conv_id, x.perspective) for x in got} == {("null", "ann"), ("null", "bob"), (None, "cy")}
+        for x in got:
+            mine = sorted((t is None, t or 0, s, (m or "")) for c, t, s, m in rows if c == x.conv_id)
+            role = lambda s: "system" if s == "system" else "assistant" if s == x.perspective else f"user name={s}"
+            assert x.text == "".join(f"<|im_start|>{role(s)}\n{m}<|im_end|>\n" for _, _, s, m in mine)
+            assert [x.text[a.start : a.end] for a in x.spans] == [f"{m}<|im_end|>\n" for _, _, s, m in mine if s == x.perspective]
+    assert perspectives.rotate(turns.limit(0)).count() == 0
+
+
 def test_rollups(spark, docs, none, tmp_path):
     rollup = rollups.Rollup(spark, str(tmp_path / "r"))
     assert rollup.totals().count() == 0
