@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -85,6 +86,42 @@ def test_quality(spark, docs, none):
     assert quality.annotate(none, labels.limit(0)).count() == 0
 
 
+def brute_quality(rows, trusted, threshold=quality.THRESHOLD, smooth=quality.SMOOTH, buckets=quality.BUCKETS):
+    """(score, kept) of each row, counted in plain dictionaries; the hashes are the engine's."""
+
+    def h(*ws):
+        out = 42
+        for w in ws:
+            out = xxhash.xxh64(w.encode(), out).intdigest()
+        return out & (buckets - 1)
+
+    grams = [[h(x) for x in w] + [h(a, b) for a, b in zip(w, w[1:])] for w in (split(r[1]) for r in rows)]
+    raw, target = Counter(), Counter()
+    for r, g in zip(rows, grams):
+        raw.update(g)
+        if r[0] in trusted:
+            target.update(g)
+    rate = (sum(target.values()) + 1) / (sum(raw.values()) + 1)
+    out = []
+    for r, g in zip(rows, grams):
+        score = sum(math.log((target[x] / rate + smooth) / (raw[x] + smooth)) for x in g) / len(g) if g else 0.0
+        w = split(r[1])
+        tri = Counter(zip(w, w[1:], w[2:]))
+        covered = {j for i, t in enumerate(zip(w, w[1:], w[2:])) if tri[t] > 1 for j in (i, i + 1, i + 2)}
+        failed = len(w) < 50 or 100 * len(covered) > 50 * len(w)
+        out.append((score, not failed and score >= threshold))
+    return out
+
+
+def test_quality_against_brute_force(spark, docs):
+    labels = spark.createDataFrame([(5, 1, 0), (8, 1, 0), (15, 0, 0), (13, 1, 1), (None, 1, 0), (8, 1, 0)], "doc_id long, quality int, toxic int")
+    for threshold, smooth in ((quality.THRESHOLD, quality.SMOOTH), (0.05, 0.5)):
+        want = [(r[0], round(x, 9), k) for r, (x, k) in zip(ROWS, brute_quality(ROWS, {5, 8}, threshold, smooth))]
+        got = quality.annotate(docs, labels, threshold=threshold, smooth=smooth).select("doc_id", F.round("score", 9), "kept").collect()
+        same(got, want)
+        assert len({w[2] for w in want}) == 2
+
+
 def test_line_dedup(docs, none):
     got = linededup.dedup(docs).where("doc_id IN (10, 11)").orderBy("doc_id").collect()
     assert got[0].removed_lines == 0 and 2 <= got[1].removed_lines <= 9
@@ -543,11 +580,72 @@ def test_secret_candidates(spark):
     assert all(r.path_known == 0 and abs(r.transitions + (r.length - 1) / r.length) < 1e-9 for rs in got.values() for r in rs)
 
 
-def test_pipeline(spark, tmp_path):
-    rows = [(i, prose(200 + i, 120) + "\n" + prose(300 + i, 60), "en", f"s{i % 2}", 1) for i in range(12)]
-    rows += [(12, rows[0][1], "en", "s0", 1), (13, prose(400, 80) + "\n" + prose(99, 60), "en", "s1", 1), (14, "short", "en", "s1", 1)]
-    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+def brute_mix(rows, share=1.5, most=2):
+    """(doc_id, copy, take_words) of (doc_id, source, words)."""
+    names = sorted({r[1] for r in rows}, key=lambda x: (x is None, x))
+    weight = {n: (5, 2, 1)[i % 3] for i, n in enumerate(names)}
+    size = {n: sum(len(r[2]) for r in rows if r[1] == n) for n in names}
+    left, target = set(names), {}
+    while left:
+        level = (share * sum(size.values()) - sum(target.values())) / sum(weight[n] for n in left)
+        full = {n for n in left if level * weight[n] >= most * size[n]}
+        target |= {n: most * size[n] for n in full} if full else {n: level * weight[n] for n in left}
+        left = left - full if full else set()
+    out = []
+    for n in names:
+        goal, front = round(target[n]), 0
+        key = lambda r: int(hashlib.md5(f"{mixing.SEED}/{r[0]}".encode()).hexdigest()[:15], 16)
+        for r in sorted((r for r in rows if r[1] == n), key=key):
+            taken = goal // size[n] * len(r[2]) + max(0, min(len(r[2]), goal % size[n] - front))
+            front += len(r[2])
+            out += [(r[0], k + 1, min(len(r[2]), taken - k * len(r[2]))) for k in range(-(-taken // len(r[2])))]
+    return out
+
+
+def test_pipeline_against_brute_force(spark, tmp_path):
+    """Every stage restated in plain Python, one after the other."""
+    lines = "\n".join(prose(70 + k, 8) for k in range(9))
+    rows = [(i, prose(200 + i, 120) + "\n" + prose(300 + i, 60), f"s{i % 2}") for i in range(14)]
+    near = rows[3][1].split(" ")
+    near[70] = "changed"
+    rows += [(14, rows[0][1], "s0"), (15, prose(400, 80) + "\n" + prose(99, 60) + "\n" + prose(401, 30), "s1"), (16, "short", "s1"), (17, " ".join(near), "s1"), (18, None, None)]
+    rows += [(20 + i, f"{prose(500 + i, 70)}\n{lines}\n{prose(600 + i, 50)}", None) for i in range(3)] + [(30, "ab cd ef " * 40, "s0")]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, n_lines int"
+    spark.createDataFrame([(i, t, "en", x, len(t or ""), 5) for i, t, x in rows], schema).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(i, 1, 0) for i in range(12)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
-    spark.createDataFrame([(1, prose(99, 60))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
-    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
-    assert {r.doc_id for r in got} <= set(range(12)) and [n for n, _ in corpus_pipeline.STAGES][0] == "quality_rules"
+    item = prose(99, 60)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    kept = [r for r, (_, k) in zip(rows, brute_quality(rows, set(range(12)))) if k]
+    seen, left = set(), []
+    for i, t, x in kept:
+        stay = []
+        for chunk, told in brute_chunks(t):
+            if "\n" in told and told in seen:
+                continue
+            stay += chunk
+            seen |= {told} if "\n" in told else set()
+        if stay:
+            left.append((i, "\n".join(stay), x))
+    sets, unique = [], []
+    for r in left:
+        mine = shingles(r[1])
+        if not any(jaccard(mine, other) >= 0.8 for other in sets):
+            unique.append(r)
+            sets.append(mine)
+    n = len(split(item))
+    clean = [r for r in unique if max(jaccard(shingles(item), shingles(" ".join(split(r[1])[s : s + n]))) for s in range(max(1, len(split(r[1])) - n + 1))) < 0.8]
+    want = brute_mix([(i, x, split(t)) for i, t, x in clean])
+    assert len(rows) > len(kept) > len(left) - 1 and len(kept) > len(unique) > len(clean) > 10 and {20, 21, 22} <= {r[0] for r in clean}
+    got = corpus_pipeline.run(spark, str(tmp_path))
+    assert {*schema.replace(",", "").split()[::2]} <= {*got.columns}
+    same(got.select("doc_id", "copy", "take_words").collect(), want)
+    words = {i: split(t) for i, t, _ in clean}
+    assert all(split(r.text) == words[r.doc_id][: r.take_words] for r in got.collect())
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "near_dedup", "decontamination", "mixing"]
+
+
+def test_pipeline_of_empty_tables(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
