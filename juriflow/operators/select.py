@@ -48,9 +48,14 @@ def operative(normalized: Column) -> Column:
     return F.rlike(normalized, F.lit(OPERATIVE))
 
 
-def fallback_score(normalized: Column, label: Column) -> Column:
-    """How likely a unit is the act that a rule's (normalized) label names; 0 for narrative."""
-    texts = {"n": normalized, "h": F.substring(normalized, 1, OPENING)}
+def held(df: DataFrame) -> DataFrame:
+    """df with a column that keeps filters from being pushed below, where what they ask for would be worked out once more for each mention."""
+    return df.withColumn("_held", F.monotonically_increasing_id())
+
+
+def fallback_score(normalized: Column, label: Column, opening: Column | None = None) -> Column:
+    """How likely a unit is the act that a rule's (normalized) label names; 0 for narrative. opening: how the unit begins, if that is a column."""
+    texts = {"n": normalized, "h": F.substring(normalized, 1, OPENING) if opening is None else opening}
     score = F.when(operative(normalized), 4).otherwise(0)
     for part, must, one_of, points in LABEL_POINTS:
         holds = F.contains(label, F.lit(part)) & any_in(texts[one_of[0]], one_of[1])
@@ -76,7 +81,7 @@ def by_opening(units: DataFrame, key: list[str], most: int = 3) -> DataFrame:
 
     With most <= 0 the first kept unit is still taken if it is operative, as the limit is looked at behind each unit.
     """
-    live = units.where("rejected IS NULL").withColumn("_n", normalize(F.col("text")))
+    live = held(units.where("rejected IS NULL").withColumn("_n", normalize(F.col("text"))))
     if most <= 0:
         first = F.row_number().over(Window.partitionBy(*key).orderBy("start"))
         live, most = live.withColumn("_first", first).where("_first = 1"), 1
@@ -85,7 +90,8 @@ def by_opening(units: DataFrame, key: list[str], most: int = 3) -> DataFrame:
 
 def by_rule(units: DataFrame, key: list[str], most: int = 3) -> DataFrame:
     """Units by fallback_score, best first; units also has rule_id and rule_label (null without a rule)."""
-    live = units.where("rejected IS NULL").withColumn("_n", normalize(F.col("text")))
-    scored = live.withColumn("_score", fallback_score(F.col("_n"), normalize(F.col("rule_label")))).where("_score > 0")
+    live = units.where("rejected IS NULL").withColumns({"_n": normalize(F.col("text")), "_l": normalize(F.col("rule_label"))})
+    live = held(live).withColumn("_h", F.substring("_n", 1, OPENING))
+    scored = held(live.withColumn("_score", fallback_score(F.col("_n"), F.col("_l"), F.col("_h")))).where("_score > 0")
     reason = F.coalesce(F.concat(F.lit("rule fallback: "), "rule_id", F.lit("/"), "rule_label"), F.lit("rule fallback conservador"))
     return _chosen(scored, key, [F.desc("_score"), F.col("start")], most, 2, reason)
