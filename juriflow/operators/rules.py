@@ -40,6 +40,6 @@ def classify(decision: Column, notice: Column, normalized: Column | None = None,
     for rule, label, evidence, parts in RULES:
         holds = F.lit(True)
         for kind, part in parts:
-            holds = holds & (F.rlike(raw, F.lit(rf"(?U){part}{WS}*\n")) if kind == "H" else F.contains(where[kind], F.lit(part)))
+            holds = holds & (F.rlike(raw, F.lit(rf"{part}{WS}*\n")) if kind == "H" else F.contains(where[kind], F.lit(part)))
         cases.append((holds, F.struct(F.lit(rule).alias("rule_id"), F.lit(label).alias("label"), F.lit(evidence).alias("evidence"))))
     return first_of(cases)

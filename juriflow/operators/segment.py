@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from juriflow.functions.text import WS, normalize, strip
+from juriflow.functions.text import BLANK, WS, normalize, strip
 from juriflow.operators.noise import rejection
 
 # Section headings, block and sentence boundaries, the length from which blocks are split.
@@ -13,8 +13,8 @@ SECTIONS = {
     "RELATÓRIO": "RELATORIO", "RELATORIO": "RELATORIO", "FUNDAMENTAÇÃO": "FUNDAMENTACAO", "FUNDAMENTACAO": "FUNDAMENTACAO",
     "DECIDO": "DECISAO", "DECISÃO": "DECISAO", "DECISAO": "DECISAO", "DISPOSITIVO": "DISPOSITIVO",
 }
-BLOCK_GAP = rf"(?U)\n{WS}*\n+"
-SENTENCE_GAP = rf"(?U)(?<=[.!?;]){WS}+(?=[A-ZÁÉÍÓÚÂÊÔÃÕÇ])"
+BLOCK_GAP = rf"\n{WS}*\n+"
+SENTENCE_GAP = rf"(?<=[.!?;]){WS}+(?=[A-ZÁÉÍÓÚÂÊÔÃÕÇ])"
 LONG = 1200
 FIRST_SECTION = "OUTRO"
 NEAR = 8
@@ -51,7 +51,7 @@ def units(df: DataFrame, key: list[str], text: str = "decisao", long: int = LONG
     inner = Window.partitionBy(*key, "_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.withColumn("_from", F.col("_at") + F.coalesce(F.sum("_q.size").over(inner), F.lit(0)))
     bare = strip(F.col("_q.piece"))
-    lead = F.length("_q.piece") - F.length(F.regexp_replace("_q.piece", f"(?U)^{WS}+", ""))
+    lead = F.length("_q.piece") - F.length(F.ltrim("_q.piece", F.lit(BLANK)))
     found = parts.withColumn("text", bare).where("text <> ''").withColumn("start", (F.col("_from") + lead).cast("int"))
     found = found.withColumn("_n", normalize(F.col("text")))
     # judged below the window, so that a filter on rejected isn't pushed down and worked out twice
@@ -79,7 +79,7 @@ def reconstruct(source: str, ids: str, units_: str) -> Column:
     """The text of the units with these ids: verbatim from first to last if they (nearly) touch, else line by line."""
     chosen = f"array_sort(transform(filter({units_}, u -> array_contains({ids}, u.unit_id)), u -> struct(u.start AS start, u.end AS end, u.text AS text)))"
     gap = f"substring({source}, a.end + 1, b.start - a.end)"
-    apart = f"exists(zip_with(slice(c, 1, size(c) - 1), slice(c, 2, size(c)), (a, b) -> b.start - a.end > {NEAR} AND regexp_replace({gap}, r'(?U){WS}+', '') <> ''), x -> x)"
+    apart = f"exists(zip_with(slice(c, 1, size(c) - 1), slice(c, 2, size(c)), (a, b) -> b.start - a.end > {NEAR} AND regexp_replace({gap}, r'{WS}+', '') <> ''), x -> x)"
     whole = f"substring({source}, element_at(c, 1).start + 1, element_at(c, -1).end - element_at(c, 1).start)"
     return F.expr(
         f"element_at(transform(array({chosen}), c -> CASE WHEN size(c) = 0 THEN '' WHEN size(c) > 1 AND {apart} "

@@ -48,9 +48,10 @@ def operative(normalized: Column) -> Column:
     return F.rlike(normalized, F.lit(OPERATIVE))
 
 
-def held(df: DataFrame) -> DataFrame:
-    """df with a column that keeps filters from being pushed below, where what they ask for would be worked out once more for each mention."""
-    return df.withColumn("_held", F.monotonically_increasing_id())
+def held(df: DataFrame, condition: Column) -> DataFrame:
+    """df.where(condition), asked of columns as they are: a filter that is pushed below would work out what it asks for once more for each mention."""
+    kept = df.withColumn("_held", F.monotonically_increasing_id())
+    return kept.where(condition & (F.col("_held") >= 0)).drop("_held")
 
 
 def fallback_score(normalized: Column, label: Column, opening: Column | None = None) -> Column:
@@ -81,17 +82,17 @@ def by_opening(units: DataFrame, key: list[str], most: int = 3) -> DataFrame:
 
     With most <= 0 the first kept unit is still taken if it is operative, as the limit is looked at behind each unit.
     """
-    live = held(units.where("rejected IS NULL").withColumn("_n", normalize(F.col("text"))))
+    live = units.where("rejected IS NULL").withColumn("_n", normalize(F.col("text")))
     if most <= 0:
         first = F.row_number().over(Window.partitionBy(*key).orderBy("start"))
         live, most = live.withColumn("_first", first).where("_first = 1"), 1
-    return _chosen(live.where(operative(F.col("_n"))), key, [F.col("start")], most, 3, F.lit("deterministic rules fallback"))
+    return _chosen(held(live, operative(F.col("_n"))), key, [F.col("start")], most, 3, F.lit("deterministic rules fallback"))
 
 
 def by_rule(units: DataFrame, key: list[str], most: int = 3) -> DataFrame:
     """Units by fallback_score, best first; units also has rule_id and rule_label (null without a rule)."""
     live = units.where("rejected IS NULL").withColumns({"_n": normalize(F.col("text")), "_l": normalize(F.col("rule_label"))})
-    live = held(live).withColumn("_h", F.substring("_n", 1, OPENING))
-    scored = held(live.withColumn("_score", fallback_score(F.col("_n"), F.col("_l"), F.col("_h")))).where("_score > 0")
+    live = live.withColumn("_h", F.substring("_n", 1, OPENING))
+    scored = held(live.withColumn("_score", fallback_score(F.col("_n"), F.col("_l"), F.col("_h"))), F.col("_score") > 0)
     reason = F.coalesce(F.concat(F.lit("rule fallback: "), "rule_id", F.lit("/"), "rule_label"), F.lit("rule fallback conservador"))
     return _chosen(scored, key, [F.desc("_score"), F.col("start")], most, 2, reason)
