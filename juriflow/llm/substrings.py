@@ -30,6 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -229,22 +230,43 @@ def _subtrees(rows: DataFrame, window: int) -> DataFrame:
     return rows.mapInArrow(found, "rid long, lo int, hi int")
 
 
-def _windows(rows: DataFrame, window: int) -> DataFrame:
-    """(path, rid, lo): each suffix of rows by its first `window` words, as 128 bits of them."""
+def _windows(rows: DataFrame, window: int, known: Broadcast | None = None, met: bool = False) -> DataFrame:
+    """(path, rid, lo): each suffix of rows by its first `window` words, as 128 bits of them; without those in known, or (met) those alone."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = known.value if known else frozenset()
         for batch in batches:
             path, rid, lo = [], [], []
             for r, at, n, text in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3, 4))):
                 words = text.split()
-                path += [xxhash.xxh3_128_digest(b" ".join(words[i : i + window])) for i in range(n)]
-                rid += [r] * n
-                lo += range(at, at + n)
+                digests = [xxhash.xxh3_128_digest(b" ".join(words[i : i + window])) for i in range(n)]
+                here = [i for i, d in enumerate(digests) if (d in of) == met]
+                path += [digests[i] for i in here]
+                rid += [r] * len(here)
+                lo += [at + i for i in here]
             yield pa.RecordBatch.from_arrays([pa.array(path, pa.binary()), pa.array(rid, pa.int64()), pa.array(lo, pa.int32())], ["path", "rid", "lo"])
 
     return rows.mapInArrow(found, "path binary, rid long, lo int")
 
 
+def _counted_windows(rows: DataFrame, window: int, most: int) -> DataFrame:
+    """(rid, lo, hi): the suffixes of rows whose first `window` words begin another suffix of rows, too.
+
+    Windows met more than `most` times are few; if they are counted to be few enough for a broadcast, tasks know them and join only the others.
+    """
+    again = cut(_windows(rows, window).groupBy("path").agg(F.count("*").alias("_n")).where("_n > 1"))
+    hot = again.where(F.col("_n") > most).select("path")
+    n = hot.count()
+    if 0 < n <= BROADCAST_ROWS:
+        known = rows.sparkSession.sparkContext.broadcast(frozenset(bytes(r.path) for r in hot.collect()))  # 16 bytes each
+        found = _windows(rows, window, known, met=True).select("rid", "lo")
+        rest = _windows(rows, window, known).join(again.where(F.col("_n") <= most).select("path"), "path", "left_semi")
+        found = found.union(rest.select("rid", "lo"))
+    else:
+        found = _windows(rows, window).join(again.select("path"), "path", "left_semi").select("rid", "lo")
+    return found.select("rid", "lo", (F.col("lo") + window).alias("hi"))
+
+
 def _left(docs: DataFrame) -> DataFrame:
     """docs: (rid, doc_id, text, spans) -> doc_id and RESULT."""
 
@@ -296,9 +318,7 @@ def spans(own: DataFrame, window: int = WINDOW, prefix: int = PREFIX, group: int
     out = out.union(subtrees(few))
     if many is None:
         return out
-    leaves = cut(_windows(many, window))
-    few, many = _met(leaves, "path", group)
-    return out.union((few if many is None else few.union(many)).select("rid", "lo", (F.col("lo") + window).alias("hi")))
+    return out.union(_counted_windows(cut(many), window, group))
 
 
 def dedup(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX, group: int = GROUP) -> DataFrame:
