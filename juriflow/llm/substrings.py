@@ -25,6 +25,7 @@ very long texts are cut nowhere; an empty table gives an empty table; the result
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -230,17 +231,59 @@ def _subtrees(rows: DataFrame, window: int) -> DataFrame:
     return rows.mapInArrow(found, "rid long, lo int, hi int")
 
 
-def _windows(rows: DataFrame, window: int, known: Broadcast | None = None, met: bool = False) -> DataFrame:
-    """(path, rid, lo): each suffix of rows by its first `window` words, as 128 bits of them; without those in known, or (met) those alone."""
+def _digests(batch: pa.RecordBatch, window: int) -> Iterator[tuple[int, int, list[bytes]]]:
+    """(rid, first word, each suffix' first `window` words as 128 bits) of each row."""
+    for rid, at, n, text in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3, 4))):
+        words = text.split()
+        yield rid, at, [xxhash.xxh3_128_digest(b" ".join(words[i : i + window])) for i in range(n)]
+
+
+def _window_counts(rows: DataFrame, window: int, held: int = 200_000) -> DataFrame:
+    """(path, n): how often a window begins a suffix of rows, summed in the task first, `held` of them at a time."""
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[bytes] = Counter()
+
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["path", "n"])
+
+        for batch in batches:
+            for _, _, digests in _digests(batch, window):
+                counts.update(digests)
+                if len(counts) > held:
+                    yield out()
+                    counts.clear()
+        yield out()
+
+    return rows.mapInArrow(found, "path binary, n long")
+
+
+def _met_windows(rows: DataFrame, window: int, known: Broadcast) -> DataFrame:
+    """(rid, lo, hi): runs of neighbouring suffixes of rows whose windows are known."""
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple[int, int, int]] = []
+            for rid, at, digests in _digests(batch, window):
+                here = np.flatnonzero([d in known.value for d in digests])
+                if len(here):
+                    cut_ = np.flatnonzero(np.diff(here) > 1)
+                    out += [(rid, at + a, at + b + window) for a, b in zip(here[np.append(0, cut_ + 1)].tolist(), here[np.append(cut_, len(here) - 1)].tolist())]
+            columns = list(zip(*out)) or [(), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int32()))], ["rid", "lo", "hi"])
+
+    return rows.mapInArrow(found, "rid long, lo int, hi int")
+
+
+def _windows(rows: DataFrame, window: int, known: Broadcast | None) -> DataFrame:
+    """(path, rid, lo): the suffixes of rows whose windows aren't known."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = known.value if known else frozenset()
         for batch in batches:
             path, rid, lo = [], [], []
-            for r, at, n, text in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3, 4))):
-                words = text.split()
-                digests = [xxhash.xxh3_128_digest(b" ".join(words[i : i + window])) for i in range(n)]
-                here = [i for i, d in enumerate(digests) if (d in of) == met]
+            for r, at, digests in _digests(batch, window):
+                here = [i for i, d in enumerate(digests) if d not in of]
                 path += [digests[i] for i in here]
                 rid += [r] * len(here)
                 lo += [at + i for i in here]
@@ -254,17 +297,15 @@ def _counted_windows(rows: DataFrame, window: int, most: int) -> DataFrame:
 
     Windows met more than `most` times are few; if they are counted to be few enough for a broadcast, tasks know them and join only the others.
     """
-    again = cut(_windows(rows, window).groupBy("path").agg(F.count("*").alias("_n")).where("_n > 1"))
+    again = cut(_window_counts(rows, window).groupBy("path").agg(F.sum("n").alias("_n")).where("_n > 1"))
     hot = again.where(F.col("_n") > most).select("path")
-    n = hot.count()
+    n, known = hot.count(), None
     if 0 < n <= BROADCAST_ROWS:
         known = rows.sparkSession.sparkContext.broadcast(frozenset(bytes(r.path) for r in hot.collect()))  # 16 bytes each
-        found = _windows(rows, window, known, met=True).select("rid", "lo")
-        rest = _windows(rows, window, known).join(again.where(F.col("_n") <= most).select("path"), "path", "left_semi")
-        found = found.union(rest.select("rid", "lo"))
-    else:
-        found = _windows(rows, window).join(again.select("path"), "path", "left_semi").select("rid", "lo")
-    return found.select("rid", "lo", (F.col("lo") + window).alias("hi"))
+        again = again.where(F.col("_n") <= most)
+    rest = _windows(rows, window, known).join(again.select("path"), "path", "left_semi")
+    rest = rest.select("rid", "lo", (F.col("lo") + window).alias("hi"))
+    return rest.union(_met_windows(rows, window, known)) if known else rest
 
 
 def _left(docs: DataFrame) -> DataFrame:
