@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,10 +32,11 @@ def _pieces(text: str, gap: str) -> Column:
     )
 
 
-def units(df: DataFrame, key: list[str], text: str = "decisao", long: int = LONG) -> DataFrame:
+def units(df: DataFrame, key: list[str], text: str = "decisao", long: int = LONG, marks: Callable[[Column], dict[str, Column]] | None = None) -> DataFrame:
     """key, unit_id, start, end, text, section, rejected: a row for each unit; key tells the texts apart.
 
-    Offsets are code points, end exclusive. One exchange by key serves all windows.
+    Offsets are code points, end exclusive. One exchange by key serves all windows. marks: further columns made of a unit's
+    normalized text, which is at hand here, and of key.
     """
     by = Window.partitionBy(*key).orderBy("_b")
     so_far = by.rowsBetween(Window.unboundedPreceding, -1)
@@ -55,7 +58,8 @@ def units(df: DataFrame, key: list[str], text: str = "decisao", long: int = LONG
     found = parts.withColumn("text", bare).where("text <> ''").withColumn("start", (F.col("_from") + lead).cast("int"))
     found = found.withColumn("_n", normalize(F.col("text")))
     # judged below the window, so that a filter on rejected isn't pushed down and worked out twice
-    found = found.withColumn("rejected", rejection(F.col("text"), F.col("_n")))
+    more = marks(F.col("_n")) if marks else {}
+    found = found.withColumns({"rejected": rejection(F.col("text"), F.col("_n")), **more})
     number = F.row_number().over(Window.partitionBy(*key).orderBy("start"))
     return found.select(
         *key,
@@ -65,14 +69,16 @@ def units(df: DataFrame, key: list[str], text: str = "decisao", long: int = LONG
         "text",
         "section",
         "rejected",
+        *more,
     )
 
 
-def unit_lists(df: DataFrame, key: list[str], text: str = "decisao", long: int = LONG) -> DataFrame:
-    """key, units: the units of each text as one array in order."""
-    one = F.struct("start", "unit_id", "end", "text", "section", "rejected")
-    listed = units(df, key, text, long).groupBy(*key).agg(F.array_sort(F.collect_list(one)).alias("_u"))
-    return listed.select(*key, F.expr(f"cast(transform(_u, u -> struct(u.unit_id, u.start, u.end, u.text, u.section, u.rejected)) as array<{UNIT}>)").alias("units"))
+def unit_lists(df: DataFrame, key: list[str], text: str = "decisao", long: int = LONG, marks: Callable[[Column], dict[str, Column]] | None = None) -> DataFrame:
+    """key, units: the units of each text as one array in order; with marks also marked, the same units with their marks."""
+    rows = units(df, key, text, long, marks)
+    one = F.struct("start", "unit_id", "end", "text", "section", *rows.columns[rows.columns.index("rejected") :])
+    listed = rows.groupBy(*key).agg(F.array_sort(F.collect_list(one)).alias("_u"))
+    return listed.select(*key, *([F.col("_u").alias("marked")] if marks else []), F.expr(f"cast(transform(_u, u -> struct(u.unit_id, u.start, u.end, u.text, u.section, u.rejected)) as array<{UNIT}>)").alias("units"))
 
 
 def reconstruct(source: str, ids: str, units_: str) -> Column:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from juriflow.functions.text import any_in, first_of, normalize
@@ -38,6 +40,7 @@ LABEL_POINTS = (
 NARRATIVE = ("sustenta ", "alega ", "a parte sustenta ", "a impetrante sustenta ", "a autora sustenta ")
 PAST = ("foi devidamente notificada", "culminou no ato declaratorio")
 OPENING = 180
+OPENING_REASON = "deterministic rules fallback"
 
 
 def category(normalized: Column) -> Column:
@@ -48,12 +51,6 @@ def operative(normalized: Column) -> Column:
     return F.rlike(normalized, F.lit(OPERATIVE))
 
 
-def held(df: DataFrame, condition: Column) -> DataFrame:
-    """df.where(condition), asked of columns as they are: a filter that is pushed below would work out what it asks for once more for each mention."""
-    kept = df.withColumn("_held", F.monotonically_increasing_id())
-    return kept.where(condition & (F.col("_held") >= 0)).drop("_held")
-
-
 def fallback_score(normalized: Column, label: Column, opening: Column | None = None) -> Column:
     """How likely a unit is the act that a rule's (normalized) label names; 0 for narrative. opening: how the unit begins, if that is a column."""
     texts = {"n": normalized, "h": F.substring(normalized, 1, OPENING) if opening is None else opening}
@@ -69,30 +66,41 @@ def fallback_score(normalized: Column, label: Column, opening: Column | None = N
     return first_of([(told, F.lit(0)), (any_in(texts["h"], PAST), F.greatest(F.lit(0), score - 6))], score)
 
 
-def _chosen(found: DataFrame, key: list[str], order: list[Column], most: int, priority: int, reason: Column) -> DataFrame:
-    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy(*key).orderBy(*order)))
-    kept = ranked.where(F.col("rank") <= most)
-    return kept.select(
-        *key, "rank", F.array("unit_id").alias("unit_ids"), category(F.col("_n")).alias("category"), F.lit(priority).alias("priority"), reason.alias("reason")
+def _items(units: Column, priority: int, reason: Column) -> Column:
+    """Selections, in order, of an array of units."""
+    return F.transform(
+        units,
+        lambda u, i: F.struct(
+            (i + 1).cast("int").alias("rank"), F.array(u["unit_id"]).alias("unit_ids"), category(normalize(u["text"])).alias("category"), F.lit(priority).alias("priority"), reason.alias("reason")
+        ),
     )
 
 
-def by_opening(units: DataFrame, key: list[str], most: int = 3) -> DataFrame:
-    """key, rank, unit_ids, category, priority, reason: the first operative units of each text.
+def marks(mode: str) -> Callable[[Column], dict[str, Column]]:
+    """What opening_items and rule_items ask of a unit: act, or score (by a key column rule_label)."""
+    if mode == "rules":
+        return lambda n: {"act": operative(n)}
+    return lambda n: {"score": fallback_score(n, normalize(F.col("rule_label")), F.substring(n, 1, OPENING))}
+
+
+def opening_items(marked: Column, most: int = 3) -> Column:
+    """The first operative units of a text, as selections.
 
     With most <= 0 the first kept unit is still taken if it is operative, as the limit is looked at behind each unit.
     """
-    live = units.where("rejected IS NULL").withColumn("_n", normalize(F.col("text")))
+    live = F.filter(marked, lambda u: u["rejected"].isNull())
     if most <= 0:
-        first = F.row_number().over(Window.partitionBy(*key).orderBy("start"))
-        live, most = live.withColumn("_first", first).where("_first = 1"), 1
-    return _chosen(held(live, operative(F.col("_n"))), key, [F.col("start")], most, 3, F.lit("deterministic rules fallback"))
-
-
-def by_rule(units: DataFrame, key: list[str], most: int = 3) -> DataFrame:
-    """Units by fallback_score, best first; units also has rule_id and rule_label (null without a rule)."""
-    live = units.where("rejected IS NULL").withColumns({"_n": normalize(F.col("text")), "_l": normalize(F.col("rule_label"))})
-    live = live.withColumn("_h", F.substring("_n", 1, OPENING))
-    scored = held(live.withColumn("_score", fallback_score(F.col("_n"), F.col("_l"), F.col("_h"))), F.col("_score") > 0)
-    reason = F.coalesce(F.concat(F.lit("rule fallback: "), "rule_id", F.lit("/"), "rule_label"), F.lit("rule fallback conservador"))
-    return _chosen(scored, key, [F.desc("_score"), F.col("start")], most, 2, reason)
+        return _items(F.filter(F.slice(live, 1, 1), lambda u: u["act"]), 3, F.lit(OPENING_REASON))
+    return _items(F.slice(F.filter(live, lambda u: u["act"]), 1, most), 3, F.lit(OPENING_REASON))
+
+
+def _reason() -> Column:
+    return F.coalesce(F.concat(F.lit("rule fallback: "), "rule_id", F.lit("/"), "rule_label"), F.lit("rule fallback conservador"))
+
+
+def rule_items(marked: Column, most: int = 3) -> Column:
+    """The units of the best fallback_score, as selections; beside rule_id and rule_label (null without a rule)."""
+    scored = F.filter(marked, lambda u: u["rejected"].isNull() & (u["score"] > 0))
+    best = F.array_sort(scored, lambda a, b: F.when(a["score"] != b["score"], F.sign(b["score"] - a["score"])).otherwise(F.sign(a["start"] - b["start"])).cast("int"))
+    return _items(F.slice(best, 1, max(0, most)), 2, _reason())
+

@@ -106,8 +106,7 @@ def run(
     once = live.where("_nth = 1")
     if known is not None:
         once = once.join(known.select("decision_sha256"), "decision_sha256", "left_anti")
-    texts = unit_lists(once, ["decision_sha256"])
-    chosen = _choose(once, texts, mode, max_candidates, teacher).persist(StorageLevel.MEMORY_AND_DISK)
+    chosen = _choose(once, mode, max_candidates, teacher).persist(StorageLevel.MEMORY_AND_DISK)
     every = chosen.withColumn("_known", F.lit(False))
     if known is not None:
         every = every.unionByName(known.select(*chosen.columns).withColumn("_known", F.lit(True)))
@@ -123,31 +122,28 @@ def run(
     return Run(documents, candidates, errors, manifest, chosen, [rows, chosen])
 
 
-def _choose(once: DataFrame, texts: DataFrame, mode: str, most: int, teacher) -> DataFrame:
+def _choose(once: DataFrame, mode: str, most: int, teacher) -> DataFrame:
     """decision_sha256, selected (with texts), teacher_status, teacher_attempts, teacher_response_mode, error: a row for each text."""
     key = ["decision_sha256"]
-    lists = once.join(texts, key, "left")
-    flat = lists.select(*key, "rule_id", "rule_label", F.inline("units"))
+    texts = unit_lists(once, [*key, "rule_label"], marks=select.marks(mode)).drop("rule_label")
     if mode == "rules":
-        picks = select.by_opening(flat, key, most)
+        picked = select.opening_items(F.col("marked"), most)
         attempts, reply, error, ok, empty = 0, "rules", None, "OK", "EMPTY_VALID"
     else:
-        picks = select.by_rule(flat, key, most)
+        picked = select.rule_items(F.col("marked"), most)
         attempts, reply, error, ok, empty = 2, "fallback", "model unavailable", "RULE_FALLBACK", "RULE_FALLBACK_EMPTY"
-    item = F.struct("rank", "unit_ids", "category", "priority", "reason")
-    listed = picks.groupBy(*key).agg(F.array_sort(F.collect_list(item)).alias("selected"))
+    lists = once.join(texts, key, "left").withColumn("_picked", picked)
     if mode == "llama":
-        answered = teacher(lists, most)
-        joined = lists.join(answered, key, "left").join(listed.withColumnRenamed("selected", "_fallback"), key, "left")
+        answered = teacher(lists.drop("marked", "_picked"), most)
+        joined = lists.join(answered, key, "left")
         failed = F.col("error").isNotNull()
-        spare = F.coalesce("_fallback", F.expr("filter(selected, x -> false)"))
+        spare = F.coalesce("_picked", F.expr("filter(selected, x -> false)"))
         joined = joined.withColumn("selected", F.when(failed, spare).otherwise(F.col("selected")))
         status = F.when(~failed, F.col("teacher_status")).when(F.size("selected") > 0, "RULE_FALLBACK").otherwise("RULE_FALLBACK_EMPTY")
         joined = joined.withColumn("teacher_status", status)
     else:
-        joined = lists.join(listed, key, "left")
         none = F.expr("cast(array() as array<struct<rank:int,unit_ids:array<string>,category:string,priority:int,reason:string>>)")
-        joined = joined.withColumn("selected", F.coalesce("selected", none)).withColumns(
+        joined = lists.withColumn("selected", F.coalesce("_picked", none)).withColumns(
             {
                 "teacher_status": F.when(F.size("selected") > 0, ok).otherwise(empty), "teacher_attempts": F.lit(attempts),
                 "teacher_response_mode": F.lit(reply), "error": F.lit(error).cast("string"),

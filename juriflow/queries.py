@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from juriflow.functions import text as T
 from juriflow.operators import noise, router, rules, select
-from juriflow.operators.segment import FIRST_SECTION, LONG, SECTIONS, units
+from juriflow.operators.segment import FIRST_SECTION, LONG, SECTIONS, unit_lists, units
 from juriflow.plans import decisions, extract, gold, review, training
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -235,7 +235,8 @@ SELECT source_row, CAST(rank AS INT) AS rank, unit_id AS unit_ids, {sql_category
 def sel_fallback_topk(spark, sf_dir):
     """SEL3, LIM5, TCH9"""
     live = _live(spark, sf_dir).select("source_row", "decisao", F.col("rule.rule_id").alias("rule_id"), F.col("rule.label").alias("rule_label"))
-    picks = select.by_rule(units(live, ["source_row", "rule_id", "rule_label"]), ["source_row"])
+    lists = unit_lists(live, ["source_row", "rule_id", "rule_label"], marks=select.marks("fallback"))
+    picks = lists.select("source_row", F.inline(select.rule_items(F.col("marked"))))
     return picks.select("source_row", F.col("rank").cast("int").alias("rank"), F.array_join("unit_ids", ",").alias("unit_ids"), "category", "reason")
 
 
