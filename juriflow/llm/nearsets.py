@@ -228,7 +228,7 @@ def by_heads(finer: DataFrame, again: DataFrame, items: DataFrame, edges: DataFr
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, rid: str | None = None) -> DataFrame:
-    """(rid, doc_id, class_id, class_size, n_links, kept): a row for each of docs; n_links: verified links of its text."""
+    """(rid, doc_id, class_id, class_size, n_verified, kept): a row for each of docs; n_verified: links of its text that were compared and hold, enough to tell the class."""
     own = docs if rid else keyed(docs.select("doc_id", "text"), "rid")
     own = own.select(F.col(rid or "rid").alias("rid"), "doc_id", "text")
     sketch = cut(_sketches(own, "rid", bands, rows))
@@ -259,12 +259,12 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
         finer = cut(rare_buckets(items.join(again, "rid"), similarity))
         edges = by_heads(finer, again, items, edges, similarity)
         roots = components(edges)
-    degree = edges.select(F.explode(F.array("u", "v")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))
+    degree = edges.select(F.explode(F.array("u", "v")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_verified"))
     named = (
         texts.select("words", "rep")
         .join(roots.withColumnRenamed("v", "rep"), "rep", "left")
         .join(degree, "rep", "left")
-        .select("words", F.coalesce("root", "rep").alias("root"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+        .select("words", F.coalesce("root", "rep").alias("root"), F.coalesce("n_verified", F.lit(0)).cast("long").alias("n_verified"))
     )
     placed = sketch.select("rid", "doc_id", "words").join(named, "words", "left").withColumn("root", F.coalesce("root", -F.col("rid") - 1))
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("least")
@@ -274,7 +274,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
         "doc_id",
         F.col("least.doc_id").alias("class_id"),
         "class_size",
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        F.coalesce("n_verified", F.lit(0)).cast("long").alias("n_verified"),
         (F.col("rid") == F.col("least.rid")).alias("kept"),
     )
 

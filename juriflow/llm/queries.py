@@ -66,7 +66,7 @@ def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents."""
-    return nearsets.classes(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "n_links", "kept")
+    return nearsets.classes(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "n_verified", "kept")
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

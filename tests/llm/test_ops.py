@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from juriflow.llm import decontam, linededup, mixing, nearsets, perspectives, pitmanyor, quality, rollups, secrets, substrings
-from juriflow.llm.common import Words
+from juriflow.llm.common import Words, components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, n_words string, rid int"
 
@@ -260,6 +260,37 @@ def test_near_dedup_of_copies_near_the_original_only(spark, original):
     same(got.select("doc_id", "class_id", "class_size").collect(), [(i, root[i], root.count(root[i])) for i in range(len(rows))])
 
 
+def test_near_dedup_of_a_template(spark):
+    """300 texts of one template of 120 words with two edits each: every similar pair is in one class, no other."""
+    r = random.Random(23)
+    texts = []
+    for i in range(300):
+        w = prose(13, 120).split()
+        for k in range(2):
+            w[r.randrange(120)] = f"edit{i}x{k}"
+        texts.append(" ".join(w))
+    sets = [shingles(t) for t in texts]
+    root, pairs = list(range(300)), []
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if jaccard(a, b) >= 0.8:
+                pairs.append((i, j))
+                x, y = sorted((root[i], root[j]))
+                root = [x if z == y else z for z in root] if x != y else root
+    rows = [(i, t, "en", "s", 1, "", 0) for i, t in enumerate(texts)]
+    got = {r.doc_id: r.class_id for r in nearsets.classes(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()}
+    assert len(pairs) > 500 and got == dict(enumerate(root))
+
+
+def test_components_in_rounds_and_in_one_task(spark):
+    r = random.Random(2)
+    links = [(r.randrange(200), r.randrange(200)) for _ in range(120)] + [(i, i + 1) for i in range(300, 340)] + [(7, 7)]
+    edges = spark.createDataFrame(links, "u long, v long")
+    one, many = ({(x.v, x.root) for x in components(edges, task_links=n).collect()} for n in (1_000_000, 0))
+    assert one == many and (340, 300) in one and len(one) > 100
+    assert components(edges.limit(0)).count() == 0
+
+
 def test_bagminhash_is_unbiased():
     a, b = prose(21, 400) + " x y z q r" * 30, prose(21, 360) + " x y z q r" * 20
     w = Words(pa.array([a, b]))
