@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 GAP = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that a Python worker turns into arrays at a time (a longer text makes a slice of its own).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _STEADY = re.compile(r"^[\s:+\-|]*(Project|Filter|Relation|LogicalRDD|LocalRelation|SubqueryAlias|Generate)\b")
 
