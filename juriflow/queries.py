@@ -354,17 +354,11 @@ def review_metrics(spark, sf_dir):
 WHERE f.st IN ('APROVADO', 'AJUSTADO') AND d.p NOT IN (77, 53)""")
 def gold_items(spark, sf_dir):
     """GLD1, JON5"""
-    docs = gold.records(gold.judge(_played(spark, sf_dir)))
-    items = docs.select("decision_sha256", F.posexplode("gold").alias("_p", "g")).where("g.source = 'candidate'")
-    return items.join(_ranks(spark, sf_dir), ["decision_sha256"], "inner").where("try_element_at(ranks, _p + 1) IS NOT NULL").select(
-        "decision_sha256", F.expr("element_at(ranks, _p + 1)").alias("position"), "g.text", "g.category", "g.validation"
-    )
-
-
-def _ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Which slots each document's gold items come from, in order."""
-    judged = gold.judge(_played(spark, sf_dir))
-    return judged.select(F.col("key").alias("decision_sha256"), F.expr("transform(filter(transform(facts, (f, i) -> struct(f.good AS good, i + 1 AS rank)), x -> x.good), x -> x.rank)").alias("ranks"))
+    # which slots the items come from, in order
+    ranks = F.expr("transform(filter(transform(facts, (f, i) -> struct(f.good AS good, i + 1 AS rank)), x -> x.good), x -> x.rank)").alias("ranks")
+    docs = gold.records(gold.judge(_played(spark, sf_dir)), ranks)
+    items = docs.select("decision_sha256", "ranks", F.posexplode("gold").alias("_p", "g")).where("g.source = 'candidate' AND try_element_at(ranks, _p + 1) IS NOT NULL")
+    return items.select("decision_sha256", F.expr("element_at(ranks, _p + 1)").alias("position"), "g.text", "g.category", "g.validation")
 
 
 @query(f"""WITH {PLAYED} SELECT id AS "ID", issues FROM (
