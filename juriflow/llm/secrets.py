@@ -77,19 +77,16 @@ def lexicon(texts: DataFrame, min_count: int = MIN_COUNT) -> Lexicon:
 
 
 def coverage(strings: DataFrame, known: DataFrame) -> DataFrame:
-    """candidate, covered: how many characters of each different candidate lie in words of the lexicon."""
-    parts = F.explode(
-        F.expr(
-            "flatten(transform(sequence(1, length(_c)), i -> transform(sequence(4, least(12, length(regexp_extract(substr(_c, i, 12), '^[a-z]*', 0)))), "
-            "n -> struct(i AS at, substr(_c, i, n) AS word))))"
-        )
-    )
-    cut_ = strings.select("candidate", F.lower("candidate").alias("_c")).where(F.rlike("_c", F.lit("[a-z]{4}")))
-    # sequence(4, least(..)) counts down where fewer than four letters follow; such places are left out
-    met = cut_.select("candidate", parts.alias("_p")).select("candidate", "_p.at", "_p.word").where("length(word) >= 4").join(known.select("word"), "word")
-    reach = met.groupBy("candidate", "at").agg(F.max(F.length("word")).alias("n"))
-    places = F.expr("size(array_distinct(flatten(collect_list(sequence(at, at + n - 1)))))")
-    return reach.groupBy("candidate").agg(places.alias("covered"))
+    """digest (md5), covered: how many characters of each different candidate lie in words of the lexicon; what is joined is bounded by its length."""
+    letters = F.split(F.lower("candidate"), "")
+    some = strings.where(F.rlike("candidate", F.lit("[A-Za-z]{4}"))).select(F.md5("candidate").alias("digest"), letters.alias("_a"))
+    begins = F.expr("transform(sequence(1, size(_a) - 3), i -> regexp_extract(array_join(slice(_a, i, 12), ''), '^[a-z]*', 0))")
+    places = some.select("digest", F.posexplode(begins).alias("at", "_p")).where("length(_p) >= 4")
+    parts = places.select("digest", "at", F.explode(F.expr("transform(sequence(4, length(_p)), n -> substr(_p, 1, n))")).alias("word"))
+    met = parts.join(known.select("word"), "word")
+    reach = met.groupBy("digest", "at").agg(F.max(F.length("word")).alias("n"))
+    covered = F.expr("size(array_distinct(flatten(collect_list(sequence(at, at + n - 1)))))")
+    return reach.groupBy("digest").agg(covered.alias("covered"))
 
 
 def candidates(docs: DataFrame, known: Lexicon, key: tuple[str, ...] = ("doc_id",), path: str | None = None, min_length: int = MIN_LENGTH) -> DataFrame:
@@ -104,7 +101,7 @@ def candidates(docs: DataFrame, known: Lexicon, key: tuple[str, ...] = ("doc_id"
     found = listed.select(*key, "_path", F.explode(spots).alias("_s"))
     found = found.select(*key, "_path", "_s.*", F.explode(F.regexp_extract_all("_s.word", F.lit(f"({run})"), F.lit(1))).alias("candidate"))
     covered = counted(coverage(found.select("candidate").distinct(), known.words))
-    found = found.join(covered, "candidate", "left")
+    found = found.withColumn("digest", F.md5("candidate")).join(covered, "digest", "left")
     c, n = F.col("candidate"), F.length("candidate").cast("double")
 
     def share(pattern: str) -> Column:
@@ -116,8 +113,8 @@ def candidates(docs: DataFrame, known: Lexicon, key: tuple[str, ...] = ("doc_id"
     near = F.concat_ws(" ", "before", "word", "behind")
     lead = F.concat("before", F.lit(" "), F.expr("substring_index(word, candidate, 1)"))
     logs = F.split(F.lit(",".join(map(repr, known.transitions))), ",").cast("array<double>")  # folded to a constant
-    here, then = (_symbol(f"substr(_low, i{k}, 1)") for k in ("", " + 1"))
-    steps = F.transform(F.expr(f"transform(sequence(1, length(_low) - 1), i -> int({_SYMBOLS} * ({here}) + ({then})))"), lambda k: F.get(logs, k))
+    pairs = f"zip_with(slice(_low, 1, size(_low) - 1), slice(_low, 2, size(_low)), (a, b) -> int({_SYMBOLS} * ({_symbol('a')}) + ({_symbol('b')})))"
+    steps = F.transform(F.expr(pairs), lambda k: F.get(logs, k))
     values = {
         "length": n, "digit_share": share("[0-9]"), "upper_share": share("[A-Z]"), "hex_share": share("[0-9a-fA-F]"),
         "class_changes": share("[a-z](?=[^a-z])|[A-Z](?=[^A-Z])|[0-9](?=[^0-9])|[^A-Za-z0-9](?=[A-Za-z0-9])"),
@@ -127,7 +124,7 @@ def candidates(docs: DataFrame, known: Lexicon, key: tuple[str, ...] = ("doc_id"
         "path_depth": F.regexp_count("_path", F.lit(r"[/\\]")),
         "near_credential": has(lead, CREDENTIAL), "near_assign": has(lead, "[=:]\\s*[\"']?$"), "near_digest": has(near, DIGEST),
     }
-    found = found.withColumn("_low", F.lower("candidate"))
+    found = found.withColumn("_low", F.split(F.lower("candidate"), ""))
     return found.select(*key, F.col("word_index").cast("long").alias("word_index"), "candidate", *[F.coalesce(v.cast("double"), F.lit(0.0)).alias(k) for k, v in values.items()])
 
 
