@@ -22,7 +22,8 @@ once and then what has changed; parts seat the root and send sums back, and with
 read the same exchange within one plan, so that a lost executor's share is made again from it or from the input.
 
 What moves: for each chunk of about `chunk_tokens` tokens and each bucket one block of hashes, different triples and the
-documents of their occurrences, a few bytes a token, and back sums for each document of the chunk. A frequent triple is one entry
+documents of their occurrences, about ten bytes a token (more where many buckets make blocks small, as each then names more words for
+itself), and back sums for each document of the chunk. A frequent triple is one entry
 a chunk and a few bytes for each of its places. Every word of every text counts.
 
 Defined results: null, empty and blank texts are one end; held out is crc32 of the id's decimal text modulo 10 = 0 (a
@@ -54,8 +55,8 @@ RESULT = ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_sco
 #: Any fixed values: the hashes of the end and of the two places before a text, and what tells kinds of keys and draws apart.
 _END, _START, _BEFORE = (np.uint64(x) for x in (0x2545F4914F6CDD00, 0x9FB21C651E98DF00, 0xC2B2AE3D27D4EB00))
 _ONE, _TWO, _THREE, _STEP = (np.uint64(x) for x in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3))
-#: Words are told apart by 56 bits of their hash, which spares an eighth of what is shuffled.
-_MASK = np.uint64((1 << 64) - 256)
+#: Words are told apart by 56 bits of their hash; the first of a context's two by 32, among the contexts of one last token.
+_MASK, _TAG = np.uint64((1 << 64) - 256), np.uint64((1 << 64) - (1 << 32))
 _STATS = ("ones3", "twos3", "ones2", "twos2", "customers", "tables", "V", "N", "ones1", "twos1")
 _BLOCK = "bucket int, chunk long, n_docs int, block binary"
 _NUMBERS = ", ".join(f"{s} double" for s in _STATS)
@@ -74,7 +75,7 @@ def triple_key(x: np.ndarray, pair: np.ndarray) -> np.ndarray:
 
 
 def _tokens(batch: pa.RecordBatch, text: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, hash of the token before, of the one before that, text's index) of all tokens."""
+    """(hash, hash of the token before, tag of the one before that, text's index) of all tokens."""
     w = Words(batch.column(text), lower=True)
     n = w.counts + 1
     first = np.cumsum(n) - n
@@ -88,7 +89,7 @@ def _tokens(batch: pa.RecordBatch, text: int) -> tuple[np.ndarray, np.ndarray, n
     two[first] = _BEFORE
     two[(first + 1)[w.counts > 0]] = _START
     one[first] = _START
-    return hashes, one, two, doc
+    return hashes, one, two & _TAG, doc
 
 
 def frequent(docs: DataFrame, share: float) -> list[int]:
@@ -174,18 +175,20 @@ def _blocks(docs: DataFrame, spread: list[int], names: list[int], chunk_tokens:
     """(bucket: one of names, chunk: its first rid, n_docs, block): different triples and the documents of their occurrences."""
     buckets = len(names)
     hot = np.array(spread, np.uint64)
-    bits = np.uint64(max(1, (buckets - 1).bit_length()))
+    bits = max(1, (buckets - 1).bit_length())
 
     def flush(parts: list[tuple], first: int, n_docs: int) -> pa.RecordBatch:
         w, v, x, doc = (np.concatenate([p[k] for p in parts]) for k in range(4))
         train = np.packbits(np.concatenate([p[4] for p in parts]))
         parts.clear()
-        key = pair_key(v, w)
-        bucket = _place(np.where(np.isin(v, hot), key, mix(v)), buckets)
-        half = (np.uint64(64) - bits) >> np.uint64(1)
-        # equal triples get neighbours, but for chance; those of one last token, too
-        key = triple_key(x, key) >> np.uint64(64) - half
-        key |= bucket << np.uint64(64) - bits | (v >> np.uint64(64) - half) << half
+        bucket = _place(np.where(np.isin(v, hot), pair_key(v, w), mix(v)), buckets)
+        # by last token, by tag, by word: equal triples get neighbours, but for chance, and tags small steps
+        of_v = (64 - bits) * 2 // 5
+        of_w = 64 - bits - 2 * of_v
+        key = (v >> np.uint64(64 - of_v)) << np.uint64(of_v + of_w)
+        key |= (x >> np.uint64(64 - of_v)) << np.uint64(of_w)
+        key |= w >> np.uint64(64 - of_w)
+        key |= bucket << np.uint64(64 - bits)
         edges = np.append(0, np.cumsum(np.bincount(bucket.astype(np.int64), minlength=buckets)))
         bucket = None
         order = np.argsort(key)
@@ -196,13 +199,14 @@ def _blocks(docs: DataFrame, spread: list[int], names: list[int], chunk_tokens:
             tri = triple_key(x[own], pair_key(v[own], w[own]))
             opens = np.flatnonzero(np.append(True, tri[1:] != tri[:-1]))
             heads, n = own[opens], len(opens)
-            known, at, often = np.unique(np.concatenate([x[heads], v[heads], w[heads]]), return_inverse=True, return_counts=True)
+            known, at, often = np.unique(np.concatenate([v[heads], w[heads]]), return_inverse=True, return_counts=True)
             by = np.argsort(np.uint16(65535) - np.minimum(often, 65535).astype(np.uint16), kind="stable")  # frequent words get low numbers
             rank = np.empty(len(by), np.int64)
             rank[by] = np.arange(len(by))
             known, at = known[by], _small(rank[at])
             size = _small(np.diff(np.append(opens, len(own))))
-            rows.append((names[b], _pack(_steps(known), at[:n], at[n : 2 * n], at[2 * n :], size, _small(doc[own]), train)))
+            tags = (x[heads] >> np.uint64(32)).astype(np.uint32)
+            rows.append((names[b], _pack(_steps(known), np.diff(tags, prepend=np.uint32(0)), at[:n], at[n:], size, _small(doc[own]), train)))
         n = len(rows)
         return pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in rows], pa.int32()), pa.array([first] * n, pa.int64()), pa.array([n_docs] * n, pa.int32()),
@@ -293,7 +297,7 @@ class _Bucket:
             known = np.cumsum(steps, dtype=np.uint64)
             ends = np.cumsum(size, dtype=np.int64)
             run = np.append(0, np.cumsum(np.unpackbits(train)[doc], dtype=np.int64))
-            xs.append(known[x]), vs.append(known[v]), ws.append(known[w]), c.append(run[ends] - run[ends - size])
+            xs.append(np.cumsum(x, dtype=np.uint32).astype(np.uint64) << np.uint64(32)), vs.append(known[v]), ws.append(known[w]), c.append(run[ends] - run[ends - size])
             self.rows.append((chunk, n_docs, size, doc))
         cuts = np.cumsum([len(k) for k in xs])[:-1]
         x, v, w = (np.concatenate(k) for k in (xs, vs, ws))

@@ -361,7 +361,7 @@ def brute_model(rows, sweeps=3, burn=1, theta=1.0, seed=7):
     h = lambda t: {"<end>": pitmanyor._END, "<start>": pitmanyor._START, "<before>": pitmanyor._BEFORE}.get(t) or known.get(t, u(12345))
     one = lambda x: np.array([x], u)
     pair = lambda v, w: pitmanyor.pair_key(one(h(v)), one(h(w)))[0]
-    triple = lambda x, v, w: pitmanyor.triple_key(one(h(x)), one(pair(v, w)))[0]
+    triple = lambda x, v, w: pitmanyor.triple_key(one(h(x) & pitmanyor._TAG), one(pair(v, w)))[0]
     c = Counter()
     for r, w in zip(rows, texts):
         if zlib.crc32(("" if r[0] is None else str(r[0])).encode()) % 10:
@@ -578,6 +578,24 @@ def test_mixing_ties_and_missing_ids(spark):
     assert keys == 41
 
 
+def test_very_long_texts(spark):
+    """100,000 words, twice and once with a word changed, through every operator on documents."""
+    words = prose(77, 100_000, 3000).split()
+    lines = lambda w: "\n".join(" ".join(w[i : i + 12]) for i in range(0, len(w), 12))
+    near = [*words[:50_000], "changed", *words[50_001:]]
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    long_ = spark.createDataFrame([(i, lines(w), "en", "s", 1, "", 0) for i, w in ((1, words), (2, words), (3, near))], SCHEMA)
+    left = {r.doc_id: r for r in linededup.dedup(long_).collect()}
+    assert (left[1].removed_lines, left[2].removed_lines, left[2].n_lines) == (0, 8334, 8334) and 8300 <= left[3].removed_lines < 8334
+    assert {(r.size, r.taken) for r in mixing.take(long_).collect()} == {(100_000, 150_000), (100_000, 100_000), (100_000, 200_000)}
+    assert {(r.doc_id, r.n_words, r.n_removed) for r in substrings.dedup(long_).collect()} == {(1, 100_000, 100_000), (2, 100_000, 100_000), (3, 100_000, 99_999)}
+    assert {(r.class_id, r.class_size) for r in nearsets.classes(long_).collect()} == {(1, 3)}
+    scored = {r.doc_id: r for r in pitmanyor.score(long_).collect()}
+    assert {r.n_tokens for r in scored.values()} == {100_001} and all(r.score < 0 for r in scored.values())
+    assert {r.n_words for r in quality.annotate(long_, labels).collect()} == {100_000}
+    assert rollups.changes(long_, "words-v1", 1).agg(F.sum("n_tokens")).head()[0] == 300_000
+
+
 def test_secrets(spark, none):
     """Against planted truth: the forest on held-out findings, and against a plain rule over the neighbourhood."""
     docs = spark.createDataFrame([(i, prose(i, 200, 30).replace("w", "word"), "en", "s", 1, "", 0) for i in range(40)], SCHEMA)
