@@ -256,18 +256,21 @@ def docs_status(spark, sf_dir):
     return run.documents.select("source_row", "status_documento", "rule_id", "decision_sha256", "teacher_recortes_count")
 
 
-@query(f"""WITH {ROWS}, {'firsts AS (SELECT *, row_number() OVER (PARTITION BY sha ORDER BY source_row) AS nth FROM live)'}
-SELECT (SELECT count(*) FROM rows) AS scanned, (SELECT count(*) FROM live) AS processed, (SELECT count(DISTINCT sha) FROM live) AS unique_decisions,
-(SELECT count(*) FROM firsts WHERE nth = 1) AS unique_inferences, (SELECT count(*) FROM firsts WHERE nth > 1) AS cache_hits, (SELECT count(*) FROM rows WHERE state = '{extract.EMPTY}') AS skipped_empty_decisions""")
+@query(f"""WITH {UNITS}, firsts AS (SELECT *, row_number() OVER (PARTITION BY sha ORDER BY source_row) AS nth FROM live),
+scored AS (SELECT DISTINCT u.source_row FROM units u JOIN live l ON u.source_row = l.source_row WHERE rejected IS NULL AND {sql_score('nt', sql_norm('l.rule_label'))} > 0),
+once AS (SELECT f.source_row, s.source_row IS NOT NULL AS found FROM firsts f LEFT JOIN scored s ON f.source_row = s.source_row WHERE nth = 1)
+SELECT (SELECT count(*) FROM rows) AS scanned, (SELECT count(*) FROM live) AS processed, (SELECT count(DISTINCT sha) FROM live) AS unique_decisions, CAST(0 AS BIGINT) AS errors,
+(SELECT count(*) FROM once) AS recovered_errors, (SELECT count(*) FROM once) AS unique_inferences, (SELECT count(*) FROM firsts WHERE nth > 1) AS cache_hits, CAST(0 AS BIGINT) AS teacher_retries_ok,
+(SELECT count(*) FROM once WHERE found) AS rule_fallbacks, (SELECT count(*) FROM once WHERE NOT found) AS rule_fallback_empty, CAST(0 AS BIGINT) AS empty_valid,
+(SELECT count(*) FROM rows WHERE state = '{extract.EMPTY}') AS skipped_empty_decisions""")
 def manifest(spark, sf_dir):
     """AGG3"""
-    run = extract.run(decisions.view(spark, sf_dir), mode="fallback")
-    return run.manifest.select("scanned", "processed", "unique_decisions", "unique_inferences", "cache_hits", "skipped_empty_decisions")
+    return extract.run(decisions.view(spark, sf_dir), mode="fallback").manifest
 
 
 @query(f"WITH {D} SELECT classe, count(*) AS n FROM d GROUP BY classe ORDER BY n DESC, min(source_row) LIMIT 10")
 def inspect_top(spark, sf_dir):
-    """AGG1-2, LIM4"""
+    """AGG2"""
     return extract.inspect(decisions.view(spark, sf_dir))["top_classes"].select("classe", "n")
 
 
@@ -277,6 +280,24 @@ def inspect_counts(spark, sf_dir):
     return extract.inspect(decisions.view(spark, sf_dir))["rows"]
 
 
+@query(f"WITH {D} SELECT orgao_julgador, count(*) AS n FROM d GROUP BY orgao_julgador ORDER BY n DESC, min(source_row) LIMIT 10")
+def inspect_organs(spark, sf_dir):
+    """AGG2"""
+    return extract.inspect(decisions.view(spark, sf_dir))["top_organs"].select("orgao_julgador", "n")
+
+
+@query(f"WITH {ROWS} SELECT {sql_family('nc')} AS class_family, count(*) AS n FROM rows GROUP BY 1 ORDER BY n DESC, min(source_row) LIMIT 20")
+def inspect_families(spark, sf_dir):
+    """AGG2"""
+    return extract.inspect(decisions.view(spark, sf_dir))["class_families"].select("class_family", "n")
+
+
+@query(f"WITH {ROWS} SELECT count(*) AS rows, count(*) FILTER (WHERE regexp_matches(decisao, '^\\s*$')) AS empty_decisions, count(*) FILTER (WHERE contains(nc, 'execucao fiscal')) AS execucao_fiscal FROM rows WHERE source_row < 102")
+def inspect_limited(spark, sf_dir):
+    """LIM4: the first hundred rows"""
+    return extract.inspect(decisions.view(spark, sf_dir), 100)["rows"]
+
+
 GROUPS = f"""{CANDIDATES},
 docs AS (SELECT r.*, coalesce(l.sha, 'source_row:' || CAST(r.source_row AS VARCHAR)) AS key, coalesce(l.rule_id, '') AS rule_id FROM rows r LEFT JOIN live l ON r.source_row = l.source_row),
 groups AS (
