@@ -15,7 +15,7 @@ text of repeated chunks. No group is gathered: the first occurrence is a minimum
 
 Defined results: null text has no lines and stays null; an empty text is one empty line; repeated rows are repeats of
 all their chunks; texts without a multi-line chunk stay as they are; a document all of whose lines go gets an empty text
-(removed_lines = n_lines); an empty table gives an empty table; extra columns are kept, those named n_lines or
+(removed_lines = n_lines); a very long text is one document with all its chunks, cut nowhere; an empty table gives an empty table; extra columns are kept, those named n_lines or
 removed_lines are replaced.
 """
 

@@ -16,7 +16,7 @@ sources are fine, and there are no more blocks than rows.
 
 Defined results: null text is size 0; a null source is a source of its own, last in order; documents without words are
 taken 0 times; an empty table gives an empty table; rows of one doc_id are ordered by size, then by md5 of their text, and rows
-that agree in that, too, in any way, which changes nothing; all-empty sources get target 0; extra columns are kept by mix(), except names of the
+that agree in that, too, in any way, which changes nothing; all-empty sources get target 0; very long texts are counted whole; extra columns are kept by mix(), except names of the
 result's (size, source_size, target, taken, copy, take_words), which are replaced.
 """
 

@@ -24,7 +24,7 @@ Two documents of similarity 0.8 share one of 25 bands of 5 registers with probab
 
 Defined results: null, empty and blank texts have no shingles, and each is a class of its own; repeated rows and equal
 texts share a class; a class is named by the least doc_id in it (null ids come last; a class of null ids only is named
-null); representatives are least by doc_id, then by the row's place; an empty table gives an empty table; classes() has
+null); representatives are least by doc_id, then by the row's place; very long texts give all their shingles; an empty table gives an empty table; classes() has
 no other input columns, keep() all of them.
 """
 

@@ -10,7 +10,7 @@ one array of `buckets` doubles whatever the input's size. Trusted ids are broadc
 those with the least hash, which bounds the broadcast at 16 bytes each; raw counts and scores cover every document.
 
 Defined results: a null text counts as empty; an empty text has no words, score 0 and fails the base rule; repeated
-rows are judged alike, each on its own; an empty table gives an empty table; input columns are kept, but one with a
+rows are judged alike, each on its own; very long texts are judged whole; an empty table gives an empty table; input columns are kept, but one with a
 name of the result's (n_words, score, kept, ...) is replaced; labels with a null doc_id count for nothing; without
 any trusted document the ratios tell nothing of quality.
 """

@@ -10,7 +10,7 @@ A batch keeps a digest of its sums: one whose name was committed with other sums
 
 Defined results: null source and language are groups of their own; a null or empty text has 0 tokens but is a document;
 repeated rows count each time; groups all of whose documents are gone have no row; an empty batch is committed and
-changes nothing; an empty rollup has no row; other columns of the input are left out.
+changes nothing; an empty rollup has no row; very long texts are counted whole; other columns of the input are left out.
 """
 
 from __future__ import annotations
