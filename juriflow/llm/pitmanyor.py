@@ -59,7 +59,6 @@ _ONE, _TWO, _THREE, _STEP = (np.uint64(x) for x in (0xA0761D6478BD642F, 0xE7037E
 _MASK, _TAG = np.uint64((1 << 64) - 256), np.uint64((1 << 64) - (1 << 32))
 _STATS = ("ones3", "twos3", "ones2", "twos2", "customers", "tables", "V", "N", "ones1", "twos1")
 _BLOCK = "bucket int, chunk long, n_docs int, block binary"
-_NUMBERS = ", ".join(f"{s} double" for s in _STATS)
 
 
 def pair_key(v: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -430,11 +429,11 @@ class _Bucket:
 
 _COUNTS = _STATS[:4]
 _MESSAGE = "part int, bucket int, round int, state boolean, block binary, " + ", ".join(f"{c} double" for c in (*_COUNTS, "V", "T", "d"))
-_REPLY = f"bucket int, part int, round int, state boolean, block binary, {_NUMBERS}"
+_REPLY = "bucket int, part int, round int, state boolean, block binary, own array<double>"
 
 
 def _batches(rows: Iterator[tuple], schema: str) -> pa.Table:
-    kinds = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "binary": pa.binary(), "boolean": pa.bool_()}
+    kinds = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "binary": pa.binary(), "boolean": pa.bool_(), "array<double>": pa.list_(pa.float64())}
     fields = [pa.field(n, kinds[t]) for n, t in (x.strip().split(" ") for x in schema.split(","))]
     columns = list(zip(*rows)) or [()] * len(fields)
     return pa.table([pa.array(c, f.type) for c, f in zip(columns, fields)], schema=pa.schema(fields))
@@ -446,7 +445,7 @@ def _answers(messages: pa.Table, number: int, theta: float, seed: int) -> Iterat
     part = messages.column("part")[0].as_py()
     for r in messages.to_pylist():
         if r["state"]:  # goes back as it is
-            yield r["bucket"], part, number, True, r["block"], *([0.0] * len(_STATS))
+            yield r["bucket"], part, number, True, r["block"], [0.0] * len(_STATS)
             continue
         (first if r["round"] == 0 else later)[r["bucket"]] = r
         for s in _COUNTS:
@@ -476,7 +475,7 @@ def _answers(messages: pa.Table, number: int, theta: float, seed: int) -> Iterat
     stats |= {"customers": float(c1.sum()), "tables": float(t1.sum())}
     for b, i, j in zip(buckets, words, others):
         fixed = np.concatenate([seen[i], far_fixed[j]]) if number == 0 else np.zeros(0, np.int64)
-        yield b, part, number, False, _pack(_small(np.concatenate([c1[i], far[j]])), _small(t1[i]), _small(fixed)), *stats.values()
+        yield b, part, number, False, _pack(_small(np.concatenate([c1[i], far[j]])), _small(t1[i]), _small(fixed)), list(stats.values())
         stats = dict.fromkeys(_STATS, 0.0)
 
 
@@ -529,8 +528,10 @@ def score(
             later = raw.groupBy("bucket").cogroup(back.groupBy("bucket")).applyInArrow(again(number), _MESSAGE)
             sent = first.union(later.repartition(buckets, "part"))
         reply = sent.groupBy("part").applyInArrow(answers(number), _REPLY).repartition(buckets, "bucket")
-        numbers = reply.agg(*[F.sum(s).alias(s) for s in _STATS])  # one row, from the exchange that the replies take, too
-        replies.append(reply.drop(*_STATS).crossJoin(F.broadcast(numbers)))
+        # one row of sums, from the exchange that the replies take, too: both ask for all columns, so that it is the same
+        sums = [F.sum(F.col("own")[i]).alias(s) for i, s in enumerate(_STATS)]
+        rest = [F.sum(F.length("block")).alias("bytes"), *[F.max(c).alias(f"most_{c}") for c in ("bucket", "part", "round", "state")]]
+        replies.append(reply.crossJoin(F.broadcast(reply.agg(*sums, *rest))))
 
     def scored(blocks: pa.Table, back: pa.Table) -> pa.Table:
         b = _Bucket(blocks, spread, names, seed)
