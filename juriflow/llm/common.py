@@ -186,9 +186,12 @@ def slices(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch
 
 
 class Words:
-    """The words of a column of texts: byte starts and ends, 64-bit hashes, and where each text's words begin."""
+    """The words of a column of texts: byte starts and ends, 64-bit hashes, and where each text's words begin.
 
-    def __init__(self, column: pa.Array, lower: bool = False):
+    gap: whether each of the 256 bytes separates words.
+    """
+
+    def __init__(self, column: pa.Array, lower: bool = False, gap: np.ndarray = _IS_GAP):
         column = column.cast(pa.binary()).fill_null(b"")
         if column.offset:
             column = pa.concat_arrays([column])
@@ -196,7 +199,7 @@ class Words:
         data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
         offsets = offsets - offsets[0]
         self.data, self.offsets = (_LOWER[data] if lower else data), offsets
-        inside = ~_IS_GAP[data]
+        inside = ~gap[data]
         n = len(data)
         edge = np.zeros(n + 1, bool)
         edge[offsets] = True

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, linededup, mixing, nearsets, perspectives, pitmanyor, quality, rollups, secrets, substrings
+from . import decontam, langid, lexical, linededup, mixing, nearsets, perspectives, pitmanyor, quality, repair, rollups, secrets, substrings
 from .common import checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,7 +88,22 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality.RESULT)
 
 
-for _query in (op1_line_dedup, op2_perspectives, op3_secrets, op4_mixing, op5_substring_dedup, op6_decontamination, op7_lm_score, op8_near_dedup, op9_token_counts, op10_quality):
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents, by a model of those that aren't held out."""
+    return langid.label(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), keep_text=False).select("doc_id", *langid.RESULT)
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cheapest repair of each conversation after damage."""
+    return repair.repair(repair.damage(_table(spark, sf_dir, "conversations")))
+
+
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of each benchmark item."""
+    return lexical.rank(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+for _query in (op1_line_dedup, op2_perspectives, op3_secrets, op4_mixing, op5_substring_dedup, op6_decontamination, op7_lm_score, op8_near_dedup, op9_token_counts, op10_quality, op11_language_id, op12_repair, op13_search):
     QUERIES[_query.__name__] = _query
 
 ORACLE["op4_mixing"] = rf"""
@@ -144,3 +159,20 @@ SELECT source, lang, CASE WHEN part = 1 THEN 'pieces-v2' ELSE 'words-v1' END AS
        CAST(sum(CASE WHEN part = 1 THEN pieces ELSE words END) AS BIGINT) AS n_tokens
 FROM w WHERE part <> 0 GROUP BY ALL
 """
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_TERMS = f"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_TERM}')"
+ORACLE["op13_search"] = f"""
+WITH items AS (SELECT row_number() OVER () AS item, item_id, list_distinct({_TERMS}) AS terms FROM benchmark),
+asked AS (SELECT item, item_id, unnest(terms) AS term FROM items),
+docs AS (SELECT row_number() OVER () AS rid, doc_id, {_TERMS} AS terms FROM documents),
+sums AS (SELECT count(*) FILTER (WHERE len(terms) > 0) AS n_docs, CAST(coalesce(sum(len(terms)), 0) AS BIGINT) AS n_terms FROM docs),
+placed AS (SELECT rid, doc_id, CAST(len(terms) AS BIGINT) AS n, unnest(terms) AS term FROM docs),
+tf AS (SELECT rid, doc_id, n, term, count(*) AS tf FROM placed WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, sums GROUP BY term, n_docs),
+found AS (
+  SELECT item, item_id, rid, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM tf JOIN weights USING (term) JOIN asked USING (term), sums GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS INT) AS rank, doc_id, score
+FROM found WHERE score > 0 QUALIFY rank <= 10
+"""
