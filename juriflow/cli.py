@@ -58,7 +58,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         profiles = {"profiles": load_profiles(a.profiles)} if a.profiles else {}
         run = extract.run(
             xlsx.read_table(spark, a.input, a.sheet), a.teacher, a.max_candidates, a.include_execucao_fiscal, a.start_index, a.limit, a.unique_limit,
-            teacher=teacher() if a.teacher == "llama" else None, **profiles,
+            teacher=teacher() if a.teacher == "llama" else None, keep=True, **profiles,
         )
         out = outputs.write_run(run, a.output, settings, began)
         run.unpersist()
@@ -67,11 +67,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     elif a.verb == "build-gold":
         out = outputs.build_gold(spark, a.review, a.output)
     else:
-        mapped = training.mapped(training.read_gold(spark, a.gold))
-        training.write(mapped, a.outdir)
-        out = training.counts(mapped).head().asDict()
-        with open(f"{a.outdir}/manifest.json", "w", encoding="utf-8") as f:
-            json.dump(out, f, indent=2)
+        out = training.write(training.mapped(training.read_gold(spark, a.gold)), a.outdir)
     print(json.dumps(out, ensure_ascii=False, indent=2, default=str))
     return out
 

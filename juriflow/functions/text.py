@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import Column
@@ -11,7 +13,22 @@ from pyspark.sql import functions as F
 
 #: White space as Python's str sees it: code points (Java's Unicode \s lacks the four separators, and is slow), as a class and as text.
 SPACES = (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
-WS = "[" + "".join(f"\\x{{{c:x}}}" for c in SPACES) + "]"
+
+
+def _class(codes: list[int]) -> str:
+    """A pattern's class of code points, as ranges."""
+    ranges: list[list[int]] = []
+    for c in codes:
+        if ranges and ranges[-1][1] == c - 1:
+            ranges[-1][1] = c
+        else:
+            ranges.append([c, c])
+    return "[" + "".join(f"\\x{{{a:x}}}" if a == b else f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ranges) + "]"
+
+
+WS = _class(list(SPACES))
+#: What is left of it in folded texts.
+FOLDED_WS = _class([c for c in SPACES if unicodedata.normalize("NFKD", chr(c)) == chr(c)])
 BLANK = "".join(map(chr, SPACES))
 FLAGS = "(?isUd)"
 
@@ -26,25 +43,86 @@ def _fold(ch: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c)).casefold()
 
 
+def plain(text: str | None) -> str:
+    """normalize() of one text on the driver, as headings need it."""
+    return " ".join(_fold(text or "").split())
+
+
+#: Hangul syllables fold by arithmetic: one of 19 first, 21 middle and 27 last letters (or no last one).
+HANGUL, HANGUL_END, LEADS, VOWELS, TAILS = 0xAC00, 0xD7A3, 0x1100, 0x1161, 0x11A7
+_LATIN = 0x24F
+
+
 @lru_cache(maxsize=1)
-def fold_map() -> tuple[str, str, dict[str, str]]:
-    """(from, to, long): characters that fold to one other or, at the end of from, to none; the few common ones that fold to several (ligatures, fractions)."""
-    one, none, more = {}, [], {}
-    for code in range(0x80, 0x10000):
-        if 0xAC00 <= code <= 0xD7A3 or 0xD800 <= code <= 0xF8FF:  # Hangul syllables, surrogates, private use
+def fold_tables() -> tuple[str, str, dict[str, str]]:
+    """(from, to, several): characters that fold to one other or, at the end of from, to none; those that fold to several. Hangul syllables are in none of them."""
+    one, none, several = {}, [], {}
+    for code in range(0x41, sys.maxunicode + 1):
+        if HANGUL <= code <= HANGUL_END or 0xD800 <= code <= 0xDFFF:
             continue
-        ch, to = chr(code), _fold(chr(code))
+        ch = chr(code)
+        to = _fold(ch)
         if to == ch:
             continue
         if len(to) == 1:
             one[ch] = to
-        elif not to:
+        elif to:
+            several[ch] = to
+        else:
             none.append(ch)
-        elif code in (0xDF, 0x132, 0x133, 0x149, 0x1E9E, 0x2026) or 0xFB00 <= code <= 0xFB06 or 0xBC <= code <= 0xBE:
-            more[ch] = to
-    upper = {chr(c): chr(c + 32) for c in range(65, 91)}
-    one = upper | one
-    return "".join(one) + "".join(none), "".join(one.values()), more
+    return "".join(one) + "".join(none), "".join(one.values()), several
+
+
+def fold_map() -> tuple[str, str, dict[str, str]]:
+    """fold_tables() for replacing by plain text functions: of those that fold to several only those below U+0250, the ellipsis and Latin ligatures."""
+    src, dst, several = fold_tables()
+    return src, dst, {ch: to for ch, to in several.items() if ord(ch) <= _LATIN or ch == "\u2026" or "\ufb00" <= ch <= "\ufb06"}
+
+
+#: Where characters that fold to several stand, above _LATIN; coarse but for punctuation, so that the pattern is short.
+_COARSE = r"\x{300}-\x{1fff}\x{2080}-\x{2fff}\x{3200}-\x{33ff}\x{ac00}-\x{d7a3}\x{f900}-\x{fffd}\x{10000}-\x{10ffff}"
+
+
+@lru_cache(maxsize=1)
+def _several() -> tuple[str, str, str]:
+    """Patterns of the texts that have a common character that folds to several (those of fold_map), and that may have another; and the table of the
+    others: each behind a U+0001, with what it folds to behind it."""
+    _, _, common = fold_map()
+    rare = {ch: to for ch, to in fold_tables()[2].items() if ch not in common}
+    coarse = re.compile("[" + re.sub(r"\\x{([0-9a-f]+)}", lambda m: chr(int(m[1], 16)), _COARSE) + "]")
+    fine = _class([ord(c) for c in rare if not coarse.match(c)])[:-1] + _COARSE + "]"
+    return r"(?=[^\x00-\x7f])[" + "".join(common) + "]", f"(?=[^\\x{{0}}-\\x{{{_LATIN:x}}}]){fine}", "".join(f"\x01{ch}{to}" for ch, to in rare.items()) + "\x01"
+
+
+def _spread(c: Column) -> Column:
+    """Each character that folds to several, and each Hangul syllable, as what it folds to; the others as they are.
+
+    Two stages: what stands behind a character in the table, and of that what it folds to.
+    """
+    table = F.lit(_several()[2])
+
+    def letters(first: int, n: int) -> Column:
+        return F.split(F.lit(",".join(chr(first + k) for k in range(n))), ",")
+
+    def syllable(at: Column) -> Column:
+        tail = F.when(at % 28 > 0, F.get(letters(TAILS, 28), at % 28)).otherwise("")
+        return F.concat(F.get(letters(LEADS, 19), F.floor(at / 588).cast("int")), F.get(letters(VOWELS, 21), F.floor(at % 588 / 28).cast("int")), tail)
+
+    def listed(ch: Column) -> Column:
+        rest = F.call_function("substring_index", table, F.concat(F.lit("\x01"), ch), F.lit(-1))  # all of it, so nothing below, where ch isn't there
+        behind = F.substring_index(rest, "\x01", 1)
+        return F.coalesce(F.nullif(behind, F.lit("")), ch)
+
+    def one(ch: Column) -> Column:
+        code = F.ascii(ch)
+        return F.when(code < 128, ch).when((code >= HANGUL) & (code <= HANGUL_END), syllable(code - HANGUL)).otherwise(listed(ch))
+
+    return F.array_join(F.transform(F.split(c, ""), one), "")
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is worked out, and stands in the plan, once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def _text(c: Column) -> Column:
@@ -52,14 +130,19 @@ def _text(c: Column) -> Column:
 
 
 def fold(c: Column) -> Column:
-    """Without accents and case; null is empty. ASCII texts, and the many without a character that folds to several, are spared the table."""
-    src, dst, more = fold_map()
+    """Without accents and case: each character's NFKD, less combining marks, case-folded; null is empty.
+
+    ASCII texts are only lower-cased. Common characters that fold to several, as in German, are replaced; only texts that have others
+    are taken apart, character by character.
+    """
+    src, dst, common = fold_map()
+    often, seldom, _ = _several()
     c = _text(c)
-    spread = c
-    for ch, to in more.items():
-        spread = F.replace(spread, F.lit(ch), F.lit(to))
-    spread = F.when(F.rlike(c, F.lit(f"[{''.join(more)}]")), spread).otherwise(c)
-    return F.when(F.rlike(c, F.lit(r"[^\x00-\x7f]")), F.translate(spread, src, dst)).otherwise(F.lower(c))
+    replaced = c
+    for ch, to in common.items():
+        replaced = F.replace(replaced, F.lit(ch), F.lit(to))
+    some = F.when(F.rlike(c, F.lit(seldom)), _spread(replaced)).when(F.rlike(c, F.lit(often)), replaced).otherwise(c)
+    return F.when(F.rlike(c, F.lit(r"[^\x00-\x7f]")), F.translate(some, src, dst)).otherwise(F.lower(c))
 
 
 def strip(c: Column) -> Column:
@@ -69,7 +152,7 @@ def strip(c: Column) -> Column:
 
 def normalize(c: Column) -> Column:
     """fold, with runs of white space as one space and none at the ends."""
-    return F.trim(F.regexp_replace(fold(c), f"{WS}+", " "))
+    return F.trim(F.regexp_replace(fold(c), f"{FOLDED_WS}+", " "))
 
 
 def slug(c: Column, size: int = 80, normalized: bool = False) -> Column:
@@ -105,8 +188,7 @@ def any_in(c: Column, parts: tuple[str, ...]) -> Column:
 
 
 def class_family(c: Column) -> Column:
-    n = normalize(c)
-    return first_of([(F.contains(n, F.lit(part)), name) for part, name in FAMILIES], slug(n, 50, normalized=True))
+    return let(normalize(c), lambda n: first_of([(F.contains(n, F.lit(part)), name) for part, name in FAMILIES], slug(n, 50, normalized=True)))
 
 
 def is_tax_foreclosure(c: Column) -> Column:

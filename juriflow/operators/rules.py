@@ -32,6 +32,31 @@ RULES = (
 )
 
 
+def text_bits(decision: Column, normalized: Column) -> Column:
+    """A long with a bit for each rule: whether all that it asks of the text holds."""
+    raw = F.coalesce(decision, F.lit(""))
+    bits = F.lit(0).cast("long")
+    for place, (_, _, _, parts) in enumerate(RULES):
+        holds = F.lit(True)
+        for kind, part in parts:
+            if kind != "E":
+                holds = holds & (F.rlike(raw, F.lit(rf"{part}{WS}*\n")) if kind == "H" else F.contains({"N": normalized, "R": raw}[kind], F.lit(part)))
+        bits = bits + F.when(holds, 1 << place).otherwise(0)
+    return bits
+
+
+def by_bits(bits: Column, normalized_notice: Column) -> Column:
+    """struct(rule_id, label, evidence) of the first rule whose bit is set and whose notice fits, null if there is none."""
+    cases = []
+    for place, (rule, label, evidence, parts) in enumerate(RULES):
+        holds = bits.bitwiseAND(F.lit(1 << place)) != 0
+        for kind, part in parts:
+            if kind == "E":
+                holds = holds & F.contains(normalized_notice, F.lit(part))
+        cases.append((holds, F.struct(F.lit(rule).alias("rule_id"), F.lit(label).alias("label"), F.lit(evidence).alias("evidence"))))
+    return first_of(cases)
+
+
 def classify(decision: Column, notice: Column, normalized: Column | None = None, normalized_notice: Column | None = None) -> Column:
     """struct(rule_id, label, evidence) of the first rule that holds, null if none does."""
     raw = F.coalesce(decision, F.lit(""))

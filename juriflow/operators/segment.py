@@ -81,13 +81,17 @@ def unit_lists(df: DataFrame, key: list[str], text: str = "decisao", long: int =
     return listed.select(*key, *([F.col("_u").alias("marked")] if marks else []), F.expr(f"cast(transform(_u, u -> struct(u.unit_id, u.start, u.end, u.text, u.section, u.rejected)) as array<{UNIT}>)").alias("units"))
 
 
-def reconstruct(source: str, ids: str, units_: str) -> Column:
-    """The text of the units with these ids: verbatim from first to last if they (nearly) touch, else line by line."""
+def reconstruct_sql(source: str, ids: str, units_: str) -> str:
+    """SQL: the text of the units with these ids: verbatim from first to last if they (nearly) touch, else line by line."""
     chosen = f"array_sort(transform(filter({units_}, u -> array_contains({ids}, u.unit_id)), u -> struct(u.start AS start, u.end AS end, u.text AS text)))"
     gap = f"substring({source}, a.end + 1, b.start - a.end)"
     apart = f"exists(zip_with(slice(c, 1, size(c) - 1), slice(c, 2, size(c)), (a, b) -> b.start - a.end > {NEAR} AND regexp_replace({gap}, r'{WS}+', '') <> ''), x -> x)"
     whole = f"substring({source}, element_at(c, 1).start + 1, element_at(c, -1).end - element_at(c, 1).start)"
-    return F.expr(
+    return (
         f"element_at(transform(array({chosen}), c -> CASE WHEN size(c) = 0 THEN '' WHEN size(c) > 1 AND {apart} "
-        f"THEN array_join(transform(c, x -> x.text), '\\n') ELSE {whole} END), 1)"
+        f"THEN array_join(transform(c, x -> x.text), '\n') ELSE {whole} END), 1)"
     )
+
+
+def reconstruct(source: str, ids: str, units_: str) -> Column:
+    return F.expr(reconstruct_sql(source, ids, units_))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from juriflow.functions.text import any_in, first_of, normalize
+from juriflow.functions.text import any_in, first_of, let, normalize
 
 # Categories by what the normalized text contains, in order.
 CATEGORY_PARTS = (
@@ -71,16 +71,16 @@ def _items(units: Column, priority: int, reason: Column) -> Column:
     return F.transform(
         units,
         lambda u, i: F.struct(
-            (i + 1).cast("int").alias("rank"), F.array(u["unit_id"]).alias("unit_ids"), category(normalize(u["text"])).alias("category"), F.lit(priority).alias("priority"), reason.alias("reason")
+            (i + 1).cast("int").alias("rank"), F.array(u["unit_id"]).alias("unit_ids"), let(normalize(u["text"]), category).alias("category"), F.lit(priority).alias("priority"), reason.alias("reason")
         ),
     )
 
 
 def marks(mode: str) -> Callable[[Column], dict[str, Column]]:
-    """What opening_items and rule_items ask of a unit: act, or score (by a key column rule_label)."""
+    """What opening_items and rule_items ask of a unit: act, or score (by a key column label, the normalized label of the text's rule)."""
     if mode == "rules":
         return lambda n: {"act": operative(n)}
-    return lambda n: {"score": fallback_score(n, normalize(F.col("rule_label")), F.substring(n, 1, OPENING))}
+    return lambda n: {"score": fallback_score(n, F.col("label"), F.substring(n, 1, OPENING))}
 
 
 def opening_items(marked: Column, most: int = 3) -> Column:

@@ -1,136 +1,42 @@
-"""Selection by a model behind a chat endpoint: prompt, tolerant reading of answers, validation, retries.
+"""Selection by a model behind a chat endpoint: prompts, requests under a shared budget with a journal, rounds of retries.
 
-The model sees a text's units by id and answers with ids, so that it can't invent text. It is called once for each
-different text, inside mapInPandas; whatever goes wrong comes back as data in `error`, and the run falls back on rules.
+The model sees a text's units by id and answers with ids, so that it can't invent text. It is asked once for each different text.
+Prompts are columns and answers are read as columns (answers.py); Python workers only send requests. Whatever
+goes wrong comes back as data in `error`, and the run falls back on rules.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
-import re
-import unicodedata
+import threading
+import time
 import urllib.error
 import urllib.request
 import uuid
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from juriflow.functions.constants import CATEGORIES
+from juriflow.operators import answers
+from juriflow.sources.storage import located
 
-# Words by which orders, tutelary and expert measures are told.
-ORDER_PARTS = ("determino", "defiro", "indefiro", "condeno", "fixo", "homologo", "intime", "proceda", "promova", "adote", "observe", "considere")
-TUTELA_PARTS = ("tutela", "liminar", "cautelar", "efeito suspensivo", "suspendo", "suspensao")
-EXPERT_PARTS = ("habilit", "assistente tecnico", "perito", "pericia")
-UNSUPPORTED = (400, 404, 415, 422)
+# Response modes by falling strictness.
 MODES = ("json_schema", "json_object", "plain")
 SYSTEM = (
-    "Selecione, de modo conservador, as unidades da decisão atual que contêm comando, resultado ou providência acionável. "
-    "Use somente os IDs fornecidos e nunca reescreva texto. Não selecione pedidos de parte, narrativa histórica, citações de outros processos, "
-    "assinaturas, datas, URLs nem fechos genéricos. Se a ordem termina em dois-pontos, selecione-a junto com os itens que a completam. "
-    "Use 'tutela' só para medidas provisórias ou cautelares. Retorne no máximo {most} seleções, em JSON puro: {{\"selected\": [...]}}."
+    "Você aponta, numa decisão dividida em unidades numeradas, o que alguém tem de cumprir ou o que foi decidido agora. "
+    "Responda com os IDs das unidades, nunca com o texto delas, e apenas com IDs que estão na lista. "
+    "Fica de fora o que as partes pedem ou alegam, o que já aconteceu no processo, o que vem de outros processos e o que só serve de fecho ou assinatura. "
+    "Uma ordem que continua numa lista vai junto com os itens da lista; a categoria 'tutela' é só para providências de urgência ou provisórias. "
+    "Na dúvida, não aponte. No máximo {most} seleções; responda com JSON e mais nada: {{\"selected\": [...]}}."
 )
-RETRY = 'Responda apenas com JSON válido, no formato {"selected":[{"unit_ids":["U0001"],"category":"...","priority":1,"reason":"..."}]}, usando os IDs fornecidos.'
-
-
-class UnreadableAnswer(ValueError):
-    """No selections can be read from a model's answer."""
-
-
-def plain(text: str | None) -> str:
-    folded = "".join(c for c in unicodedata.normalize("NFKD", text or "") if not unicodedata.combining(c)).casefold()
-    return " ".join(folded.split())
-
-
-def read_json(text: str | None):
-    """The JSON value of an answer: all of it, without fences, or the first that begins at some bracket."""
-    bare = re.sub(r"^```(?:json)?\s*|\s*```$", "", (text or "").strip(), flags=re.I).strip()
-    if not bare:
-        raise UnreadableAnswer("empty answer")
-    try:
-        return json.loads(bare)
-    except ValueError:
-        pass
-    reader = json.JSONDecoder()
-    for spot in re.finditer(r"[\[{]", bare):
-        try:
-            return reader.raw_decode(bare, spot.start())[0]
-        except ValueError:
-            continue
-    raise UnreadableAnswer("answer without JSON")
-
-
-def read_items(value) -> tuple[list[dict], str]:
-    """Selections of an answer, and how they were given."""
-    if isinstance(value, list):
-        given, note = value, "top_level_list"
-    elif isinstance(value, dict):
-        given, note = value.get("selected", []), "selected_object"
-    else:
-        raise UnreadableAnswer(f"unexpected JSON type: {type(value).__name__}")
-    if given is None:
-        return [], note
-    if isinstance(given, dict):
-        given, note = [given], f"{note}:single_object_wrapped"
-    if not isinstance(given, list):
-        raise UnreadableAnswer("selected is not a list")
-    return [x for x in given if isinstance(x, dict)], note
-
-
-def is_list_item(text: str | None) -> bool:
-    return re.match(r"(?:[a-z]\)|\d+[.)])\s+", (text or "").lstrip(), re.I) is not None
-
-
-def is_main_order(text: str | None) -> bool:
-    n = plain(text)
-    return (text or "").rstrip().endswith(":") and any(p in n for p in ORDER_PARTS)
-
-
-def with_parent(ids: list[str], units: list[dict]) -> list[str]:
-    """Known ids once each in the text's order, led by the order that the first, a list item, completes."""
-    place = {u["unit_id"]: i for i, u in enumerate(units)}
-    known = sorted({x for x in ids if x in place}, key=place.get)
-    if known and (i := place[known[0]]) > 0 and is_list_item(units[i]["text"]):
-        before = units[i - 1]
-        if before["rejected"] is None and is_main_order(before["text"]):
-            known.insert(0, before["unit_id"])
-    return known
-
-
-def fitting_category(category: str, ids: list[str], units: list[dict]) -> str:
-    """tutela only where the text speaks of one; measures about experts are orders."""
-    n = plain("\n".join(u["text"] for u in units if u["unit_id"] in set(ids)))
-    wrong = category == "tutela" and not any(p in n for p in TUTELA_PARTS) and any(p in n for p in EXPERT_PARTS)
-    return "ordem_determinacao" if wrong else category
-
-
-def validate(items: list[dict], units: list[dict], most: int) -> list[dict]:
-    """Selections with visible ids, a known category, a priority of 1 to 4 and a short reason, none twice, `most` at most."""
-    visible = {u["unit_id"] for u in units if u["rejected"] is None}
-    out: dict[tuple, dict] = {}
-    for item in items:
-        ids = item.get("unit_ids", [])
-        ids = [ids] if isinstance(ids, str) else ids
-        category = item.get("category")
-        if not isinstance(ids, list) or category not in CATEGORIES:
-            continue
-        ids = [x for x in with_parent([str(x) for x in ids if str(x) in visible], units) if x in visible]
-        if not ids:
-            continue
-        category = fitting_category(category, ids, units)
-        try:
-            priority = int(item.get("priority", 3))
-        except (TypeError, ValueError, OverflowError):
-            priority = 3
-        one = {"unit_ids": ids, "category": category, "priority": max(1, min(4, priority)), "reason": str(item.get("reason", ""))[:300]}
-        out.setdefault((*ids, category), one)
-        if len(out) >= most:
-            break
-    return list(out.values())
+RETRY = 'A resposta anterior não pôde ser lida. Responda só com JSON: {"selected":[{"unit_ids":["U0001"],"category":"...","priority":1,"reason":"..."}]}, com IDs da lista.'
 
 
 def answer_schema(most: int) -> dict:
@@ -146,15 +52,23 @@ def answer_schema(most: int) -> dict:
     return {"type": "json_schema", "json_schema": {"name": "unit_selection", "strict": True, "schema": schema}}
 
 
-def messages(row: dict, units: list[dict], most: int) -> list[dict]:
-    """The first request about a text."""
-    context = {c: row.get(c) for c in ("processo", "classe", "orgao_julgador", "expediente", "assunto", "secao_subsecao", "nucleo")}
-    context["routing"] = {c: row.get(c) for c in ("class_family", "region_key", "orgao_key", "route_key", "specialist")}
-    context["regra_previa"] = {"rule_id": row["rule_id"], "label": row["rule_label"]} if row.get("rule_id") else None
-    lines = "\n".join(f"[{u['unit_id']}] ({u['section']}) {u['text']}" for u in units if u["rejected"] is None)
-    example = {"selected": [{"unit_ids": ["U0001"], "category": "uma categoria permitida", "priority": 1, "reason": "curto"}]}
-    user = {"contexto": context, "categorias_permitidas": list(CATEGORIES), "unidades": lines, "formato": example}
-    return [{"role": "system", "content": SYSTEM.format(most=most)}, {"role": "user", "content": json.dumps(user, ensure_ascii=False)}]
+def prompt(most: int) -> Column:
+    """The messages of the first request about a text, as JSON: what is known of it, and its visible units by id."""
+    known = [F.col(c) for c in ("processo", "classe", "orgao_julgador", "expediente", "assunto", "secao_subsecao", "nucleo")]
+    routing = F.struct("class_family", "region_key", "orgao_key", "route_key", "specialist").alias("routing")
+    rule = F.when(F.coalesce("rule_id", F.lit("")) != "", F.struct("rule_id", F.col("rule_label").alias("label"))).alias("regra_previa")
+    visible = F.filter("units", lambda u: u["rejected"].isNull())
+    lines = F.array_join(F.transform(visible, lambda u: F.concat(F.lit("["), u["unit_id"], F.lit("] ("), u["section"], F.lit(") "), u["text"])), "\n")
+    example = F.lit('{"selected": [{"unit_ids": ["U0001"], "category": "uma categoria permitida", "priority": 1, "reason": "curto"}]}')
+    user = F.to_json(
+        F.struct(
+            F.struct(*known, routing, rule).alias("contexto"), F.array(*map(F.lit, CATEGORIES)).alias("categorias_permitidas"),
+            F.coalesce(lines, F.lit("")).alias("unidades"), example.alias("formato"),
+        ),
+        {"ignoreNullFields": "false"},
+    )
+    message = [F.struct(F.lit(r).alias("role"), c.alias("content")) for r, c in (("system", F.lit(SYSTEM.format(most=most))), ("user", user))]
+    return F.to_json(F.array(*message))
 
 
 #: post(body) -> (HTTP status, response text); raises OSError where no answer comes.
@@ -196,28 +110,78 @@ def send(post: Post, body: dict, most: int) -> tuple[str, str]:
     raise last
 
 
-def ask(post: Post, model: str, retries: int, row: dict, units: list[dict], most: int) -> dict:
-    """selected, teacher_status, teacher_attempts, teacher_response_mode, note and error of one text."""
-    first = messages(row, units, most)
-    error = ""
-    for attempt in range(1, retries + 2):
-        body = {"model": model, "messages": first + [{"role": "user", "content": RETRY}] * (attempt > 1), "temperature": 0.0, "top_p": 0.9, "max_tokens": 900}
+class Budget:
+    """Moments for requests, per_second of them a second, whichever thread asks."""
+
+    def __init__(self, per_second: float | None):
+        self.gap, self.next, self.lock = (1 / per_second if per_second else 0.0), 0.0, threading.Lock()
+
+    def wait(self) -> None:
+        with self.lock:
+            at = max(time.monotonic(), self.next)
+            self.next = at + self.gap
+        time.sleep(max(0.0, at - time.monotonic()))
+
+
+class Journal:
+    """Answers by the digest of their request, a file each, below a folder that all executors share (a path, or a URI that pyarrow knows)."""
+
+    def __init__(self, folder: str):
+        self.files, self.root = located(folder)
+
+    def _path(self, digest: str) -> str:
+        return f"{self.root}/{digest[:3]}/{digest}.json"
+
+    def get(self, digest: str) -> dict | None:
         try:
-            answer, mode = send(post, body, most)
-            items, note = read_items(read_json(answer))
-            selected = validate(items, units, most)
-        except Exception as e:  # whatever a model or server does is data
-            error = repr(e)
-            continue
-        status = "RETRY_OK" if attempt > 1 else "OK" if selected else "EMPTY_VALID"
-        return {"selected": selected, "teacher_status": status, "teacher_attempts": attempt, "teacher_response_mode": mode, "note": note, "error": None}
-    return {"selected": [], "teacher_status": None, "teacher_attempts": retries + 1, "teacher_response_mode": "fallback", "note": "", "error": error}
+            with self.files.open_input_stream(self._path(digest)) as f:
+                return json.loads(f.read())
+        except FileNotFoundError:
+            return None
 
+    def put(self, digest: str, reply: dict) -> None:
+        """Written aside and moved into place: an entry is whole or isn't there."""
+        path = self._path(digest)
+        self.files.create_dir(os.path.dirname(path), recursive=True)
+        aside = f"{path}.{uuid.uuid4().hex}"
+        with self.files.open_output_stream(aside) as f:
+            f.write(json.dumps(reply).encode())
+        self.files.move(aside, path)
+
+
+_REPLY = "decision_sha256 string, answer string, mode string, error string"
 
-_ANSWER = (
-    "decision_sha256 string, selected array<struct<rank:int,unit_ids:array<string>,category:string,priority:int,reason:string>>, "
-    "teacher_status string, teacher_attempts int, teacher_response_mode string, note string, error string"
-)
+
+def replies(asked: DataFrame, attempt: int, end: Endpoint, make_post: Callable[[], Post], most: int, parallel: int, at_once: int, per_second: float | None, journal: str | None) -> DataFrame:
+    """_REPLY for each row of asked (decision_sha256, prompt): at most at_once requests of each of `parallel` tasks at a time, per_second of all tasks together.
+
+    A request whose answer is in the journal isn't sent: a task that is run again, or a run that is started again, goes on where it was lost.
+    """
+
+    def sent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        post, budget = make_post(), Budget(per_second / parallel if per_second else None)
+        book = Journal(journal) if journal else None
+
+        def one(key: str, text: str) -> tuple:
+            digest = hashlib.sha256(f"{end.model}\n{most}\n{attempt}\n{text}".encode()).hexdigest()
+            if book and (had := book.get(digest)):
+                return key, had["answer"], had["mode"], None
+            told = json.loads(text) + [{"role": "user", "content": RETRY}] * (attempt > 1)
+            body = {"model": end.model, "messages": told, "temperature": 0.0, "top_p": 0.9, "max_tokens": 900}
+            try:
+                budget.wait()
+                answer, mode = send(post, body, most)
+            except Exception as e:  # whatever a server does is data
+                return key, None, None, repr(e)
+            if book:
+                book.put(digest, {"answer": answer, "mode": mode})
+            return key, answer, mode, None
+
+        with ThreadPoolExecutor(at_once) as pool:
+            for batch in batches:
+                yield pd.DataFrame(list(pool.map(one, batch["decision_sha256"], batch["prompt"])), columns=["decision_sha256", "answer", "mode", "error"])
+
+    return asked.select("decision_sha256", "prompt").repartition(parallel, "decision_sha256").mapInPandas(sent, _REPLY)
 
 
 def _kept(answers: DataFrame, folder: str | None) -> DataFrame:
@@ -230,28 +194,41 @@ def _kept(answers: DataFrame, folder: str | None) -> DataFrame:
     return answers.checkpoint() if spark.sparkContext.getCheckpointDir() else answers.persist()
 
 
-def teacher(make_post: Callable[[], Post] | None = None, endpoint: Endpoint | None = None, parallel: int = 1, folder: str | None = None):
-    """teacher(lists, most) for plans.extract.run: asks once for each row of lists, `parallel` requests at a time at most.
+def teacher(
+    make_post: Callable[[], Post] | None = None, endpoint: Endpoint | None = None, parallel: int = 1, folder: str | None = None, at_once: int = 1, per_second: float | None = None
+):
+    """teacher(lists, most) for plans.extract.run: asks once for each row of lists, and again, up to the endpoint's retries, for those whose answer can't be read.
 
-    The answers are written out (below folder, which all executors must share, or as a checkpoint), so that neither a later
-    use of them nor a lost executor asks again. A server that takes more requests at a time wants a larger `parallel`.
+    Each round asks for all that is left (replies()), reads the answers as columns and is written out (below folder, which all executors must share,
+    or as a checkpoint), so that neither a later use of it nor a lost executor asks again. With a folder there is a journal of answers, too.
     """
     end = endpoint or Endpoint()
     make_post = make_post or (lambda: end.post)
 
     def asked(lists: DataFrame, most: int) -> DataFrame:
-        def answers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            post = make_post()
-            for batch in batches:
-                out = []
-                for row in batch.to_dict("records"):
-                    units = [] if row["units"] is None else [u if isinstance(u, dict) else u.asDict() for u in row["units"]]
-                    reply = ask(post, end.model, end.retries, row, units, most)
-                    reply["selected"] = [{"rank": i, **x} for i, x in enumerate(reply["selected"], 1)]
-                    out.append({"decision_sha256": row["decision_sha256"], **reply})
-                yield pd.DataFrame(out)
-
-        found = lists.repartition(parallel, "decision_sha256").mapInPandas(answers, _ANSWER)
-        return _kept(found, folder)
+        texts = _kept(lists.select("decision_sha256", "units", prompt(most).alias("prompt")), folder)
+        left, parts = texts, []
+        journal = f"{folder.rstrip('/')}/journal" if folder else None
+        for attempt in range(1, end.retries + 2):
+            told = _kept(replies(left, attempt, end, make_post, most, parallel, at_once, per_second, journal), folder)
+            met = left.select("decision_sha256", "units").join(told.withColumnRenamed("error", "_lost"), "decision_sha256")
+            read = answers.read(met, most).withColumn("error", F.coalesce("_lost", "error"))
+            status = F.lit("RETRY_OK") if attempt > 1 else F.when(F.size("selected") > 0, "OK").otherwise("EMPTY_VALID")
+            status = F.when(F.col("error").isNull(), status).alias("teacher_status")
+            none = F.array().cast(answers.SELECTED)
+            found = read.select(
+                "decision_sha256", F.when(F.col("error").isNull(), F.col("selected")).otherwise(none).alias("selected"), status, F.lit(attempt).alias("teacher_attempts"),
+                F.when(F.col("error").isNull(), F.col("mode")).otherwise("fallback").alias("teacher_response_mode"), F.coalesce("note", F.lit("")).alias("note"), "error",
+            )
+            found = _kept(found, folder)
+            last = attempt > end.retries or found.where("error IS NOT NULL").limit(1).count() == 0
+            parts.append(found if last else found.where("error IS NULL"))
+            if last:
+                break
+            left = texts.join(found.where("error IS NOT NULL").select("decision_sha256"), "decision_sha256", "left_semi")
+        out = parts[0]
+        for more in parts[1:]:
+            out = out.unionByName(more)
+        return out
 
     return asked

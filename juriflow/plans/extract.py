@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -12,22 +13,52 @@ from juriflow.functions.constants import COLUMNS
 from juriflow.functions.text import is_tax_foreclosure, normalize, strip, text_hash
 from juriflow.operators import rules, select
 from juriflow.operators.router import PROFILES, route
-from juriflow.operators.segment import reconstruct, unit_lists
+from juriflow.operators.segment import reconstruct_sql, unit_lists
 
 EXCLUDED, EMPTY, PENDING = "EXCLUIDO_EXECUCAO_FISCAL", "SEM_DECISAO", "PENDENTE_REVISAO"
+#: A text of more rows than this is dealt to several tasks where rows meet what was selected from their text.
+HOT_ROWS = 20_000
+#: There are at most this many such texts, whatever the input: beyond it a text needs more rows to be one.
+HOT_MOST = 100_000
 
 
 @dataclass
 class Run:
-    """Tables of a run; manifest is one row, selections has one for each text that this run selected from."""
+    """Tables of a run, each planned where it is first asked for; manifest is one row, selections has one for each text that this run selected from."""
 
-    documents: DataFrame
-    candidates: DataFrame
-    errors: DataFrame
-    manifest: DataFrame
+    rows: DataFrame
+    done: DataFrame
+    asked: bool
     selections: DataFrame
     kept: list[DataFrame] = field(default_factory=list)
 
+    @cached_property
+    def marked(self) -> DataFrame:
+        """documents with _first: whether a row is the first of its text."""
+        return _documents(self.rows, self.done)
+
+    @cached_property
+    def documents(self) -> DataFrame:
+        return self.marked.drop("_first")
+
+    @cached_property
+    def candidates(self) -> DataFrame:
+        return _candidates(self.done)
+
+    @cached_property
+    def errors(self) -> DataFrame:
+        found = self.done.where("_first AND NOT _known AND error IS NOT NULL")
+        return found.select("source_row", "processo", F.lit("RECOVERED").alias("severity"), "teacher_status", "error")
+
+    @cached_property
+    def manifest(self) -> DataFrame:
+        return self.marked.agg(*_counters(self.asked))
+
+    def observed(self) -> tuple[DataFrame, Observation]:
+        """documents, and the manifest's counters as they come with the first action on them (a write): no pass of their own."""
+        seen = Observation()
+        return self.marked.observe(seen, *_counters(self.asked)).drop("_first"), seen
+
     def unpersist(self) -> None:
         for df in self.kept:
             df.unpersist()
@@ -75,6 +106,32 @@ def _keyed(df: DataFrame) -> DataFrame:
     return df.withColumn("decision_sha256", F.when(F.col("state") == PENDING, text_hash(F.col("decisao"))).otherwise(""))
 
 
+def _once(df: DataFrame) -> DataFrame:
+    """df whose columns aren't worked out again by whatever uses them: the optimizer moves nothing through a filter that isn't deterministic."""
+    return df.withColumn("_at", F.monotonically_increasing_id()).where("_at >= 0").drop("_at")
+
+
+def first_rows(rows: DataFrame) -> DataFrame:
+    """decision_sha256, first_row, n: a row for each pending text; hashes and numbers alone, summed up before they are dealt."""
+    return rows.where(F.col("state") == PENDING).groupBy("decision_sha256").agg(F.min("source_row").alias("first_row"), F.count("*").alias("n"))
+
+
+def hot_texts(firsts: DataFrame, hot_rows: int = HOT_ROWS, hot_most: int = HOT_MOST) -> DataFrame:
+    """decision_sha256, parts: into how many parts the rows of a text are split, of the texts that are; hot_most of them at most, as each has
+    more than a hot_most-th of all rows."""
+    total = firsts.agg(F.sum("n").alias("_total"))
+    most = F.greatest(F.lit(hot_rows), F.expr(f"_total div {hot_most}"))
+    return firsts.crossJoin(F.broadcast(total)).where(F.col("n") > most).select("decision_sha256", F.ceil(F.col("n") / most).cast("int").alias("parts"))
+
+
+def by_text(rows: DataFrame, texts: DataFrame, hot: DataFrame) -> DataFrame:
+    """rows with texts' columns of their decision_sha256. Rows of a hot text go to as many tasks as it has parts, and its row of texts to each."""
+    hot = F.broadcast(hot)  # bounded by hot_texts
+    dealt = rows.join(hot, "decision_sha256", "left").withColumn("_part", F.coalesce(F.pmod(F.xxhash64("source_row"), F.col("parts")), F.lit(0)).cast("int"))
+    copies = texts.join(hot, "decision_sha256", "left").withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)))
+    return dealt.drop("parts").join(copies.drop("parts"), ["decision_sha256", "_part"]).drop("_part")
+
+
 def run(
     df: DataFrame,
     mode: str = "rules",
@@ -86,46 +143,53 @@ def run(
     profiles: tuple[dict, ...] = PROFILES,
     teacher=None,
     known: DataFrame | None = None,
+    keep: bool = False,
+    hot_rows: int = HOT_ROWS,
 ) -> Run:
     """mode: rules; fallback (every model call fails); llama: teacher(first rows with units) -> selections by text.
 
-    known: selections of earlier runs; their texts are not selected from again.
+    known: selections of earlier runs; their texts are not selected from again. keep: persist what several of the run's tables are made of,
+    until unpersist(). source_row tells the rows apart.
+
+    Each different text is folded, ruled and selected from once: its first row is found by an aggregation that leaves one row a text and task. Rows then meet what is known of their text, with those of a hot text split; only their notice is their own.
     """
     if mode not in ("rules", "fallback", "llama"):
         raise ValueError("mode must be rules, fallback or llama")
     if mode == "llama" and teacher is None:
         raise ValueError("mode llama needs a teacher")
     rows = unique_cutoff(_keyed(scope(window_rows(canonical(df), start, limit), include_tax)), unique_limit, known)
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    live = route(rows.where(F.col("state") == PENDING), profiles)
-    live = live.withColumns({"_norm": normalize(F.col("decisao")), "_notice": normalize(F.col("expediente"))})
-    live = live.withColumn("rule", rules.classify(F.col("decisao"), F.col("expediente"), F.col("_norm"), F.col("_notice")))
-    live = live.withColumns({"rule_id": F.col("rule.rule_id"), "rule_label": F.col("rule.label")}).drop("rule", "_norm", "_notice")
-    first = F.row_number().over(Window.partitionBy("decision_sha256").orderBy("source_row"))
-    live = live.withColumn("_nth", first)
-    once = live.where("_nth = 1")
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK) if keep else _once(rows)
+    pending = rows.where(F.col("state") == PENDING)
+    firsts = first_rows(rows)
+    live = route(pending, profiles)
+    once = live.groupBy("decision_sha256").agg(F.min_by(F.struct(*[c for c in live.columns if c != "decision_sha256"]), "source_row").alias("_row"))
+    once = once.select("decision_sha256", "_row.*").withColumn("_norm", normalize(F.col("decisao")))
+    once = _ruled(once.withColumn("text_bits", rules.text_bits(F.col("decisao"), F.col("_norm"))).drop("_norm"))
     if known is not None:
         once = once.join(known.select("decision_sha256"), "decision_sha256", "left_anti")
-    chosen = _choose(once, mode, max_candidates, teacher).persist(StorageLevel.MEMORY_AND_DISK)
+    chosen = _choose(once, mode, max_candidates, teacher)
+    chosen = chosen.persist(StorageLevel.MEMORY_AND_DISK) if keep else chosen
     every = chosen.withColumn("_known", F.lit(False))
     if known is not None:
-        every = every.unionByName(known.select(*chosen.columns).withColumn("_known", F.lit(True)))
-    done = live.join(every, "decision_sha256")
-    cached = F.lit(False) if mode == "rules" else F.col("_known") | (F.col("_nth") > 1)
-    done = done.withColumn("cache_hit", cached)
-    candidates = _candidates(done)
-    documents = _documents(rows, done)
-    errors = done.where("_nth = 1 AND NOT _known AND error IS NOT NULL").select(
-        "source_row", "processo", F.lit("RECOVERED").alias("severity"), "teacher_status", "error"
-    )
-    manifest = _manifest(documents, done, mode)
-    return Run(documents, candidates, errors, manifest, chosen, [rows, chosen])
+        earlier = known.join(firsts.select("decision_sha256", "first_row"), "decision_sha256").select(*chosen.columns)
+        every = every.unionByName(earlier.withColumn("_known", F.lit(True)))
+    done = _ruled(by_text(live, every, hot_texts(firsts, hot_rows))).withColumn("_first", F.col("source_row") == F.col("first_row"))
+    asked = mode != "rules"
+    done = done.withColumn("cache_hit", (F.col("_known") | ~F.col("_first")) & F.lit(asked))
+    return Run(rows, done, asked, chosen.drop("first_row"), [rows, chosen] if keep else [])
+
+
+def _ruled(live: DataFrame) -> DataFrame:
+    """Rows with text_bits, what rules ask of their text, with their rule."""
+    live = live.withColumn("_notice", normalize(F.col("expediente"))).withColumn("rule", rules.by_bits(F.col("text_bits"), F.col("_notice")))
+    return live.withColumns({"rule_id": F.col("rule.rule_id"), "rule_label": F.col("rule.label")}).drop("rule", "_notice")
 
 
 def _choose(once: DataFrame, mode: str, most: int, teacher) -> DataFrame:
-    """decision_sha256, selected (with texts), teacher_status, teacher_attempts, teacher_response_mode, error: a row for each text."""
+    """decision_sha256, first_row, text_bits, selected (with texts), teacher_status, teacher_attempts, teacher_response_mode, error: a row for each text."""
     key = ["decision_sha256"]
-    texts = unit_lists(once, [*key, "rule_label"], marks=select.marks(mode)).drop("rule_label")
+    labelled = [] if mode == "rules" else ["label"]  # where it isn't asked for, rules are worked out on one side of the join only
+    texts = unit_lists(once.withColumn("label", normalize(F.col("rule_label"))), [*key, *labelled], marks=select.marks(mode)).drop("label")
     if mode == "rules":
         picked = select.opening_items(F.col("marked"), most)
         attempts, reply, error, ok, empty = 0, "rules", None, "OK", "EMPTY_VALID"
@@ -149,23 +213,21 @@ def _choose(once: DataFrame, mode: str, most: int, teacher) -> DataFrame:
                 "teacher_response_mode": F.lit(reply), "error": F.lit(error).cast("string"),
             }
         )
-    with_text = F.expr(
-        "transform(selected, x -> struct(x.rank AS rank, x.unit_ids AS unit_ids, x.category AS category, x.priority AS priority, x.reason AS reason))"
-    )
+    text = reconstruct_sql("decisao", "s.unit_ids", "units")
+    with_text = F.expr(f"transform(selected, s -> struct(s.rank AS rank, s.unit_ids AS unit_ids, s.category AS category, s.priority AS priority, s.reason AS reason, {text} AS text))")
     joined = joined.withColumn("selected", with_text)
-    return joined.select(*key, "selected", "units", "teacher_status", "teacher_attempts", "teacher_response_mode", "error")
+    return joined.select(*key, F.col("source_row").alias("first_row"), "text_bits", "selected", "teacher_status", "teacher_attempts", "teacher_response_mode", "error")
 
 
 def _candidates(done: DataFrame) -> DataFrame:
     """A row for each selection, or one of rank 0 for a text without any."""
     spread = done.select("*", F.explode_outer("selected").alias("_s"))
-    text = F.when(F.col("_s").isNull(), "").otherwise(reconstruct("decisao", "_s.unit_ids", "units"))
     return spread.select(
         "source_row",
         F.col("processo").alias("Processo"),
         F.coalesce(F.col("_s.rank"), F.lit(0)).cast("int").alias("candidate_rank"),
         F.coalesce(F.col("_s.unit_ids"), F.array().cast("array<string>")).alias("unit_ids"),
-        text.alias("candidate_text"),
+        F.coalesce(F.col("_s.text"), F.lit("")).alias("candidate_text"),
         F.coalesce(F.col("_s.category"), F.lit("")).alias("teacher_category"),
         F.col("_s.priority").cast("int").alias("teacher_priority"),
         F.coalesce(F.col("_s.reason"), F.lit("")).alias("teacher_reason"),
@@ -183,7 +245,7 @@ def _candidates(done: DataFrame) -> DataFrame:
 
 
 def _documents(rows: DataFrame, done: DataFrame) -> DataFrame:
-    """A row for each scanned row with its state."""
+    """A row for each scanned row with its state, and _first: whether it is the first of its text."""
     blank = {"rule_id": "", "rule_label": "", "route_key": "", "specialist": "", "teacher_status": "", "teacher_response_mode": ""}
 
     def shaped(df: DataFrame, given: dict[str, Column]) -> DataFrame:
@@ -192,27 +254,28 @@ def _documents(rows: DataFrame, done: DataFrame) -> DataFrame:
             "source_row", *COLUMNS, F.col("state").alias("status_documento"), *[v.alias(c) for c, v in cols.items()],
             (given["_attempts"] if "_attempts" in given else F.lit(0)).cast("int").alias("teacher_attempts"), "decision_sha256",
             (given["_cache"] if "_cache" in given else F.lit(False)).alias("cache_hit"),
-            (given["_n"] if "_n" in given else F.lit(0)).cast("int").alias("teacher_recortes_count"),
-        ).drop("_attempts", "_cache", "_n")
+            (given["_n"] if "_n" in given else F.lit(0)).cast("int").alias("teacher_recortes_count"), (given["_1st"] if "_1st" in given else F.lit(False)).alias("_first"),
+        ).drop("_attempts", "_cache", "_n", "_1st")
 
     given = {c: F.coalesce(c, F.lit("")) for c in blank}
-    given |= {"_attempts": F.col("teacher_attempts"), "_cache": F.col("cache_hit"), "_n": F.size("selected")}
+    given |= {"_attempts": F.col("teacher_attempts"), "_cache": F.col("cache_hit"), "_n": F.size("selected"), "_1st": F.col("_first")}
     return shaped(rows.where(F.col("state") != PENDING), {}).unionByName(shaped(done, given))
 
 
-def _manifest(documents: DataFrame, done: DataFrame, mode: str) -> DataFrame:
+def _counters(asked: bool) -> list[Column]:
+    """The manifest's counters over the marked documents."""
+
     def count_if(condition: Column, name: str) -> Column:
         return F.count_if(condition).alias(name)
 
-    asked = mode != "rules"
-    state, first = F.col("status_documento"), ~F.col("cache_hit") & (F.lit(asked))
+    state, first = F.col("status_documento"), ~F.col("cache_hit") & F.lit(asked)
     pending = state == PENDING
     status = F.col("teacher_status")
-    return documents.agg(
+    return [
         F.count("*").alias("scanned"),
         count_if(pending, "processed"),
-        F.count_distinct(F.when(pending, F.col("decision_sha256"))).alias("unique_decisions"),
-        F.lit(0).cast("long").alias("errors"),
+        count_if(pending & F.col("_first"), "unique_decisions"),
+        F.count(F.lit(None)).alias("errors"),
         count_if(pending & first & status.startswith("RULE_FALLBACK"), "recovered_errors"),
         count_if(pending & first, "unique_inferences"),
         count_if(F.col("cache_hit"), "cache_hits"),
@@ -221,7 +284,7 @@ def _manifest(documents: DataFrame, done: DataFrame, mode: str) -> DataFrame:
         count_if(pending & first & (status == "RULE_FALLBACK_EMPTY"), "rule_fallback_empty"),
         count_if(pending & first & (status == "EMPTY_VALID"), "empty_valid"),
         count_if(state == EMPTY, "skipped_empty_decisions"),
-    )
+    ]
 
 
 def inspect(df: DataFrame, limit: int | None = None) -> dict[str, DataFrame]:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from juriflow.functions import text as T
-from juriflow.operators import noise, router, rules, select
+from juriflow.operators import answers, noise, router, rules, select
 from juriflow.operators.segment import FIRST_SECTION, LONG, SECTIONS, unit_lists, units
 from juriflow.plans import decisions, extract, gold, review, training
 
@@ -216,7 +216,7 @@ def limit_unique(spark, sf_dir):
 @query(f"WITH {ROWS} SELECT source_row, sha AS decision_sha256, row_number() OVER (PARTITION BY sha ORDER BY source_row) > 1 AS cache_hit FROM live")
 def dedup_cache(spark, sf_dir):
     """DED1-2, JON1"""
-    run = extract.run(decisions.view(spark, sf_dir), mode="fallback")
+    run = extract.run(decisions.view(spark, sf_dir), mode="fallback", keep=True)
     return run.documents.where(F.col("status_documento") == extract.PENDING).select("source_row", "decision_sha256", "cache_hit")
 
 
@@ -234,8 +234,8 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY source_row ORDER BY score D
 SELECT source_row, CAST(rank AS INT) AS rank, unit_id AS unit_ids, {sql_category('nt')} AS category, coalesce('rule fallback: ' || rule_id || '/' || rule_label, 'rule fallback conservador') AS reason FROM ranked WHERE rank <= 3""")
 def sel_fallback_topk(spark, sf_dir):
     """SEL3, LIM5, TCH9"""
-    live = _live(spark, sf_dir).select("source_row", "decisao", F.col("rule.rule_id").alias("rule_id"), F.col("rule.label").alias("rule_label"))
-    lists = unit_lists(live, ["source_row", "rule_id", "rule_label"], marks=select.marks("fallback"))
+    live = _live(spark, sf_dir).select("source_row", "decisao", F.col("rule.rule_id").alias("rule_id"), F.col("rule.label").alias("rule_label"), T.normalize(F.col("rule.label")).alias("label"))
+    lists = unit_lists(live, ["source_row", "rule_id", "rule_label", "label"], marks=select.marks("fallback"))
     picks = lists.select("source_row", F.inline(select.rule_items(F.col("marked"))))
     return picks.select("source_row", F.col("rank").cast("int").alias("rank"), F.array_join("unit_ids", ",").alias("unit_ids"), "category", "reason")
 
@@ -243,7 +243,7 @@ def sel_fallback_topk(spark, sf_dir):
 @query(f"WITH {CANDIDATES} SELECT source_row, processo AS \"Processo\", candidate_rank, unit_ids, candidate_text, teacher_category, rule_id, route_key, teacher_status FROM cands")
 def candidates(spark, sf_dir):
     """SEL1, SEG7, CND1-2, JON1"""
-    run = extract.run(decisions.view(spark, sf_dir))
+    run = extract.run(decisions.view(spark, sf_dir), keep=True)
     return run.candidates.select("source_row", "Processo", "candidate_rank", F.array_join("unit_ids", ",").alias("unit_ids"), "candidate_text", "teacher_category", "rule_id", "route_key", "teacher_status")
 
 
@@ -252,7 +252,7 @@ CAST(coalesce(k.n, 0) AS INT) AS teacher_recortes_count FROM rows r LEFT JOIN li
 LEFT JOIN (SELECT source_row, count(*) AS n FROM cands WHERE candidate_rank > 0 GROUP BY 1) k ON r.source_row = k.source_row""")
 def docs_status(spark, sf_dir):
     """CND3, FIL1-2"""
-    run = extract.run(decisions.view(spark, sf_dir))
+    run = extract.run(decisions.view(spark, sf_dir), keep=True)
     return run.documents.select("source_row", "status_documento", "rule_id", "decision_sha256", "teacher_recortes_count")
 
 
@@ -265,7 +265,7 @@ SELECT (SELECT count(*) FROM rows) AS scanned, (SELECT count(*) FROM live) AS pr
 (SELECT count(*) FROM rows WHERE state = '{extract.EMPTY}') AS skipped_empty_decisions""")
 def manifest(spark, sf_dir):
     """AGG3"""
-    return extract.run(decisions.view(spark, sf_dir), mode="fallback").manifest
+    return extract.run(decisions.view(spark, sf_dir), mode="fallback", keep=True).manifest
 
 
 @query(f"WITH {D} SELECT classe, count(*) AS n FROM d GROUP BY classe ORDER BY n DESC, min(source_row) LIMIT 10")
@@ -313,7 +313,7 @@ slots AS (SELECT sha AS key, candidate_rank AS rank, arg_min(candidate_text, sou
 @query(f"WITH {GROUPS} SELECT id, key, source_rows, occurrences, processo, expedientes, prazos, classe, rule_id, reused FROM ided")
 def review_group(spark, sf_dir):
     """AGG4-5, JON2"""
-    run = extract.run(decisions.view(spark, sf_dir))
+    run = extract.run(decisions.view(spark, sf_dir), keep=True)
     return review.groups(run.documents).select("id", "key", "source_rows", "occurrences", "processo", "expedientes", "prazos", "classe", "rule_id", "reused")
 
 
@@ -321,7 +321,7 @@ def review_group(spark, sf_dir):
 FROM ided g {' '.join(f'LEFT JOIN slots s{i} ON g.key = s{i}.key AND s{i}.rank = {i}' for i in (1, 2, 3))}""")
 def review_pivot(spark, sf_dir):
     """AGG6, JON3, REV1-2"""
-    run = extract.run(decisions.view(spark, sf_dir))
+    run = extract.run(decisions.view(spark, sf_dir), keep=True)
     table = review.wide(review.build(run.documents, run.candidates, n=3), 3)
     names = [F.col(f"{a} {i}").alias(f"{b}_{i}") for i in (1, 2, 3) for a, b in (("Recorte", "recorte"), ("Categoria", "categoria"), ("Validação", "validacao"))]
     return table.select("ID", *names)
@@ -342,7 +342,7 @@ done AS (SELECT * FROM played WHERE p < 80)"""
 
 def _played(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The review after a simulated revision, by way of annotations of an earlier one (JON4)."""
-    run = extract.run(decisions.view(spark, sf_dir))
+    run = extract.run(decisions.view(spark, sf_dir), keep=True)
     keys = review.groups(run.documents).select("key", F.pmod(F.conv(F.substring(F.md5("key"), 1, 6), 16, 10).cast("long"), F.lit(100)).alias("p"))
     slot = review.slots(run.candidates).join(keys, "key")
     st = F.expr("CASE WHEN p = 77 THEN 'PENDENTE' ELSE CASE (p + rank) % 4 WHEN 0 THEN 'APROVADO' WHEN 1 THEN 'APROVADO' WHEN 2 THEN 'AJUSTADO' ELSE 'REJEITADO' END END")
@@ -440,3 +440,215 @@ SELECT count(*) FILTER (WHERE point < 80) AS train, count(*) FILTER (WHERE point
 def sft_counts(spark, sf_dir):
     """SFT2, AGG9"""
     return training.counts(_mapped(spark, sf_dir))
+
+
+# ---- supervised messages ------------------------------------------------------------------------------------------
+
+_SPECIALIST = "CASE class_family WHEN 'mandado_seguranca' THEN 'ms_specialist' WHEN 'cumprimento_sentenca' THEN 'cumprimento_specialist' ELSE 'global_teacher' END"
+MESSAGES = f"""{MAPPED},
+good AS (
+  SELECT d.key, d.source_row, d.processo, g.expedientes, {", ".join(f"coalesce(r.{c}, '') AS {c}" for c in ("classe", "orgao_julgador", "assunto", "secao_subsecao"))},
+         {sql_family('r.nc')} AS class_family, {sql_slug('r.ns', 60)} AS region_key, {sql_slug('r.no', 80)} AS orgao_key
+  FROM docs2 d JOIN rows r ON r.source_row = d.source_row JOIN groups g ON g.key = d.key WHERE d.key NOT IN (SELECT key FROM mapped WHERE reason IS NOT NULL)),
+seen AS (SELECT source_row, list({{'id': unit_id, 'section': section, 'text': text}} ORDER BY start) AS listed FROM units2 WHERE rejected IS NULL GROUP BY 1),
+picked AS (SELECT key, list({{'unit_ids': string_split(unit_ids, ','), 'category': category}} ORDER BY position) AS selected, bool_or(hidden) AS hidden FROM mapped GROUP BY 1),
+told AS (
+  SELECT good.*, coalesce(picked.hidden, false) AS hidden,
+         to_json({{'contexto': {{'classe': classe, 'orgao_julgador': orgao_julgador, 'expediente': expedientes, 'assunto': assunto, 'secao_subsecao': secao_subsecao,
+           'routing': {{'class_family': class_family, 'region_key': region_key, 'orgao_key': orgao_key, 'route_key': class_family || '|' || region_key || '|' || orgao_key, 'specialist': {_SPECIALIST}}}}},
+           'unidades': coalesce(seen.listed, []), 'categorias_permitidas': [{", ".join(map(_quoted, training.CATEGORIES))}]}}) AS asked,
+         CASE WHEN picked.selected IS NULL THEN '{{"selected":[]}}' ELSE to_json({{'selected': picked.selected}}) END AS answered
+  FROM good LEFT JOIN seen ON seen.source_row = good.source_row LEFT JOIN picked ON picked.key = good.key)"""
+
+
+@query(f"""WITH {MESSAGES}, each AS (
+  SELECT key, processo, hidden, unnest([{{'place': 0, 'role': 'system', 'content': {_quoted(training.SYSTEM)}}}, {{'place': 1, 'role': 'user', 'content': CAST(asked AS VARCHAR)}}, {{'place': 2, 'role': 'assistant', 'content': CAST(answered AS VARCHAR)}}]) AS m FROM told)
+SELECT processo AS "Processo", hidden AS has_hidden_unit, CAST(m.place AS INT) AS place, m.role AS role, md5(m.content) AS content_md5, CAST(length(m.content) AS INT) AS size FROM each""")
+def sft_messages(spark, sf_dir):
+    """SFT2: every message of every example"""
+    rows = training.examples(_mapped(spark, sf_dir))
+    each = rows.select("Processo", "has_hidden_unit", F.posexplode("messages").alias("place", "m"))
+    return each.select("Processo", "has_hidden_unit", "place", "m.role", F.md5("m.content").alias("content_md5"), F.length("m.content").alias("size"))
+
+
+# ---- further passages of reviewers ----------------------------------------------------------------------------------
+
+# By the hash, by the ID, by both, blank ones and one whose category isn't known.
+_ADDED = """
+SELECT key AS sha, '' AS id, 'Adição por hash ' || CAST(p AS STRING) AS text, 'honorarios_custas' AS category, 2 AS place FROM {0} WHERE p % 10 IN (4, 6)
+UNION ALL SELECT '', id, '  Adição por ID ' || CAST(p AS STRING), 'tutela', 1 FROM {0} WHERE p % 10 IN (5, 6)
+UNION ALL SELECT key, id, 'Antes das outras', 'obrigacao', 1 FROM {0} WHERE p % 10 = 6
+UNION ALL SELECT key, '', '   ', 'tutela', 3 FROM {0} WHERE p % 10 = 4
+UNION ALL SELECT '', id, 'Sem categoria', 'x', 5 FROM {0} WHERE p = 25
+"""
+
+
+def _added(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _played(spark, sf_dir)
+    keys = table.select("key", "id", F.pmod(F.conv(F.substring(F.md5("key"), 1, 6), 16, 10).cast("long"), F.lit(100)).alias("p"))
+    return gold.judge(table, spark.sql(_ADDED.format("{keys}"), keys=keys))
+
+
+@query(f"""WITH {PLAYED}, added AS ({_ADDED.format('played').replace('STRING', 'VARCHAR')}),
+own AS (SELECT *, CASE WHEN sha <> '' THEN sha ELSE id END AS at FROM added WHERE trim(text) <> ''),
+extra AS (
+  SELECT d.key, CASE WHEN o.at = d.key THEN 200 ELSE 300 END + o.place AS o, trim(o.text) AS text, o.category, 'human_addition' AS source, NULL AS validation FROM done d JOIN own o ON o.at IN (d.key, d.id)),
+gone AS (SELECT key FROM done WHERE p = 53 UNION SELECT f.key FROM filled f JOIN done USING (key) WHERE f.st = 'PENDENTE' UNION SELECT key FROM extra WHERE category = 'x'),
+items AS (
+  SELECT d.key, f.rank AS o, f.text, f.category, 'candidate' AS source, f.st AS validation FROM done d JOIN filled f USING (key) WHERE f.st IN ('APROVADO', 'AJUSTADO')
+  UNION ALL SELECT key, 100, 'Trecho ausente.', 'obrigacao', 'human_addition', NULL FROM done WHERE p % 10 = 3
+  UNION ALL SELECT * FROM extra)
+SELECT key AS decision_sha256, CAST(row_number() OVER (PARTITION BY key ORDER BY o) - 1 AS INT) AS position, text, category, source, validation FROM items WHERE key NOT IN (SELECT key FROM gone)""")
+def gold_additions(spark, sf_dir):
+    """JON6, GLD1: additions by the hash stand before those by the ID"""
+    items = gold.records(_added(spark, sf_dir)).select("decision_sha256", F.posexplode("gold").alias("position", "g"))
+    return items.select("decision_sha256", "position", "g.text", "g.category", "g.source", "g.validation")
+
+
+@query(f"""WITH {PLAYED}, added AS ({_ADDED.format('played').replace('STRING', 'VARCHAR')})
+SELECT id AS "ID", 'adicao_gold com categoria inválida' AS issues FROM done WHERE p = 25""")
+def gold_additions_issues(spark, sf_dir):
+    """GLD1, JON6: an addition of an unknown category blocks its document"""
+    return gold.issues(_added(spark, sf_dir)).where("issues LIKE '%adicao_gold%'").select("ID", "issues")
+
+
+# ---- GOLD of older layouts ------------------------------------------------------------------------------------------
+
+# The one-row layout: a decision's slots with states, edits and additions by the key's hash.
+_OLDER = """
+SELECT key AS decision_sha256, source_rows, processo AS Processo, classe, expedientes, prazos AS prazos_origem, decisao, CASE WHEN p < 80 THEN ' validado_completo' ELSE 'PENDENTE' END AS status_documento,
+       {slots}, CASE p % 4 WHEN 0 THEN ' Adição 1 ' ELSE '' END AS adicao_1_text, '' AS adicao_1_category,
+       CASE p % 3 WHEN 0 THEN 'Adição 2' ELSE ' ' END AS adicao_2_text, 'tutela' AS adicao_2_category
+FROM {table}
+"""
+_STATUS = "CASE (p + {i}) % 5 WHEN 0 THEN 'aprovado ' WHEN 1 THEN 'APROVADO' WHEN 2 THEN 'AJUSTADO' WHEN 3 THEN 'REJEITADO' ELSE '' END"
+
+
+def _older(slot: str, table: str) -> str:
+    columns = [
+        f"coalesce({slot.format(i=i, f='text')}, '') AS candidate_{i}_text, coalesce({slot.format(i=i, f='category')}, '') AS candidate_{i}_category, {_STATUS.format(i=i)} AS candidate_{i}_status, "
+        f"CASE WHEN p % 2 = {i % 2} THEN 'Texto ajustado {i}' ELSE '' END AS candidate_{i}_texto_ajustado, CASE WHEN p % 7 = {i} THEN 'obrigacao' ELSE '' END AS candidate_{i}_categoria_ajustada"
+        for i in (1, 2, 3)
+    ]
+    return _OLDER.format(slots=", ".join(columns), table=table)
+
+
+def _of_older(i: int) -> str:
+    """SQL: a slot's passage and category, null where it gives none."""
+    st = f"upper(trim(candidate_{i}_status))"
+    text = f"CASE {st} WHEN 'APROVADO' THEN candidate_{i}_text WHEN 'AJUSTADO' THEN coalesce(nullif(candidate_{i}_texto_ajustado, ''), candidate_{i}_text) END"
+    kind = f"CASE {st} WHEN 'APROVADO' THEN candidate_{i}_category WHEN 'AJUSTADO' THEN coalesce(nullif(candidate_{i}_categoria_ajustada, ''), candidate_{i}_category) END"
+    return f"SELECT decision_sha256, Processo, source_rows, {i} AS o, {text} AS text, {kind} AS category, 'candidate' AS source FROM sheet WHERE trim({text}) <> ''"
+
+
+def _reviewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each decision: its group, p, and its slots s1 to s3."""
+    run = extract.run(decisions.view(spark, sf_dir), keep=True)
+    table = review.groups(run.documents).withColumn("p", F.pmod(F.conv(F.substring(F.md5("key"), 1, 6), 16, 10).cast("long"), F.lit(100)))
+    slots = review.slots(run.candidates)
+    for i in (1, 2, 3):
+        table = table.join(slots.where(F.col("rank") == i).select("key", F.struct("text", "category").alias(f"s{i}")), "key", "left")
+    return table
+
+
+_SHEET = f"""{GROUPS}, played AS (SELECT *, {_P} AS p FROM ided),
+reviewed AS (
+  SELECT g.*, r.decisao, s1.text AS text1, s1.category AS category1, s2.text AS text2, s2.category AS category2, s3.text AS text3, s3.category AS category3
+  FROM played g JOIN rows r ON r.source_row = g.first_row {' '.join(f'LEFT JOIN slots s{i} ON g.key = s{i}.key AND s{i}.rank = {i}' for i in (1, 2, 3))})"""
+
+
+@query(f"""WITH {_SHEET}, sheet AS ({_older('{f}{i}', 'reviewed')}),
+items AS ({' UNION ALL '.join(map(_of_older, (1, 2, 3)))}
+  UNION ALL SELECT decision_sha256, Processo, source_rows, 11, trim(adicao_1_text), 'outro_acionavel', 'human_addition' FROM sheet WHERE trim(adicao_1_text) <> ''
+  UNION ALL SELECT decision_sha256, Processo, source_rows, 12, trim(adicao_2_text), 'tutela', 'human_addition' FROM sheet WHERE trim(adicao_2_text) <> ''),
+placed AS (SELECT i.*, row_number() OVER (PARTITION BY i.decision_sha256 ORDER BY o) - 1 AS position FROM items i JOIN sheet s USING (decision_sha256) WHERE s.status_documento = ' validado_completo')
+SELECT decision_sha256, Processo AS "Processo", CAST(split_part(source_rows, ',', 1) AS INT) AS source_row, CAST(position AS INT) AS position, text, category, source FROM placed""")
+def gold_consolidated(spark, sf_dir):
+    """GLD2: the older layout of one row a decision"""
+    sheet = spark.sql(_older("s{i}.{f}", "{reviewed}"), reviewed=_reviewed(spark, sf_dir))
+    items = gold.consolidated(sheet, 3).select("decision_sha256", "Processo", "source_row", F.posexplode("gold").alias("position", "g"))
+    return items.select("decision_sha256", "Processo", "source_row", "position", "g.text", "g.category", "g.source")
+
+
+# The oldest layout: three long tables by row number, some of whose numbers are none.
+_LONG = {
+    "done": "SELECT CAST(source_row AS STRING) AS source_row, processo, decisao, CASE source_row % 3 WHEN 0 THEN 'VALIDADO_COMPLETO' WHEN 1 THEN ' validado_completo ' ELSE '' END AS status_documento FROM {rows}",
+    "some": """SELECT CASE source_row % 11 WHEN 5 THEN 'x' || CAST(source_row AS STRING) ELSE CAST(source_row AS STRING) END AS source_row, candidate_text, teacher_category,
+      CASE (source_row + candidate_rank) % 4 WHEN 0 THEN 'APROVADO' WHEN 1 THEN 'ajustado' WHEN 2 THEN 'REJEITADO' ELSE 'AJUSTADO' END AS status_validacao,
+      CASE source_row % 2 WHEN 0 THEN 'Ajuste' ELSE '' END AS texto_ajustado, CASE source_row % 5 WHEN 0 THEN 'recurso_proximo_passo' ELSE '' END AS categoria_ajustada, candidate_rank AS place FROM {cands} WHERE candidate_rank > 0""",
+    "more": """SELECT CAST(source_row AS STRING) AS source_row, CASE source_row % 7 WHEN 0 THEN 'Mais um' ELSE ' ' END AS texto_gold, CASE source_row % 14 WHEN 0 THEN 'tutela' ELSE '' END AS categoria_gold, 1 AS place FROM {rows}
+      WHERE source_row % 2 = 0""",
+}
+
+
+def _long(name: str, **tables: str) -> str:
+    return _LONG[name].format(**tables).replace("AS STRING", "AS VARCHAR")
+
+
+@query(f"""WITH {CANDIDATES}, done AS ({_long('done', rows='rows')}), some AS ({_long('some', cands='cands')}), more AS ({_long('more', rows='rows')}),
+items AS (
+  SELECT TRY_CAST(source_row AS INT) AS source_row, 0 AS part, place, CASE WHEN upper(status_validacao) = 'APROVADO' THEN candidate_text WHEN upper(status_validacao) = 'AJUSTADO' THEN coalesce(nullif(texto_ajustado, ''), candidate_text) END AS text,
+         CASE WHEN upper(status_validacao) = 'APROVADO' THEN teacher_category WHEN upper(status_validacao) = 'AJUSTADO' THEN coalesce(nullif(categoria_ajustada, ''), teacher_category) END AS category, 'candidate' AS source FROM some
+  UNION ALL SELECT TRY_CAST(source_row AS INT), 1, place, texto_gold, coalesce(nullif(categoria_gold, ''), 'outro_acionavel'), 'human_addition' FROM more),
+placed AS (SELECT *, row_number() OVER (PARTITION BY source_row ORDER BY part, place) - 1 AS position FROM items WHERE trim(text) <> '')
+SELECT CAST(d.source_row AS INT) AS source_row, d.processo AS "Processo", CAST(coalesce(position, -1) AS INT) AS position, coalesce(text, '') AS text, coalesce(category, '') AS category, coalesce(source, '') AS source
+FROM done d LEFT JOIN placed p ON CAST(d.source_row AS INT) = p.source_row WHERE upper(trim(d.status_documento)) = 'VALIDADO_COMPLETO'""")
+def gold_long(spark, sf_dir):
+    """GLD3, JON9: the oldest layout of three long tables"""
+    run = extract.run(decisions.view(spark, sf_dir), keep=True)
+    made = {name: spark.sql(sql, rows=_rows(spark, sf_dir), cands=run.candidates) if name == "some" else spark.sql(sql, rows=_rows(spark, sf_dir)) for name, sql in _LONG.items()}
+    items = gold.from_long(made["done"], made["some"], made["more"]).select("source_row", "Processo", F.posexplode_outer("gold").alias("position", "g"))
+    none = [F.coalesce(f"g.{c}", F.lit("")).alias(c) for c in ("text", "category", "source")]
+    return items.select("source_row", "Processo", F.coalesce("position", F.lit(-1)).alias("position"), *none)
+
+
+# ---- a model's answers ------------------------------------------------------------------------------------------------
+
+# Answers made of a decision's own units, in the shapes that models give them: the unit of the list that stands in every text, the one behind it,
+# one that doesn't exist, and the first unit (often rejected).
+_ITEM = (
+    """'{"unit_ids":["' || b || '","' || a || '","U9999"],"category":"' || CASE r % 3 WHEN 0 THEN 'tutela' ELSE 'obrigacao' END || '","priority":' || CASE r % 6 WHEN 0 THEN '"2"' WHEN 1 THEN '9' WHEN 2 THEN '2.9' WHEN 3 THEN 'null' WHEN 4 THEN '"x"' ELSE '0' END || ',"reason":"r' || r || '"}'"""
+)
+_SECOND = """'{"unit_ids":"' || c || '","category":"' || CASE r % 5 WHEN 0 THEN 'nenhuma' ELSE 'recurso_proximo_passo' END || '"}'"""
+_SHAPED = f"""CASE r % 12
+  WHEN 0 THEN '{{"selected":[' || {_ITEM} || ',' || {_SECOND} || ',' || {_ITEM} || ']}}' WHEN 1 THEN '[' || {_SECOND} || ',' || {_ITEM} || ',3]' WHEN 2 THEN chr(96) || chr(96) || chr(96) || 'json' || chr(10) || '[' || {_ITEM} || ']' || chr(10) || chr(96) || chr(96) || chr(96)
+  WHEN 3 THEN 'Segue {{a resposta}}: {{"selected":[' || {_ITEM} || ']}} fim.' WHEN 4 THEN '{{"selected":' || {_ITEM} || '}}' WHEN 5 THEN '{{"selected":null}}' WHEN 6 THEN 'sem json' WHEN 7 THEN '"U0001 [1]"'
+  WHEN 8 THEN '{{"selected":"x"}}' WHEN 9 THEN '  ' WHEN 10 THEN '[' || {_ITEM} || ',' || {_SECOND} ELSE '{{"x":1}}' END"""
+
+
+@query(f"""WITH {UNITS}, numbered AS (SELECT *, CAST(substr(unit_id, 2) AS INT) AS k FROM units),
+spot AS (SELECT source_row, min(k) AS k FROM numbered WHERE starts_with(text, 'a) juros') GROUP BY 1),
+each AS (SELECT l.source_row, l.source_row AS r, s.k, s.k + 1 AS kb, 1 AS kc FROM live l JOIN spot s ON l.source_row = s.source_row),
+given AS (
+  SELECT *, 1 AS i, k AS ka, kb AS kz, CASE r % 3 WHEN 0 THEN 'tutela' ELSE 'obrigacao' END AS category, CASE r % 6 WHEN 0 THEN 2 WHEN 1 THEN 4 WHEN 2 THEN 2 WHEN 5 THEN 1 ELSE 3 END AS priority, 'r' || r AS reason
+  FROM each WHERE r % 12 IN (0, 1, 2, 3, 4)
+  UNION ALL SELECT *, CASE r % 12 WHEN 1 THEN 0 ELSE 2 END, kc, kc, CASE r % 5 WHEN 0 THEN 'nenhuma' ELSE 'recurso_proximo_passo' END, 3, '' FROM each WHERE r % 12 IN (0, 1)),
+own AS (SELECT g.source_row, g.i, min(n.k) AS first FROM given g JOIN numbered n ON n.source_row = g.source_row AND n.k IN (g.ka, g.kz) AND n.rejected IS NULL GROUP BY ALL),
+parents AS (
+  SELECT o.source_row, o.i, n.k FROM own o JOIN numbered f ON f.source_row = o.source_row AND f.k = o.first AND regexp_matches(f.text, '^\\s*(?i:[a-z]\\)|\\d+[.)])\\s')
+  JOIN numbered n ON n.source_row = o.source_row AND n.k = o.first - 1 AND n.rejected IS NULL AND regexp_matches(n.text, ':\\s*$') AND {sql_contains('n.nt', answers.ORDER_PARTS)}),
+met AS (
+  SELECT g.source_row, g.i, n.k, n.unit_id, n.nt FROM given g JOIN numbered n ON n.source_row = g.source_row AND n.k IN (g.ka, g.kz) AND n.rejected IS NULL
+  UNION ALL SELECT p.source_row, p.i, n.k, n.unit_id, n.nt FROM parents p JOIN numbered n ON n.source_row = p.source_row AND n.k = p.k),
+listed AS (SELECT source_row, i, string_agg(DISTINCT unit_id, ',' ORDER BY unit_id) AS unit_ids, string_agg(nt, ' ' ORDER BY k) AS said FROM met GROUP BY ALL),
+valid AS (
+  SELECT g.source_row, g.i, l.unit_ids, CASE WHEN g.category = 'tutela' AND NOT {sql_contains('l.said', answers.TUTELA_PARTS)} AND {sql_contains('l.said', answers.EXPERT_PARTS)} THEN 'ordem_determinacao' ELSE g.category END AS category, g.priority, g.reason
+  FROM given g JOIN listed l ON l.source_row = g.source_row AND l.i = g.i WHERE g.category <> 'nenhuma'),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY source_row ORDER BY i) AS rank FROM valid)
+SELECT e.source_row, CASE WHEN r % 12 IN (1, 2) THEN 'top_level_list' WHEN r % 12 = 4 THEN 'selected_object:single_object_wrapped' WHEN r % 12 IN (0, 3, 5, 10, 11) THEN 'selected_object' END AS note,
+       CASE r % 12 WHEN 6 THEN 'answer without JSON' WHEN 7 THEN 'unexpected JSON type: string' WHEN 8 THEN 'selected is not a list' WHEN 9 THEN 'empty answer' END AS error,
+       CAST(coalesce(v.rank, 0) AS INT) AS rank, coalesce(v.unit_ids, '') AS unit_ids, coalesce(v.category, '') AS category, CAST(coalesce(v.priority, 0) AS INT) AS priority, coalesce(v.reason, '') AS reason
+FROM each e LEFT JOIN ranked v ON v.source_row = e.source_row""")
+def teacher_answers(spark, sf_dir):
+    """TCH4-TCH7, TXT8, TXT9, TXT11, DED3, DED4: answers in all shapes, read and checked"""
+    lists = unit_lists(_live(spark, sf_dir).select("source_row", "decisao"), ["source_row"])
+    at = "array_position(transform(units, u -> startswith(u.text, 'a) juros')), true)"
+    spots = lists.selectExpr("source_row", "source_row AS r", "units", f"int({at}) AS k").where("k > 0")
+    ids = spots.selectExpr("*", "printf('U%04d', k) AS a", "printf('U%04d', k + 1) AS b", "'U0001' AS c")
+    read = answers.read(ids.withColumn("answer", F.expr(_SHAPED)), 3)
+    each = read.select("source_row", "note", "error", F.explode_outer("selected").alias("s"))
+    blank = [F.coalesce(f"s.{c}", F.lit("")).alias(c) for c in ("category", "reason")]
+    return each.select(
+        "source_row", "note", "error", F.coalesce("s.rank", F.lit(0)).alias("rank"), F.coalesce(F.array_join("s.unit_ids", ","), F.lit("")).alias("unit_ids"),
+        F.coalesce("s.priority", F.lit(0)).alias("priority"), *blank,
+    )

@@ -121,14 +121,20 @@ def review_workbook(path: str, spark: SparkSession, built: DataFrame, candidates
 
 
 def write_run(run: Run, out: str, settings: dict, began: float) -> dict:
-    """predictions, errors, review.xlsx and manifest.json below out; the manifest as a dict."""
+    """predictions, errors, documents, review.xlsx and manifest.json below out; the manifest as a dict.
+
+    The manifest's counters come with the write of documents; the review is made of what was written.
+    """
     os.makedirs(out, exist_ok=True)
     spark = run.documents.sparkSession
+    marked, seen = run.observed()
+    marked.write.mode("overwrite").parquet(f"{out}/documents.parquet")
+    documents = spark.read.parquet(f"{out}/documents.parquet")
     json_lines(predictions(run.candidates), f"{out}/predictions.jsonl", ["source_row", "candidate_rank"])
     json_lines(run.errors, f"{out}/errors.jsonl", ["source_row"])
     n = review.slot_count(run.candidates)
-    review_workbook(f"{out}/review.xlsx", spark, review.build(run.documents, run.candidates, n=n), run.candidates, n)
-    made = {"version": VERSION, **settings, **run.manifest.head().asDict(), "elapsed_seconds": round(time.time() - began, 3)}
+    review_workbook(f"{out}/review.xlsx", spark, review.build(documents, run.candidates, n=n), run.candidates, n)
+    made = {"version": VERSION, **settings, **seen.get, "elapsed_seconds": round(time.time() - began, 3)}
     made |= {"review_workbook": f"{out}/review.xlsx", "review_sheet": "revisao", "metrics_sheet": "metricas"}
     with open(f"{out}/manifest.json", "w", encoding="utf-8") as f:
         json.dump(made, f, ensure_ascii=False, indent=2)

@@ -17,7 +17,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from juriflow.functions.constants import REQUIRED
-from juriflow.operators.teacher import plain
+from juriflow.functions.text import plain
 
 _M = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _R = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"

@@ -13,8 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from juriflow.plans import extract
 
 SELECTION = (
-    "decision_sha256 string, selected array<struct<rank:int,unit_ids:array<string>,category:string,priority:int,reason:string>>, "
-    "units array<struct<unit_id:string,start:int,end:int,text:string,section:string,rejected:string>>, "
+    "decision_sha256 string, text_bits long, selected array<struct<rank:int,unit_ids:array<string>,category:string,priority:int,reason:string,text:string>>, "
     "teacher_status string, teacher_attempts int, teacher_response_mode string, error string, batch long"
 )
 
@@ -36,7 +35,7 @@ def start(source: DataFrame, out: str, checkpoint: str, once: bool = True, uniqu
     def batch(rows: DataFrame, number: int) -> None:
         known = selections(rows.sparkSession, out, number)
         left = None if unique_limit is None else max(0, unique_limit - known.count())
-        run = extract.run(rows, known=known, unique_limit=left, **options)
+        run = extract.run(rows, known=known, unique_limit=left, keep=True, **options)
         run.selections.write.mode("overwrite").parquet(f"{out}/selections/batch={number}")
         run.candidates.write.mode("overwrite").parquet(f"{out}/candidates/batch={number}")
         run.documents.write.mode("overwrite").parquet(f"{out}/documents/batch={number}")

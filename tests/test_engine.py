@@ -7,6 +7,7 @@ import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+from plain_answers import plain
 from juriflow.functions import text as T
 from juriflow.operators import noise, rules, segment, select, teacher
 from juriflow.operators.router import route
@@ -33,7 +34,7 @@ def column(spark, values, f):
 
 def test_text_functions_equal_a_plain_restatement(spark):
     values = ["1ª Vara  Federal\tAL", "STRASSE straße", "ação Ñandú", None, "", " \x1c x ", "ÉÇÃO ﬁm…", "½ N.º 7"]
-    assert column(spark, values, T.normalize) == [teacher.plain(v) for v in values]
+    assert column(spark, values, T.normalize) == [plain(v) for v in values]
     assert column(spark, ["1ª Vara Federal AL", "---", None, "a" * 90], T.slug) == ["1a_vara_federal_al", "na", "na", "a" * 80]
 
 
@@ -127,35 +128,6 @@ def test_reconstruction(spark):
         assert got == want
 
 
-def test_answers():
-    item = {"unit_ids": ["U0001"], "category": "ordem_determinacao", "priority": 1, "reason": "x"}
-    assert teacher.read_items([item]) == ([item], "top_level_list")
-    assert teacher.read_items({"selected": [item]}) == ([item], "selected_object")
-    assert teacher.read_json('```json\n{"selected": []}\n```') == {"selected": []}
-    assert teacher.read_items([item, "x", 3])[0] == [item]
-    assert teacher.read_json('Segue: {"selected": []} fim') == {"selected": []}
-    assert teacher.read_items({"selected": None})[0] == [] and teacher.read_items({"selected": item})[1].endswith("single_object_wrapped")
-    for bad in ("", "sem json", None):
-        with pytest.raises(teacher.UnreadableAnswer):
-            teacher.read_json(bad)
-    with pytest.raises(teacher.UnreadableAnswer):
-        teacher.read_items({"selected": "x"})
-
-
-def test_parent_and_validation():
-    units = [
-        {"unit_id": "U0001", "text": "DETERMINO o seguinte:", "rejected": None}, {"unit_id": "U0002", "text": "a) juros", "rejected": None}, {"unit_id": "U0003", "text": "b) perito", "rejected": None},
-        {"unit_id": "U0004", "text": "x", "rejected": "too_short"},
-    ]
-    assert teacher.with_parent(["U0002"], units) == ["U0001", "U0002"]
-    items = [
-        {"unit_ids": "U0003", "category": "tutela", "priority": "9", "reason": "r" * 400}, {"unit_ids": ["U0003"], "category": "ordem_determinacao"}, {"unit_ids": ["U0004"], "category": "tutela"},
-        {"unit_ids": ["U0002"], "category": "nenhuma"}, {"unit_ids": ["U0002"], "category": "prazo_cumprimento", "priority": "x"},
-    ]
-    got = teacher.validate(items, units, 3)
-    assert [(x["unit_ids"], x["category"], x["priority"], len(x["reason"])) for x in got] == [(["U0003"], "ordem_determinacao", 4, 300), (["U0001", "U0002"], "prazo_cumprimento", 3, 0)]
-
-
 def canned(*replies):
     replies = list(replies)
 
@@ -168,17 +140,6 @@ def canned(*replies):
     return post
 
 
-def test_requests_and_retries():
-    ok = (200, json.dumps({"choices": [{"message": {"content": '{"selected":[{"unit_ids":["U0001"],"category":"tutela"}]}'}}]}))
-    junk = (200, json.dumps({"choices": [{"message": {"content": "?"}}]}))
-    units = [{"unit_id": "U0001", "text": "liminar", "section": "OUTRO", "rejected": None}]
-    assert teacher.ask(canned(ok), "m", 1, {}, units, 3)["teacher_status"] == "OK"
-    assert teacher.ask(canned((422, ""), ok), "m", 1, {}, units, 3)["teacher_response_mode"] == "json_object"
-    assert teacher.ask(canned(junk, ok), "m", 1, {}, units, 3)["teacher_status"] == "RETRY_OK"
-    lost = teacher.ask(canned(OSError("timeout")), "m", 1, {}, units, 3)
-    assert lost["error"] and lost["teacher_attempts"] == 2
-
-
 def test_cache_and_unique_limit(spark):
     reply = (200, json.dumps({"choices": [{"message": {"content": '{"selected":[{"unit_ids":["U0002"],"category":"intimacao_manifestacao"}]}'}}]}))
     asked = teacher.teacher(lambda: canned(reply), teacher.Endpoint("x", "m", 1, 1))

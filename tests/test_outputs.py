@@ -225,13 +225,6 @@ def test_every_rule(spark):
     assert got == [(r[0], r[0]) for r in RULE_EXAMPLES] and len(got) == len(rules.RULES)
 
 
-def test_every_fold(spark):
-    """Each character of the table, against Python's own folding."""
-    src, _, more = T.fold_map()
-    values = [f"a{ch}b" for ch in [*src[::7], *more]]
-    assert column(spark, values, T.fold) == ["".join(T._fold(c) for c in v) for v in values]
-
-
 def test_categories_and_openings(spark):
     cases = {
         "julgo procedente": "resultado_julgamento", "condeno em honorarios": "honorarios_custas", "ocorreu a decadencia": "prescricao_decadencia", "notifique-se": "intimacao_manifestacao",
