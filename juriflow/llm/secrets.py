@@ -1,7 +1,8 @@
 """Secret scans: candidate strings, features of them and their surroundings, and a random forest that removes false positives.
 
 A candidate is a run of at least `min_length` characters of [A-Za-z0-9+/_-] within a word, with up to two = at its end; so in key=value the
-value is a candidate of its own. Its features (FEATURES): length; shares of digits, capitals, hexadecimal digits and vowels;
+value is a candidate of its own. Other characters end a candidate, so of a secret with . or ! in it the parts that are long enough are candidates,
+each for itself. Its features (FEATURES): length; shares of digits, capitals, hexadecimal digits and vowels;
 changes of character class and different characters per character; transitions, the mean log probability of each
 character after the one before by the corpus' own words; the share of it that dictionary words cover; whether the path
 is known, speaks of tests or examples, or of settings, and its depth; whether the two words before or the one behind speak of
@@ -14,12 +15,14 @@ The forest is trained by Spark ML (JVM) on labelled findings, at most `max_train
 then written out as one SQL expression: scoring is a column, without any Python. planted() makes labelled findings of
 known truth: secrets of several kinds and what is easily mistaken for one (digests, ids, placeholders, test fixtures, long
 words, names, paths, numbers), in neighbourhoods that often say nothing or mislead; the truth is what was planted, not a rule over
-features. A fifth of them is held out, and evaluate() gives precision and recall. Only DataFrame functions run here.
+features. Half of them have no path, as documents often don't; only the fixtures of tests, which nothing but their path tells from secrets, always
+have theirs, so that without a path such a string is what it looks like. A fifth is held out; evaluate() gives precision and recall,
+report() both for each kind, with a path and without. Only DataFrame functions run here.
 
 Defined results: null and empty texts have no candidate; every occurrence of a candidate is a row, repeated rows too; a very long
 run is one candidate, whole; a null path is not known; ties in the sample's hash are findings with equal features; trained on findings
 of one label every score is that label, on none 0.5; an empty table gives an empty table and a lexicon without words; columns of
-the input other than those named by key are left out.
+the input other than those named by key are left out, and a key named like a column of the result is an error; a score equal to the threshold is a secret.
 """
 
 from __future__ import annotations
@@ -40,7 +43,7 @@ MIN_COUNT = 10
 PLANTED = 8_000
 TREES, DEPTH, SEED = 20, 7, 11
 CREDENTIAL = r"(?i)token|secret|passw|api.?key|access.?key|credential|auth|bearer"
-DIGEST = r"(?i)sha\d*|md5|digest|checksum|commit|uuid|doi|isbn|license|https?:"
+DIGEST = r"(?i)sha\d*|md5|digest|checksum|commit|revision|uuid|doi|isbn|license|https?:"
 PATH_TEST = r"(?i)test|example|sample|fixture|doc"
 PATH_SETTINGS = r"(?i)\.env|config|setting|deploy|\.ya?ml$|\.ini$"
 FEATURES = (
@@ -91,6 +94,8 @@ def coverage(strings: DataFrame, known: DataFrame) -> DataFrame:
 
 def candidates(docs: DataFrame, known: Lexicon, key: tuple[str, ...] = ("doc_id",), path: str | None = None, min_length: int = MIN_LENGTH) -> DataFrame:
     """key, word_index, candidate and FEATURES: a row for each candidate."""
+    if clash := {k.lower() for k in key} & {"word_index", "candidate", *FEATURES}:
+        raise ValueError(f"columns of the result can't be keys: {sorted(clash)}")
     run = f"[A-Za-z0-9+/_\\-]{{{min_length},}}={{0,2}}"
     spots = F.expr(
         f"filter(transform(_w, (x, i) -> CASE WHEN length(x) >= {min_length} AND x rlike r'{run}' THEN struct(i AS word_index, x AS word, "
@@ -180,10 +185,14 @@ _KINDS = (
 )
 
 
+#: The kind whose strings are like secrets in all but their path.
+_FIXTURE = 14
+
+
 def planted(spark: SparkSession, known: Lexicon, n: int = PLANTED, seed: int = SEED) -> DataFrame:
-    """finding_id, path, text, planted, label, held_out: n findings of known truth, the same for the same seed and lexicon.
+    """finding_id, kind, path, text, planted, label, held_out: n findings of known truth, the same for the same seed and lexicon.
 
-    Ordinary words are drawn from the lexicon's 400 most frequent (others where it has none). One path in four is not known.
+    Ordinary words are drawn from the lexicon's 400 most frequent (others where it has none). One path in two is not known, but for _FIXTURE's.
     """
     few = [r.word for r in known.words.orderBy(F.desc("n"), "word").limit(400).collect()]
     few = few or ["ordinary", "words", "stand", "here", "instead"]
@@ -211,13 +220,14 @@ def planted(spark: SparkSession, known: Lexicon, n: int = PLANTED, seed: int = S
     # an assignment is sometimes written without a space
     text = f"concat(w[2], ' ', w[3], ' ', {lead}, CASE WHEN {lead} rlike '[=:]$' AND pmod(h, 4) = 0 THEN '' ELSE ' ' END, {quoted}, ' ', w[1], ' ', w[0])"
     return rows.selectExpr(
-        "id AS finding_id", f"CASE WHEN pmod(xxhash64(id, 5, {seed}), 4) > 0 THEN path END AS path", f"{text} AS text", "planted", "label", f"pmod(xxhash64(id, 6, {seed}), 5) = 0 AS held_out"
-    )
+        "id AS finding_id", f"int({kind}) AS kind", f"CASE WHEN {kind} = {_FIXTURE} OR pmod(xxhash64(id, 5, {seed}), 2) = 0 THEN path END AS path", f"{text} AS text",
+        "planted", "label", f"pmod(xxhash64(id, 6, {seed}), 5) = 0 AS held_out",
+    )
 
 
 def findings(labelled: DataFrame, known: Lexicon) -> DataFrame:
     """candidates() of labelled texts (finding_id, path, text, planted, label, held_out) with label: of the planted string alone."""
-    key = ("finding_id", "planted", "label", "held_out")
+    key = ("finding_id", *[c for c in ("kind",) if c in labelled.columns], "planted", "label", "held_out")
     return candidates(labelled, known, key=key, path="path").where("planted LIKE concat('%', candidate, '%') OR candidate LIKE concat('%', planted, '%')")
 
 
@@ -225,3 +235,12 @@ def evaluate(found: DataFrame, judged: str) -> dict[str, float]:
     """precision and recall of a SQL condition over labelled findings."""
     r = found.agg(*[F.count(F.expr(f"CASE WHEN {w} THEN 1 END")).alias(k) for k, w in (("tp", f"label = 1 AND ({judged})"), ("fp", f"label = 0 AND ({judged})"), ("fn", f"label = 1 AND NOT ({judged})"))]).head()
     return {"precision": r.tp / max(1, r.tp + r.fp), "recall": r.tp / max(1, r.tp + r.fn), "n": found.count()}
+
+
+def report(found: DataFrame, judged: str, by: tuple[str, ...] = ("path_known", "kind")) -> DataFrame:
+    """by, n, secrets, tp, fp, precision and recall (null where there is nothing to find) of a SQL condition over labelled findings."""
+    counted = found.groupBy(*by).agg(
+        F.count("*").alias("n"), F.count_if(F.expr("label = 1")).alias("secrets"), F.count_if(F.expr(f"label = 1 AND ({judged})")).alias("tp"),
+        F.count_if(F.expr(f"label = 0 AND ({judged})")).alias("fp"),
+    )
+    return counted.withColumns({"precision": F.expr("try_divide(tp, tp + fp)"), "recall": F.expr("try_divide(tp, secrets)")})
