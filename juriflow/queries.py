@@ -561,8 +561,8 @@ reviewed AS (
 items AS ({' UNION ALL '.join(map(_of_older, (1, 2, 3)))}
   UNION ALL SELECT decision_sha256, Processo, source_rows, 11, trim(adicao_1_text), 'outro_acionavel', 'human_addition' FROM sheet WHERE trim(adicao_1_text) <> ''
   UNION ALL SELECT decision_sha256, Processo, source_rows, 12, trim(adicao_2_text), 'tutela', 'human_addition' FROM sheet WHERE trim(adicao_2_text) <> ''),
-placed AS (SELECT i.*, row_number() OVER (PARTITION BY i.decision_sha256 ORDER BY o) - 1 AS position FROM items i JOIN sheet s USING (decision_sha256) WHERE s.status_documento = ' validado_completo')
-SELECT decision_sha256, Processo AS "Processo", CAST(split_part(source_rows, ',', 1) AS INT) AS source_row, CAST(position AS INT) AS position, text, category, source FROM placed""")
+stood AS (SELECT i.*, row_number() OVER (PARTITION BY i.decision_sha256 ORDER BY o) - 1 AS position FROM items i JOIN sheet s USING (decision_sha256) WHERE s.status_documento = ' validado_completo')
+SELECT decision_sha256, Processo AS "Processo", CAST(split_part(source_rows, ',', 1) AS INT) AS source_row, CAST(position AS INT) AS position, text, category, source FROM stood""")
 def gold_consolidated(spark, sf_dir):
     """GLD2: the older layout of one row a decision"""
     sheet = spark.sql(_older("s{i}.{f}", "{reviewed}"), reviewed=_reviewed(spark, sf_dir))
@@ -585,14 +585,14 @@ def _long(name: str, **tables: str) -> str:
     return _LONG[name].format(**tables).replace("AS STRING", "AS VARCHAR")
 
 
-@query(f"""WITH {CANDIDATES}, done AS ({_long('done', rows='rows')}), some AS ({_long('some', cands='cands')}), more AS ({_long('more', rows='rows')}),
+@query(f"""WITH {CANDIDATES}, done AS ({_long('done', rows='rows')}), chosen_rows AS ({_long('some', cands='cands')}), added_rows AS ({_long('more', rows='rows')}),
 items AS (
   SELECT TRY_CAST(source_row AS INT) AS source_row, 0 AS part, place, CASE WHEN upper(status_validacao) = 'APROVADO' THEN candidate_text WHEN upper(status_validacao) = 'AJUSTADO' THEN coalesce(nullif(texto_ajustado, ''), candidate_text) END AS text,
-         CASE WHEN upper(status_validacao) = 'APROVADO' THEN teacher_category WHEN upper(status_validacao) = 'AJUSTADO' THEN coalesce(nullif(categoria_ajustada, ''), teacher_category) END AS category, 'candidate' AS source FROM some
-  UNION ALL SELECT TRY_CAST(source_row AS INT), 1, place, texto_gold, coalesce(nullif(categoria_gold, ''), 'outro_acionavel'), 'human_addition' FROM more),
-placed AS (SELECT *, row_number() OVER (PARTITION BY source_row ORDER BY part, place) - 1 AS position FROM items WHERE trim(text) <> '')
+         CASE WHEN upper(status_validacao) = 'APROVADO' THEN teacher_category WHEN upper(status_validacao) = 'AJUSTADO' THEN coalesce(nullif(categoria_ajustada, ''), teacher_category) END AS category, 'candidate' AS source FROM chosen_rows
+  UNION ALL SELECT TRY_CAST(source_row AS INT), 1, place, texto_gold, coalesce(nullif(categoria_gold, ''), 'outro_acionavel'), 'human_addition' FROM added_rows),
+stood AS (SELECT *, row_number() OVER (PARTITION BY source_row ORDER BY part, place) - 1 AS position FROM items WHERE trim(text) <> '')
 SELECT CAST(d.source_row AS INT) AS source_row, d.processo AS "Processo", CAST(coalesce(position, -1) AS INT) AS position, coalesce(text, '') AS text, coalesce(category, '') AS category, coalesce(source, '') AS source
-FROM done d LEFT JOIN placed p ON CAST(d.source_row AS INT) = p.source_row WHERE upper(trim(d.status_documento)) = 'VALIDADO_COMPLETO'""")
+FROM done d LEFT JOIN stood p ON CAST(d.source_row AS INT) = p.source_row WHERE upper(trim(d.status_documento)) = 'VALIDADO_COMPLETO'""")
 def gold_long(spark, sf_dir):
     """GLD3, JON9: the oldest layout of three long tables"""
     run = extract.run(decisions.view(spark, sf_dir), keep=True)
