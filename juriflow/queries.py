@@ -505,13 +505,6 @@ def gold_additions(spark, sf_dir):
     return items.select("decision_sha256", "position", "g.text", "g.category", "g.source", "g.validation")
 
 
-@query(f"""WITH {PLAYED}, added AS ({_ADDED.format('played').replace('STRING', 'VARCHAR')})
-SELECT id AS "ID", 'adicao_gold com categoria inválida' AS issues FROM done WHERE p = 25""")
-def gold_additions_issues(spark, sf_dir):
-    """GLD1, JON6: an addition of an unknown category blocks its document"""
-    return gold.issues(_added(spark, sf_dir)).where("issues LIKE '%adicao_gold%'").select("ID", "issues")
-
-
 # ---- GOLD of older layouts ------------------------------------------------------------------------------------------
 
 # The one-row layout: a decision's slots with states, edits and additions by the key's hash.
