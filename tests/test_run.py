@@ -199,3 +199,34 @@ def test_supervised_files_in_one_pass(spark, tmp_path):
         want = [r.value for r in training.examples(mapped).where(F.col("split") == name).select(F.to_json(F.struct("messages", "Processo")).alias("value")).collect()]
         assert lines(str(tmp_path), f"sft_{name}") == sorted(want)
     assert lines(str(tmp_path), "sft_issues") == sorted(r.value for r in training.issues(mapped).select(F.to_json(F.struct("*")).alias("value")).collect())
+
+
+def test_starts_and_runs_of_white_space(spark):
+    """Patterns at a text's start, and what normalize leaves of white space, as Python has them."""
+    from juriflow.functions.text import FLAGS, java, normalize, plain, starts
+    from juriflow.operators import noise, select
+
+    texts = [" a  b\n\nc  d ", "a b", "\x1c\x1fa\x85b　", "determino. Intime-se", "x determino", "diante do exposto, julgo", "", " ", "julgosa"]
+    texts += ["Im pede deferimento e vista", "Requeré a vista dos autos", "x" * 40 + " requer a vista", "Em decisão o juízo determınou a emenda", "Em decisão o juízo deferiu", "1234567890123456", "12345678901234567 x a b"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    anchored = [(r, p) for r, p in noise.PATTERNS if p.startswith("^")]
+    each = [F.rlike("t", F.lit(FLAGS + java(p))).alias(f"r{k}") for k, (_, p) in enumerate(anchored)]
+    cut = [starts(F.col("t"), java(p), FLAGS).alias(f"s{k}") for k, (_, p) in enumerate(anchored)]
+    for row in df.select("t", normalize(F.col("t")).alias("n"), F.rlike(normalize(F.col("t")), F.lit(select.OPERATIVE)).alias("o"), select.operative(normalize(F.col("t"))).alias("p"), noise.rejection(F.col("t")).alias("why"), *each, *cut).collect():
+        assert row.n == plain(row.t)
+        assert row.o == row.p
+        assert [row[f"r{k}"] for k in range(len(anchored))] == [row[f"s{k}"] for k in range(len(anchored))]
+        if "determ" in row.t and row.t.startswith("Em") or "deferiu" in row.t:
+            assert row.why == "historical_reference"
+        if row.t.startswith("Requer"):
+            assert row.why is None  # a letter follows, as in Python's patterns
+
+
+def test_additions_do_not_plan_the_review_for_each_part(spark):
+    """The keys of gold_additions' union are worked out once: its plan is about that of a review, not eleven of them."""
+    from juriflow import queries
+
+    def leaves(name):
+        return queries.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().analyzed().collectLeaves().size()
+
+    assert leaves("gold_additions") < 2 * leaves("gold_items")
