@@ -230,3 +230,13 @@ def test_additions_do_not_plan_the_review_for_each_part(spark):
         return queries.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().analyzed().collectLeaves().size()
 
     assert leaves("gold_additions") < 2 * leaves("gold_items")
+
+
+def test_hits_are_those_of_documents_without_a_selection(spark):
+    given = decisions(spark, [text(1), text(2), text(1), "", text(2), text(1)])
+    done = extract.run(given, mode="fallback").selections.where("decision_sha256 = sha2('" + text(2) + "', 256)")
+    for known in (None, done):
+        run = extract.run(given, mode="fallback", known=known, hot_rows=1)
+        want = run.documents.where(F.col("status_documento") == extract.PENDING).select("source_row", "decision_sha256", "cache_hit")
+        assert sorted(run.hits.collect()) == sorted(want.collect())
+        assert "Window" not in run.hits._jdf.queryExecution().optimizedPlan().toString()  # units are numbered by windows
