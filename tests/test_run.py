@@ -240,3 +240,28 @@ def test_hits_are_those_of_documents_without_a_selection(spark):
         want = run.documents.where(F.col("status_documento") == extract.PENDING).select("source_row", "decision_sha256", "cache_hit")
         assert sorted(run.hits.collect()) == sorted(want.collect())
         assert "Window" not in run.hits._jdf.queryExecution().optimizedPlan().toString()  # units are numbered by windows
+
+
+def test_units_are_judged_without_normalizing_them_whole(spark):
+    """Reasons and acts as the whole normalized text gives them, where only what tells is looked at."""
+    from juriflow.functions.text import FLAGS, first_of, java, normalize, strip
+    from juriflow.operators import noise, select
+    from juriflow.operators.segment import units
+
+    acts = ["determino", "Diante do exposto, JULGO", "ante do exposto: expeça-se", "ISTO\tPOSTO;\n homologo", "Por tais fundamentos, rejeito", "ficam as partes intimadas", "fica a parte", "vistas ao autor", "vista à parte"]
+    acts += ["Ｄefiro", "défiro", "DEFERİU", "ﬁca as partes intimadas", "determinosa", "Arquivem-se", "cite-se", "1) intime-se", "12.  Proceda", "９. condeno", "9" * 300 + ") acolho", "٣ extingo"]
+    ends = ["", " a vista", " x" * 200, " é" * 200, "́" * 150 + " o", " " * 300 + "fim de texto"]
+    texts = [lead + act + end for lead in ("", " \n", " ", "x ") for act in acts for end in ends]
+    texts += ["Em decisão o juízo DEFERİU a tutela", "Em decisão o juízo determınou", "FULANO DE TAL\nJuiz Federal", "FULANO DE TAL, DATA E HORA REGISTRADAS", "Maceió, na data da assinatura eletrônica.", "a" * 3000 + ", x", "PROCESSO: 1 TURMA julgamento: 1/2/20"]
+    texts += ["a b c d e f", "a b c d e f g h i j k l", "é" * 12, "é́" * 11, "ﬃ" * 4, "́" * 40, "....  ........", "Nos termos:", "Determino:", ": x", "\x85", " a  b\x0bc", None]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
+    text = F.coalesce("t", F.lit(""))
+    n = normalize(text)
+    cases = [(strip(text) == "", "empty"), *[(F.rlike(text, F.lit(FLAGS + java(p))), reason) for reason, p in noise.PATTERNS]]
+    cases += [(F.endswith(strip(text), F.lit(":")) & ~F.rlike(text, F.lit(FLAGS + java(noise.MAIN_ORDER))), "trailing_colon_fragment"), (F.length(n) < noise.MIN_LENGTH, "too_short")]
+    got = df.select("t", noise.rejection(F.col("t")).alias("why"), select.opens(text).alias("act")).collect()
+    want = df.select(first_of(cases).alias("why"), F.rlike(n, F.lit(select.OPERATIVE)).alias("act")).collect()
+    assert [(r.t, r.why, r.act) for r in got] == [(r.t, w.why, w.act) for r, w in zip(got, want)]
+    assert {"historical_reference", "location_date_boilerplate", "signature_or_timestamp", "too_short", None} < {r.why for r in got}
+    plan = units(df, ["k"], "t", marks=select.marks("rules"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "_n#" not in plan and "_low#" in plan  # the normalized text isn't asked for
