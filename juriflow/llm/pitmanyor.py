@@ -143,9 +143,31 @@ def _unpack(block: bytes, n: int) -> list[np.ndarray]:
     return out
 
 
+def _order(x: np.ndarray) -> np.ndarray:
+    """np.argsort of hashes, equal ones by place: their high bits and their places are sorted as one number, which takes a quarter of the time
+    of sorting places; what only the low bits tell apart is put in order after."""
+    bits = np.uint64(max(1, (len(x) - 1).bit_length()))
+    low = (np.uint64(1) << bits) - np.uint64(1)
+    packed = x & ~low
+    packed |= np.arange(len(x), dtype=np.uint64)
+    packed.sort()
+    order = (packed & low).astype(np.int64)
+    packed >>= bits
+    same = packed[1:] == packed[:-1]
+    near = np.flatnonzero(same)
+    near = near[x[order[near]] != x[order[near + 1]]]
+    if len(near):
+        run = np.append(0, np.cumsum(~same))
+        mixed = np.zeros(int(run[-1]) + 1, bool)
+        mixed[run[near]] = True
+        some = np.flatnonzero(mixed[run])  # whole runs, so that sorting them all at once moves none out of its run
+        order[some] = order[some][np.argsort(x[order[some]], kind="stable")]
+    return order
+
+
 def _distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """np.unique with the index of some occurrence and the inverse, by an unstable sort, which takes a third of the time."""
-    order = np.argsort(x)
+    """np.unique with the index of the first occurrence and the inverse."""
+    order = _order(x)
     x = x[order]
     opens = np.ones(len(x), bool)
     np.not_equal(x[1:], x[:-1], out=opens[1:])
@@ -190,7 +212,7 @@ def _blocks(docs: DataFrame, spread: list[int], names: list[int], chunk_tokens:
         key |= bucket << np.uint64(64 - bits)
         edges = np.append(0, np.cumsum(np.bincount(bucket.astype(np.int64), minlength=buckets)))
         bucket = None
-        order = np.argsort(key)
+        order = _order(key)
         key = None
         rows = []
         for b in np.flatnonzero(np.diff(edges)).tolist():
@@ -198,7 +220,8 @@ def _blocks(docs: DataFrame, spread: list[int], names: list[int], chunk_tokens:
             tri = triple_key(x[own], pair_key(v[own], w[own]))
             opens = np.flatnonzero(np.append(True, tri[1:] != tri[:-1]))
             heads, n = own[opens], len(opens)
-            known, at, often = np.unique(np.concatenate([v[heads], w[heads]]), return_inverse=True, return_counts=True)
+            known, _, at = _distinct(np.concatenate([v[heads], w[heads]]))
+            often = np.bincount(at, minlength=len(known))
             by = np.argsort(np.uint16(65535) - np.minimum(often, 65535).astype(np.uint16), kind="stable")  # frequent words get low numbers
             rank = np.empty(len(by), np.int64)
             rank[by] = np.arange(len(by))
@@ -462,7 +485,7 @@ def _answers(messages: pa.Table, number: int, theta: float, seed: int) -> Iterat
     kinds = []
     for k in (0, 1):  # words, then the others
         sizes = [len(q[k]) for q in sent]
-        key, at = np.unique(np.concatenate([q[k] for q in sent]), return_inverse=True)
+        key, _, at = _distinct(np.concatenate([q[k] for q in sent]))
         sums = [np.bincount(at, np.concatenate([q[j][len(q[0]) :] if k else q[j][: len(q[0])] for q in sent]), len(key)).astype(np.int64) for j in (2, 3)]
         kinds.append((key, np.split(at, np.cumsum(sizes)[:-1]), *sums))
     (key, words, c1, seen), (_, others, far, far_fixed) = kinds

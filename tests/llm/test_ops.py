@@ -461,6 +461,16 @@ def test_language_model_without_training(spark):
     assert all(r.train_tokens == 0 and r.n_known == 0 and r.base_score == 0 and abs(r.score) < 1e-9 for r in got)
 
 
+def test_lm_order_of_hashes_sorted_with_their_places():
+    """As a stable argsort, also of hashes that only low bits tell apart, which places take the room of."""
+    r = np.random.default_rng(3)
+    some = r.integers(0, 1 << 64, 5000, np.uint64)
+    for x in (some[:0], some[:1], np.repeat(some[:1], 9), some, np.concatenate([some, some ^ np.uint64(1), some, some ^ np.uint64(6)]), r.integers(0, 50, 9000).astype(np.uint64)):
+        assert (pitmanyor._order(x) == np.argsort(x, kind="stable")).all()
+        for a, b in zip(pitmanyor._distinct(x), np.unique(x, return_index=True, return_inverse=True)):
+            assert (a == b).all()
+
+
 def test_seating(monkeypatch):
     """Tables are those of customers that toss a coin one by one, in the mean, however draws are cut into pieces."""
     n, c, a, d = 4000, 60, 0.8, 0.6
