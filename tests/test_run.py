@@ -265,3 +265,35 @@ def test_units_are_judged_without_normalizing_them_whole(spark):
     assert {"historical_reference", "location_date_boilerplate", "signature_or_timestamp", "too_short", None} < {r.why for r in got}
     plan = units(df, ["k"], "t", marks=select.marks("rules"))._jdf.queryExecution().optimizedPlan().toString()
     assert "_n#" not in plan and "_low#" in plan  # the normalized text isn't asked for
+
+
+def test_rules_find_in_texts_as_they_are_what_normalized_ones_contain(spark):
+    """Bits as the whole normalized text gives them; only texts with odd characters are normalized."""
+    from juriflow.functions.text import normalize
+    from juriflow.operators import rules
+
+    texts = [f"É {p.upper()}." for p in rules.NORMAL] + [p.replace(" ", "  \n") + " — fim" for p in rules.NORMAL] + [p.replace("o", "ó").replace("c", "Ç") for p in rules.NORMAL]
+    texts += [p.replace("ss", "ß") for p in rules.NORMAL] + [p[:-1] + "ß" for p in rules.NORMAL] + [p[1:] for p in rules.NORMAL] + [p.replace("a", "á", 1) for p in rules.NORMAL]
+    plain = len(texts)
+    texts += [p.replace("e", "ｅ", 1) for p in rules.NORMAL] + [p.replace("a", "á") for p in rules.NORMAL] + [p.replace("i", "ĩ") for p in rules.NORMAL] + ["extingo a presente execução, art. ４８７", None, ""]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string").withColumn("s", rules.sought(F.col("t"))).withColumn("n", normalize(F.col("t")))
+    whole = [F.contains("n", F.lit(p)) for p in rules.NORMAL]
+    raw = [place for place, (_, _, _, parts) in enumerate(rules.RULES) if all(kind == "N" for kind, _ in parts)]
+    for row in df.select("*", rules.text_bits(F.col("t"), F.col("s")).alias("bits"), F.array(*whole).alias("has")).collect():
+        has = dict(zip(rules.NORMAL, row.has))
+        for place in raw:
+            assert bool(row.bits >> place & 1) == all(has[p] for _, p in rules.RULES[place][3]), (row.t, rules.RULES[place][0])
+        assert row.k >= plain or row.s in (None, ""), row.t
+
+
+def test_texts_are_looked_up_once_even_those_without_units(spark):
+    """A run by rules deals each text once, with what is asked of it; a text of headings alone has its row."""
+    given = decisions(spark, ["RELATÓRIO\n\nDISPOSITIVO", text(1), "RELATÓRIO\n\n \n\nDefiro o pedido da parte autora."])
+    for mode in ("rules", "fallback"):
+        run = extract.run(given, mode=mode)
+        assert run.selections._jdf.queryExecution().optimizedPlan().toString().count("min_by(") == 1
+        rows = run.documents.orderBy("source_row").collect()
+        assert rows[0].teacher_recortes_count == 0 and rows[0].teacher_status == ("EMPTY_VALID" if mode == "rules" else "RULE_FALLBACK_EMPTY")
+        if mode == "rules":
+            picked = run.candidates.where("candidate_rank > 0").select("source_row", "unit_ids", "candidate_text").collect()
+            assert (rows[2].source_row, ["U0001"], "Defiro o pedido da parte autora.") in [tuple(p) for p in picked]
