@@ -297,3 +297,24 @@ def test_texts_are_looked_up_once_even_those_without_units(spark):
         if mode == "rules":
             picked = run.candidates.where("candidate_rank > 0").select("source_row", "unit_ids", "candidate_text").collect()
             assert (rows[2].source_row, ["U0001"], "Defiro o pedido da parte autora.") in [tuple(p) for p in picked]
+
+
+def test_rules_pick_openings_without_dealing_units(spark):
+    """A run by rules takes the units that the list of all units gives, and needs no row, window or group of units for that."""
+    from juriflow.operators import select
+    from juriflow.operators.segment import unit_lists, unit_texts
+
+    acts = ["Defiro o pedido da parte autora.", "Intimem-se as partes, com urgência.", "Determino:", "EXPEÇA-SE o ofício requisitório.", "Em decisão anterior, o juízo deferiu.", "Cite-se.", "É o caso.", "a) juros", "12) Proceda a contadoria.", "Intimem-se."]
+    heads = ["RELATÓRIO", " :- decisão -: ", " Dispositivo:", "dısposıtıvo", "DECIDO que sim, defiro", "relatorio" + " " * 300, "-: DESPACHO"]
+    texts = ["\n\n".join([head, *acts[k:], "  x ", " y　", "\x85"]) for head in heads for k in range(len(acts))]
+    texts += [gap.join(acts * 3) for gap in ("\n \n", "\n \n\n", " \n\n ", "\n\n\n\nDECIDO\n\n", "\n")] + [" ".join([*acts, "É o que se tem."] * 9), "\n\n" + " ".join(acts * 9) + "\n\n" + acts[0], "RELATÓRIO", "x", "\n\n. \n\n"]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, decisao string")
+    lists = unit_lists(df, ["k"], marks=select.marks("rules"), every=True)
+    listed = {r.k: r for r in lists.select("k", F.transform(F.filter("units", lambda u: u["text"] != ""), lambda u: u["text"]).alias("t"), select.opening_items(F.col("marked")).alias("p")).collect()}
+    for row in df.select("k", unit_texts(F.col("decisao")).alias("t"), select.opened_items(select.first_openings(unit_texts(F.col("decisao")), 3)).alias("p")).collect():
+        assert (row.t, row.p) == (listed[row.k].t, listed[row.k].p), texts[row.k]
+    run = extract.run(decisions(spark, texts))
+    plan = run.selections._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window [" not in plan and "Generate " not in plan
+    picked = {(r.source_row - 2, tuple(r.unit_ids)) for r in run.candidates.where("candidate_rank > 0").collect()}
+    assert len(picked) > len(texts) and picked == {(k, tuple(p.unit_ids)) for k, r in listed.items() for p in r.p}
