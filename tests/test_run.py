@@ -318,3 +318,15 @@ def test_rules_pick_openings_without_dealing_units(spark):
     assert "Window [" not in plan and "Generate " not in plan
     picked = {(r.source_row - 2, tuple(r.unit_ids)) for r in run.candidates.where("candidate_rank > 0").collect()}
     assert len(picked) > len(texts) and picked == {(k, tuple(p.unit_ids)) for k, r in listed.items() for p in r.p}
+
+
+def test_slots_come_from_texts_not_from_rows(spark):
+    """The review's slots are those of all rows' candidates, with earlier selections too, but no row is joined for them."""
+    from juriflow.plans import review
+
+    given = decisions(spark, [text(1), text(2), text(1), "RELATÓRIO", text(3), text(2)])
+    earlier = extract.run(decisions(spark, [text(2), text(9)])).selections
+    for known in (None, earlier):
+        run = extract.run(given, known=known)
+        assert sorted(review.slots(run.proposals).collect()) == sorted(review.slots(run.candidates).collect()) != []
+    assert "Join" not in extract.run(given).proposals._jdf.queryExecution().optimizedPlan().toString()
