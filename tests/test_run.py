@@ -144,6 +144,25 @@ def test_first_place(spark):
             assert all(r["at"] == next((i for i, v in enumerate(r.b) if plain(v)), len(r.b)) for r in got)
 
 
+def test_texts_are_divided_within_their_rows(spark):
+    """Mapping gives the units that the list of all units gives, and deals, sorts or numbers no row for it; a review without texts has none in its groups."""
+    from juriflow.operators.segment import unit_lists
+    from juriflow.plans import review
+
+    long = "Frase comprida de um só bloco. " * 60
+    texts = [" \n\n ", "RELATÓRIO\n\nx.\n\n\n \n DECIDO: \n\nA b. C d", f"{long}\n\n Decisão -\n\n  {long}; Mais uma! É isso?   Sim.\n\nDISPOSITIVO", "a. B" * 900, "y" * 1300, "DECIDO\n\n" * 300, "\n\n a"]
+    texts.append("\n\n".join(f"linha de número {k}" if k % 50 else ("Dispositivo", "RELATÓRIO")[k % 100 // 50] for k in range(700)))
+    df = gold(spark, [(k, t, [(t[-9:], "tutela")]) for k, t in enumerate(texts)])
+    mapped = training.mapped(df)
+    listed = {r.k: r.units for r in unit_lists(df.selectExpr("source_row AS k", "decision"), ["k"], "decision").collect()}
+    assert {r.source_row: r.units for r in mapped.select("source_row", "units").collect()} == {k: listed.get(k, []) for k in range(len(texts))}
+    plan = mapped._jdf.queryExecution().optimizedPlan().toString()
+    assert not any(node in plan for node in ("Window [", "Generate ", "Join ", "Aggregate ", "Sort "))
+    documents = extract.run(decisions(spark, [text(1), text(2), text(1)])).documents
+    slim = review.groups(documents.drop("decisao"))
+    assert sorted(slim.collect()) == sorted(review.groups(documents).select(*slim.columns).collect()) and "decisao" not in slim.columns
+
+
 def test_a_document_of_many_units_and_passages(spark):
     """20,000 units and 1,000 passages: time that halving takes, not that of 20 million comparisons."""
     import time
