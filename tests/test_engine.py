@@ -220,3 +220,26 @@ def test_registry_without_the_corpus_operators():
     import __spark_entry__ as entry
 
     assert len(entry.queries()) >= 20 and set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_queries_end_words_as_their_sql_does(spark, tmp_path):
+    """Where an accented letter follows a pattern's word the queries give what their SQL gives, and the engine by itself what Python's patterns give."""
+    import duckdb
+
+    from juriflow import queries
+
+    told = "Em decisão anterior, o juízo {} a emenda da inicial."
+    words = ["REQUERÉ!! ÈÈEUXÇ!! ÈIER!!", "Requeré les re antion.", "Requer a procedência.", "pedeſ mais um prazo", "pedeK mais um prazo", "pedeı mais um prazo", "REQUERÉ!!", "éem decisão o juízo determinou tudo",
+             told.format("determinoué"), told.format("determinou"), "Determinoé o que segue:", "Determino o que segue:", "Assinado eletronicamente poré FULANO", "requer_se a procedência"]
+    df = spark.createDataFrame([(w,) for w in words], "t string")
+    got = df.select("t", noise.rejection(F.col("t")).alias("own"), noise.rejection(F.col("t"), ascii_words=True).alias("sql")).collect()
+    want = {w: duckdb.execute(f"SELECT {queries.sql_rejection('t', 't')} FROM (SELECT ? AS t)", [w]).fetchone()[0] for w in words}
+    assert {r.t: r.sql for r in got} == want
+    assert {r.t: r.own for r in got}[words[0]] is None and want[words[0]] == "likely_party_request"
+    docs = spark.createDataFrame([(k, w, "pt", None, len(w)) for k, w in enumerate(words)], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    made = duckdb.connect()
+    made.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    for name in ("seg_units",):
+        rows = queries.QUERIES[name](spark, str(tmp_path)).collect()
+        assert sorted(map(repr, map(tuple, rows))) == sorted(map(repr, made.execute(queries.ORACLE[name]).fetchall())), name
