@@ -240,6 +240,6 @@ def test_queries_end_words_as_their_sql_does(spark, tmp_path):
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     made = duckdb.connect()
     made.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
-    for name in ("seg_units",):
+    for name in ("seg_units", "filters_reason"):
         rows = queries.QUERIES[name](spark, str(tmp_path)).collect()
         assert sorted(map(repr, map(tuple, rows))) == sorted(map(repr, made.execute(queries.ORACLE[name]).fetchall())), name
