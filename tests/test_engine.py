@@ -243,3 +243,18 @@ def test_queries_end_words_as_their_sql_does(spark, tmp_path):
     for name in ("seg_units", "filters_reason"):
         rows = queries.QUERIES[name](spark, str(tmp_path)).collect()
         assert sorted(map(repr, map(tuple, rows))) == sorted(map(repr, made.execute(queries.ORACLE[name]).fetchall())), name
+
+
+def test_the_first_units_of_a_missing_passage_are_judged_as_in_sql(spark, tmp_path):
+    """sft_map: a passage that isn't in its text meets the first units, which are hidden where an accented letter follows a pattern's word."""
+    import duckdb
+
+    from juriflow import queries
+
+    docs = spark.createDataFrame([(k, f"REQUERÉ!! número {k}", "pt", None, 7) for k in range(60)], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    made = duckdb.connect()
+    made.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = made.execute(queries.ORACLE["sft_map"]).fetchall()
+    rows = queries.QUERIES["sft_map"](spark, str(tmp_path)).collect()
+    assert sorted(map(repr, map(tuple, rows))) == sorted(map(repr, want)) and any(r[4] == "gold_not_exact_source" and r[5] for r in want)
